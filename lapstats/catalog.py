@@ -196,9 +196,7 @@ def q_laps_since_pit(spark, sf):
 @query
 def q_label_encode(spark, sf):
     l = laps(spark, sf)
-    d = panel.fit_label_mapping(l, "driver").select(F.lit("driver").alias("column_name"), "value", "code")
-    c = panel.fit_label_mapping(l, "circuit").select(F.lit("circuit").alias("column_name"), "value", "code")
-    return d.unionByName(c)
+    return panel.fit_label_mappings(l, ["driver", "circuit"])
 
 
 @query

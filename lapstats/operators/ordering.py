@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .sizing import is_small
 
 
 def global_prefix(df: DataFrame, order_cols: Sequence[str], weight: str | None = None,
@@ -23,8 +24,13 @@ def global_prefix(df: DataFrame, order_cols: Sequence[str], weight: str | None =
 
     The range-partitioned input is checkpointed to the shared checkpoint folder, so
     partition membership stays fixed even if an executor is lost and a stage re-runs.
+    When the input is under the small-input threshold, one ordered window is used.
     """
     spark = df.sparkSession
+    if is_small(df):
+        wt = F.lit(1).cast("bigint") if weight is None else F.col(weight).cast("bigint")
+        ow = Window.orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumn(out, F.coalesce(F.sum(wt).over(ow), F.lit(0)).cast("bigint"))
     ensure_checkpoint_dir(spark)
     n = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     wt = F.lit(1).cast("bigint") if weight is None else F.col(weight).cast("bigint")

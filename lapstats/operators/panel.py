@@ -158,18 +158,32 @@ def circuit_features(df: DataFrame) -> DataFrame:
 
 
 # W6 -------------------------------------------------------------------------
-def fit_label_mapping(df: DataFrame, col: str) -> DataFrame:
-    """(value, code): lexicographic code 0..k-1 over the distinct non-null values.
+def fit_label_mappings(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column_name, value, code): per column, lexicographic codes 0..k-1 over the
+    distinct non-null values.
+
+    All columns share one distributed global running count over their distinct
+    values (ordered by column, then value), so a high-cardinality column never lands
+    in one task; each column's codes start at its own first position."""
+    d = None
+    for c in cols:
+        x = df.select(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) \
+              .where(F.col("value").isNotNull()).distinct()
+        d = x if d is None else d.unionByName(x)
+    r = global_prefix(d, ["column_name", "value"], out="_pos")
+    first = r.groupBy("column_name").agg(F.min("_pos").alias("_first"))
+    return r.join(F.broadcast(first), "column_name").select(
+        "column_name", "value", (F.col("_pos") - F.col("_first")).cast("int").alias("code"))
+
 
-    Codes come from a distributed global running count over the distinct values, so
-    a high-cardinality column never lands in one task."""
-    d = df.select(F.col(col).alias("value")).where(F.col("value").isNotNull()).distinct()
-    return global_prefix(d, ["value"], out="code").select("value", F.col("code").cast("int").alias("code"))
+def fit_label_mapping(df: DataFrame, col: str) -> DataFrame:
+    """(value, code) for one column; see ``fit_label_mappings``."""
+    return fit_label_mappings(df, [col]).select("value", "code")
 
 
 def extend_label_mapping(mapping: DataFrame, df: DataFrame, col: str) -> DataFrame:
     """Append unseen values after the existing codes, in sorted order (D3)."""
-    new = (df.select(F.col(col).alias("value")).where(F.col("value").isNotNull()).distinct()
+    new = (df.select(F.col(col).cast("string").alias("value")).where(F.col("value").isNotNull()).distinct()
              .join(mapping.select("value"), "value", "left_anti"))
     top = mapping.agg(F.coalesce(F.max("code") + 1, F.lit(0)).alias("_base"))
     ranked = global_prefix(new, ["value"], out="_r")
@@ -179,8 +193,8 @@ def extend_label_mapping(mapping: DataFrame, df: DataFrame, col: str) -> DataFra
 
 
 def apply_label_mapping(df: DataFrame, mapping: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    m = mapping.select(F.col("value").alias(col), F.col("code").alias(out or f"{col}_encoded"))
-    return df.join(m, col, "left")
+    m = mapping.select(F.col("value").alias("_v"), F.col("code").alias(out or f"{col}_encoded"))
+    return df.join(m, F.col(col).cast("string") == F.col("_v"), "left").drop("_v")
 
 
 def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
@@ -211,20 +225,27 @@ def engineer_features(laps: DataFrame, pits: DataFrame | None = None,
     ``mappings`` (column -> fitted label mapping) reuses codes fitted elsewhere;
     otherwise codes are fitted on this input. Input needs tire_compound/tire_age
     (``normalise_columns``)."""
-    df = predicted_degradation(laps)
+    enc = (("circuit", "circuit_encoded"), ("driver", "driver_encoded"),
+           ("tire_compound", "tire_compound_encoded"))
+    mappings = mappings or {}
+    fitted = None
+    if any(c not in mappings for c, _ in enc):
+        # fitted on the input: feature steps below keep every input row
+        fitted = fit_label_mappings(laps, [c for c, _ in enc if c not in mappings])
+    df = default_position_gap(laps)
+    df = predicted_degradation(df)
     df = stint_length(df, keys)
-    df = default_position_gap(df)
     df = position_change(df, keys, seq, tie)
     df = rolling_mean(df, 3, "lap_time", "rolling_avg_lap_time_3", keys, seq, tie, include_current)
     df = rolling_mean(df, 5, "lap_time", "rolling_avg_lap_time_5", keys, seq, tie, include_current)
     df = relative_performance(df)
     df = laps_since_pit(df, pits, keys, seq, tie=tie)
     df = circuit_features(df)
-    mappings = mappings or {}
-    for col, out in (("circuit", "circuit_encoded"), ("driver", "driver_encoded"),
-                     ("tire_compound", "tire_compound_encoded")):
-        m = mappings.get(col)
-        m = extend_label_mapping(m, df, col) if m is not None else fit_label_mapping(df, col)
+    for col, out in enc:
+        if col in mappings:
+            m = extend_label_mapping(mappings[col], laps, col)
+        else:
+            m = fitted.where(F.col("column_name") == col).select("value", "code")
         df = apply_label_mapping(df, m, col, out)
     df = one_hot_compound(df)
     return df.dropna(subset=[*FEATURES, TARGET])

@@ -23,17 +23,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .sizing import is_small
+
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], names: Sequence[str],
-                    by: Sequence[str] = (), accuracy: int = 100000, method: str = "bracket") -> DataFrame:
+                    by: Sequence[str] = (), accuracy: int = 100000, method: str = "auto") -> DataFrame:
     """One row per group of ``by`` (one row overall if empty) with a column per prob.
 
     Nulls are ignored; a group with no values gets null quantiles (only the global
     form emits such a row). ``method='builtin'`` uses Spark's ``percentile`` (exact,
-    one map per group) and is kept for small inputs and cross-checks.
+    one value->count map per group), ``'bracket'`` the distributed plan above, and
+    ``'auto'`` picks ``builtin`` only when the projected input is under the
+    small-input threshold (``sizing.is_small``), so the map is bounded.
     """
     by = list(by)
     x = df.select(*by, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
+    if method == "auto":
+        method = "builtin" if is_small(x) else "bracket"
     if method == "builtin":
         aggs = [F.percentile("_x", float(p)).alias(n) for p, n in zip(probs, names)]
         out = x.groupBy(*by).agg(*aggs) if by else x.agg(*aggs)

@@ -1,0 +1,30 @@
+"""Plan-size checks that pick between a single-task and a distributed strategy.
+
+The estimate is Catalyst's ``sizeInBytes`` of the optimized plan (file sizes and
+projections; no job runs). It over-estimates filtered plans, so the choice errs
+towards the distributed path. The threshold is ``spark.lapstats.smallInputBytes``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+SMALL_CONF = "spark.lapstats.smallInputBytes"
+DEFAULT_SMALL = 32 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # no JVM plan access (e.g. Spark Connect): assume large
+        return 1 << 62
+
+
+def small_limit(df: DataFrame) -> int:
+    v = df.sparkSession.conf.get(SMALL_CONF, None)
+    return int(v) if v is not None else DEFAULT_SMALL
+
+
+def is_small(df: DataFrame) -> bool:
+    """True when the whole input is bounded by the small-input threshold."""
+    return estimated_bytes(df) <= small_limit(df)

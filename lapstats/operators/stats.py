@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import dims
+from ..functions.exprs import fixed
 from .quantiles import exact_quantiles
 
 
@@ -128,7 +129,7 @@ def processed_data_metrics(df: DataFrame, features: Sequence[str], target: str =
         nulls.cast("bigint").alias("missing_values"),
         F.count_distinct("driver").alias("unique_drivers"), F.count_distinct("circuit").alias("unique_circuits"),
         F.concat_ws("-", F.min("year").cast("string"), F.max("year").cast("string")).alias("year_range"),
-        F.format_string("%.2f-%.2f", F.min("lap_time"), F.max("lap_time")).alias("lap_time_range"),
+        F.concat(fixed(F.min("lap_time"), 2), F.lit("-"), fixed(F.max("lap_time"), 2)).alias("lap_time_range"),
         F.array_join(F.array_sort(F.collect_set(compound)), ",").alias("tire_compounds"),
         (F.count(F.lit(1)) < 1000).alias("low_volume"))
 
