@@ -48,7 +48,8 @@ def fit_degradation_model(train: DataFrame, features: Sequence[str] = FEATURES,
     data = train.select(*feats, target).dropna()
     rf = RandomForestRegressor(featuresCol="_features", labelCol=target, predictionCol="prediction",
                                numTrees=num_trees, maxDepth=max_depth, seed=seed, maxBins=max_bins,
-                               featureSubsetStrategy="all", checkpointInterval=10)
+                               featureSubsetStrategy="all", checkpointInterval=10,
+                               cacheNodeIds=True, maxMemoryInMB=1024)
     pipe = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="_features", handleInvalid="skip"), rf])
     model = DegradationModel(pipe.fit(data), feats, target)
     m = regression_metrics(model.pipeline.transform(data), target, "prediction").first().asDict()

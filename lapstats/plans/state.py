@@ -151,8 +151,9 @@ def recommend_plans(states: DataFrame, n: int = 5) -> DataFrame:
     the tyre lasts), each with C2 time, confidence (F16) and risk (F17); ranked by
     time (ties keep that order), first ``n`` kept. Positions are not simulated."""
     cur, t, age = F.col("current_lap"), F.col("total_laps"), F.col("current_tire_age")
-    best = F.get(_sorted_windows(states), 0)
-    s = states.select("*", best["optimal_lap"].alias("_bl"), best["compound"].alias("_bc"))
+    # the best window is computed once and read twice (no duplicated candidate search)
+    s = states.withColumn("_best", F.get(_sorted_windows(states), 0))
+    s = s.select(*states.columns, F.col("_best.optimal_lap").alias("_bl"), F.col("_best.compound").alias("_bc"))
     empty_i = F.array().cast("array<int>")
     empty_s = F.array().cast("array<string>")
     opts = F.array(
