@@ -287,3 +287,10 @@ p as (select l.circuit, l.lap_time as y, f.i + f.s * l.tyre_life as p from laps
 select circuit, count(*) as n, round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 6) as r2,
  round(avg(abs(y - p)), 6) as mae, round(sqrt(avg((y - p) * (y - p))), 6) as rmse, round(avg(y), 6) as target_mean,
  round(stddev_samp(y), 6) as target_std from p group by circuit"""
+
+
+SQL["plans_json_roundtrip"] = w(tv.LAPS_CTE, tv.RACES_CTE) + ", " + __import__(
+    "lapstats.catalog_plans", fromlist=["GRID26"]).GRID26 + """ select year, circuit, option_idx,
+ to_json({'pit_stops': case when stops = 1 then [cast(l1 as int)] else [cast(l1 as int), cast(l2 as int)] end,
+  'compounds': case when stops = 1 then [c1, c2] else [c1, c2, c3] end, 'type': plan_type}) as plan_json,
+ true as roundtrip_ok from grid"""

@@ -27,7 +27,7 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_every_query_but_model_and_roundtrips_has_sql():
     missing = set(E.queries()) - set(E.oracle_sql()) - MODEL_QUERIES
-    assert missing <= {"plans_json_roundtrip", "append_run_metrics"}, missing
+    assert missing <= {"append_run_metrics"}, missing
 
 
 def test_entry_runs(spark):
