@@ -31,9 +31,20 @@ def _rate2(c: Column) -> Column:
 
 def stint_time(circuit: Column, compound: Column, n: Column, first_age: Column) -> Column:
     """Sum of F23 lap times over ``n`` laps with ages ``first_age .. first_age+n-1``."""
+    return _stint(X.circuit_baseline(circuit) + _mod(compound), _rate2(compound), n, first_age)
+
+
+def _stint(base_mod: Column, rate: Column, n: Column, first_age: Column) -> Column:
+    """``stint_time`` with the per-compound constants already resolved."""
     n = F.greatest(n, F.lit(0)).cast("double")
-    return n * (X.circuit_baseline(circuit) + _mod(compound)) + \
-        _rate2(compound) * (n * first_age + n * (n - 1) / 2)
+    return n * base_mod + rate * (n * first_age + n * (n - 1) / 2)
+
+
+def _prep(states: DataFrame) -> DataFrame:
+    """Resolve per-state constants once, outside the candidate lambdas."""
+    return states.withColumns({"_B": X.circuit_baseline(F.col("circuit")),
+                               "_rc": _rate2(F.col("current_tire_compound"))}) \
+                 .withColumn("_bmc", F.col("_B") + _mod(F.col("current_tire_compound")))
 
 
 # G6 / W8 --------------------------------------------------------------------
@@ -44,28 +55,42 @@ def _candidate_cost(cur, t, age, circuit, cur_c, new_c, pit) -> Column:
 
 
 def _windows(states: DataFrame) -> Column:
-    """Per state: array of (compound_idx, compound, optimal_lap, estimated_total_time,
-    candidates) for each compound other than the current one."""
+    """Per state (after ``_prep``): array of (compound_idx, compound, optimal_lap,
+    estimated_total_time, candidates) for each compound other than the current one.
+
+    With the F23 lap model the C1 cost is a convex quadratic in the pit lap (curvature
+    ``(r_cur + r_new)/2 > 0``), so the first minimum over the integer candidates is
+    the better of the two integers around the vertex, clamped to the candidate range:
+    plain arithmetic in generated code instead of a scan per candidate. ``candidate_grid``
+    + ``best_candidate`` keep the scan form for arbitrary cost tables."""
     cur, t, age = F.col("current_lap"), F.col("total_laps"), F.col("current_tire_age")
-    circuit, cur_c = F.col("circuit"), F.col("current_tire_compound")
-    stop = F.least(t - 5, cur + 16)
-    cands = F.when(cur + 1 <= stop - 1, F.sequence(cur + 1, stop - 1)).otherwise(F.array().cast("array<int>"))
+    cur_c = F.col("current_tire_compound")
+    lo, hi = cur + 1, F.least(t - 5, cur + 16) - 1
     out = []
     for idx, comp in enumerate(dims.COMPOUNDS):
-        new_c = F.lit(comp)
-        best = F.array_min(F.transform(cands, lambda p: F.struct(
-            _candidate_cost(cur, t, age, circuit, cur_c, new_c, p).alias("cost"), p.alias("lap"))))
-        out.append(F.when(cur_c != new_c, F.struct(
-            F.lit(idx).alias("compound_idx"), new_c.alias("compound"),
-            F.coalesce(best["lap"], cur + 1).alias("optimal_lap"),
-            best["cost"].alias("estimated_total_time"), F.size(cands).alias("candidates"))))
+        mod, rate = dims.COMPOUND_MODIFIERS[comp]
+        bmn, rn = F.col("_B") + F.lit(mod), F.lit(rate)
+        cost = lambda p: (_stint(F.col("_bmc"), F.col("_rc"), p - cur, age) + F.lit(dims.PIT_STOP_PENALTY)
+                          + _stint(bmn, rn, t - p, F.lit(1)))
+        rs = F.col("_rc") + rn
+        vertex = (bmn - F.col("_bmc") - F.col("_rc") * age + F.col("_rc") * cur + rn * t + rs / 2) / rs
+        clamp = lambda x: F.least(F.greatest(x.cast("int"), lo), hi)
+        a, b = clamp(F.floor(vertex)), clamp(F.ceil(vertex))
+        ca, cb = cost(a), cost(b)
+        lap = F.when(cb < ca, b).otherwise(a)
+        has = lo <= hi
+        out.append(F.when(cur_c != F.lit(comp), F.struct(
+            F.lit(idx).alias("compound_idx"), F.lit(comp).alias("compound"),
+            F.when(has, lap).otherwise(lo).alias("optimal_lap"),
+            F.when(has, F.least(ca, cb)).alias("estimated_total_time"),
+            F.greatest(hi - lo + 1, F.lit(0)).alias("candidates"))))
     return F.array_compact(F.array(*out))
 
 
 def optimal_pit_lap(states: DataFrame) -> DataFrame:
     """Per (state, compound != current): the first lap with minimal C1 cost among
     ``cur+1 .. min(T-5, cur+16)-1``. An empty range gives lap cur+1 and a null cost (D8)."""
-    return states.select(*STATE_KEYS, "current_lap", "total_laps", F.explode(_windows(states)).alias("w")) \
+    return _prep(states).select(*STATE_KEYS, "current_lap", "total_laps", F.explode(_windows(states)).alias("w")) \
                  .select(*STATE_KEYS, "current_lap", "total_laps", "w.*")
 
 
@@ -105,7 +130,7 @@ def pit_windows_for_state(states: DataFrame) -> DataFrame:
     """G6 plus the window around the optimum, tyre advantage (F12), position loss
     (F15) and confidence (F14); ``rank`` orders a state's windows by estimated time
     (null last, then compound order), inside the state row."""
-    x = states.select("*", F.posexplode(_sorted_windows(states)).alias("_r", "w"))
+    x = _prep(states).select("*", F.posexplode(_sorted_windows(states)).alias("_r", "w"))
     cur, t, opt = F.col("current_lap"), F.col("total_laps"), F.col("w.optimal_lap")
     return x.select(
         *STATE_KEYS, "year", "circuit", "driver", "current_lap", "total_laps", (F.col("_r") + 1).alias("rank"),
@@ -131,7 +156,7 @@ def plan_cost_expr(pits: Column, comps_in: Column) -> Column:
     tyres = F.concat(F.array(cur_c), F.transform(z, lambda s: s["cin"]))
     per = F.transform(F.sequence(F.lit(0), k), lambda j: stint_time(
         circuit, F.get(tyres, j), F.get(bounds, j + 1) - F.get(bounds, j),
-        F.when(j == 0, age).otherwise(F.lit(0))))
+        F.when(j == 0, age).otherwise(F.lit(0))))  # at most 3 stints per plan
     return F.aggregate(per, F.lit(0.0), lambda a, b: a + b) + k * dims.PIT_STOP_PENALTY
 
 
@@ -152,7 +177,7 @@ def recommend_plans(states: DataFrame, n: int = 5) -> DataFrame:
     time (ties keep that order), first ``n`` kept. Positions are not simulated."""
     cur, t, age = F.col("current_lap"), F.col("total_laps"), F.col("current_tire_age")
     # the best window is computed once and read twice (no duplicated candidate search)
-    s = states.withColumn("_best", F.get(_sorted_windows(states), 0))
+    s = _prep(states).withColumn("_best", F.get(_sorted_windows(states), 0))
     s = s.select(*states.columns, F.col("_best.optimal_lap").alias("_bl"), F.col("_best.compound").alias("_bc"))
     empty_i = F.array().cast("array<int>")
     empty_s = F.array().cast("array<string>")
