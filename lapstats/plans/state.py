@@ -41,10 +41,32 @@ def _stint(base_mod: Column, rate: Column, n: Column, first_age: Column) -> Colu
 
 
 def _prep(states: DataFrame) -> DataFrame:
-    """Resolve per-state constants once, outside the candidate lambdas."""
-    return states.withColumns({"_B": X.circuit_baseline(F.col("circuit")),
-                               "_rc": _rate2(F.col("current_tire_compound"))}) \
-                 .withColumn("_bmc", F.col("_B") + _mod(F.col("current_tire_compound")))
+    """Resolve per-state constants and the per-compound candidate pair once, in
+    separate projections, so no expression is re-evaluated inside another."""
+    cur, t, age = F.col("current_lap"), F.col("total_laps"), F.col("current_tire_age")
+    x = states.withColumns({"_B": X.circuit_baseline(F.col("circuit")),
+                            "_rc": _rate2(F.col("current_tire_compound"))}) \
+              .withColumn("_bmc", F.col("_B") + _mod(F.col("current_tire_compound")))
+    lo, hi = cur + 1, F.least(t - 5, cur + 16) - 1
+    clamp = lambda v: F.least(F.greatest(v.cast("int"), lo), hi)
+    verts = {}
+    for idx, comp in enumerate(dims.COMPOUNDS):
+        mod, rate = dims.COMPOUND_MODIFIERS[comp]
+        bmn, rn = F.col("_B") + F.lit(mod), F.lit(rate)
+        rs = F.col("_rc") + rn
+        verts[f"_v{idx}"] = (bmn - F.col("_bmc") - F.col("_rc") * age + F.col("_rc") * cur + rn * t + rs / 2) / rs
+    x = x.withColumns(verts)
+    x = x.withColumns({c: clamp(F.floor(F.col(f"_v{i}")) if c.startswith("_a") else F.ceil(F.col(f"_v{i}")))
+                       for i in range(len(dims.COMPOUNDS)) for c in (f"_a{i}", f"_b{i}")})
+    costs = {}
+    for idx, comp in enumerate(dims.COMPOUNDS):
+        mod, rate = dims.COMPOUND_MODIFIERS[comp]
+        bmn, rn = F.col("_B") + F.lit(mod), F.lit(rate)
+        cost = lambda p: (_stint(F.col("_bmc"), F.col("_rc"), p - cur, age) + F.lit(dims.PIT_STOP_PENALTY)
+                          + _stint(bmn, rn, t - p, F.lit(1)))
+        costs[f"_ca{idx}"] = cost(F.col(f"_a{idx}"))
+        costs[f"_cb{idx}"] = cost(F.col(f"_b{idx}"))
+    return x.withColumns(costs)
 
 
 # G6 / W8 --------------------------------------------------------------------
@@ -63,25 +85,16 @@ def _windows(states: DataFrame) -> Column:
     the better of the two integers around the vertex, clamped to the candidate range:
     plain arithmetic in generated code instead of a scan per candidate. ``candidate_grid``
     + ``best_candidate`` keep the scan form for arbitrary cost tables."""
-    cur, t, age = F.col("current_lap"), F.col("total_laps"), F.col("current_tire_age")
+    cur, t = F.col("current_lap"), F.col("total_laps")
     cur_c = F.col("current_tire_compound")
     lo, hi = cur + 1, F.least(t - 5, cur + 16) - 1
+    has = lo <= hi
     out = []
     for idx, comp in enumerate(dims.COMPOUNDS):
-        mod, rate = dims.COMPOUND_MODIFIERS[comp]
-        bmn, rn = F.col("_B") + F.lit(mod), F.lit(rate)
-        cost = lambda p: (_stint(F.col("_bmc"), F.col("_rc"), p - cur, age) + F.lit(dims.PIT_STOP_PENALTY)
-                          + _stint(bmn, rn, t - p, F.lit(1)))
-        rs = F.col("_rc") + rn
-        vertex = (bmn - F.col("_bmc") - F.col("_rc") * age + F.col("_rc") * cur + rn * t + rs / 2) / rs
-        clamp = lambda x: F.least(F.greatest(x.cast("int"), lo), hi)
-        a, b = clamp(F.floor(vertex)), clamp(F.ceil(vertex))
-        ca, cb = cost(a), cost(b)
-        lap = F.when(cb < ca, b).otherwise(a)
-        has = lo <= hi
+        a, b, ca, cb = (F.col(f"_{k}{idx}") for k in ("a", "b", "ca", "cb"))
         out.append(F.when(cur_c != F.lit(comp), F.struct(
             F.lit(idx).alias("compound_idx"), F.lit(comp).alias("compound"),
-            F.when(has, lap).otherwise(lo).alias("optimal_lap"),
+            F.when(has, F.when(cb < ca, b).otherwise(a)).otherwise(lo).alias("optimal_lap"),
             F.when(has, F.least(ca, cb)).alias("estimated_total_time"),
             F.greatest(hi - lo + 1, F.lit(0)).alias("candidates"))))
     return F.array_compact(F.array(*out))
@@ -174,26 +187,45 @@ def recommend_plans(states: DataFrame, n: int = 5) -> DataFrame:
     """Up to five plans per state (best window; MEDIUM at mid-distance; SOFT 15 from the
     end if still ahead; two-stop MEDIUM then SOFT when > 25 laps remain; no stop when
     the tyre lasts), each with C2 time, confidence (F16) and risk (F17); ranked by
-    time (ties keep that order), first ``n`` kept. Positions are not simulated."""
+    time (ties keep that order), first ``n`` kept. Positions are not simulated.
+
+    Each option's C2 time is a closed form over its (at most three) stints, computed
+    in plain projections; the ranking sorts a five-element array inside the row."""
     cur, t, age = F.col("current_lap"), F.col("total_laps"), F.col("current_tire_age")
-    # the best window is computed once and read twice (no duplicated candidate search)
     s = _prep(states).withColumn("_best", F.get(_sorted_windows(states), 0))
-    s = s.select(*states.columns, F.col("_best.optimal_lap").alias("_bl"), F.col("_best.compound").alias("_bc"))
-    empty_i = F.array().cast("array<int>")
-    empty_s = F.array().cast("array<string>")
+    s = s.withColumns({"_bl": F.col("_best.optimal_lap"), "_bc": F.col("_best.compound"),
+                       "_mid": cur + F.floor((t - cur) / 2).cast("int")})
+    bmc, rc = F.col("_bmc"), F.col("_rc")
+    st_cur = lambda m: _stint(bmc, rc, m, age)
+
+    def st_new(comp, m):
+        c = F.lit(comp) if isinstance(comp, str) else comp
+        return _stint(F.col("_B") + _mod(c), _rate2(c), m, F.lit(0))
+
+    pen = dims.PIT_STOP_PENALTY
+    no_stop = (F.lit(0.0) + st_cur(t + 1 - cur)) + 0 * pen
+    s = s.withColumns({
+        "_t0": F.when(F.col("_bl") <= t, (F.lit(0.0) + st_cur(F.col("_bl") - cur) + st_new(F.col("_bc"), t + 1 - F.col("_bl")))
+                      + 1 * pen).otherwise(no_stop),
+        "_t1": (F.lit(0.0) + st_cur(F.col("_mid") - cur) + st_new("MEDIUM", t + 1 - F.col("_mid"))) + 1 * pen,
+        "_t2": (F.lit(0.0) + st_cur(t - 15 - cur) + st_new("SOFT", F.lit(16))) + 1 * pen,
+        "_t3": (F.lit(0.0) + st_cur(F.lit(10)) + st_new("MEDIUM", t - 15 - (cur + 10)) + st_new("SOFT", F.lit(16)))
+               + 2 * pen,
+        "_t4": no_stop})
+
+    def opt(i, pits, comps, kind):
+        return F.struct(F.col(f"_t{i}").alias("total_time"), F.lit(i).alias("option_idx"), pits.alias("pit_laps"),
+                        comps.alias("compounds_in"), F.lit(kind).alias("plan_kind"))
     opts = F.array(
-        F.when(F.col("_bl").isNotNull(), _stop_plan(0, F.array(F.col("_bl")), F.array(F.col("_bc")), "best_window")),
-        _stop_plan(1, F.array(cur + F.floor((t - cur) / 2).cast("int")), F.array(F.lit("MEDIUM")), "conservative"),
-        F.when(t - 15 > cur, _stop_plan(2, F.array(t - 15), F.array(F.lit("SOFT")), "aggressive")),
-        F.when(t - cur > 25, _stop_plan(3, F.array(cur + 10, t - 15), F.array(F.lit("MEDIUM"), F.lit("SOFT")),
-                                        "two_stop")),
-        F.when(age + (t - cur) <= dims.MAX_STINT_LENGTH, _stop_plan(4, empty_i, empty_s, "no_stop")))
-    opts = F.transform(F.array_compact(opts), lambda p: p.withField(
-        "total_time", plan_cost_expr(p["pit_laps"], p["compounds_in"])))
-    ranked = F.slice(F.array_sort(opts, lambda a, b: F.when(a["total_time"] < b["total_time"], -1)
-                                  .when(a["total_time"] > b["total_time"], 1)
-                                  .otherwise(a["option_idx"] - b["option_idx"])), 1, n)
-    x = s.select(*s.columns, F.posexplode(ranked).alias("_r", "p")).drop("_bl", "_bc")
+        F.when(F.col("_bl").isNotNull(), opt(0, F.array(F.col("_bl")), F.array(F.col("_bc")), "best_window")),
+        opt(1, F.array(F.col("_mid")), F.array(F.lit("MEDIUM")), "conservative"),
+        F.when(t - 15 > cur, opt(2, F.array(t - 15), F.array(F.lit("SOFT")), "aggressive")),
+        F.when(t - cur > 25, opt(3, F.array(cur + 10, t - 15), F.array(F.lit("MEDIUM"), F.lit("SOFT")), "two_stop")),
+        F.when(age + (t - cur) <= dims.MAX_STINT_LENGTH,
+               opt(4, F.array().cast("array<int>"), F.array().cast("array<string>"), "no_stop")))
+    # struct order (total_time, option_idx, ...) makes sort_array rank by time, then option order
+    ranked = F.slice(F.sort_array(F.array_compact(opts)), 1, n)
+    x = s.select(*states.columns, F.posexplode(ranked).alias("_r", "p"))
     return x.select(
         *[c for c in states.columns], (F.col("_r") + 1).alias("rank"), F.col("p.plan_kind").alias("plan_kind"),
         F.col("p.pit_laps").alias("pit_laps"), F.col("p.compounds_in").alias("compounds_in"),
