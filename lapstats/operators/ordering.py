@@ -1,48 +1,84 @@
-"""Global running sums without a one-partition window.
+"""Running sums / maxima over an order, without a one-task window on a large group.
 
-``global_prefix`` gives every row the total weight of all rows before it in a global
-order. The rows are range-partitioned on the order columns, so each task sorts only
-its own range; the per-partition totals (one row per partition) are the only thing
-combined in a single place.
+``grouped_prefix`` gives every row an aggregate (sum or max) of a value over all
+earlier rows of its group in a given order; ``global_prefix`` is the ungrouped form
+and ``row_index`` the 0-based position of a row in its group.
+
+Distributed path: rows are range-partitioned on ``(group, order)``, so a group with
+a third of all rows spans many partitions and each task sorts only its own range.
+Per (group, partition) totals -- one row per pair -- are turned into offsets with a
+small window over partitions, and a running aggregate inside each (group, partition)
+completes the value. The range-partitioned input is checkpointed to the folder named
+by ``spark.checkpoint.dir`` so partition membership stays fixed if a stage re-runs.
+
+Inputs under the small-input threshold (``sizing.is_small``) use one ordinary window.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from .sizing import is_small
 
+_AGG = {"sum": F.sum, "max": F.max}
+
+
+def _combine(how: str, off: Column, loc: Column) -> Column:
+    if how == "sum":
+        return F.coalesce(off, F.lit(0)) + F.coalesce(loc, F.lit(0))
+    return F.greatest(off, loc)
+
+
+def grouped_prefix(df: DataFrame, by: Sequence[str], order_cols: Sequence[str], value: Column | None = None,
+                   how: str = "sum", inclusive: bool = False, out: str = "_before",
+                   partitions: int | None = None, force: str | None = None) -> DataFrame:
+    """Add ``out`` = ``how`` of ``value`` (1 per row if None) over the rows of the same
+    ``by`` group that come before the row in ``order_cols`` order (and the row itself
+    if ``inclusive``). ``by`` + ``order_cols`` must order each group's rows totally.
+    ``force`` = 'window' / 'distributed' overrides the size check."""
+    by, order_cols = list(by), list(order_cols)
+    agg = _AGG[how]
+    val = F.lit(1).cast("bigint") if value is None else value
+    end = 0 if inclusive else -1
+    path = force or ("window" if is_small(df) else "distributed")
+    if path == "window":
+        w = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy(*order_cols) \
+            .rowsBetween(Window.unboundedPreceding, end)
+        res = agg(val).over(w)
+        return df.withColumn(out, F.coalesce(res, F.lit(0)) if how == "sum" else res)
 
-def global_prefix(df: DataFrame, order_cols: Sequence[str], weight: str | None = None,
-                  out: str = "_before", partitions: int | None = None) -> DataFrame:
-    """Add ``out`` = sum of ``weight`` (1 per row if None) over all rows earlier in
-    ``order_cols`` order. ``order_cols`` must order the rows totally (add a tie-breaker).
-
-    The range-partitioned input is checkpointed to the shared checkpoint folder, so
-    partition membership stays fixed even if an executor is lost and a stage re-runs.
-    When the input is under the small-input threshold, one ordered window is used.
-    """
     spark = df.sparkSession
-    if is_small(df):
-        wt = F.lit(1).cast("bigint") if weight is None else F.col(weight).cast("bigint")
-        ow = Window.orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumn(out, F.coalesce(F.sum(wt).over(ow), F.lit(0)).cast("bigint"))
     ensure_checkpoint_dir(spark)
     n = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    wt = F.lit(1).cast("bigint") if weight is None else F.col(weight).cast("bigint")
-    r = (df.withColumn("_wt", wt).repartitionByRange(n, *order_cols)
+    r = (df.withColumn("_val", val).repartitionByRange(n, *by, *order_cols)
            .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
-    per = r.groupBy("_pid").agg(F.sum("_wt").alias("_pw"))
-    # one row per partition: a tiny table, so a single ordered window is fine here
-    off = per.select("_pid", F.coalesce(
-        F.sum("_pw").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)).alias("_off"))
-    local = Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
-    r = r.withColumn("_local", F.coalesce(F.sum("_wt").over(local), F.lit(0)))
-    return (r.join(F.broadcast(off), "_pid")
-             .withColumn(out, (F.col("_off") + F.col("_local")).cast("bigint"))
-             .drop("_pid", "_wt", "_off", "_local"))
+    per = r.groupBy(*by, "_pid").agg(agg("_val").alias("_pv"))
+    pw = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy("_pid") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    off = per.select(*by, "_pid", agg("_pv").over(pw).alias("_off"))
+    local = Window.partitionBy(*by, "_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, end)
+    r = r.withColumn("_loc", agg("_val").over(local))
+    # without groups the offset table has one row per partition: broadcast-safe
+    joined = r.join(F.broadcast(off), "_pid") if not by else r.join(off, [*by, "_pid"])
+    res = _combine(how, F.col("_off"), F.col("_loc"))
+    return joined.withColumn(out, res).drop("_pid", "_val", "_off", "_loc")
+
+
+def global_prefix(df: DataFrame, order_cols: Sequence[str], weight: str | None = None,
+                  out: str = "_before", partitions: int | None = None, force: str | None = None) -> DataFrame:
+    """Add ``out`` = sum of ``weight`` (1 per row if None) over all rows earlier in the
+    global ``order_cols`` order (which must be total)."""
+    val = None if weight is None else F.col(weight).cast("bigint")
+    return grouped_prefix(df, [], order_cols, val, "sum", False, out, partitions, force) \
+        .withColumn(out, F.col(out).cast("bigint"))
+
+
+def row_index(df: DataFrame, by: Sequence[str], order_cols: Sequence[str], out: str = "_rn",
+              force: str | None = None) -> DataFrame:
+    """0-based position of each row within its ``by`` group (order must be total)."""
+    return grouped_prefix(df, by, order_cols, None, "sum", False, out, force=force) \
+        .withColumn(out, F.col(out).cast("bigint"))

@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import dims
-from .ordering import global_prefix
+from .ordering import global_prefix, grouped_prefix, row_index
+from .sizing import is_small
 from .quantiles import exact_quantiles
 
 PANEL = ("year", "circuit", "driver")
@@ -39,18 +40,58 @@ def panel_window(df: DataFrame, keys: Sequence[str] = PANEL, seq: str = "lap_num
     return Window.partitionBy(*keys).orderBy(*_order(df, seq, tie))
 
 
+def use_windows(df: DataFrame, force: str | None = None) -> bool:
+    """Ordinary windows for inputs under the small-input threshold; above it the
+    sequence operators switch to the skew-safe form (row index + key-unique joins)."""
+    if force:
+        return force == "window"
+    return is_small(df)
+
+
+def with_seq_index(df: DataFrame, keys: Sequence[str] = PANEL, seq: str = "lap_number",
+                   tie: str | None = "lap_id", force: str | None = None) -> DataFrame:
+    """Add ``_rn``: 0-based row position inside the panel group (kept if present).
+
+    Computed with the distributed ``row_index``, so a group holding a large share of
+    all rows is split over many tasks."""
+    if "_rn" in df.columns:
+        return df
+    return row_index(df, keys, _order(df, seq, tie), "_rn", force="distributed" if force is None else force)
+
+
+def lag_join(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = PANEL, prefix: str = "_prev_") -> DataFrame:
+    """Previous row's ``cols`` by equi-join on (keys, _rn - 1): the join key is unique
+    per row, so no group concentrates in one task."""
+    prev = df.select(*keys, (F.col("_rn") + 1).alias("_rn"), *[F.col(c).alias(prefix + c) for c in cols])
+    return df.join(prev, [*keys, "_rn"], "left")
+
+
+def rolling_join(df: DataFrame, col: str, n: int, out: str, keys: Sequence[str] = PANEL,
+                 include_current: bool = True) -> DataFrame:
+    """Mean of ``col`` over the previous ``n`` row positions: each row is copied to the
+    ``n`` positions whose frame contains it and averaged there (a keyed aggregate, no
+    window), then joined back on (keys, _rn)."""
+    offs = range(0, n) if include_current else range(1, n + 1)
+    dup = df.select(*keys, col, F.explode(F.array(*[F.col("_rn") + j for j in offs])).alias("_rn"))
+    m = dup.groupBy(*keys, "_rn").agg(F.avg(col).alias(out))
+    return df.join(m, [*keys, "_rn"], "left")
+
+
 # W1 -------------------------------------------------------------------------
 def detect_pit_stops(laps: DataFrame, keys: Sequence[str] = PANEL, seq: str = "lap_number",
                      compound: str = "compound", life: str = "tyre_life",
-                     tie: str | None = "lap_id") -> DataFrame:
+                     tie: str | None = "lap_id", force: str | None = None) -> DataFrame:
     """A lap (not an entity's first) is a stop when the compound changes or the tyre
     life drops. Null-safe (D1): null->null is no change, null<->value is one.
     Output: keys, pit_lap, pit_time (25.0), tire_compound_out, tire_compound_in."""
-    w = panel_window(laps, keys, seq, tie)
-    prev_c = F.lag(compound).over(w)
-    prev_t = F.lag(life).over(w)
-    prev_s = F.lag(seq).over(w)
-    x = laps.select(*keys, F.col(seq).alias("pit_lap"), F.col(compound).alias("tire_compound_in"),
+    if use_windows(laps, force):
+        w = panel_window(laps, keys, seq, tie)
+        prev_c, prev_t, prev_s = F.lag(compound).over(w), F.lag(life).over(w), F.lag(seq).over(w)
+        src = laps
+    else:
+        src = lag_join(with_seq_index(laps, keys, seq, tie), [compound, life, seq], keys)
+        prev_c, prev_t, prev_s = (F.col("_prev_" + c) for c in (compound, life, seq))
+    x = src.select(*keys, F.col(seq).alias("pit_lap"), F.col(compound).alias("tire_compound_in"),
                     prev_c.alias("tire_compound_out"), prev_t.alias("_pt"), prev_s.alias("_ps"),
                     F.col(life).alias("_t"))
     stop = F.col("_ps").isNotNull() & (
@@ -77,29 +118,40 @@ def default_position_gap(df: DataFrame) -> DataFrame:
 
 
 def position_change(df: DataFrame, keys: Sequence[str] = PANEL, seq: str = "lap_number",
-                    tie: str | None = "lap_id") -> DataFrame:
+                    tie: str | None = "lap_id", force: str | None = None) -> DataFrame:
     """position - previous position within the entity's session; first lap -> 0."""
-    w = panel_window(df, keys, seq, tie)
-    return df.withColumn("position_change",
-                         F.coalesce(F.col("position") - F.lag("position").over(w), F.lit(0.0)))
+    if use_windows(df, force) and "_rn" not in df.columns:
+        prev = F.lag("position").over(panel_window(df, keys, seq, tie))
+        return df.withColumn("position_change", F.coalesce(F.col("position") - prev, F.lit(0.0)))
+    x = lag_join(with_seq_index(df, keys, seq, tie, force), ["position"], keys, "_pc_")
+    return x.withColumn("position_change", F.coalesce(F.col("position") - F.col("_pc_position"), F.lit(0.0))) \
+            .drop("_pc_position")
 
 
 # W3 -------------------------------------------------------------------------
 def rolling_mean(df: DataFrame, n: int, col: str = "lap_time", out: str | None = None,
                  keys: Sequence[str] = PANEL, seq: str = "lap_number", tie: str | None = "lap_id",
-                 include_current: bool = True) -> DataFrame:
+                 include_current: bool = True, force: str | None = None) -> DataFrame:
     """Mean of the last ``n`` rows (shorter at the start). ``include_current=False``
     uses the ``n`` rows before the current one (no target leakage, D11)."""
-    w = panel_window(df, keys, seq, tie)
-    frame = w.rowsBetween(-(n - 1), 0) if include_current else w.rowsBetween(-n, -1)
-    return df.withColumn(out or f"rolling_avg_{col}_{n}", F.avg(col).over(frame))
+    out = out or f"rolling_avg_{col}_{n}"
+    if use_windows(df, force) and "_rn" not in df.columns:
+        w = panel_window(df, keys, seq, tie)
+        frame = w.rowsBetween(-(n - 1), 0) if include_current else w.rowsBetween(-n, -1)
+        return df.withColumn(out, F.avg(col).over(frame))
+    return rolling_join(with_seq_index(df, keys, seq, tie, force), col, n, out, keys, include_current)
 
 
 # W4 -------------------------------------------------------------------------
 def stint_length(df: DataFrame, keys: Sequence[str] = PANEL, compound: str = "tire_compound",
-                 age: str = "tire_age") -> DataFrame:
-    """Max tyre age per (entity, session, compound): two stints on one compound merge."""
-    return df.withColumn("stint_length", F.max(age).over(Window.partitionBy(*keys, compound)))
+                 age: str = "tire_age", force: str | None = None) -> DataFrame:
+    """Max tyre age per (entity, session, compound): two stints on one compound merge.
+    Large inputs use a partial aggregate joined back (null-safe on the compound)."""
+    if use_windows(df, force):
+        return df.withColumn("stint_length", F.max(age).over(Window.partitionBy(*keys, compound)))
+    m = df.groupBy(*keys, F.col(compound).alias("_sc")).agg(F.max(age).alias("stint_length"))
+    cond = [df[k] == m[k] for k in keys] + [df[compound].eqNullSafe(m["_sc"])]
+    return df.join(m, cond, "left").drop(*[m[k] for k in keys]).drop("_sc")
 
 
 # W5 -------------------------------------------------------------------------
@@ -116,7 +168,7 @@ def relative_performance(df: DataFrame, by: Sequence[str] = (*SESSION, "lap_numb
 # J1 -------------------------------------------------------------------------
 def laps_since_pit(laps: DataFrame, pits: DataFrame | None, keys: Sequence[str] = PANEL,
                    seq: str = "lap_number", pit_seq: str = "pit_lap",
-                   tie: str | None = "lap_id") -> DataFrame:
+                   tie: str | None = "lap_id", force: str | None = None) -> DataFrame:
     """As-of join: ``seq - max(pit_seq <= seq)`` within the entity's session, 0 if none.
 
     Pits and laps are unioned and one ordered window carries the last pit lap forward
@@ -129,10 +181,15 @@ def laps_since_pit(laps: DataFrame, pits: DataFrame | None, keys: Sequence[str]
     p = pits.select(*keys, F.col(pit_seq).cast(laps.schema[seq].dataType).alias(seq),
                     F.lit(0).alias("_kind"), F.col(pit_seq).cast("int").alias("_pit"))
     u = l.unionByName(p, allowMissingColumns=True)
-    w = Window.partitionBy(*keys).orderBy(seq, "_kind", *tie_cols) \
-              .rowsBetween(Window.unboundedPreceding, 0)
-    last = F.last("_pit", ignorenulls=True).over(w)
-    u = u.withColumn("laps_since_pit", F.coalesce(F.col(seq) - last, F.lit(0)).cast("int"))
+    if use_windows(u, force):
+        w = Window.partitionBy(*keys).orderBy(seq, "_kind", *tie_cols) \
+                  .rowsBetween(Window.unboundedPreceding, 0)
+        u = u.withColumn("_last", F.last("_pit", ignorenulls=True).over(w))
+    else:
+        # pits come in lap order, so the last pit so far is the running maximum
+        u = grouped_prefix(u, keys, [seq, "_kind", *tie_cols], F.col("_pit"), "max", True, "_last",
+                           force="distributed")
+    u = u.withColumn("laps_since_pit", F.coalesce(F.col(seq) - F.col("_last"), F.lit(0)).cast("int")).drop("_last")
     return u.where(F.col("_kind") == 1).drop("_kind", "_pit")
 
 
@@ -219,12 +276,13 @@ def select_features(df: DataFrame, features: Sequence[str] = FEATURES, target: s
 def engineer_features(laps: DataFrame, pits: DataFrame | None = None,
                       keys: Sequence[str] = PANEL, seq: str = "lap_number",
                       tie: str | None = "lap_id", include_current: bool = True,
-                      mappings: dict[str, DataFrame] | None = None) -> DataFrame:
+                      mappings: dict[str, DataFrame] | None = None, force: str | None = None) -> DataFrame:
     """P11+W4 -> P10+W2 -> W3+W5 -> J1 -> J2 -> W6+P13 -> drop rows with null features.
 
     ``mappings`` (column -> fitted label mapping) reuses codes fitted elsewhere;
     otherwise codes are fitted on this input. Input needs tire_compound/tire_age
-    (``normalise_columns``)."""
+    (``normalise_columns``). Large inputs get one distributed row index shared by
+    all sequence features (``force`` overrides the size check)."""
     enc = (("circuit", "circuit_encoded"), ("driver", "driver_encoded"),
            ("tire_compound", "tire_compound_encoded"))
     mappings = mappings or {}
@@ -232,14 +290,20 @@ def engineer_features(laps: DataFrame, pits: DataFrame | None = None,
     if any(c not in mappings for c, _ in enc):
         # fitted on the input: feature steps below keep every input row
         fitted = fit_label_mappings(laps, [c for c, _ in enc if c not in mappings])
+    windows = use_windows(laps, force)
     df = default_position_gap(laps)
+    if not windows:
+        df = with_seq_index(df, keys, seq, tie)
+    f = "window" if windows else "distributed"
     df = predicted_degradation(df)
-    df = stint_length(df, keys)
-    df = position_change(df, keys, seq, tie)
-    df = rolling_mean(df, 3, "lap_time", "rolling_avg_lap_time_3", keys, seq, tie, include_current)
-    df = rolling_mean(df, 5, "lap_time", "rolling_avg_lap_time_5", keys, seq, tie, include_current)
+    df = stint_length(df, keys, force=f)
+    df = position_change(df, keys, seq, tie, force=f)
+    df = rolling_mean(df, 3, "lap_time", "rolling_avg_lap_time_3", keys, seq, tie, include_current, force=f)
+    df = rolling_mean(df, 5, "lap_time", "rolling_avg_lap_time_5", keys, seq, tie, include_current, force=f)
     df = relative_performance(df)
-    df = laps_since_pit(df, pits, keys, seq, tie=tie)
+    df = laps_since_pit(df, pits, keys, seq, tie=tie, force=f)
+    if "_rn" in df.columns:
+        df = df.drop("_rn")
     df = circuit_features(df)
     for col, out in enc:
         if col in mappings:
@@ -256,16 +320,14 @@ def chronological_split(df: DataFrame, order: Sequence[str] = (*SESSION, "lap_nu
                         tie: Sequence[str] = ("driver", "lap_id"), test_fraction: float = 0.2) -> DataFrame:
     """Flag the last ``int(fraction·n)`` rows (at least 1) of the global order as test.
 
-    Ranks come from counts per ``order`` group (small) turned into running offsets, plus
-    a row number inside each group; no window spans the fact table."""
+    ``split_rank`` is the row's position in the global order, from the distributed
+    ``global_prefix`` (range partitions, per-partition offsets): no window spans the
+    fact table in one task, and a hot session or lap does not concentrate."""
     tie = [c for c in tie if c in df.columns]
-    g = df.groupBy(*order).agg(F.count(F.lit(1)).alias("_gc"))
-    g = global_prefix(g, list(order), weight="_gc", out="_goff")
+    x = global_prefix(df, [*order, *tie], out="split_rank")
     n = df.agg(F.count(F.lit(1)).alias("_n")).select(
         "_n", F.when((F.floor(F.col("_n") * test_fraction) == 0) & (F.col("_n") > 0), F.lit(1))
                .otherwise(F.floor(F.col("_n") * test_fraction)).cast("bigint").alias("_test"))
-    inner = F.row_number().over(Window.partitionBy(*order).orderBy(*tie)) - 1
-    x = df.withColumn("_in", inner).join(g.select(*order, "_goff"), list(order))
-    x = x.crossJoin(F.broadcast(n)).withColumn("split_rank", F.col("_goff") + F.col("_in"))
+    x = x.crossJoin(F.broadcast(n))
     return x.withColumn("is_test", F.col("split_rank") >= F.col("_n") - F.col("_test")) \
-            .drop("_in", "_goff", "_n", "_test")
+            .drop("_n", "_test")

@@ -98,6 +98,8 @@ def main(argv):
     import __spark_entry__ as E
     from lapstats.session import build_session
     spark = build_session()
+    if os.environ.get("LAPSTATS_SMALL_BYTES") is not None:  # e.g. 0 forces every distributed path
+        spark.conf.set("spark.lapstats.smallInputBytes", os.environ["LAPSTATS_SMALL_BYTES"])
     con = duck(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
     bad = 0
