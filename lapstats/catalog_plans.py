@@ -170,10 +170,10 @@ SQL["stint_cost_summary"] = RC + ", " + GRID26 + ", " + _stints_sql(True) + """,
 u as (select year, circuit, plan_key, b, total_race_time, total_laps, 1 as stint_number, 1 as start_lap, l1 as end_lap, c1 as compound from ev
  union all select year, circuit, plan_key, b, total_race_time, total_laps, 2, l1 + 1, coalesce(l2, total_laps), c2 from ev
  union all select year, circuit, plan_key, b, total_race_time, total_laps, 3, l2 + 1, total_laps, c3 from ev where stops = 2)
-select year, circuit, plan_key, stint_number, start_lap, end_lap, compound, greatest(end_lap - start_lap + 1, 0) as laps,
- end_lap - start_lap as stint_length,
+select year, circuit, plan_key, stint_number, cast(start_lap as int) as start_lap, cast(end_lap as int) as end_lap,
+ compound, cast(greatest(end_lap - start_lap + 1, 0) as int) as laps, cast(end_lap - start_lap as int) as stint_length,
  case when end_lap - start_lap + 1 > 0 then round(b + """ + RT.format(c="compound") + """ * (end_lap - start_lap + 1 + 1) / 2, 6) end as average_time,
- greatest(end_lap - start_lap + 1, 0) as degradation, round(total_race_time, 6) as plan_total_time from u"""
+ cast(greatest(end_lap - start_lap + 1, 0) as int) as degradation, round(total_race_time, 6) as plan_total_time from u"""
 
 
 def _driver_stints(spark, sf):
@@ -231,13 +231,13 @@ def st_sql(circ, comp, n, a):
 ST = w(tv.LAPS_CTE, tv.STATES_CTE)
 CAND = """sc as (select s.*, c.compound, c.compound_idx from states s,
  (values (0, 'SOFT'), (1, 'MEDIUM'), (2, 'HARD')) c(compound_idx, compound) where c.compound <> s.current_tire_compound),
-cand as (select sc.*, g.p as candidate, """ + st_sql("circuit", "current_tire_compound", "g.p - current_lap", "current_tire_age") + \
+cand as (select sc.*, cast(g.p as int) as candidate, """ + st_sql("circuit", "current_tire_compound", "g.p - current_lap", "current_tire_age") + \
     " + 25.0 + " + st_sql("circuit", "compound", "total_laps - g.p", "1") + """ as cost
  from sc, generate_series(current_lap + 1, least(total_laps - 5, current_lap + 16) - 1) g(p)),
 best as (select state_id, compound, candidate, cost, cnt from (select *, row_number() over
  (partition by state_id, compound order by cost, candidate) as rn, count(*) over (partition by state_id, compound) as cnt
  from cand) where rn = 1),
-win as (select sc.*, coalesce(b.candidate, sc.current_lap + 1) as optimal_lap, b.cost as estimated_total_time,
+win as (select sc.*, cast(coalesce(b.candidate, sc.current_lap + 1) as int) as optimal_lap, b.cost as estimated_total_time,
  coalesce(b.cnt, 0) as candidates from sc left join best b on sc.state_id = b.state_id and sc.compound = b.compound),
 wr as (select *, row_number() over (partition by state_id order by estimated_total_time nulls last, compound_idx) as rank from win)"""
 
@@ -270,7 +270,8 @@ SQL["grid_join"] = ST + ", " + CAND + " select state_id, compound, candidate, ro
 
 
 WIN_COLS = """state_id, year, circuit, driver, current_lap, total_laps, cast(rank as int) as rank, compound, optimal_lap,
- greatest(current_lap + 1, optimal_lap - 2) as window_start, least(total_laps - 5, optimal_lap + 2) as window_end,
+ cast(greatest(current_lap + 1, optimal_lap - 2) as int) as window_start,
+ cast(least(total_laps - 5, optimal_lap + 2) as int) as window_end,
  round(estimated_total_time, 6) as estimated_total_time,
  round((total_laps - current_lap) / 2 * coalesce(""" + RT.format(c="current_tire_compound").replace("0.02", "0.25") + \
     """, 0.25) - (total_laps - current_lap) / 2 * """ + RT.format(c="compound").replace("0.02", "0.25") + """, 6) as tire_advantage,
@@ -430,7 +431,7 @@ def q_degradation_curves(spark, sf):
 
 
 SQL["degradation_curves"] = L + """, p as (select distinct circuit, compound from laps where compound in ('SOFT', 'MEDIUM', 'HARD'))
-select circuit, compound, a.age as tire_age, round(90.0::double + a.age * """ + RT.format(c="compound") + """, 6) as lap_time,
+select circuit, compound, cast(a.age as int) as tire_age, round(90.0::double + a.age * """ + RT.format(c="compound") + """, 6) as lap_time,
  round(90.0::double + a.age * """ + RT.format(c="compound") + """ - 90.0, 6) as degradation
 from p, generate_series(1, 30) a(age)"""
 
@@ -443,5 +444,5 @@ def q_lap_time_grid(spark, sf):
 
 
 SQL["lap_time_grid"] = L + """, p as (select distinct circuit, compound from laps where compound in ('SOFT', 'MEDIUM', 'HARD'))
-select circuit, compound, a.age as tire_age, round(""" + BASE.format(c="circuit") + " + " + MOD.format(c="compound") + \
+select circuit, compound, cast(a.age as int) as tire_age, round(""" + BASE.format(c="circuit") + " + " + MOD.format(c="compound") + \
     " + a.age * " + RATE2.format(c="compound") + """, 6) as lap_time from p, generate_series(1, 30) a(age)"""

@@ -291,6 +291,6 @@ select circuit, count(*) as n, round(1 - sum((y - p) * (y - p)) / (var_pop(y) *
 
 SQL["plans_json_roundtrip"] = w(tv.LAPS_CTE, tv.RACES_CTE) + ", " + __import__(
     "lapstats.catalog_plans", fromlist=["GRID26"]).GRID26 + """ select year, circuit, option_idx,
- to_json({'pit_stops': case when stops = 1 then [cast(l1 as int)] else [cast(l1 as int), cast(l2 as int)] end,
-  'compounds': case when stops = 1 then [c1, c2] else [c1, c2, c3] end, 'type': plan_type}) as plan_json,
+ cast(to_json({'pit_stops': case when stops = 1 then [cast(l1 as int)] else [cast(l1 as int), cast(l2 as int)] end,
+  'compounds': case when stops = 1 then [c1, c2] else [c1, c2, c3] end, 'type': plan_type}) as varchar) as plan_json,
  true as roundtrip_ok from grid"""

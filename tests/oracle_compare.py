@@ -80,6 +80,13 @@ def compare(spark, con, name, fn, sql, sf_dir):
     res["duck_rows"] = len(d_rows)
     sc, sr = rows_of(s_cols, s_rows)
     dc, dr = rows_of(d_cols, d_rows)
+    st = dict(sdf.dtypes)
+    dt = {d[0]: str(d[1]) for d in cur.description}
+    kinds = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+             "smallint": "SMALLINT", "float": "FLOAT"}
+    bad_types = {c: (st[c], dt.get(c)) for c in st if kinds.get(st[c], st[c]) != dt.get(c, "").upper()}
+    if bad_types:
+        res["types"] = bad_types
     if sc != dc:
         res["status"] = f"columns differ: spark={sc} duck={dc}"
     elif len(sr) != len(dr):
