@@ -236,6 +236,12 @@ def q_common_tyre_changes(spark, sf):
     return stats.common_tyre_changes(pits(spark, sf))
 
 
+@query
+def q_top_tyre_changes(spark, sf):
+    """The top-10 report of A5 (ties broken by the compound pair)."""
+    return stats.common_tyre_changes(pits(spark, sf), n=10)
+
+
 @query
 def q_historical_performance(spark, sf):
     return stats.historical_performance(laps(spark, sf))

@@ -133,11 +133,18 @@ select rk.year, rk.circuit, cast(rank as int) as rank, rank = 1 as is_recommende
    || ' pit stop(s)' as description, evaluated, 'medium' as overall_risk, 0.75::double as probability_of_success,
  '8-12' as position_range, 0.78::double as success_probability
 from rk left join h on rk.circuit = h.circuit where rank <= 4"""
-SQL["rank_plans"] = SQL["optimize_plans"]
-SQL["evaluation_confidence"] = SQL["optimize_plans"]
-SQL["plan_score_text"] = SQL["optimize_plans"]
-for _k in ("rank_plans", "evaluation_confidence", "plan_score_text"):
-    QUERIES[_k] = q_optimize_plans
+
+
+def _projection(parent: str, name: str, cols: list[str]) -> None:
+    """Register ``name`` as the ``cols`` view of ``parent`` (its own check on those columns)."""
+    base = QUERIES[parent]
+    QUERIES[name] = lambda spark, sf: base(spark, sf).select(*cols)
+    SQL[name] = f"select {', '.join(cols)} from ({SQL[parent]})"
+
+
+_projection("optimize_plans", "rank_plans", ["year", "circuit", "rank", "plan_key", "strategy_score"])
+_projection("optimize_plans", "evaluation_confidence", ["year", "circuit", "rank", "confidence"])
+_projection("optimize_plans", "plan_score_text", ["year", "circuit", "rank", "strategy_score", "description"])
 
 
 # --- G4 / A16 / G5 -----------------------------------------------------------
@@ -417,9 +424,9 @@ select state_id, rank, sc_lap, pit_laps,
    then 'Consider advancing pit stop to safety car period'
   else 'Consider delaying pit stop if safety car extends' end as recommended_change
 from j"""
-for _k in ("incident_join", "incident_benefit", "incident_recommendation"):
-    SQL[_k] = SQL["assess_incidents"]
-    QUERIES[_k] = q_assess_incidents
+_projection("assess_incidents", "incident_join", ["state_id", "rank", "sc_lap", "pit_laps"])
+_projection("assess_incidents", "incident_benefit", ["state_id", "rank", "safety_car_benefit"])
+_projection("assess_incidents", "incident_recommendation", ["state_id", "rank", "recommended_change"])
 
 
 # --- G12 ---------------------------------------------------------------------

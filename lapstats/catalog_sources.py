@@ -85,6 +85,42 @@ SQL["append_laps"] = w(tv.LAPS_CTE, VALID) + """select year, circuit, 2 * count(
  count(*) as rows_idempotent from valid group by 1, 2"""
 
 
+@query
+def q_append_pits(spark, sf):
+    """S4 for pit stops: two plain appends double the rows, idempotent appends do not."""
+    p = panel.detect_pit_stops(laps(spark, sf))
+    a, b = S.scratch_path(spark, "pits_append"), S.scratch_path(spark, "pits_idem")
+    for _ in range(2):
+        S.append_table(p, a)
+        S.append_table(p, b, idempotent=True)
+    ra = spark.read.parquet(a).groupBy("year", "circuit").agg(F.count(F.lit(1)).alias("rows_append"))
+    rb = spark.read.parquet(b).groupBy("year", "circuit").agg(F.count(F.lit(1)).alias("rows_idempotent"))
+    return ra.join(rb, ["year", "circuit"], "full")
+
+
+SQL["append_pits"] = L + """, p as (select year, circuit from (select year, circuit, compound, lag(compound) over w as pc,
+ lag(tyre_life) over w as pt, lag(lap_number) over w as ps, tyre_life as t from laps
+ window w as (partition by year, circuit, driver order by lap_number, lap_id))
+ where ps is not null and (compound is distinct from pc or coalesce(t < pt, false)))
+select year, circuit, 2 * count(*) as rows_append, count(*) as rows_idempotent from p group by 1, 2"""
+
+
+@query
+def q_stream_ingest_race_laps(spark, sf):
+    """S1 as a stream: raw lap files land partitioned by year/circuit, the stream runs
+    to completion (availableNow) into the race table, which is read back."""
+    from .streaming.ingest import start_race_laps_ingest
+    landing, table = S.scratch_path(spark, "landing"), S.scratch_path(spark, "race_stream")
+    raw_laps(spark, sf).write.partitionBy("year", "circuit").parquet(landing)
+    q = start_race_laps_ingest(spark, landing, table, S.scratch_path(spark, "stream_ckpt"), trigger_once=True)
+    q.awaitTermination()
+    return spark.read.parquet(table).select("year", "circuit", "driver", "lap_number", "lap_time", "tire_compound",
+                                            "tire_age", "track_status", "position", "gap_to_leader")
+
+
+SQL["stream_ingest_race_laps"] = SQL["ingest_race_laps"]
+
+
 def _stored(spark, sf):
     race = S.ingest_race_laps(raw_laps(spark, sf))
     path = S.scratch_path(spark, "race_data")

@@ -180,6 +180,9 @@ from (select cast(case when (hi - lo) / 20 = 0 then 0 else least(floor((pit_lap
 SQL["common_tyre_changes"] = w(LAPS_CTE, PITS) + """select tire_compound_out, tire_compound_in,
  count(*) as changes from pits group by 1, 2 order by changes desc, tire_compound_out nulls first,
  tire_compound_in nulls first limit 10"""
+SQL["top_tyre_changes"] = w(LAPS_CTE, PITS) + """select tire_compound_out, tire_compound_in,
+ count(*) as changes from pits group by 1, 2 order by changes desc, tire_compound_out nulls first,
+ tire_compound_in nulls first limit 10"""
 SQL["historical_performance"] = L + """, per as (select circuit, compound, round(avg(lap_time), 6) as average_lap_time,
  count(*) as compound_laps from laps group by 1, 2),
 tot as (select circuit, count(*) as data_points from laps group by 1)
