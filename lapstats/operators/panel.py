@@ -155,11 +155,17 @@ def stint_length(df: DataFrame, keys: Sequence[str] = PANEL, compound: str = "ti
 
 
 # W5 -------------------------------------------------------------------------
+def session_lap_means(df: DataFrame, by: Sequence[str] = (*SESSION, "lap_number"),
+                      col: str = "lap_time") -> DataFrame:
+    return df.groupBy(*by).agg(F.avg(col).alias("_session_avg"))
+
+
 def relative_performance(df: DataFrame, by: Sequence[str] = (*SESSION, "lap_number"),
-                         col: str = "lap_time") -> DataFrame:
+                         col: str = "lap_time", means: DataFrame | None = None) -> DataFrame:
     """value / mean(value) of the same session lap; the mean table is an aggregate
-    joined back (one row per session lap) rather than a window over the session."""
-    m = df.groupBy(*by).agg(F.avg(col).alias("_session_avg"))
+    joined back (one row per session lap) rather than a window over the session.
+    ``means`` may be computed earlier from the same rows (``session_lap_means``)."""
+    m = means if means is not None else session_lap_means(df, by, col)
     return (df.join(m, list(by), "left")
               .withColumn("relative_performance", F.col(col) / F.col("_session_avg"))
               .drop("_session_avg"))
@@ -222,11 +228,10 @@ def fit_label_mappings(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     All columns share one distributed global running count over their distinct
     values (ordered by column, then value), so a high-cardinality column never lands
     in one task; each column's codes start at its own first position."""
-    d = None
-    for c in cols:
-        x = df.select(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) \
-              .where(F.col("value").isNotNull()).distinct()
-        d = x if d is None else d.unionByName(x)
+    # one pass over the input: every (column, value) pair, then distinct
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
+                                for c in cols])).alias("_p")
+    d = df.select(pairs).select("_p.*").where(F.col("value").isNotNull()).distinct()
     r = global_prefix(d, ["column_name", "value"], out="_pos")
     first = r.groupBy("column_name").agg(F.min("_pos").alias("_first"))
     return r.join(F.broadcast(first), "column_name").select(
@@ -291,6 +296,9 @@ def engineer_features(laps: DataFrame, pits: DataFrame | None = None,
         # fitted on the input: feature steps below keep every input row
         fitted = fit_label_mappings(laps, [c for c, _ in enc if c not in mappings])
     windows = use_windows(laps, force)
+    # session-lap means come from the input rows (the feature steps keep every row), so
+    # the aggregate does not re-run the window chain
+    means = session_lap_means(laps)
     df = default_position_gap(laps)
     if not windows:
         df = with_seq_index(df, keys, seq, tie)
@@ -300,7 +308,7 @@ def engineer_features(laps: DataFrame, pits: DataFrame | None = None,
     df = position_change(df, keys, seq, tie, force=f)
     df = rolling_mean(df, 3, "lap_time", "rolling_avg_lap_time_3", keys, seq, tie, include_current, force=f)
     df = rolling_mean(df, 5, "lap_time", "rolling_avg_lap_time_5", keys, seq, tie, include_current, force=f)
-    df = relative_performance(df)
+    df = relative_performance(df, means=means)
     df = laps_since_pit(df, pits, keys, seq, tie=tie, force=f)
     if "_rn" in df.columns:
         df = df.drop("_rn")
