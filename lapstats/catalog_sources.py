@@ -121,13 +121,6 @@ def q_stream_ingest_race_laps(spark, sf):
 SQL["stream_ingest_race_laps"] = SQL["ingest_race_laps"]
 
 
-def _stored(spark, sf):
-    race = S.ingest_race_laps(raw_laps(spark, sf))
-    path = S.scratch_path(spark, "race_data")
-    S.append_table(race, path)
-    return path
-
-
 @query
 def q_load_combined(spark, sf):
     l = laps(spark, sf)

@@ -77,6 +77,29 @@ def rolling_join(df: DataFrame, col: str, n: int, out: str, keys: Sequence[str]
     return df.join(m, [*keys, "_rn"], "left")
 
 
+def sequence_features(df: DataFrame, keys: Sequence[str] = PANEL, include_current: bool = True) -> DataFrame:
+    """W2 + both W3 means from ONE keyed aggregate (distributed path of W9).
+
+    Each row is copied to the row positions whose frames contain it (offsets 0..4, or
+    1..5 without the current row; offset 1 also carries the previous position), the
+    copies are aggregated per (keys, position) and joined back: one shuffle instead
+    of a lag join plus two rolling joins. Needs ``_rn`` (``with_seq_index``)."""
+    offs = list(range(0, 5)) if include_current else list(range(1, 6))
+    f3 = offs[:3]
+    js = sorted(set(offs) | {1})
+    dup = df.select(*keys, "lap_time", "position", F.explode(F.array(*[
+        F.struct(F.lit(j).alias("j"), (F.col("_rn") + j).alias("_rn")) for j in js])).alias("_d"))
+    dup = dup.select(*keys, "lap_time", "position", "_d.j", "_d._rn")
+    in5 = F.col("j").isin(offs)
+    agg = dup.groupBy(*keys, "_rn").agg(
+        F.avg(F.when(F.col("j").isin(f3), F.col("lap_time"))).alias("rolling_avg_lap_time_3"),
+        F.avg(F.when(in5, F.col("lap_time"))).alias("rolling_avg_lap_time_5"),
+        F.max(F.when(F.col("j") == 1, F.col("position"))).alias("_prev_position"))
+    out = df.join(agg, [*keys, "_rn"], "left")
+    return out.withColumn("position_change", F.coalesce(F.col("position") - F.col("_prev_position"), F.lit(0.0))) \
+              .drop("_prev_position")
+
+
 # W1 -------------------------------------------------------------------------
 def detect_pit_stops(laps: DataFrame, keys: Sequence[str] = PANEL, seq: str = "lap_number",
                      compound: str = "compound", life: str = "tyre_life",
@@ -305,9 +328,12 @@ def engineer_features(laps: DataFrame, pits: DataFrame | None = None,
     f = "window" if windows else "distributed"
     df = predicted_degradation(df)
     df = stint_length(df, keys, force=f)
-    df = position_change(df, keys, seq, tie, force=f)
-    df = rolling_mean(df, 3, "lap_time", "rolling_avg_lap_time_3", keys, seq, tie, include_current, force=f)
-    df = rolling_mean(df, 5, "lap_time", "rolling_avg_lap_time_5", keys, seq, tie, include_current, force=f)
+    if windows:
+        df = position_change(df, keys, seq, tie, force=f)
+        df = rolling_mean(df, 3, "lap_time", "rolling_avg_lap_time_3", keys, seq, tie, include_current, force=f)
+        df = rolling_mean(df, 5, "lap_time", "rolling_avg_lap_time_5", keys, seq, tie, include_current, force=f)
+    else:
+        df = sequence_features(df, keys, include_current)
     df = relative_performance(df, means=means)
     df = laps_since_pit(df, pits, keys, seq, tie=tie, force=f)
     if "_rn" in df.columns:

@@ -2,6 +2,7 @@
 by setting the small-input threshold to 0, must give the oracle's answers too."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from lapstats.operators.sizing import SMALL_CONF
@@ -35,3 +36,18 @@ def test_distributed_plan_has_no_single_group_window(spark, distributed):
     """With the distributed form, the panel lag is a join on (keys, row index)."""
     p = E.queries()["detect_pit_stops"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "lag(" not in p
+
+
+@pytest.mark.parametrize("include_current", [True, False])
+def test_sequence_features_match_windows(spark, include_current):
+    from lapstats import testview
+    from lapstats.operators import clean, panel
+    base = clean.normalise_columns(clean.remove_invalid_laps(testview.laps(spark, SF)))
+    base = base.withColumn("position", F.coalesce("position", F.lit(20.0)))
+    cols = ["lap_id", "position_change", "rolling_avg_lap_time_3", "rolling_avg_lap_time_5"]
+    w = panel.position_change(base, force="window")
+    w = panel.rolling_mean(w, 3, out="rolling_avg_lap_time_3", include_current=include_current, force="window")
+    w = panel.rolling_mean(w, 5, out="rolling_avg_lap_time_5", include_current=include_current, force="window")
+    d = panel.sequence_features(panel.with_seq_index(base, force="distributed"), include_current=include_current)
+    norm = lambda df: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.select(*cols).collect())
+    assert norm(w) == norm(d)
