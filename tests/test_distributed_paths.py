@@ -51,3 +51,19 @@ def test_sequence_features_match_windows(spark, include_current):
     d = panel.sequence_features(panel.with_seq_index(base, force="distributed"), include_current=include_current)
     norm = lambda df: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.select(*cols).collect())
     assert norm(w) == norm(d)
+
+
+def test_hot_group_spans_partitions_and_stays_exact(spark):
+    """One group holds a third of the rows: the distributed row index must still be
+    exact, and the hot group's rows must be spread over several range partitions."""
+    from lapstats.operators.ordering import row_index
+    n = 30000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(
+        F.concat(F.lit("g"), (F.col("id") % 997).cast("string"))).alias("g"),
+        ((F.col("id") * 7919) % n).alias("o"))
+    got = row_index(df, ["g"], ["o"], force="distributed")
+    w = row_index(df, ["g"], ["o"], force="window")
+    assert sorted(got.select("g", "o", "_rn").collect()) == sorted(w.select("g", "o", "_rn").collect())
+    spread = (df.repartitionByRange(8, "g", "o").where(F.col("g") == "HOT")
+                .select(F.spark_partition_id().alias("p")).distinct().count())
+    assert spread >= 3
