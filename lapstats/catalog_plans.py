@@ -453,3 +453,39 @@ def q_lap_time_grid(spark, sf):
 SQL["lap_time_grid"] = L + """, p as (select distinct circuit, compound from laps where compound in ('SOFT', 'MEDIUM', 'HARD'))
 select circuit, compound, cast(a.age as int) as tire_age, round(""" + BASE.format(c="circuit") + " + " + MOD.format(c="compound") + \
     " + a.age * " + RATE2.format(c="compound") + """, 6) as lap_time from p, generate_series(1, 30) a(age)"""
+
+
+# --- G6 with a fitted lap model (prefix-sum lap-cost table) ------------------
+@query
+def q_optimal_pit_lap_model(spark, sf):
+    """G6 where lap times come from the per-(circuit, compound) linear baseline (M8),
+    evaluated through the cumulative lap-cost table (SURVEY §4.3)."""
+    from .operators.model import linear_degradation
+    from .plans import lapmodel as LM
+    l = laps(spark, sf)
+    st = tv.states(l)
+    cum = LM.cumulative_lap_table(LM.linear_lap_times(linear_degradation(l), LM.age_bound(st)))
+    return _round(LM.optimal_pit_lap_with(st, cum), ["estimated_total_time"])
+
+
+SQL["optimal_pit_lap_model"] = ST + """, fit as (select circuit, compound, regr_slope(lap_time, tyre_life) as s,
+ regr_intercept(lap_time, tyre_life) as i from laps where lap_time is not null and tyre_life is not null group by 1, 2),
+mx as (select max(current_tire_age) + max(total_laps) + 1 as m from states),
+lt as (select circuit, compound, a.age as tire_age, i + s * a.age as lap_time from fit, mx, generate_series(0, mx.m) a(age)),
+cm as (select circuit, compound, tire_age, coalesce(sum(lap_time) over (partition by circuit, compound order by tire_age
+ rows between unbounded preceding and 1 preceding), 0.0) as c from lt
+ union all select circuit, compound, max(tire_age) + 1, sum(lap_time) from lt group by 1, 2),
+arr as (select circuit, compound, list(c order by tire_age) as cum from cm group by 1, 2),
+sc as (select s.*, c.compound, c.compound_idx from states s,
+ (values (0, 'SOFT'), (1, 'MEDIUM'), (2, 'HARD')) c(compound_idx, compound) where c.compound <> s.current_tire_compound),
+cand as (select sc.state_id, sc.compound, g.p as candidate,
+ (ac.cum[sc.current_tire_age + (g.p - sc.current_lap) + 1] - ac.cum[sc.current_tire_age + 1]) + 25.0
+ + (an.cum[1 + (sc.total_laps - g.p) + 1] - an.cum[1 + 1]) as cost
+ from sc join arr ac on ac.circuit = sc.circuit and ac.compound = sc.current_tire_compound
+ join arr an on an.circuit = sc.circuit and an.compound = sc.compound,
+ generate_series(sc.current_lap + 1, least(sc.total_laps - 5, sc.current_lap + 16) - 1) g(p)),
+best as (select * from (select *, row_number() over (partition by state_id, compound order by round(cost, 9), candidate)
+ as rn from cand where cost is not null) where rn = 1)
+select sc.state_id, sc.current_lap, sc.total_laps, sc.compound_idx, sc.compound,
+ cast(coalesce(b.candidate, sc.current_lap + 1) as int) as optimal_lap, round(b.cost, 6) as estimated_total_time
+from sc left join best b on sc.state_id = b.state_id and sc.compound = b.compound"""

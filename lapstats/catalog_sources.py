@@ -272,6 +272,17 @@ def q_quality_gate(spark, sf):
     return M.quality_gate(M.evaluate_model(m, split.where(F.col("is_test"))))
 
 
+@query
+def q_optimal_pit_lap_forest(spark, sf):
+    """G6 planned with the fitted forest: scored once on the (circuit, compound, age)
+    grid, turned into the cumulative lap-cost table, joined to every state."""
+    from .plans import lapmodel as LM
+    m, split = fitted(spark, sf)
+    st = tv.states(laps(spark, sf))
+    cum = LM.cumulative_lap_table(M.forest_lap_times(m, split, LM.age_bound(st)))
+    return _round(LM.optimal_pit_lap_with(st, cum), ["estimated_total_time"])
+
+
 @query
 def q_train_pipeline(spark, sf):
     l = laps(spark, sf)

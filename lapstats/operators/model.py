@@ -108,17 +108,36 @@ def score_condition_grid(model: DegradationModel, features_df: DataFrame,
     performance 1, stint length and laps since pit = age); rolling means use the
     circuit/compound mean lap time instead of 0, and the compound is encoded with the
     fitted codes (D4)."""
-    g = features_df.groupBy("circuit", "circuit_encoded", "tire_compound", "tire_compound_encoded").agg(
-        F.avg(TARGET).alias("_mean_lap"))
+    g = _condition_groups(features_df)
     g = g.select("*", F.explode(F.array(*[F.lit(a) for a in ages])).alias("tire_age"))
-    grid = g.select(
+    grid = _grid_features(g)
+    return score_laps(model, grid)
+
+
+def _condition_groups(features_df: DataFrame) -> DataFrame:
+    """One row per (circuit, compound) seen, with its codes and mean lap time."""
+    return features_df.groupBy("circuit", "circuit_encoded", "tire_compound", "tire_compound_encoded").agg(
+        F.avg(TARGET).alias("_mean_lap"))
+
+
+def _grid_features(g: DataFrame) -> DataFrame:
+    return g.select(
         "circuit", "tire_compound", "tire_age", "tire_compound_encoded", "circuit_encoded",
         F.lit(0).alias("driver_encoded"), F.col("tire_age").alias("lap_number"), F.lit(10.0).alias("position"),
         F.lit(5.0).alias("gap_to_leader"), dims.rate_expr(F.col("tire_compound")).alias("tire_degradation_rate"),
         F.col("tire_age").alias("stint_length"), F.col("tire_age").alias("laps_since_pit"),
         F.col("_mean_lap").alias("rolling_avg_lap_time_3"), F.col("_mean_lap").alias("rolling_avg_lap_time_5"),
         F.lit(0.0).alias("position_change"), F.lit(1.0).alias("relative_performance"))
-    return score_laps(model, grid)
+
+
+def forest_lap_times(model: DegradationModel, features_df: DataFrame, max_age: DataFrame) -> DataFrame:
+    """Lap-time table (circuit, compound, tire_age, lap_time) for ages 0..max_age: the
+    forest scored once on the (circuit, compound, age) grid, for the planners."""
+    g = _condition_groups(features_df).crossJoin(F.broadcast(max_age))
+    g = g.select("*", F.explode(F.sequence(F.lit(0), F.col("max_age").cast("int"))).alias("tire_age"))
+    scored = score_laps(model, _grid_features(g))
+    return scored.select("circuit", F.col("tire_compound").alias("compound"), "tire_age",
+                         F.col("prediction").alias("lap_time"))
 
 
 # M7 -------------------------------------------------------------------------

@@ -142,3 +142,22 @@ def test_clean_driver_name(spark):
     df = spark.createDataFrame([("  max ver ",), ("",), (None,), ("o'brien-ham",)], "n string")
     got = [r[0] for r in df.select(X.clean_driver_name("n")).collect()]
     assert got == ["Max VER", "Unknown", "Unknown", "O'Brien-HAM"]
+
+
+def test_prefix_sum_planner_matches_closed_form(spark):
+    """The lap-cost-table planner, fed the F23 lap model, must pick the same laps and
+    costs as the closed-form (vertex) planner."""
+    from lapstats import testview
+    from lapstats.dims import COMPOUNDS
+    from lapstats.plans import lapmodel as LM, state as S
+    st = testview.states(testview.laps(spark, "/root/testdata/sf0.001"))
+    comps = spark.createDataFrame([(c,) for c in COMPOUNDS], "compound string")
+    grid = st.select("circuit").distinct().crossJoin(comps).crossJoin(LM.age_bound(st)) \
+        .select("circuit", "compound", F.explode(F.sequence(F.lit(0), F.col("max_age").cast("int"))).alias("tire_age"))
+    lt = grid.withColumn("lap_time", X.baseline_lap_time("circuit", "compound", "tire_age"))
+    a = LM.optimal_pit_lap_with(st, LM.cumulative_lap_table(lt))
+    b = S.optimal_pit_lap(st)
+    norm = lambda df: sorted((r.state_id, r.compound, r.optimal_lap,
+                              None if r.estimated_total_time is None else round(r.estimated_total_time, 6))
+                             for r in df.collect())
+    assert norm(a) == norm(b)
