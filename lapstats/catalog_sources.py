@@ -283,6 +283,20 @@ def q_optimal_pit_lap_forest(spark, sf):
     return _round(LM.optimal_pit_lap_with(st, cum), ["estimated_total_time"])
 
 
+@query
+def q_recommend_plans_forest(spark, sf):
+    """G9 with lap times from the fitted forest (via the cumulative lap-cost table)."""
+    from .plans import lapmodel as LM
+    from .plans import state as PS
+    m, split = fitted(spark, sf)
+    st = tv.states(laps(spark, sf))
+    cum = LM.cumulative_lap_table(M.forest_lap_times(m, split, LM.age_bound(st)))
+    r = PS.recommend_plans(st, cum_table=cum)
+    return _round(r.select("state_id", "rank", "plan_kind", F.array_join(F.transform("pit_laps", lambda x: x.cast(
+        "string")), ",").alias("pit_laps"), "total_time", "confidence_score", "risk_level"),
+        ["total_time", "confidence_score"])
+
+
 @query
 def q_train_pipeline(spark, sf):
     l = laps(spark, sf)

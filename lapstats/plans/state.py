@@ -183,24 +183,36 @@ def _stop_plan(idx: int, pits: Column, comps: Column, kind: str) -> Column:
                     F.lit(kind).alias("plan_kind"))
 
 
-def recommend_plans(states: DataFrame, n: int = 5) -> DataFrame:
+def recommend_plans(states: DataFrame, n: int = 5, cum_table: DataFrame | None = None) -> DataFrame:
     """Up to five plans per state (best window; MEDIUM at mid-distance; SOFT 15 from the
     end if still ahead; two-stop MEDIUM then SOFT when > 25 laps remain; no stop when
     the tyre lasts), each with C2 time, confidence (F16) and risk (F17); ranked by
     time (ties keep that order), first ``n`` kept. Positions are not simulated.
 
     Each option's C2 time is a closed form over its (at most three) stints, computed
-    in plain projections; the ranking sorts a five-element array inside the row."""
+    in plain projections; the ranking sorts a five-element array inside the row.
+    With ``cum_table`` (``lapmodel.cumulative_lap_table``) lap times come from that
+    fitted lap model instead of F23."""
+    from . import lapmodel as LM
     cur, t, age = F.col("current_lap"), F.col("total_laps"), F.col("current_tire_age")
-    s = _prep(states).withColumn("_best", F.get(_sorted_windows(states), 0))
+    if cum_table is None:
+        s = _prep(states).withColumn("_best", F.get(_sorted_windows(states), 0))
+        bmc, rc = F.col("_bmc"), F.col("_rc")
+        st_cur = lambda m: _stint(bmc, rc, m, age)
+
+        def st_new(comp, m):
+            c = F.lit(comp) if isinstance(comp, str) else comp
+            return _stint(F.col("_B") + _mod(c), _rate2(c), m, F.lit(0))
+    else:
+        s = LM.with_lap_table(states, cum_table).withColumn("_best", F.get(LM.sorted_windows_expr(), 0))
+        cc = F.try_element_at(F.col("cums"), F.col("current_tire_compound"))
+        st_cur = lambda m: LM.stint_from_table(cc, m, age)
+
+        def st_new(comp, m):
+            c = F.lit(comp) if isinstance(comp, str) else comp
+            return LM.stint_from_table(F.try_element_at(F.col("cums"), c), m, F.lit(0))
     s = s.withColumns({"_bl": F.col("_best.optimal_lap"), "_bc": F.col("_best.compound"),
                        "_mid": cur + F.floor((t - cur) / 2).cast("int")})
-    bmc, rc = F.col("_bmc"), F.col("_rc")
-    st_cur = lambda m: _stint(bmc, rc, m, age)
-
-    def st_new(comp, m):
-        c = F.lit(comp) if isinstance(comp, str) else comp
-        return _stint(F.col("_B") + _mod(c), _rate2(c), m, F.lit(0))
 
     pen = dims.PIT_STOP_PENALTY
     no_stop = (F.lit(0.0) + st_cur(t + 1 - cur)) + 0 * pen

@@ -161,3 +161,16 @@ def test_prefix_sum_planner_matches_closed_form(spark):
                               None if r.estimated_total_time is None else round(r.estimated_total_time, 6))
                              for r in df.collect())
     assert norm(a) == norm(b)
+
+
+def test_recommend_with_lap_table_matches_closed_form(spark):
+    from lapstats import testview
+    from lapstats.dims import COMPOUNDS
+    from lapstats.plans import lapmodel as LM, state as S
+    st = testview.states(testview.laps(spark, "/root/testdata/sf0.001"))
+    comps = spark.createDataFrame([(c,) for c in COMPOUNDS], "compound string")
+    grid = st.select("circuit").distinct().crossJoin(comps).crossJoin(LM.age_bound(st)) \
+        .select("circuit", "compound", F.explode(F.sequence(F.lit(0), F.col("max_age").cast("int"))).alias("tire_age"))
+    cum = LM.cumulative_lap_table(grid.withColumn("lap_time", X.baseline_lap_time("circuit", "compound", "tire_age")))
+    norm = lambda df: sorted((r.state_id, r.rank, r.plan_kind, round(r.total_time, 6)) for r in df.collect())
+    assert norm(S.recommend_plans(st, cum_table=cum)) == norm(S.recommend_plans(st))
