@@ -131,7 +131,7 @@ select rk.year, rk.circuit, cast(rank as int) as rank, rank = 1 as is_recommende
    + least(0.1::double, coalesce(h.history_rows, 0) / 1000))), 6) as confidence,
  case plan_type when 'single_stop' then 'Single Stop' else 'Two Stop' end || ' strategy with ' || cast(stops as varchar)
    || ' pit stop(s)' as description, evaluated, 'medium' as overall_risk, 0.75::double as probability_of_success,
- '8-12' as position_range, 0.78::double as success_probability
+ '8-12' as position_range, 0.78::double as success_probability, false as weather_impact
 from rk left join h on rk.circuit = h.circuit where rank <= 4"""
 
 

@@ -138,10 +138,11 @@ def evaluate_plans(plans: DataFrame, convention: str = "full", base_col: str | N
 
 # G3 / T5 --------------------------------------------------------------------
 def optimize_plans(races: DataFrame, history: DataFrame | None = None, convention: str = "full",
-                   top: int = 4) -> DataFrame:
+                   top: int = 4, weather_conditions: dict | None = None) -> DataFrame:
     """Per race: all options (singles listed twice) costed, ranked by score (ties keep
     generation order); the best plus the next ``top-1`` with confidence (F20) and
-    description (F21). ``history`` (laps) gives the data-availability bonus per circuit."""
+    description (F21). ``history`` (laps) gives the data-availability bonus per circuit.
+    Weather conditions only set ``weather_impact`` (their presence), as in the reference."""
     p = evaluate_plans(plan_grid(races, repeat_singles=True), convention)
     # scores compared at 1e-9 so that float noise cannot reorder mathematically equal plans
     w = Window.partitionBy(*RACE).orderBy(F.desc(F.round("strategy_score", 9)), "option_idx")
@@ -159,7 +160,8 @@ def optimize_plans(races: DataFrame, history: DataFrame | None = None, conventio
         X.evaluation_confidence("safety_car_risk", "track_position_risk", "history_rows").alias("confidence"),
         X.plan_description("plan_type", F.size("pit_laps")).alias("description"), "evaluated",
         F.lit("medium").alias("overall_risk"), F.lit(0.75).alias("probability_of_success"),
-        F.lit("8-12").alias("position_range"), F.lit(0.78).alias("success_probability"))
+        F.lit("8-12").alias("position_range"), F.lit(0.78).alias("success_probability"),
+        F.lit(weather_conditions is not None).alias("weather_impact"))
 
 
 # G4 -------------------------------------------------------------------------

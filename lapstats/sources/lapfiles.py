@@ -34,6 +34,10 @@ RAW_SCHEMA = T.StructType([
 
 PLAN_JSON_SCHEMA = "pit_stops array<int>, compounds array<string>, type string"
 
+# landing directories are partitioned year=/circuit=; the schema is declared, never inferred
+LANDING_SCHEMA = T.StructType(RAW_SCHEMA.fields + [T.StructField("year", T.IntegerType()),
+                                                   T.StructField("circuit", T.StringType())])
+
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder (never a machine-local temp)."""
@@ -109,9 +113,10 @@ def ingest_all(spark: SparkSession, path: str, fmt: str = "parquet", schema=None
                years: Sequence[int] = dims.ANALYSIS_YEARS,
                circuits: Sequence[str] = tuple(dims.CIRCUITS)) -> tuple[DataFrame, DataFrame]:
     """All (year, circuit) units of a landing directory -> (race_data, report). The
-    report lists every expected unit with its row count and ok flag plus ok/total."""
+    report lists every expected unit with its row count and ok flag plus ok/total.
+    Unreadable files are skipped, so one broken unit does not fail the others."""
     from ..operators.stats import ingest_report
-    race = ingest_race_laps(read_landing(spark, path, fmt, schema))
+    race = ingest_race_laps(read_landing(spark, path, fmt, schema or LANDING_SCHEMA))
     return race, ingest_report(race, years, circuits)
 
 

@@ -12,19 +12,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.lapfiles import PARTITIONS, RAW_SCHEMA, ingest_race_laps
+from ..sources.lapfiles import LANDING_SCHEMA, PARTITIONS, ingest_race_laps
 
 
 def race_laps_stream(spark: SparkSession, landing: str, fmt: str = "parquet", schema=None,
                      max_files_per_trigger: int = 1000) -> DataFrame:
     """Streaming DataFrame of cleaned race laps from files arriving under ``landing``
     (partition folders ``year=/circuit=`` supply those columns)."""
-    from pyspark.sql import types as T
-    sch = schema
-    if sch is None:
-        sch = T.StructType(RAW_SCHEMA.fields + [T.StructField("year", T.IntegerType()),
-                                                T.StructField("circuit", T.StringType())])
-    raw = (spark.readStream.format(fmt).schema(sch).option("maxFilesPerTrigger", max_files_per_trigger)
+    raw = (spark.readStream.format(fmt).schema(schema or LANDING_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
            .load(landing))
     return ingest_race_laps(raw)
 

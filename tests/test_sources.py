@@ -111,3 +111,18 @@ def test_streaming_ingest_matches_batch(spark):
     q.awaitTermination()
     got = sorted((r.driver, r.lap_time) for r in spark.read.parquet(table).collect())
     assert got == [("HAM", 85.5), ("LEC", 100.0)]
+
+
+def test_ingest_all_skips_corrupt_files(spark):
+    raw = _raw(spark, "interval").withColumn("year", F.lit(2023)).withColumn("circuit", F.lit("monza"))
+    landing = S.scratch_path(spark, "t-corrupt")
+    raw.write.partitionBy("year", "circuit").parquet(landing)
+    bad_dir = os.path.join(landing, "year=2022", "circuit=spa")
+    os.makedirs(bad_dir)
+    with open(os.path.join(bad_dir, "part-broken.parquet"), "wb") as fh:
+        fh.write(b"not a parquet file")
+    race, report = S.ingest_all(spark, landing)
+    assert race.count() == 2
+    rows = {(r.year, r.circuit): (r.rows, r.ok) for r in report.collect()}
+    assert rows[(2023, "monza")] == (2, True) and rows[(2022, "spa")] == (0, False)
+    assert report.first().ok_units == 1 and report.first().total_units == 20
