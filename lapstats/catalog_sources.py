@@ -199,6 +199,22 @@ def q_plans_json_roundtrip(spark, sf):
     return j.select("year", "circuit", "option_idx", "plan_json", ok.alias("roundtrip_ok"))
 
 
+@query
+def q_plans_to_json(spark, sf):
+    g = R.plan_grid(tv.races(laps(spark, sf)))
+    return S.plans_to_json(g).select("year", "circuit", "option_idx", "plan_json")
+
+
+@query
+def q_plans_from_json(spark, sf):
+    docs = q_plans_to_json(spark, sf)
+    back = S.plans_from_json(docs)
+    return back.select("year", "circuit", "option_idx",
+                       F.array_join(F.transform("pit_laps_parsed", lambda x: x.cast("string")), ",").alias("pit_laps"),
+                       F.array_join("compounds_parsed", ",").alias("compounds"),
+                       F.col("plan_type_parsed").alias("plan_type"))
+
+
 # --- rows-only: sinks with timestamps, models --------------------------------
 @query
 def q_append_run_metrics(spark, sf):
@@ -304,6 +320,15 @@ def q_train_pipeline(spark, sf):
     return metrics
 
 
+@query
+def q_save_model(spark, sf):
+    """S12 save: pipeline + metadata written; the metadata document is read back."""
+    m, _ = fitted(spark, sf)
+    path = S.scratch_path(spark, "model")
+    M.save_model(m, path)
+    return spark.read.text(f"{path}/meta")
+
+
 @query
 def q_save_load_model(spark, sf):
     m, split = fitted(spark, sf)
@@ -316,6 +341,13 @@ def q_save_load_model(spark, sf):
                                       F.lit(M.load_model(path + "-missing") is None).alias("missing_is_none"))
 
 
+@query
+def q_load_model(spark, sf):
+    """S12 load: a saved model scores like the original; a missing path gives None."""
+    return q_save_load_model(spark, sf)
+
+
+
 # --- M8 + A14 (SQL-checkable baseline) ---------------------------------------
 @query
 def q_linear_degradation(spark, sf):
@@ -348,3 +380,13 @@ SQL["plans_json_roundtrip"] = w(tv.LAPS_CTE, tv.RACES_CTE) + ", " + __import__(
  cast(to_json({'pit_stops': case when stops = 1 then [cast(l1 as int)] else [cast(l1 as int), cast(l2 as int)] end,
   'compounds': case when stops = 1 then [c1, c2] else [c1, c2, c3] end, 'type': plan_type}) as varchar) as plan_json,
  true as roundtrip_ok from grid"""
+
+
+_gsql = __import__("lapstats.catalog_plans", fromlist=["GRID26"]).GRID26
+SQL["plans_to_json"] = w(tv.LAPS_CTE, tv.RACES_CTE) + ", " + _gsql + """ select year, circuit, option_idx,
+ cast(to_json({'pit_stops': case when stops = 1 then [cast(l1 as int)] else [cast(l1 as int), cast(l2 as int)] end,
+  'compounds': case when stops = 1 then [c1, c2] else [c1, c2, c3] end, 'type': plan_type}) as varchar) as plan_json
+ from grid"""
+SQL["plans_from_json"] = w(tv.LAPS_CTE, tv.RACES_CTE) + ", " + _gsql + """ select year, circuit, option_idx,
+ cast(l1 as varchar) || coalesce(',' || cast(l2 as varchar), '') as pit_laps,
+ c1 || ',' || c2 || coalesce(',' || c3, '') as compounds, plan_type from grid"""

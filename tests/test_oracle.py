@@ -10,7 +10,7 @@ from oracle_compare import compare, duck
 SF = "/root/testdata/sf0.001"
 MODEL_QUERIES = {"fit_degradation_model", "score_laps", "evaluate_model", "feature_importance", "top_features",
                  "model_summary", "score_condition_grid", "quality_gate", "train_pipeline", "save_load_model",
-                 "optimal_pit_lap_forest", "recommend_plans_forest"}
+                 "optimal_pit_lap_forest", "recommend_plans_forest", "save_model", "load_model"}
 NAMES = sorted(n for n in E.queries() if n not in MODEL_QUERIES)
 
 
