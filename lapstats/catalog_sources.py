@@ -222,7 +222,7 @@ def q_append_run_metrics(spark, sf):
     path = S.scratch_path(spark, "run_metrics")
     S.append_run_metrics(spark, {"rows": v["rows"], "mean_lap_time": v["mean"]}, path)
     S.append_run_metrics(spark, {"rows": v["rows"]}, path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).select("metric", F.round("value", 6).alias("value"))
 
 
 _MODELS: dict = {}
@@ -390,3 +390,17 @@ SQL["plans_to_json"] = w(tv.LAPS_CTE, tv.RACES_CTE) + ", " + _gsql + """ select
 SQL["plans_from_json"] = w(tv.LAPS_CTE, tv.RACES_CTE) + ", " + _gsql + """ select year, circuit, option_idx,
  cast(l1 as varchar) || coalesce(',' || cast(l2 as varchar), '') as pit_laps,
  c1 || ',' || c2 || coalesce(',' || c3, '') as compounds, plan_type from grid"""
+
+SQL["append_run_metrics"] = w(tv.LAPS_CTE, VALID) + """select 'rows' as metric, cast(count(*) as double) as value from valid
+ union all select 'mean_lap_time', round(avg(lap_time), 6) from valid
+ union all select 'rows', cast(count(*) as double) from valid"""
+
+
+@query
+def q_quality_gate_linear(spark, sf):
+    """M7 gates applied to the linear baseline's per-circuit metrics (SQL-checkable)."""
+    return M.quality_gate(q_regression_metrics(spark, sf))
+
+
+SQL["quality_gate_linear"] = "select *, coalesce(r2 < 0.75, true) as retrain, coalesce(r2 < 0.75, true) as warn_r2, " \
+    "coalesce(mae > 0.5, true) as warn_mae from (" + SQL["regression_metrics"] + ")"
