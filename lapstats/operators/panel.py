@@ -173,8 +173,23 @@ def stint_length(df: DataFrame, keys: Sequence[str] = PANEL, compound: str = "ti
     if use_windows(df, force):
         return df.withColumn("stint_length", F.max(age).over(Window.partitionBy(*keys, compound)))
     m = df.groupBy(*keys, F.col(compound).alias("_sc")).agg(F.max(age).alias("stint_length"))
-    cond = [df[k] == m[k] for k in keys] + [df[compound].eqNullSafe(m["_sc"])]
-    return df.join(m, cond, "left").drop(*[m[k] for k in keys]).drop("_sc")
+    return salted_left_join(df, m, list(keys), compound, "_sc")
+
+
+def salted_left_join(big: DataFrame, small: DataFrame, keys: Sequence[str], big_extra: str, small_extra: str,
+                     buckets: int = 16) -> DataFrame:
+    """Left join of a fact table to a one-row-per-key table where one key may hold a
+    large share of the facts: every fact row gets a deterministic salt (hash of the
+    row) and the small side is replicated once per salt, so a hot key is spread over
+    ``buckets`` tasks. ``big_extra``/``small_extra`` are joined null-safely."""
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(buckets)).cast("int")
+    b = big.withColumn("_salt", salt)
+    sm = small.crossJoin(F.broadcast(big.sparkSession.range(buckets).select(F.col("id").cast("int").alias("_salt"))))
+    sm = sm.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(small_extra).alias("_k_x"), "_salt",
+                   *[c for c in small.columns if c not in (*keys, small_extra)])
+    cond = [b[k] == sm[f"_k_{k}"] for k in keys] + [b[big_extra].eqNullSafe(sm["_k_x"]), b["_salt"] == sm["_salt"]]
+    out = b.join(sm, cond, "left")
+    return out.drop(*[f"_k_{k}" for k in keys], "_k_x", "_salt")
 
 
 # W5 -------------------------------------------------------------------------
