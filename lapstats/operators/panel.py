@@ -1,11 +1,20 @@
 """Panel (session x entity x sequence) operators: W1-W9, J1, P10-P13.
 
-Sequence windows are partitioned by the panel key (default ``year, circuit,
-driver``): one car's laps in one race, a group bounded by race length. W1, W2, W3
-and J1 share that partitioning, and W4's key is a superset of it, so Spark plans a
-single exchange for all of them. Anything keyed by a *session* or a *circuit*
-(W5, the gap median, label codes, the split) is an aggregate joined back, never a
-window over a large group.
+Two execution forms, chosen per call by a plan-size check (``sizing.is_small``,
+overridable with ``force``):
+
+* window form (inputs under the small-input threshold): ordinary windows
+  partitioned by the panel key (``year, circuit, driver``); W1, W2, W3 and J1 share
+  that partitioning and W4's key is a superset of it, so one exchange serves them;
+* distributed form (everything larger): a distributed row index per panel group
+  (``ordering.row_index``: range partitions on group + order), then ``lag`` as an
+  equi-join on ``(keys, row - 1)``, rolling means as a keyed aggregate of row copies,
+  the as-of last pit as a distributed running maximum and group maxima as a partial
+  aggregate with a salted join back. No task holds more than a range chunk of a hot
+  group.
+
+Anything keyed by a session or a circuit (W5, the gap median, label codes, the split)
+is an aggregate joined back in both forms, never a window over a large group.
 """
 
 from __future__ import annotations
