@@ -11,7 +11,8 @@ order statistics are found with one lazy plan and no driver round trip:
 2. ``count_if(x < lo)`` per group gives the rank offset of the bracket.
 3. Rows inside the bracket (about ``6n/accuracy`` per group) are collapsed with
    ``groupBy(value).count()`` (a hot value becomes one row) and a running count in
-   value order picks the exact elements at ranks ``floor`` and ``ceil`` of ``(n-1)·p``.
+   value order (``ordering.grouped_prefix``: range-partitioned when large) picks the
+   exact elements at ranks ``floor`` and ``ceil`` of ``(n-1)·p``.
 
 The interpolation is DuckDB ``quantile_cont``'s / pandas': ``lo + (hi-lo)·frac``.
 """
@@ -20,9 +21,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .ordering import grouped_prefix
 from .sizing import is_small
 
 
@@ -65,8 +67,9 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], names: Sequ
                        for i in range(k)])
     vc = (xj.select(*by, "_x", F.explode(F.array_compact(inside)).alias("qi"))
             .groupBy(*by, "qi", "_x").agg(F.count(F.lit(1)).alias("_vc")))
-    vw = Window.partitionBy(*by, "qi").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    vc = vc.withColumn("_ve", F.sum("_vc").over(vw)).withColumn("_vs", F.col("_ve") - F.col("_vc"))
+    # running count of the bracket values: distributed (range partitions) when large
+    vc = grouped_prefix(vc, [*by, "qi"], ["_x"], F.col("_vc"), "sum", False, "_vs")
+    vc = vc.withColumn("_ve", F.col("_vs") + F.col("_vc"))
 
     meta = ap.select(*by, "_n").join(below, by) if by else ap.select("_n").crossJoin(below)
     pr = F.array(*[F.struct(F.lit(i).alias("qi"), F.lit(float(p)).alias("p"), F.col(f"_c{i}").alias("_off"))

@@ -174,3 +174,19 @@ def test_recommend_with_lap_table_matches_closed_form(spark):
     cum = LM.cumulative_lap_table(grid.withColumn("lap_time", X.baseline_lap_time("circuit", "compound", "tire_age")))
     norm = lambda df: sorted((r.state_id, r.rank, r.plan_kind, round(r.total_time, 6)) for r in df.collect())
     assert norm(S.recommend_plans(st, cum_table=cum)) == norm(S.recommend_plans(st))
+
+
+def test_bracket_quantiles_distributed_ranking(spark):
+    """Bracket path with the running count forced onto range partitions."""
+    from lapstats import testview
+    from lapstats.operators.sizing import SMALL_CONF
+    laps = testview.laps(spark, "/root/testdata/sf0.001")
+    b = exact_quantiles(laps, "lap_time", [0.25, 0.75], ["a", "b"], by=["circuit"], method="builtin")
+    spark.conf.set(SMALL_CONF, "0")
+    try:
+        a = exact_quantiles(laps, "lap_time", [0.25, 0.75], ["a", "b"], by=["circuit"], method="bracket", accuracy=50)
+        ra = sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in a.collect())
+    finally:
+        spark.conf.unset(SMALL_CONF)
+    rb = sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in b.collect())
+    assert ra == rb
