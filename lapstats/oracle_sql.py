@@ -6,7 +6,7 @@ adapter views as CTEs. These strings are written independently of the Spark code
 
 from __future__ import annotations
 
-from .testview import FUEL_CTE, INCIDENTS_CTE, LAPS_CTE, RACES_CTE, RAW_TEXT_CTE, STATES_CTE
+from .testview import LAPS_CTE
 
 PITS = """pits as (
 select year, circuit, driver, cast(pit_lap as int) as pit_lap, cast(25.0 as double) as pit_time,
