@@ -43,7 +43,10 @@ class DegradationModel:
 def fit_degradation_model(train: DataFrame, features: Sequence[str] = FEATURES, target: str = TARGET,
                           num_trees: int = 100, max_depth: int = 10, seed: int = 42,
                           max_bins: int = 64) -> DegradationModel:
-    """Fit the forest on rows with non-null features and target; records train metrics."""
+    """Fit the forest on rows with non-null features and target; records train metrics.
+    Node-id caching checkpoints every 10 iterations into the shared checkpoint folder."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(train.sparkSession)
     feats = [c for c in features if c in train.columns]
     data = train.select(*feats, target).dropna()
     rf = RandomForestRegressor(featuresCol="_features", labelCol=target, predictionCol="prediction",
