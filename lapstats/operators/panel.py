@@ -182,23 +182,26 @@ def stint_length(df: DataFrame, keys: Sequence[str] = PANEL, compound: str = "ti
     if use_windows(df, force):
         return df.withColumn("stint_length", F.max(age).over(Window.partitionBy(*keys, compound)))
     m = df.groupBy(*keys, F.col(compound).alias("_sc")).agg(F.max(age).alias("stint_length"))
-    return salted_left_join(df, m, list(keys), compound, "_sc")
+    return salted_left_join(df, m, list(keys), [(compound, "_sc")])
 
 
-def salted_left_join(big: DataFrame, small: DataFrame, keys: Sequence[str], big_extra: str, small_extra: str,
-                     buckets: int = 16) -> DataFrame:
+def salted_left_join(big: DataFrame, small: DataFrame, on: Sequence[str],
+                     null_safe: Sequence[tuple[str, str]] = (), buckets: int = 16) -> DataFrame:
     """Left join of a fact table to a one-row-per-key table where one key may hold a
     large share of the facts: every fact row gets a deterministic salt (hash of the
     row) and the small side is replicated once per salt, so a hot key is spread over
-    ``buckets`` tasks. ``big_extra``/``small_extra`` are joined null-safely."""
+    ``buckets`` tasks. ``on`` columns are named alike on both sides; ``null_safe``
+    pairs (big column, small column) are matched with ``<=>``."""
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(buckets)).cast("int")
     b = big.withColumn("_salt", salt)
     sm = small.crossJoin(F.broadcast(big.sparkSession.range(buckets).select(F.col("id").cast("int").alias("_salt"))))
-    sm = sm.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col(small_extra).alias("_k_x"), "_salt",
-                   *[c for c in small.columns if c not in (*keys, small_extra)])
-    cond = [b[k] == sm[f"_k_{k}"] for k in keys] + [b[big_extra].eqNullSafe(sm["_k_x"]), b["_salt"] == sm["_salt"]]
+    ns_small = [y for _, y in null_safe]
+    sm = sm.select(*[F.col(k).alias(f"_k_{k}") for k in on], *[F.col(y).alias(f"_n_{y}") for y in ns_small],
+                   F.col("_salt").alias("_k_salt"), *[c for c in small.columns if c not in (*on, *ns_small)])
+    cond = [b[k] == sm[f"_k_{k}"] for k in on] + [b[x].eqNullSafe(sm[f"_n_{y}"]) for x, y in null_safe] + \
+        [b["_salt"] == sm["_k_salt"]]
     out = b.join(sm, cond, "left")
-    return out.drop(*[f"_k_{k}" for k in keys], "_k_x", "_salt")
+    return out.drop(*[f"_k_{k}" for k in on], *[f"_n_{y}" for y in ns_small], "_k_salt", "_salt")
 
 
 # W5 -------------------------------------------------------------------------
@@ -301,9 +304,14 @@ def extend_label_mapping(mapping: DataFrame, df: DataFrame, col: str) -> DataFra
     return mapping.select("value", "code").unionByName(added)
 
 
-def apply_label_mapping(df: DataFrame, mapping: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    m = mapping.select(F.col("value").alias("_v"), F.col("code").alias(out or f"{col}_encoded"))
-    return df.join(m, F.col(col).cast("string") == F.col("_v"), "left").drop("_v")
+def apply_label_mapping(df: DataFrame, mapping: DataFrame, col: str, out: str | None = None,
+                        salted: bool = False) -> DataFrame:
+    """Join the codes on. ``salted`` spreads a hot value over several tasks (used by
+    the distributed form; small mappings are broadcast by AQE either way)."""
+    m = mapping.select(F.col("value").alias("_lk"), F.col("code").alias(out or f"{col}_encoded"))
+    d = df.withColumn("_lk", F.col(col).cast("string"))
+    j = salted_left_join(d, m, ["_lk"]) if salted else d.join(m, "_lk", "left")
+    return j.drop("_lk")
 
 
 def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
@@ -368,7 +376,7 @@ def engineer_features(laps: DataFrame, pits: DataFrame | None = None,
             m = extend_label_mapping(mappings[col], laps, col)
         else:
             m = fitted.where(F.col("column_name") == col).select("value", "code")
-        df = apply_label_mapping(df, m, col, out)
+        df = apply_label_mapping(df, m, col, out, salted=not windows)
     df = one_hot_compound(df)
     return df.dropna(subset=[*FEATURES, TARGET])
 
