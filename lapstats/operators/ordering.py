@@ -4,12 +4,15 @@
 earlier rows of its group in a given order; ``global_prefix`` is the ungrouped form
 and ``row_index`` the 0-based position of a row in its group.
 
-Distributed path: rows are range-partitioned on ``(group, order)``, so a group with
-a third of all rows spans many partitions and each task sorts only its own range.
-Per (group, partition) totals -- one row per pair -- are turned into offsets with a
-small window over partitions, and a running aggregate inside each (group, partition)
-completes the value. The range-partitioned input is checkpointed to the folder named
-by ``spark.checkpoint.dir`` so partition membership stays fixed if a stage re-runs.
+Distributed path: rows are range-partitioned on ``(group, order)`` and sorted inside
+each partition -- the only shuffle of the data -- so a group with a third of all rows
+spans many partitions and each task handles one range. A per-partition pass
+(``mapInPandas``, Arrow batches) computes the running value of each group inside the
+partition; a group continuing from earlier partitions gets an offset from the
+per-(group, partition) totals. Only groups crossing a partition boundary have one, so
+the offset table has fewer rows than partitions and is broadcast. The range-partitioned
+input is checkpointed to the folder named by ``spark.checkpoint.dir`` so partition
+membership stays fixed if a stage re-runs.
 
 Inputs under the small-input threshold (``sizing.is_small``) use one ordinary window.
 """
@@ -20,6 +23,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 from .sizing import is_small
@@ -54,20 +58,72 @@ def grouped_prefix(df: DataFrame, by: Sequence[str], order_cols: Sequence[str],
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # the only shuffle of the data: range partitions on (group, order), sorted inside
     r = (df.withColumn("_val", val).repartitionByRange(n, *by, *order_cols)
+           .sortWithinPartitions(*by, *order_cols)
            .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
+    vtype = r.schema["_val"].dataType
+    out_schema = T.StructType(list(r.schema.fields) + [T.StructField("_loc", T.DoubleType())])
+    local = r.mapInPandas(_local_prefix_fn(by, how, inclusive), out_schema) \
+             .withColumn("_loc", F.col("_loc").cast(vtype))
+    # offsets exist only where a group continues from an earlier partition: at most one
+    # group crosses each partition boundary, so this table has < n rows (broadcast-safe)
     per = r.groupBy(*by, "_pid").agg(agg("_val").alias("_pv"))
     pw = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy("_pid") \
         .rowsBetween(Window.unboundedPreceding, -1)
-    off = per.select(*by, "_pid", agg("_pv").over(pw).alias("_off"))
-    local = Window.partitionBy(*by, "_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, end)
-    r = r.withColumn("_loc", agg("_val").over(local))
-    # without groups the offset table has one row per partition: broadcast-safe
-    joined = r.join(F.broadcast(off), "_pid") if not by else r.join(off, [*by, "_pid"])
+    off = per.select(*[F.col(b).alias(f"_o_{b}") for b in by], F.col("_pid").alias("_o_pid"),
+                     agg("_pv").over(pw).alias("_off")).where(F.col("_off").isNotNull())
+    cond = [local[b].eqNullSafe(off[f"_o_{b}"]) for b in by] + [local["_pid"] == off["_o_pid"]]
+    joined = local.join(F.broadcast(off), cond, "left").drop(*[f"_o_{b}" for b in by], "_o_pid")
     res = _combine(how, F.col("_off"), F.col("_loc"))
     return joined.withColumn(out, res).drop("_pid", "_val", "_off", "_loc")
 
 
+def _local_prefix_fn(by: Sequence[str], how: str, inclusive: bool):
+    """Per-partition running aggregate per group, for rows sorted by (group, order).
+
+    Runs inside each task over Arrow batches (pandas, vectorised); the running value of
+    the last group is carried into the next batch of the same partition."""
+    by = list(by)
+
+    def fn(batches):
+        import numpy as np
+        import pandas as pd
+        carry_key, carry = None, None
+        for pdf in batches:
+            if len(pdf) == 0:
+                yield pdf.assign(_loc=pd.Series(dtype="float64"))
+                continue
+            v = pdf["_val"].astype("float64")
+            if by:
+                g = pdf[by].astype(object).where(pdf[by].notna(), "\x00null")
+                grp = (g != g.shift()).any(axis=1).cumsum()
+                first_key, last_key = tuple(g.iloc[0]), tuple(g.iloc[-1])
+            else:
+                grp = pd.Series(np.zeros(len(pdf), dtype="int64"), index=pdf.index)
+                first_key = last_key = ()
+            base = v.fillna(0.0) if how == "sum" else v.fillna(-np.inf)
+            inc = base.groupby(grp).cumsum() if how == "sum" else base.groupby(grp).cummax()
+            cont = carry_key is not None and first_key == carry_key
+            if cont:
+                m = (grp == grp.iloc[0]).to_numpy()
+                inc[m] = inc[m] + carry if how == "sum" else np.maximum(inc[m], carry)
+            if inclusive:
+                loc = inc.copy()
+            elif how == "sum":
+                loc = inc - base
+            else:
+                loc = inc.groupby(grp).shift(1)
+                if cont:
+                    loc.iloc[0] = carry
+            carry_key, carry = last_key, inc.iloc[-1]
+            if how == "max":
+                loc = loc.replace(-np.inf, np.nan)
+            yield pdf.assign(_loc=loc.to_numpy())
+
+    return fn
+
+
 def global_prefix(df: DataFrame, order_cols: Sequence[str], weight: str | None = None,
                   out: str = "_before", partitions: int | None = None, force: str | None = None) -> DataFrame:
     """Add ``out`` = sum of ``weight`` (1 per row if None) over all rows earlier in the
