@@ -232,7 +232,11 @@ def fitted(spark, sf):
     key = (spark.sparkContext.applicationId, sf)
     if key not in _MODELS:
         feats = features(spark, sf)
-        split = panel.chronological_split(feats).persist()
+        split = panel.chronological_split(feats)
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        if split.rdd.getNumPartitions() < n:
+            split = split.repartition(n)
+        split = split.persist()
         m = M.fit_degradation_model(split.where(~F.col("is_test")))
         _MODELS[key] = (m, split)
     return _MODELS[key]

@@ -178,7 +178,13 @@ def train_pipeline(laps: DataFrame, pits: DataFrame | None = None, num_trees: in
     from .clean import normalise_columns, remove_invalid_laps
     from .panel import chronological_split, engineer_features
     feats = engineer_features(normalise_columns(remove_invalid_laps(laps)), pits)
-    split = chronological_split(feats).persist()
+    split = chronological_split(feats)
+    # the small-input form of the split ranks rows in one window partition; spread the
+    # (small) result so that training runs on every core
+    n = int(split.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if split.rdd.getNumPartitions() < n:
+        split = split.repartition(n)
+    split = split.persist()
     try:
         train, test = split.where(~F.col("is_test")), split.where(F.col("is_test"))
         model = fit_degradation_model(train, num_trees=num_trees, max_depth=max_depth)

@@ -390,10 +390,15 @@ def chronological_split(df: DataFrame, order: Sequence[str] = (*SESSION, "lap_nu
     ``global_prefix`` (range partitions, per-partition offsets): no window spans the
     fact table in one task, and a hot session or lap does not concentrate."""
     tie = [c for c in tie if c in df.columns]
-    x = global_prefix(df, [*order, *tie], out="split_rank")
-    n = df.agg(F.count(F.lit(1)).alias("_n")).select(
-        "_n", F.when((F.floor(F.col("_n") * test_fraction) == 0) & (F.col("_n") > 0), F.lit(1))
-               .otherwise(F.floor(F.col("_n") * test_fraction)).cast("bigint").alias("_test"))
-    x = x.crossJoin(F.broadcast(n))
-    return x.withColumn("is_test", F.col("split_rank") >= F.col("_n") - F.col("_test")) \
-            .drop("_n", "_test")
+    keys = [*order, *tie]
+    if use_windows(df):
+        # small input: rank and total from one ordered pass over a single partition
+        x = df.withColumn("split_rank", (F.row_number().over(Window.orderBy(*keys)) - 1).cast("bigint")) \
+              .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy()))
+    else:
+        x = global_prefix(df, keys, out="split_rank", force="distributed")
+        # the prefix result reads the checkpointed ranges, so counting it is cheap
+        x = x.crossJoin(F.broadcast(x.agg(F.count(F.lit(1)).alias("_n"))))
+    test = F.when((F.floor(F.col("_n") * test_fraction) == 0) & (F.col("_n") > 0), F.lit(1)) \
+            .otherwise(F.floor(F.col("_n") * test_fraction)).cast("bigint")
+    return x.withColumn("is_test", F.col("split_rank") >= F.col("_n") - test).drop("_n")

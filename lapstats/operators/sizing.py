@@ -1,8 +1,11 @@
 """Plan-size checks that pick between a single-task and a distributed strategy.
 
-The estimate is Catalyst's ``sizeInBytes`` of the optimized plan (file sizes and
-projections; no job runs). It over-estimates filtered plans, so the choice errs
-towards the distributed path. The threshold is ``spark.lapstats.smallInputBytes``.
+The estimate is the summed ``sizeInBytes`` of the optimized plan's leaves (the scanned
+files, local tables, checkpoints): the volume of input the plan reads, known without
+running a job. Catalyst's estimate for the plan root is not used because it
+multiplies the sizes of join inputs. Leaves without statistics (e.g. RDD-backed
+checkpoints) report a huge default, so the choice errs towards the distributed path.
+The threshold is ``spark.lapstats.smallInputBytes``.
 """
 
 from __future__ import annotations
@@ -15,7 +18,11 @@ DEFAULT_SMALL = 32 * 1024 * 1024
 
 def estimated_bytes(df: DataFrame) -> int:
     try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves().iterator()
+        total = 0
+        while leaves.hasNext():
+            total += int(str(leaves.next().stats().sizeInBytes()))
+        return total
     except Exception:  # no JVM plan access (e.g. Spark Connect): assume large
         return 1 << 62
 
