@@ -177,8 +177,11 @@ def plan_confidence(pit_laps, total_laps) -> Column:
     p, t = _c(pit_laps), _c(total_laps)
     n = F.size(p)
     base = F.lit(0.7) + F.when(n == 1, 0.2).when(n > 2, -0.2).otherwise(0.0)
-    per = F.aggregate(p, F.lit(0.0), lambda acc, lap: acc + F.when(t - lap < 5, -0.3)
-                      .when(t - lap > t * 0.8, -0.1).otherwise(0.0))
+    adj = lambda lap: F.when(t - lap < 5, -0.3).when(t - lap > t * 0.8, -0.1).otherwise(0.0)
+    # plans of one or two stops (the common case) in plain expressions; longer ones fold
+    short = F.when(n == 1, F.lit(0.0) + adj(F.get(p, 0))) \
+             .otherwise(F.lit(0.0) + adj(F.get(p, 0)) + adj(F.get(p, 1)))
+    per = F.when(n <= 2, short).otherwise(F.aggregate(p, F.lit(0.0), lambda acc, lap: acc + adj(lap)))
     return F.when(n == 0, F.lit(0.5)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), base + per)))
 
 
@@ -187,10 +190,15 @@ def plan_risk(pit_laps, compounds_in, total_laps) -> Column:
     """LOW / MEDIUM / HIGH from: SOFT fitted with > 20 laps left, each stop with < 5
     laps left, more than two stops."""
     p, c, t = _c(pit_laps), _c(compounds_in), _c(total_laps)
+    n = F.size(p)
+    one = lambda i: (F.when((F.get(c, i) == "SOFT") & (t - F.get(p, i) > 20), 1).otherwise(0)
+                     + F.when(t - F.get(p, i) < 5, 1).otherwise(0))
     z = F.arrays_zip(p.alias("lap"), c.alias("cin"))
     soft = F.size(F.filter(z, lambda s: (s["cin"] == "SOFT") & (t - s["lap"] > 20)))
     late = F.size(F.filter(p, lambda lap: t - lap < 5))
-    k = soft + late + F.when(F.size(p) > 2, 1).otherwise(0)
+    # one or two stops in plain expressions; longer plans use the array filters
+    k = F.when(n == 0, F.lit(0)).when(n == 1, one(0)).when(n == 2, one(0) + one(1)) \
+         .otherwise(soft + late + 1)
     return F.when(k == 0, "LOW").when(k <= 2, "MEDIUM").otherwise("HIGH")
 
 
