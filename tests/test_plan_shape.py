@@ -42,3 +42,14 @@ def test_global_prefix_distributed_path(spark):
     finally:
         spark.conf.unset(SMALL_CONF)
     assert all(r.pos == r.k for r in got) and len(got) == 5000
+
+
+def test_size_estimate_sums_plan_leaves(spark):
+    """Joins must not inflate the size check (Catalyst multiplies join input sizes)."""
+    from lapstats import testview
+    from lapstats.operators.sizing import estimated_bytes, is_small
+    laps = testview.laps(spark, SF)
+    one = laps.agg({"lap_time": "avg"})
+    joined = laps.crossJoin(one)
+    assert estimated_bytes(joined) <= 3 * estimated_bytes(laps)
+    assert is_small(joined)
