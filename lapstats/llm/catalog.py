@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, packing, tokenfile
+from . import bpe, packing, quality, tokenfile
 
 QUERIES = {
+    "op4_quality_rules": quality.op4_quality_rules,
     "op5_packing": packing.op5_packing,
     "op9_bpe": bpe.op9_bpe,
     "op10_token_files": tokenfile.op10_token_files,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op4_quality_rules": quality.SQL}
