@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from . import bpe, packing, quality, tokenfile
+from . import bpe, packing, quality, search, tokenfile, warc
 
 QUERIES = {
     "op4_quality_rules": quality.op4_quality_rules,
     "op5_packing": packing.op5_packing,
+    "op7_maxscore_search": search.op7_maxscore_search,
+    "op8_warc": warc.op8_warc,
     "op9_bpe": bpe.op9_bpe,
     "op10_token_files": tokenfile.op10_token_files,
 }
-SQL: dict[str, str] = {"op4_quality_rules": quality.SQL}
+SQL: dict[str, str] = {
+    "op4_quality_rules": quality.SQL,
+    "op7_maxscore_search": search.SQL,
+    "op8_warc": warc.SQL,
+}

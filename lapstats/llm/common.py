@@ -52,21 +52,27 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def map_arrow(df: DataFrame, fn, schema) -> DataFrame:
-    """``df.mapInArrow`` with this package importable on the executors: where PYTHONPATH does
-    not name it, its sources go along as a Spark Python file."""
+def ship(spark: SparkSession) -> None:
+    """Make this package importable on the executors: where PYTHONPATH does not name it, its
+    sources go along as a Spark Python file."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    sc = df.sparkSession.sparkContext
-    if root not in os.environ.get("PYTHONPATH", "").split(os.pathsep) and not getattr(sc, "_lapstats_sent", False):
-        archive = os.path.join(tempfile.mkdtemp(prefix="lapstats-"), "lapstats_llm.zip")
-        with zipfile.ZipFile(archive, "w") as z:
-            z.write(os.path.join(root, "lapstats", "__init__.py"), "lapstats/__init__.py")
-            here = os.path.dirname(os.path.abspath(__file__))
-            for name in sorted(os.listdir(here)):
-                if name.endswith(".py"):
-                    z.write(os.path.join(here, name), f"lapstats/llm/{name}")
-        sc.addPyFile(archive)
-        sc._lapstats_sent = True
+    sc = spark.sparkContext
+    if root in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(sc, "_lapstats_sent", False):
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="lapstats-"), "lapstats_llm.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        z.write(os.path.join(root, "lapstats", "__init__.py"), "lapstats/__init__.py")
+        here = os.path.dirname(os.path.abspath(__file__))
+        for name in sorted(os.listdir(here)):
+            if name.endswith(".py"):
+                z.write(os.path.join(here, name), f"lapstats/llm/{name}")
+    sc.addPyFile(archive)
+    sc._lapstats_sent = True
+
+
+def map_arrow(df: DataFrame, fn, schema) -> DataFrame:
+    """``df.mapInArrow`` with this package importable on the executors."""
+    ship(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 
