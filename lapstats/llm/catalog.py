@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, packing, quality, search, tokenfile, warc
+from . import bpe, linededup, ngramjoin, packing, pii, quality, search, tokenfile, warc
 
 QUERIES = {
+    "op2_line_dedup": linededup.op2_line_dedup,
+    "op3_pii": pii.op3_pii,
     "op4_quality_rules": quality.op4_quality_rules,
     "op5_packing": packing.op5_packing,
+    "op6_ngram_join": ngramjoin.op6_ngram_join,
     "op7_maxscore_search": search.op7_maxscore_search,
     "op8_warc": warc.op8_warc,
     "op9_bpe": bpe.op9_bpe,
