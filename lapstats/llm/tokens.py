@@ -4,7 +4,7 @@ Byte-level BPE never merges across a pre-token, and a single space between two
 non-space characters always starts one. A text is therefore cut at such spaces, and the
 ids of each piece are looked up in a bounded per-worker table. Pieces not seen before are
 joined and go to the library together; their ids are told apart by the tokens that begin
-with a space. The result equals ``Tokenizer.encode(text, add_special_tokens=False).ids``.
+with a space. Words are looked up by a 64-bit hash. The result equals ``Tokenizer.encode(text, add_special_tokens=False).ids``.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ import re
 
 import numpy as np
 
+from .common import chunks, mix, prefix_hash, span_hash, text_buffer
+
 SPECIAL = "<|endoftext|>"
 TABLE_LIMIT = 1_000_000     # pieces remembered per worker, then forgotten
 _CUT = re.compile(r"(?<=[^\s\x1c-\x1f]) (?=[^\s\x1c-\x1f])")
@@ -31,6 +33,32 @@ def odd(text: str) -> bool:
             or not text.replace(NEWLINE, "").isprintable())
 
 
+def odd_texts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Per text of a buffer: whether white space other than single inner spaces and newlines,
+    or a special token, may be in it."""
+    n = len(offsets) - 1
+    gap = (raw == 32) | (raw == 10)
+    bad = ((raw < 32) & (raw != 10)) | (raw == 127)
+    bad[1:] |= gap[1:] & gap[:-1]
+    for lead, is_space in ((0xC2, lambda b, c: (b == 0x85) | (b == 0xA0)),
+                           (0xE1, lambda b, c: (b == 0x9A) & (c == 0x80)),
+                           (0xE2, lambda b, c: ((b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF)))
+                            | ((b == 0x81) & (c == 0x9F))),
+                           (0xE3, lambda b, c: (b == 0x80) & (c == 0x80))):
+        at = np.flatnonzero(raw == lead)
+        if len(at):
+            last = len(raw) - 1
+            bad[at[is_space(raw[np.minimum(at + 1, last)], raw[np.minimum(at + 2, last)])]] = True
+    out = np.zeros(n, bool)
+    out[np.searchsorted(offsets, np.flatnonzero(bad), side="right") - 1] = True
+    some = np.flatnonzero(offsets[1:] > offsets[:-1])
+    out[some[gap[offsets[some]] | gap[offsets[some + 1] - 1]]] = True
+    text, at = raw.tobytes(), -1
+    while (at := text.find(SPECIAL.encode(), at + 1)) >= 0:
+        out[np.searchsorted(offsets, at, side="right") - 1] = True
+    return out
+
+
 def cut(text: str) -> tuple[int, str, list[str]]:
     """(ids to drop in front, head, pieces): the encodings of the head and the pieces joined,
     without the first ids, are the text's encoding. Pieces have lost the space before them,
@@ -42,11 +70,67 @@ def cut(text: str) -> tuple[int, str, list[str]]:
     return 1, "", (NEWLINE + text).replace(NEWLINE, " \n").split(" ")[1:]
 
 
+class WordIndex:
+    """Open-addressing numpy table: 64-bit hash of a word -> its ids in a pool."""
+
+    BITS = 22
+
+    def __init__(self):
+        self.reset(0)
+
+    def reset(self, words: int) -> None:
+        """Empty the table; it is made larger for more words than a quarter of its slots."""
+        self.bits = max(self.BITS, (4 * words).bit_length())
+        n = 1 << self.bits
+        self.keys = np.zeros(n, np.uint64)
+        self.where = np.zeros(n, np.int64)
+        self.length = np.zeros(n, np.int32)
+        self.pool = np.zeros(1 << 20, np.uint32)
+        self.used = self.held = 0
+
+    def slots(self, h: np.ndarray) -> np.ndarray:
+        """The slot of each hash, or the empty slot where it would stand."""
+        at = (h >> np.uint64(64 - self.bits)).astype(np.int64)
+        todo = np.flatnonzero((self.keys[at] != h) & (self.keys[at] != 0))
+        while len(todo):
+            at[todo] = (at[todo] + 1) & ((1 << self.bits) - 1)
+            k = self.keys[at[todo]]
+            todo = todo[(k != h[todo]) & (k != 0)]
+        return at
+
+    def full(self, words: int) -> bool:
+        """Whether so many more words would fill more than half of the slots."""
+        return self.held + words > 1 << (self.bits - 1)
+
+    def add(self, h: np.ndarray, ids: list[bytes]) -> None:
+        """Distinct new hashes with their ids."""
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        while self.used + len(flat) > len(self.pool):
+            self.pool = np.concatenate((self.pool, np.zeros(len(self.pool), np.uint32)))
+        self.pool[self.used:self.used + len(flat)] = flat
+        n = np.array([len(i) // 4 for i in ids], np.int64)
+        start = self.used + np.cumsum(n) - n
+        self.used += len(flat)
+        self.held += len(h)
+        todo = np.arange(len(h))
+        while len(todo):        # of several words for one empty slot the first takes it
+            at = self.slots(h[todo])
+            _, first = np.unique(at, return_index=True)
+            mine = todo[first]
+            self.keys[at[first]], self.where[at[first]], self.length[at[first]] = h[mine], start[mine], n[mine]
+            todo = np.delete(todo, first)
+
+
 class PieceTable:
-    """Bounded table from a piece to its ids as bytes; subclasses say how pieces are encoded."""
+    """Tables from pieces to ids; subclasses say how pieces are encoded.
+
+    Ordinary texts go through ``encode_buffer``: words are found, hashed and looked up with
+    numpy. Texts with other white space or special tokens go through ``encode``, piece by
+    piece."""
 
     def __init__(self):
         self.table: dict[str, bytes] = {}
+        self.index = WordIndex()
 
     def whole(self, text: str) -> bytes:
         """Ids of any text, without the table."""
@@ -57,6 +141,54 @@ class PieceTable:
         with a newline."""
         raise NotImplementedError
 
+    def encode_buffer(self, raw: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+        """Ids of each text of a buffer of UTF-8 bytes cut at ``offsets``."""
+        n, size = len(offsets) - 1, len(raw)
+        bounds = np.zeros(n + 1, np.int64)
+        ids = np.zeros(0, np.uint32)
+        strange = odd_texts(raw, offsets)
+        mark = (raw == 32) | (raw == 10)
+        mark[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+        start = np.flatnonzero(mark)
+        if len(start):
+            row = np.searchsorted(offsets, start, side="right") - 1
+            head = start == offsets[row]
+            keep = ~strange[row]
+            end = np.append(start[1:], size)[keep]
+            start, row, head = start[keep], row[keep], head[keep]
+            space = (raw[start] == 32) & ~head
+            h = span_hash(prefix_hash(raw), np.where(head, start, start + 1), end)
+            h = mix(h + np.where(space, np.uint64(1), np.uint64(2)))
+            h[h == 0] = 1
+            ix = self.index
+            at = ix.slots(h)
+            new = np.flatnonzero(ix.keys[at] == 0)
+            if len(new) and ix.full(len(np.unique(h[new]))):    # forget, then learn all of these
+                ix.reset(len(np.unique(h)))
+                new = np.arange(len(h))
+            if len(new):
+                fresh, first = np.unique(h[new], return_index=True)
+                first = new[first]
+                text = raw.tobytes()
+                names = [("" if s else NEWLINE) + text[a:b].decode() for s, a, b in zip(
+                    space[first].tolist(), np.where(head, start, start + 1)[first].tolist(), end[first].tolist())]
+                found = self.learn(set(names))
+                ix.add(fresh, [found[p] for p in names])
+                at = ix.slots(h)
+            where = ix.where[at] + head
+            length = ix.length[at].astype(np.int64) - head
+            total = np.cumsum(length)
+            ids = ix.pool[np.repeat(where - total + length, length) + np.arange(total[-1] if len(total) else 0)]
+            bounds[1:] = np.cumsum(np.bincount(row, weights=length, minlength=n).astype(np.int64))
+        coded = ids.astype("<u4").tobytes()
+        out = [coded[a:b] for a, b in zip((bounds[:-1] * 4).tolist(), (bounds[1:] * 4).tolist())]
+        if strange.any():
+            rows = np.flatnonzero(strange).tolist()
+            texts = [raw[offsets[r]:offsets[r + 1]].tobytes().decode() for r in rows]
+            for r, c in zip(rows, self.encode(texts)):
+                out[r] = c
+        return out
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each whole text as little-endian unsigned 32-bit integers; null is empty."""
         table = self.table
@@ -151,8 +283,7 @@ def encoder(path: str, kind: type = Encoder) -> PieceTable:
 
 def encode_batches(column, path: str, kind: type = Encoder, limit: int = 4 << 20):
     """(first row, list of id bytes) over an Arrow string column, near ``limit`` bytes at a time."""
-    from .common import chunks, text_buffer
-    _, offsets = text_buffer(column)
+    raw, offsets = text_buffer(column)
     enc = encoder(path, kind)
     for a, b in chunks(offsets, limit):
-        yield a, enc.encode(column.slice(a, b - a).to_pylist())
+        yield a, enc.encode_buffer(raw[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
