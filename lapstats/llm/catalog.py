@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, linededup, ngramjoin, packing, pii, quality, search, tokenfile, warc
+from . import bpe, linededup, ngramjoin, packing, pii, quality, search, suffixdedup, tokenfile, warc
 
 QUERIES = {
+    "op1_suffix_dedup": suffixdedup.op1_suffix_dedup,
     "op2_line_dedup": linededup.op2_line_dedup,
     "op3_pii": pii.op3_pii,
     "op4_quality_rules": quality.op4_quality_rules,

@@ -148,10 +148,10 @@ def powers(base: int, n: int) -> np.ndarray:
     return have
 
 
-def prefix_hash(raw: np.ndarray) -> np.ndarray:
+def prefix_hash(raw: np.ndarray, values: np.ndarray = BYTE_VALUE) -> np.ndarray:
     """P[i] = sum of value(byte j) * BASE**j for j < i, modulo 2**64."""
     out = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(BYTE_VALUE[raw] * powers(BASE, len(raw))[:len(raw)], out=out[1:])
+    np.cumsum(values[raw] * powers(BASE, len(raw))[:len(raw)], out=out[1:])
     return out
 
 

@@ -110,7 +110,7 @@ class Parts:
         slack = math.ceil(empty + 2 * math.sqrt(empty)) if differ else 0
         k = differ + 1 + slack
         cuts = np.array([p * (1 << 64) // k for p in range(k)], np.uint64)
-        seeds = mix(np.arange(k, dtype=np.uint64) + np.uint64(j) * STEP)
+        seeds = mix(np.arange(k, dtype=np.uint64) + np.array([j], np.uint64) * STEP)
         return k, slack, cuts, seeds
 
     def keys(self, s: np.ndarray) -> np.ndarray:

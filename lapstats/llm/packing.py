@@ -236,3 +236,8 @@ def pack(rows: DataFrame, capacity: int = 2048, length: str = "length") -> DataF
 def op5_packing(spark, sf_dir) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return pack(pieces(docs, default_tokenizer()))
+
+
+def stage(spark, docs: DataFrame, sf_dir) -> DataFrame:
+    """Pipeline stage: the pieces of the documents and their places in sequences."""
+    return pack(pieces(docs, default_tokenizer()))
