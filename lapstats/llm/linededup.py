@@ -72,8 +72,9 @@ def dedup(df: DataFrame, unit: str = "line", min_words: int = MIN_WORDS, id_col:
     gone = (found.join(first, ["_d1", "_d2"]).where(F.struct("_doc", "_unit") != F.col("_first"))
             .groupBy("_doc").agg(F.array_sort(F.collect_set(F.struct(
                 F.col("_unit").alias("unit"), F.col("_start").alias("start"), F.col("_end").alias("end")))).alias("removed")))
-    keyed = df.drop("removed", "n_units_removed").withColumn("_doc", F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)))
-    joined = keyed.join(gone, "_doc", "left").drop("_doc")
+    key = "_line_dedup_2_doc"
+    keyed = df.drop("removed", "n_units_removed").withColumn(key, F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)))
+    joined = keyed.join(gone.withColumnRenamed("_doc", key), key, "left").drop(key)
     schema = extend(df.drop("removed", "n_units_removed").schema,
                     "n_units_removed int, removed array<struct<unit:int,start:int,end:int>>")
     names = schema.names

@@ -155,9 +155,12 @@ def pseudonym(cipher: Cipher, kind: str, value: str, back: bool = False) -> str
                 day = datetime.datetime.strptime(value, form.format(sep)).date().toordinal() - FIRST_DAY
             except ValueError:
                 continue
-            if 0 <= day < DAYS:
-                new = datetime.date.fromordinal(FIRST_DAY + cipher.permute(kind, DAYS, day, back))
-                return new.strftime(form.format(sep))
+            while 0 <= day < DAYS:
+                day = cipher.permute(kind, DAYS, day, back)
+                new = datetime.date.fromordinal(FIRST_DAY + day)
+                # month first is only read where day first fails, so that must stay so
+                if form == order or new.day > 12:
+                    return new.strftime(form.format(sep))
         return None
     if kind == "iban":
         plain = value.replace(" ", "")

@@ -13,7 +13,8 @@ are removed. All of it is a map over rows: no shuffle, so no group can be hot.
 
 Windows are compared by 64-bit hashes within one document. Defined cases: null and empty
 texts have no words and are rejected; rows are judged each by itself, so repeated rows and
-null ids change nothing; helper columns carry a reserved prefix and never clash.
+null ids change nothing; helper columns carry
+a prefix of their own (``P``), other columns stay; result columns of the same name are replaced.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ SEPARATORS = r"[|›»•→].*[|›»•→]"
 FURNITURE = (r"(cookie policy|privacy policy|terms of (use|service)|all rights reserved|enable javascript|"
              r"lorem ipsum|click here|read more|sign up for|subscribe now|share this|back to top)")
 HAS_WORD = r"[^ \t\n\x0b\f\r]"
-P = "_quality_"
+P = "_quality_rules_4_"
 
 
 def line_fails(line: Column) -> Column:
@@ -94,7 +95,9 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
                          | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words")))
     out = out.withColumn("kept", ~F.col("base_failed")
                          & (100 * c("good_chars") >= (100 - MAX_LOSS) * c("all_chars")))
-    return out.drop(*[x for x in out.columns if x.startswith(P)])
+    made = ("text", "words", "n", "lines", "good", "h1", "h2", "h4", "h8", "some", "sorted", "hs", "before", "starts",
+            "all_chars", "good_chars")
+    return out.drop(*[P + x for x in made])
 
 
 RESULT = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]

@@ -449,9 +449,11 @@ STAGE_LENGTH = 200      # bytes: a passage of fifty short words
 
 def stage(spark, docs: DataFrame, sf_dir) -> DataFrame:
     """Pipeline stage: every string of ``STAGE_LENGTH`` bytes that occurs twice is cut out."""
-    found = removals(docs, STAGE_LENGTH).select(*TEXT, "kept")
+    names = [f"_suffix_dedup_1_{c}" for c in (*TEXT, "kept", "copied")]
+    key, (kept, copied) = names[:2], names[2:]
+    found = removals(docs, STAGE_LENGTH).select(*TEXT, "kept").toDF(*key, kept)
     body = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.withColumn("t1", F.xxhash64(body)).withColumn("t2", F.xxhash64(F.lit(SEED), body))
-    out = rows.join(found, TEXT, "left").join(copies(docs, STAGE_LENGTH, "text"), TEXT, "left")
-    left = F.when(F.col("copied").isNotNull(), F.lit("")).otherwise(F.coalesce("kept", "text"))
+    rows = docs.withColumn(key[0], F.xxhash64(body)).withColumn(key[1], F.xxhash64(F.lit(SEED), body))
+    out = rows.join(found, key, "left").join(copies(docs, STAGE_LENGTH, "text").toDF(*key, copied), key, "left")
+    left = F.when(F.col(copied).isNotNull(), F.lit("")).otherwise(F.coalesce(kept, "text"))
     return out.withColumn("text", left).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)

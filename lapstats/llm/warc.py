@@ -139,7 +139,9 @@ class WarcReader(DataSourceReader):
                 return False
         return True
 
-    def read(self, part: Range):
+    def read(self, part: Range | None):
+        if part is None:        # Spark's single task for a folder without archives
+            return
         fs, _ = open_fs(self.folder)
         payload = "payload" in self.names
         with fs.open_input_file(part.path) as f:
