@@ -149,9 +149,9 @@ def q_select_features(spark, sf):
 
 @query
 def q_process_laps(spark, sf):
-    l = laps(spark, sf)
-    out = clean.process_laps(l, panel.detect_pit_stops(l))
-    return out.select("lap_id", "split_rank", "is_test")
+    """P17 without pits, every feature column, train and test."""
+    from .oracle_sql import FEAT_NAMES
+    return _round(clean.process_laps(laps(spark, sf)), FEAT_ROUND).select(*FEAT_NAMES, "split_rank", "is_test")
 
 
 # --- W / J -------------------------------------------------------------------
@@ -195,8 +195,19 @@ def q_laps_since_pit(spark, sf):
 
 @query
 def q_label_encode(spark, sf):
+    return panel.fit_label_mappings(laps(spark, sf), ["driver", "circuit", "compound"])
+
+
+@query
+def q_label_encode_extended(spark, sf):
+    """Codes fitted on the early years, values unseen there appended in order."""
     l = laps(spark, sf)
-    return panel.fit_label_mappings(l, ["driver", "circuit"])
+    out = None
+    for c in ("driver", "compound"):
+        fitted = panel.fit_label_mapping(l.where("year < 2023"), c)
+        m = panel.extend_label_mapping(fitted, l, c).select(F.lit(c).alias("column_name"), "value", "code")
+        out = m if out is None else out.unionByName(m)
+    return out
 
 
 @query
@@ -238,8 +249,8 @@ def q_common_tyre_changes(spark, sf):
 
 @query
 def q_top_tyre_changes(spark, sf):
-    """The top-10 report of A5 (ties broken by the compound pair)."""
-    return stats.common_tyre_changes(pits(spark, sf), n=10)
+    """The first three rows of the A5 report (ties broken by the compound pair)."""
+    return stats.common_tyre_changes(pits(spark, sf), n=3)
 
 
 @query
@@ -287,7 +298,14 @@ def q_duplicate_rows(spark, sf):
 
 @query
 def q_data_completeness(spark, sf):
-    return stats.data_completeness(laps(spark, sf))
+    """A11 on the laps, on a table without nulls and on an empty one."""
+    l = laps(spark, sf)
+    ids = l.select("lap_id", "year")
+    out = None
+    for name, df in (("laps", l), ("clean", ids), ("empty", ids.where("lap_id < 0"))):
+        part = stats.data_completeness(df).withColumn("input", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query
@@ -297,7 +315,14 @@ def q_data_summary(spark, sf):
 
 @query
 def q_processed_data_valid(spark, sf):
-    return stats.processed_data_valid(valid(spark, sf))
+    """A13 on all laps, on valid ones, on valid ones of which some lack a tyre life, on none."""
+    l, v = laps(spark, sf), valid(spark, sf)
+    part = v.withColumn("tyre_life", F.when(F.col("lap_id") % 41 != 0, F.col("tyre_life")))
+    out = None
+    for name, df in (("laps", l), ("valid", v), ("missing_life", part), ("empty", v.where("lap_id < 0"))):
+        one = stats.processed_data_valid(df).withColumn("input", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query

@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from . import oracle_sql as O
 from . import testview as tv
 from .catalog import _round, features, laps, query, valid
+from .catalog_plans import GRID26
 from .oracle_sql import L, SQL, VALID, w
 from .operators import clean, model as M, panel, stats
 from .plans import race as R
@@ -54,18 +56,23 @@ SQL["ingest_session_laps"] = S1 + """ select year, circuit, 'R' as session_type,
 
 @query
 def q_ingest_all(spark, sf):
+    """S3 on one file per unit; one unit has a broken file beside its good one."""
     path = S.scratch_path(spark, "landing")
-    raw_laps(spark, sf).write.partitionBy("year", "circuit").parquet(path)
+    raw_laps(spark, sf).repartition("year", "circuit").write.partitionBy("year", "circuit").parquet(path)
+    spark.range(1).selectExpr("'not a lap file' as value").coalesce(1).write.mode("append").text(path + "/year=2022/circuit=monza/")
     _, report = S.ingest_all(spark, path)
     return report
 
 
 SQL["ingest_all"] = S1 + """, g as (select y.year, c.circuit from (values (2021), (2022), (2023), (2024)) y(year),
  (values ('monaco'), ('silverstone'), ('monza'), ('spa'), ('suzuka')) c(circuit)),
-u as (select g.year, g.circuit, cast(coalesce(n.rows, 0) as bigint) as rows from g left join
- (select year, circuit, count(*) as rows from r group by 1, 2) n on g.year = n.year and g.circuit = n.circuit)
-select year, circuit, rows, rows > 0 as ok, (select count(*) filter (where rows > 0) from u) as ok_units,
- (select count(*) from u) as total_units from u"""
+k as (select year, circuit, 0 as broken from laps group by 1, 2 union all select 2022, 'monza', 1),
+u as (select g.year, g.circuit, cast(coalesce(n.rows, 0) as bigint) as rows, coalesce(m.files, 0) as files,
+ cast(coalesce(m.bad, 0) as bigint) as bad_files from g left join
+ (select year, circuit, count(*) as rows from r group by 1, 2) n on g.year = n.year and g.circuit = n.circuit left join
+ (select year, circuit, count(*) as files, sum(broken) as bad from k group by 1, 2) m on g.year = m.year and g.circuit = m.circuit)
+select year, circuit, rows, files, bad_files, cast(0 as bigint) as bad_records, rows > 0 and bad_files = 0 as ok,
+ (select count(*) filter (where rows > 0 and bad_files = 0) from u) as ok_units, (select count(*) from u) as total_units from u"""
 
 
 @query
@@ -158,12 +165,12 @@ SQL["load_all_laps"] = S1 + """ select year, circuit, 'R' as session_type, drive
 @query
 def q_available_sessions(spark, sf):
     s = S.ingest_session_laps(raw_laps(spark, sf), "R")
-    q = S.ingest_session_laps(raw_laps(spark, sf).where(F.col("LapNumber") <= 3), "Q")
+    q = S.ingest_session_laps(raw_laps(spark, sf).withColumn("year", F.col("year") + 1), "Q")
     return S.available_sessions(stats.union_laps(s, q))
 
 
 SQL["available_sessions"] = S1 + """ select distinct year, circuit, 'R' as session_type from r union
- select distinct year, circuit, 'Q' from r where lap_number <= 3"""
+  select distinct year + 1, circuit, 'Q' from r"""
 
 ADHOC = "select circuit, count(*) as laps, round(avg(lap_time), 6) as mean_lap_time from laps group by circuit"
 
@@ -218,28 +225,30 @@ def q_plans_from_json(spark, sf):
 # --- rows-only: sinks with timestamps, models --------------------------------
 @query
 def q_append_run_metrics(spark, sf):
-    v = valid(spark, sf).agg(F.count(F.lit(1)).alias("rows"), F.avg("lap_time").alias("mean")).first()
+    v = valid(spark, sf).agg(F.count(F.lit(1)).cast("double").alias("rows"), F.avg("lap_time").alias("mean_lap_time"))
     path = S.scratch_path(spark, "run_metrics")
-    S.append_run_metrics(spark, {"rows": v["rows"], "mean_lap_time": v["mean"]}, path)
-    S.append_run_metrics(spark, {"rows": v["rows"]}, path)
+    for names in (["rows", "mean_lap_time"], ["rows"]):
+        S.append_metric_rows(v.select(*names).unpivot([], names, "metric", "value"), path)
     return spark.read.parquet(path).select("metric", F.round("value", 6).alias("value"))
 
 
-_MODELS: dict = {}
+_MODELS: dict = {}      # folders of the last fitted model and its split, by application and input
 
 
 def fitted(spark, sf):
+    """A forest fitted on the engineered laps, and the split: both written to the shared folder
+    once and read back by the queries of the model, so nothing stays cached."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _MODELS:
-        feats = features(spark, sf)
-        split = panel.chronological_split(feats)
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        if split.rdd.getNumPartitions() < n:
-            split = split.repartition(n)
-        split = split.persist()
+        folder = S.scratch_path(spark, "fitted")
+        panel.chronological_split(features(spark, sf)).repartition(
+            int(spark.conf.get("spark.sql.shuffle.partitions"))).write.parquet(folder + "/split")
+        split = spark.read.parquet(folder + "/split")
         m = M.fit_degradation_model(split.where(~F.col("is_test")))
-        _MODELS[key] = (m, split)
-    return _MODELS[key]
+        _MODELS.clear()
+        _MODELS[key] = (m, folder)
+    m, folder = _MODELS[key]
+    return m, spark.read.parquet(folder + "/split")
 
 
 @query
@@ -347,10 +356,78 @@ def q_save_load_model(spark, sf):
 
 @query
 def q_load_model(spark, sf):
-    """S12 load: a saved model scores like the original; a missing path gives None."""
-    return q_save_load_model(spark, sf)
+    """S12 load: per test lap, whether the loaded model's prediction is the original's, and its
+    features and target are the saved ones."""
+    m, split = fitted(spark, sf)
+    path = S.scratch_path(spark, "model")
+    M.save_model(m, path)
+    back = M.load_model(path)
+    test = split.where("is_test")
+    both = M.score_laps(back, M.score_laps(m, test).withColumnRenamed("prediction", "p1"))
+    return both.select("lap_id", (F.col("p1") == F.col("prediction")).alias("same_prediction"),
+                       F.lit(back.features == m.features and back.target == m.target).alias("same_meta"))
+
+
+# --- properties of the model that SQL can check ---------------------------------
+FEAT_SPLIT = w(tv.LAPS_CTE, O.PITS, O.FEAT) + ", split as (" + O.SPLIT.format(src="feat") + "), labelled as " \
+    "(select f.*, s.is_test from feat f join split s on f.lap_id = s.lap_id)"
+
+
+@query
+def q_score_laps_bounded(spark, sf):
+    """M2: every test lap is scored, within the range of the training target."""
+    m, split = fitted(spark, sf)
+    lo, hi = split.where("not is_test").agg(F.min("lap_time"), F.max("lap_time")).first()
+    s = M.score_laps(m, split.where("is_test"))
+    return s.select("lap_id", F.col("prediction").between(lo - 1e-9, hi + 1e-9).alias("in_range"))
+
+
+SQL["score_laps_bounded"] = FEAT_SPLIT + " select lap_id, true as in_range from labelled where is_test"
+SQL["save_load_model"] = FEAT_SPLIT + """ select lap_id, true as same_prediction, true as missing_is_none
+ from labelled where is_test"""
+SQL["load_model"] = FEAT_SPLIT + " select lap_id, true as same_prediction, true as same_meta from labelled where is_test"
+
+
+@query
+def q_feature_importance_shape(spark, sf):
+    """The fourteen features by name, none negative, sum 1, the top ten the largest."""
+    m, _ = fitted(spark, sf)
+    f = M.feature_importance(m, spark)
+    name, value = f.columns[0], f.columns[1]
+    top = M.feature_importance(m, spark, top=10).agg(F.min(value).alias("_least"), F.count(F.lit(1)).alias("_n"))
+    tot = f.agg(F.round(F.sum(value), 6).alias("_sum"))
+    return (f.crossJoin(tot).crossJoin(top).select(
+        F.col(name).alias("feature"), (F.col(value) >= 0).alias("not_negative"), (F.col("_sum") == 1).alias("sums_to_one"),
+        (F.col("_n") == 10).alias("ten_on_top")))
+
+
+SQL["feature_importance_shape"] = "select * from (values " + ", ".join(
+    f"('{c}', true, true, true)" for c in panel.FEATURES) + ") t(feature, not_negative, sums_to_one, ten_on_top), " \
+    "(select count(*) as n from events) e where n > 0"
+SQL["feature_importance_shape"] = SQL["feature_importance_shape"].replace("select * from", "select feature, not_negative, sums_to_one, ten_on_top from", 1)
+
+
+@query
+def q_condition_grid_cells(spark, sf):
+    """M6: every circuit and compound of the features at each tyre age, all scored."""
+    m, split = fitted(spark, sf)
+    return M.score_condition_grid(m, split).select(
+        "circuit", "tire_compound", "tire_age", F.col("prediction").isNotNull().alias("scored"))
+
+
+SQL["condition_grid_cells"] = FEAT_SPLIT + """ select circuit, tire_compound, age as tire_age, true as scored from
+ (select distinct circuit, tire_compound from labelled) g, (values (5), (15), (25)) a(age)"""
+
+
+@query
+def q_evaluate_model_target(spark, sf):
+    """Rows, mean and deviation of the test target, which do not depend on the fit."""
+    m, split = fitted(spark, sf)
+    return M.evaluate_model(m, split.where("is_test")).select("n", "target_mean", "target_std")
 
 
+SQL["evaluate_model_target"] = FEAT_SPLIT + """ select count(*) as n, round(avg(lap_time), 6) as target_mean,
+ round(stddev_samp(lap_time), 6) as target_std from labelled where is_test"""
 
 # --- M8 + A14 (SQL-checkable baseline) ---------------------------------------
 @query
@@ -379,19 +456,17 @@ select circuit, count(*) as n, round(1 - sum((y - p) * (y - p)) / (var_pop(y) *
  round(stddev_samp(y), 6) as target_std from p group by circuit"""
 
 
-SQL["plans_json_roundtrip"] = w(tv.LAPS_CTE, tv.RACES_CTE) + ", " + __import__(
-    "lapstats.catalog_plans", fromlist=["GRID26"]).GRID26 + """ select year, circuit, option_idx,
+SQL["plans_json_roundtrip"] = w(tv.LAPS_CTE, tv.RACES_CTE) + ", " + GRID26 + """ select year, circuit, option_idx,
  cast(to_json({'pit_stops': case when stops = 1 then [cast(l1 as int)] else [cast(l1 as int), cast(l2 as int)] end,
   'compounds': case when stops = 1 then [c1, c2] else [c1, c2, c3] end, 'type': plan_type}) as varchar) as plan_json,
  true as roundtrip_ok from grid"""
 
 
-_gsql = __import__("lapstats.catalog_plans", fromlist=["GRID26"]).GRID26
-SQL["plans_to_json"] = w(tv.LAPS_CTE, tv.RACES_CTE) + ", " + _gsql + """ select year, circuit, option_idx,
+SQL["plans_to_json"] = w(tv.LAPS_CTE, tv.RACES_CTE) + ", " + GRID26 + """ select year, circuit, option_idx,
  cast(to_json({'pit_stops': case when stops = 1 then [cast(l1 as int)] else [cast(l1 as int), cast(l2 as int)] end,
   'compounds': case when stops = 1 then [c1, c2] else [c1, c2, c3] end, 'type': plan_type}) as varchar) as plan_json
  from grid"""
-SQL["plans_from_json"] = w(tv.LAPS_CTE, tv.RACES_CTE) + ", " + _gsql + """ select year, circuit, option_idx,
+SQL["plans_from_json"] = w(tv.LAPS_CTE, tv.RACES_CTE) + ", " + GRID26 + """ select year, circuit, option_idx,
  cast(l1 as varchar) || coalesce(',' || cast(l2 as varchar), '') as pit_laps,
  c1 || ',' || c2 || coalesce(',' || c3, '') as compounds, plan_type from grid"""
 

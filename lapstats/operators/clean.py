@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import dims
+from .ordering import split_join
 from .quantiles import exact_quantiles
 
 RAW_REQUIRED = ["LapTime", "Compound", "Driver", "LapNumber"]
@@ -157,7 +158,7 @@ def iqr_filter(df: DataFrame, col: str = "lap_time", by: Sequence[str] = (), k:
     joins one row per group.
     """
     b = iqr_bounds(df, col, by, k, approx).select(*by, "lower_bound", "upper_bound")
-    joined = df.crossJoin(F.broadcast(b)) if not by else df.join(b, list(by))
+    joined = df.crossJoin(F.broadcast(b)) if not by else split_join(df, b, list(by), "inner")
     return joined.where(F.col(col).between(F.col("lower_bound"), F.col("upper_bound"))) \
                  .drop("lower_bound", "upper_bound")
 
@@ -174,26 +175,31 @@ def validate_laps(df: DataFrame, approx: bool = False) -> DataFrame:
 
 
 def validation_counts(df: DataFrame) -> DataFrame:
-    """Rows surviving each step of ``validate_laps`` up to the IQR step, in one pass."""
+    """Rows surviving each step of ``validate_laps``."""
     d = normalise_columns(df)
     s3 = F.col("lap_time").isNotNull() & F.col("tire_compound").isNotNull() & \
         F.col("tire_age").isNotNull() & F.col("driver").isNotNull()
     s4 = s3 & lap_time_in_range("lap_time")
     s5 = s4 & (F.col("tire_age") <= dims.MAX_STINT_LENGTH)
-    return d.agg(F.count(F.lit(1)).alias("input_rows"),
+    b = iqr_bounds(d.where(s5)).select("lower_bound", "upper_bound")     # one row
+    s6 = s5 & F.col("lap_time").between(F.col("lower_bound"), F.col("upper_bound"))
+    s7 = s6 & F.col("tire_compound").isin(dims.COMPOUNDS)
+    return d.crossJoin(F.broadcast(b)).agg(F.count(F.lit(1)).alias("input_rows"),
                  F.count_if(s3).alias("after_missing"),
                  F.count_if(s4).alias("after_range"),
-                 F.count_if(s5).alias("after_stint"))
+                 F.count_if(s5).alias("after_stint"),
+                 F.count_if(s6).alias("after_iqr"),
+                 F.count_if(s7).alias("after_compound"))
 
 
 # P17 ------------------------------------------------------------------------
 def process_laps(df: DataFrame, pits: DataFrame | None = None) -> DataFrame:
-    """P1 (raises) -> P7 -> W9 without pits -> W7; one frame with an ``is_test`` flag.
+    """P1 (raises, on an empty input too) -> P7 -> W9 -> W7; one frame with an ``is_test`` flag.
 
     ``train = out.where(~is_test)``, ``test = out.where(is_test)``.
     """
     from .panel import chronological_split, engineer_features
-    require_columns(df, PROCESSED_REQUIRED, check_empty=False)
+    require_columns(df, PROCESSED_REQUIRED)
     clean = remove_invalid_laps(df)
     feats = engineer_features(normalise_columns(clean), pits)
     return chronological_split(feats)

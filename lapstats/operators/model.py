@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import dims
+from .ordering import split_join
 from .panel import FEATURES, TARGET
 from .stats import regression_metrics
 
@@ -163,37 +164,40 @@ def linear_degradation(laps: DataFrame, by: Sequence[str] = ("circuit", "compoun
 
 def linear_predict(laps: DataFrame, fit: DataFrame, by: Sequence[str] = ("circuit", "compound"),
                    x: str = "tyre_life") -> DataFrame:
-    """Baseline predictions ``intercept + slope·x``; the fit has one row per group and is
-    joined (broadcast when small, by AQE's runtime size check)."""
-    return laps.join(fit.select(*by, "slope", "intercept"), list(by), "left") \
+    """Baseline predictions ``intercept + slope·x``; the fit has one row per group and meets
+    the laps over salted keys."""
+    return split_join(laps, fit.select(*by, "slope", "intercept"), list(by)) \
                .withColumn("prediction", F.col("intercept") + F.col("slope") * F.col(x))
 
 
 # M9 -------------------------------------------------------------------------
 def train_pipeline(laps: DataFrame, pits: DataFrame | None = None, num_trees: int = 100,
-                   max_depth: int = 10) -> tuple[DegradationModel, DataFrame]:
-    """validate -> engineer -> split -> fit -> evaluate. The engineered table is
-    persisted once (recomputable from lineage if an executor is lost) because the
-    split, the fit and the evaluation all read it."""
-    from .clean import normalise_columns, remove_invalid_laps
+                   max_depth: int = 10, path: str | None = None) -> tuple[DegradationModel, DataFrame]:
+    """Validate with the full chain (P16), engineer, split, fit, evaluate, save (``path``).
+
+    The rolling means of the reported metrics stop before the current lap, so the features do
+    not hold the target (D11). The engineered split is computed once and cached
+    while the fit and the evaluation read it."""
+    from .clean import validate_laps
     from .panel import chronological_split, engineer_features
-    feats = engineer_features(normalise_columns(remove_invalid_laps(laps)), pits)
-    split = chronological_split(feats)
-    # the small-input form of the split ranks rows in one window partition; spread the
-    # (small) result so that training runs on every core
-    n = int(split.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if split.rdd.getNumPartitions() < n:
-        split = split.repartition(n)
-    split = split.persist()
+    split = training_split(chronological_split(engineer_features(validate_laps(laps), pits, include_current=False)))
     try:
         train, test = split.where(~F.col("is_test")), split.where(F.col("is_test"))
         model = fit_degradation_model(train, num_trees=num_trees, max_depth=max_depth)
         metrics = evaluate_model(model, test)
-        return model, metrics
+        if path:
+            save_model(model, path)
+        # one row, held by the driver so that the cache can go
+        return model, metrics.sparkSession.createDataFrame(metrics.collect(), metrics.schema)
     finally:
         split.unpersist()
 
 
+def training_split(split: DataFrame) -> DataFrame:
+    """The engineered split dealt over all cores and cached; the caller releases it."""
+    return split.repartition(int(split.sparkSession.conf.get("spark.sql.shuffle.partitions"))).persist()
+
+
 # S12 ------------------------------------------------------------------------
 def save_model(model: DegradationModel, path: str) -> None:
     spark = SparkSession.getActiveSession()

@@ -1,140 +1,141 @@
-"""Running sums / maxima over an order, without a one-task window on a large group.
-
-``grouped_prefix`` gives every row an aggregate (sum or max) of a value over all
-earlier rows of its group in a given order; ``global_prefix`` is the ungrouped form
-and ``row_index`` the 0-based position of a row in its group.
-
-Distributed path: rows are range-partitioned on ``(group, order)`` and sorted inside
-each partition -- the only shuffle of the data -- so a group with a third of all rows
-spans many partitions and each task handles one range. A per-partition pass
-(``mapInPandas``, Arrow batches) computes the running value of each group inside the
-partition; a group continuing from earlier partitions gets an offset from the
-per-(group, partition) totals. Only groups crossing a partition boundary have one, so
-the offset table has fewer rows than partitions and is broadcast. The range-partitioned
-input is checkpointed to the folder named by ``spark.checkpoint.dir`` so partition
-membership stays fixed if a stage re-runs.
-
-Inputs under the small-input threshold (``sizing.is_small``) use one ordinary window.
+"""Running values over an order, in one lazy plan at every size.
+
+A group may hold any share of the rows, so no window spans one. The order is cut into
+blocks: boundaries are drawn once from a bounded sample of the order columns (as a sort
+does) and stand in the plan as literals, so the block of a row is a pure function of its
+key and stays the same when a lost task is run again. Rows are exchanged once on (group,
+block) and ordinary windows run there. One summary row per (group, block) -- its row count,
+its aggregate, its last few rows -- is carried over the blocks of the group and joined back
+on (group, block), the same distribution as the windows.
+
+Groups are compared as structs, so a null in a group column is a group like any other, and
+values keep their type (integers stay integers). The sample is the only job that runs while
+a query is built. The number of blocks follows the number of shuffle partitions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil, isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir
-from .sizing import is_small
-
-_AGG = {"sum": F.sum, "max": F.max}
-
-
-def _combine(how: str, off: Column, loc: Column) -> Column:
-    if how == "sum":
-        return F.coalesce(off, F.lit(0)) + F.coalesce(loc, F.lit(0))
-    return F.greatest(off, loc)
+SAMPLE_PER_BLOCK = 64       # sampled keys for each block boundary
+_CUTS: dict = {}            # boundaries by plan; they steer balance, never results
+GROUP, BLOCK = "_group", "_block"
+
+
+def fan_out(df: DataFrame) -> int:
+    """Into how many tasks a hot key is split: a quarter of the shuffle partitions, so that a
+    key with a third of all rows gives none of them more than twice the mean."""
+    return max(2, ceil(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) / 4))
+
+
+def order_block(df: DataFrame, order_cols: Sequence[str]) -> Column:
+    """The block of a row: how many boundaries are not above its order key."""
+    key = F.struct(*order_cols)
+    n = fan_out(df)
+    keys = df.select(key.alias("k"))
+    plan = (keys.semanticHash(), n)
+    if plan not in _CUTS:
+        if len(_CUTS) > 500:
+            _CUTS.clear()
+        rows = keys.orderBy(F.xxhash64("k"), "k").limit(SAMPLE_PER_BLOCK * n).orderBy("k").collect()
+        _CUTS[plan] = [rows[len(rows) * i // n][0] for i in range(1, n)] if len(rows) >= n else []
+    cuts = _CUTS[plan]
+    if not cuts:
+        return F.lit(0)
+    types = [df.schema[c].dataType for c in order_cols]
+    lit = [F.struct(*[F.lit(v).cast(t).alias(c) for c, v, t in zip(order_cols, row, types)]) for row in cuts]
+    step = max(1, isqrt(len(lit)))      # two short scans instead of one over all boundaries
+    coarse = F.array(*lit[::step])
+    fine = F.array(*[F.array(*lit[i:i + step]) for i in range(0, len(lit), step)])
+    above = lambda arr: F.size(F.filter(arr, lambda b: b <= key))
+    first = above(coarse)
+    return F.when(first == 0, F.lit(0)).otherwise(
+        (first - 1) * step + above(F.element_at(fine, F.greatest(first, F.lit(1)))))
+
+
+def blocked(df: DataFrame, by: Sequence[str], order_cols: Sequence[str], block: Column | None = None) -> DataFrame:
+    """``df`` with its group and block, exchanged on both."""
+    group = F.struct(*by) if by else F.struct(F.lit(0).alias("all"))
+    block = order_block(df, order_cols) if block is None else block
+    return df.withColumn(GROUP, group).withColumn(BLOCK, block.cast("int")).repartition(GROUP, BLOCK)
+
+
+def in_block(order_cols: Sequence[str]):
+    return Window.partitionBy(GROUP, BLOCK).orderBy(*order_cols)
+
+
+def carried(x: DataFrame, order_cols: Sequence[str], sums: dict[str, Column] | None = None,
+            maxima: dict[str, Column] | None = None, totals: dict[str, Column] | None = None,
+            tail: Sequence[str] = (), tail_rows: int = 5) -> DataFrame:
+    """A blocked frame with what comes before each row's block in its group: the sum or
+    maximum of each value under its name (null where nothing comes before) and, under
+    ``_tail``, the ``tail`` columns of the last ``tail_rows`` rows as an array of structs in
+    order; ``totals`` are sums over the whole group."""
+    sums, maxima, totals = sums or {}, maxima or {}, totals or {}
+    aggs = [F.sum(c).alias(n) for n, c in (sums | totals).items()] + [F.max(c).alias(n) for n, c in maxima.items()]
+    rows = x
+    if tail:
+        back = Window.partitionBy(GROUP, BLOCK).orderBy(*[F.desc(c) for c in order_cols])
+        rows = x.withColumn("_back", F.row_number().over(back))
+        item = F.struct((-F.col("_back")).alias("_at"), F.struct(*tail).alias("row"))
+        aggs.append(F.sort_array(F.collect_list(F.when(F.col("_back") <= tail_rows, item))).alias("_tail"))
+    per = rows.groupBy(GROUP, BLOCK).agg(*(aggs or [F.count(F.lit(1)).alias("_rows")]))
+    order = Window.partitionBy(GROUP).orderBy(BLOCK)
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    out = [F.sum(n).over(before).alias(n) for n in sums] + [F.max(n).over(before).alias(n) for n in maxima]
+    out += [F.sum(n).over(Window.partitionBy(GROUP)).alias(n) for n in totals]
+    if tail:
+        # every block has a row, so the last rows lie in as many blocks at most
+        near = F.flatten(F.collect_list("_tail").over(order.rowsBetween(-tail_rows, -1)))
+        out.append(F.transform(near, lambda s: s["row"]).alias("_tail"))
+    per = per.select(GROUP, BLOCK, *out)
+    return x.join(per, [GROUP, BLOCK], "left")
 
 
 def grouped_prefix(df: DataFrame, by: Sequence[str], order_cols: Sequence[str], value: Column | None = None,
                    how: str = "sum", inclusive: bool = False, out: str = "_before",
-                   partitions: int | None = None, force: str | None = None) -> DataFrame:
-    """Add ``out`` = ``how`` of ``value`` (1 per row if None) over the rows of the same
-    ``by`` group that come before the row in ``order_cols`` order (and the row itself
-    if ``inclusive``). ``by`` + ``order_cols`` must order each group's rows totally.
-    ``force`` = 'window' / 'distributed' overrides the size check."""
-    by, order_cols = list(by), list(order_cols)
-    agg = _AGG[how]
+                   block: Column | None = None) -> DataFrame:
+    """Add ``out`` = sum or maximum (``how``) of ``value`` (1 per row if None) over the rows of
+    the same ``by`` group before the row in ``order_cols`` order (and the row itself if
+    ``inclusive``). ``by`` + ``order_cols`` must order each group's rows totally. ``block``
+    may give the block of a row, any function that does not fall along the order."""
     val = F.lit(1).cast("bigint") if value is None else value
-    end = 0 if inclusive else -1
-    path = force or ("window" if is_small(df) else "distributed")
-    if path == "window":
-        w = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy(*order_cols) \
-            .rowsBetween(Window.unboundedPreceding, end)
-        res = agg(val).over(w)
-        return df.withColumn(out, F.coalesce(res, F.lit(0)) if how == "sum" else res)
-
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    # the only shuffle of the data: range partitions on (group, order), sorted inside
-    r = (df.withColumn("_val", val).repartitionByRange(n, *by, *order_cols)
-           .sortWithinPartitions(*by, *order_cols)
-           .withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True))
-    vtype = r.schema["_val"].dataType
-    out_schema = T.StructType(list(r.schema.fields) + [T.StructField("_loc", T.DoubleType())])
-    local = r.mapInPandas(_local_prefix_fn(by, how, inclusive), out_schema) \
-             .withColumn("_loc", F.col("_loc").cast(vtype))
-    # offsets exist only where a group continues from an earlier partition: at most one
-    # group crosses each partition boundary, so this table has < n rows (broadcast-safe)
-    per = r.groupBy(*by, "_pid").agg(agg("_val").alias("_pv"))
-    pw = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy("_pid") \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    off = per.select(*[F.col(b).alias(f"_o_{b}") for b in by], F.col("_pid").alias("_o_pid"),
-                     agg("_pv").over(pw).alias("_off")).where(F.col("_off").isNotNull())
-    cond = [local[b].eqNullSafe(off[f"_o_{b}"]) for b in by] + [local["_pid"] == off["_o_pid"]]
-    joined = local.join(F.broadcast(off), cond, "left").drop(*[f"_o_{b}" for b in by], "_o_pid")
-    res = _combine(how, F.col("_off"), F.col("_loc"))
-    return joined.withColumn(out, res).drop("_pid", "_val", "_off", "_loc")
-
-
-def _local_prefix_fn(by: Sequence[str], how: str, inclusive: bool):
-    """Per-partition running aggregate per group, for rows sorted by (group, order).
-
-    Runs inside each task over Arrow batches (pandas, vectorised); the running value of
-    the last group is carried into the next batch of the same partition."""
-    by = list(by)
-
-    def fn(batches):
-        import numpy as np
-        import pandas as pd
-        carry_key, carry = None, None
-        for pdf in batches:
-            if len(pdf) == 0:
-                yield pdf.assign(_loc=pd.Series(dtype="float64"))
-                continue
-            v = pdf["_val"].astype("float64")
-            if by:
-                g = pdf[by].astype(object).where(pdf[by].notna(), "\x00null")
-                grp = (g != g.shift()).any(axis=1).cumsum()
-                first_key, last_key = tuple(g.iloc[0]), tuple(g.iloc[-1])
-            else:
-                grp = pd.Series(np.zeros(len(pdf), dtype="int64"), index=pdf.index)
-                first_key = last_key = ()
-            base = v.fillna(0.0) if how == "sum" else v.fillna(-np.inf)
-            inc = base.groupby(grp).cumsum() if how == "sum" else base.groupby(grp).cummax()
-            cont = carry_key is not None and first_key == carry_key
-            if cont:
-                m = (grp == grp.iloc[0]).to_numpy()
-                inc[m] = inc[m] + carry if how == "sum" else np.maximum(inc[m], carry)
-            if inclusive:
-                loc = inc.copy()
-            elif how == "sum":
-                loc = inc - base
-            else:
-                loc = inc.groupby(grp).shift(1)
-                if cont:
-                    loc.iloc[0] = carry
-            carry_key, carry = last_key, inc.iloc[-1]
-            if how == "max":
-                loc = loc.replace(-np.inf, np.nan)
-            yield pdf.assign(_loc=loc.to_numpy())
-
-    return fn
+    x = blocked(df.withColumn("_val", val), by, order_cols, block)
+    kind = "sums" if how == "sum" else "maxima"
+    x = carried(x, order_cols, **{kind: {"_sofar": F.col("_val")}})
+    w = in_block(order_cols).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    if how == "sum":
+        zero = F.lit(0).cast(df.select(F.sum(val)).schema[0].dataType)
+        res = F.coalesce(F.col("_sofar"), zero) + F.coalesce(F.sum("_val").over(w), zero)
+    else:
+        res = F.greatest("_sofar", F.max("_val").over(w))
+    return x.withColumn(out, res).drop("_val", "_sofar", GROUP, BLOCK)
 
 
 def global_prefix(df: DataFrame, order_cols: Sequence[str], weight: str | None = None,
-                  out: str = "_before", partitions: int | None = None, force: str | None = None) -> DataFrame:
+                  out: str = "_before") -> DataFrame:
     """Add ``out`` = sum of ``weight`` (1 per row if None) over all rows earlier in the
     global ``order_cols`` order (which must be total)."""
     val = None if weight is None else F.col(weight).cast("bigint")
-    return grouped_prefix(df, [], order_cols, val, "sum", False, out, partitions, force) \
-        .withColumn(out, F.col(out).cast("bigint"))
+    return grouped_prefix(df, [], order_cols, val, "sum", False, out).withColumn(out, F.col(out).cast("bigint"))
 
 
-def row_index(df: DataFrame, by: Sequence[str], order_cols: Sequence[str], out: str = "_rn",
-              force: str | None = None) -> DataFrame:
+def row_index(df: DataFrame, by: Sequence[str], order_cols: Sequence[str], out: str = "_rn") -> DataFrame:
     """0-based position of each row within its ``by`` group (order must be total)."""
-    return grouped_prefix(df, by, order_cols, None, "sum", False, out, force=force) \
-        .withColumn(out, F.col(out).cast("bigint"))
+    return grouped_prefix(df, by, order_cols, None, "sum", False, out).withColumn(out, F.col(out).cast("bigint"))
+
+
+def split_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join facts to a table with one row per key (null keys match null keys) where one key may
+    hold a large share of the facts: rows get a salt, a hash of the row, and the small table is
+    repeated once per salt."""
+    n = fan_out(big)
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(n)).cast("int")
+    b = big.withColumn("_key", F.struct(*on)).withColumn("_salt", salt)
+    rest = [c for c in small.columns if c not in on]
+    s = small.select(F.struct(*on).alias("_key"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_salt"), *rest)
+    return b.join(s, ["_key", "_salt"], how).drop("_key", "_salt")

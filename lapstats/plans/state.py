@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import dims
 from ..functions import exprs as X
+from ..operators.ordering import split_join
 
 STATE_KEYS = ("state_id",)
 
@@ -249,7 +250,7 @@ def recommend_plans(states: DataFrame, n: int = 5, cum_table: DataFrame | None =
 # G11 / J4 -------------------------------------------------------------------
 def assess_incidents(plans: DataFrame, incidents: DataFrame, keys=("year", "circuit")) -> DataFrame:
     """Plans joined with their session's safety-car lap (J4): benefit (F18) and advice."""
-    j = plans.join(incidents, list(keys))
+    j = split_join(plans, incidents, list(keys), "inner")
     return j.select("*", X.incident_benefit("pit_laps", "sc_lap").alias("safety_car_benefit"),
                     X.incident_recommendation("pit_laps", "sc_lap").alias("recommended_change"))
 

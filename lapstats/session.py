@@ -35,22 +35,27 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    local_scratch(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    The cluster names it; only when it is unset (local tests) a scratch folder is
-    created so that ``DataFrame.checkpoint()`` and MLlib checkpointing work.
-    """
+    """The shared folder named by ``spark.checkpoint.dir``, or the one already set on the
+    context; a folder that is set is never replaced, and none is made up."""
+    found = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if found.isDefined():
+        return spark.conf.get(CHECKPOINT_CONF, None) or os.path.dirname(found.get())
     path = spark.conf.get(CHECKPOINT_CONF, None)
     if not path:
-        path = tempfile.mkdtemp(prefix="lapstats-ckpt-")
-        try:
-            spark.conf.set(CHECKPOINT_CONF, path)
-        except Exception:  # static conf on some deployments; the context setting suffices
-            pass
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def local_scratch(spark: SparkSession) -> str:
+    """For a local session without a checkpoint folder (tests, bench): set one up."""
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("only a local session may use a machine-local folder")
+    if not spark.conf.get(CHECKPOINT_CONF, None) and not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lapstats-ckpt-"))
+    return ensure_checkpoint_dir(spark)

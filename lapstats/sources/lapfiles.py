@@ -8,7 +8,6 @@ year/circuit filters prune whole directories.
 
 from __future__ import annotations
 
-import json
 import os
 import uuid
 from collections.abc import Mapping, Sequence
@@ -20,6 +19,7 @@ from pyspark.sql import types as T
 from .. import dims
 from ..functions.exprs import parse_lap_time
 from ..operators.clean import interval_to_seconds
+from ..operators.ordering import fan_out
 from ..session import ensure_checkpoint_dir
 
 PARTITIONS = ["year", "circuit"]
@@ -97,35 +97,65 @@ def ingest_session_laps(raw: DataFrame, session_type: str = "R", year: int | Non
 
 # S3 -------------------------------------------------------------------------
 def read_landing(spark: SparkSession, path: str, fmt: str = "parquet", schema=None) -> DataFrame:
-    """One read over a landing directory (partition columns discovered); unreadable
-    files are skipped and malformed text records become nulls instead of failing."""
+    """One read over a landing directory (partition columns discovered). Unreadable files do
+    not fail it; ``_file`` names each row's file, and for text formats ``_corrupt_record``
+    holds a malformed record, so that ``landing_report`` can count both."""
     r = spark.read.option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "false")
     if fmt in ("json", "csv"):
-        r = r.option("mode", "PERMISSIVE")
+        r = r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
+        if schema is not None:
+            schema = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
         if fmt == "csv":
             r = r.option("header", "true")
     if schema is not None:
         r = r.schema(schema)
-    return r.format(fmt).load(path)
+    return r.format(fmt).load(path).withColumn("_file", F.col("_metadata.file_path"))
+
+
+def landing_report(spark: SparkSession, path: str, raw: DataFrame, race: DataFrame, years: Sequence[int],
+                   circuits: Sequence[str]) -> DataFrame:
+    """Per expected (year, circuit) unit: valid rows, files, bad_files (files that gave no row
+    at all), bad_records (malformed text records) and ``ok``: rows, and nothing bad; plus
+    the ok/total counts."""
+    on = ["year", "circuit"]
+    unit = lambda c: (F.regexp_extract(c, r"[/]year=([^/]+)/", 1).cast("int").alias("year"),
+                      F.regexp_extract(c, r"[/]circuit=([^/]+)/", 1).alias("circuit"))
+    # names only: the content column is not asked for
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+              .select(F.regexp_replace("path", "^file:/+", "/").alias("f"))
+              .where(~F.element_at(F.split("f", "/"), -1).rlike("^[_.]")))
+    bad = F.count_if(F.col("_corrupt_record").isNotNull()) if "_corrupt_record" in raw.columns else F.lit(0)
+    read = raw.groupBy(F.regexp_replace("_file", "^file:/+", "/").alias("f")).agg(bad.cast("bigint").alias("bad"))
+    files = (listed.join(read, "f", "left").select(*unit(F.col("f")), "bad").groupBy(*on).agg(
+        F.count(F.lit(1)).alias("files"), F.count_if(F.col("bad").isNull()).alias("bad_files"),
+        F.coalesce(F.sum("bad"), F.lit(0)).alias("bad_records")))
+    grid = spark.createDataFrame([(y, c) for y in years for c in circuits], "year int, circuit string")
+    rows = race.groupBy(*on).agg(F.count(F.lit(1)).alias("rows"))
+    r = grid.join(rows, on, "left").join(files, on, "left").na.fill(0, ["rows", "files", "bad_files", "bad_records"])
+    r = r.withColumn("ok", (F.col("rows") > 0) & (F.col("bad_files") == 0) & (F.col("bad_records") == 0))
+    tot = r.agg(F.count_if("ok").alias("ok_units"), F.count(F.lit(1)).alias("total_units"))
+    return r.crossJoin(F.broadcast(tot))
 
 
 def ingest_all(spark: SparkSession, path: str, fmt: str = "parquet", schema=None,
                years: Sequence[int] = dims.ANALYSIS_YEARS,
                circuits: Sequence[str] = tuple(dims.CIRCUITS)) -> tuple[DataFrame, DataFrame]:
-    """All (year, circuit) units of a landing directory -> (race_data, report). The
-    report lists every expected unit with its row count and ok flag plus ok/total.
-    Unreadable files are skipped, so one broken unit does not fail the others."""
-    from ..operators.stats import ingest_report
-    race = ingest_race_laps(read_landing(spark, path, fmt, schema or LANDING_SCHEMA))
-    return race, ingest_report(race, years, circuits)
+    """All (year, circuit) units of a landing directory -> (race_data, report). One broken
+    unit does not fail the others, and the report (``landing_report``) names what was lost."""
+    raw = read_landing(spark, path, fmt, schema or LANDING_SCHEMA)
+    race = ingest_race_laps(raw)
+    return race, landing_report(spark, path, raw, race, years, circuits)
 
 
 # S4 -------------------------------------------------------------------------
 def append_table(df: DataFrame, path: str, idempotent: bool = False) -> None:
     """Append rows partitioned by year/circuit. Plain append duplicates rows when run
     twice (as the reference does); ``idempotent`` replaces only the partitions present
-    in ``df`` (dynamic partition overwrite)."""
-    w = df.write.partitionBy(*PARTITIONS)
+    in ``df`` (dynamic partition overwrite). Rows are clustered by unit and a hash bucket
+    first, so a unit gets a few files and no task holds a whole large unit."""
+    n = fan_out(df)
+    bucket = F.pmod(F.xxhash64(*df.columns), F.lit(n))
+    w = df.repartition(*PARTITIONS, bucket).write.partitionBy(*PARTITIONS)
     if idempotent:
         w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
@@ -159,10 +189,20 @@ def available_sessions(laps: DataFrame) -> DataFrame:
 
 # S8 / S9 --------------------------------------------------------------------
 def adhoc_sql(spark: SparkSession, query: str, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Run user SQL over the given tables registered as temporary views. Errors raise."""
+    """Run user SQL over the given tables, as common table expressions in front of it: views
+    of the caller keep their meaning outside the query. Errors raise (D9)."""
+    names = {name: f"_adhoc_{uuid.uuid4().hex}" for name in tables}
     for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(query)
+        df.createOrReplaceTempView(names[name])
+    try:
+        ctes = ", ".join(f"`{name}` as (select * from `{view}`)" for name, view in names.items())
+        text = query.strip()
+        if text[:4].lower() == "with":
+            return spark.sql(f"with {ctes}, {text[4:]}" if ctes else text)
+        return spark.sql(f"with {ctes} {text}" if ctes else text)
+    finally:
+        for view in names.values():
+            spark.catalog.dropTempView(view)
 
 
 def table_inventory(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -191,6 +231,11 @@ def plans_from_json(df: DataFrame, col: str = "plan_json") -> DataFrame:
 
 
 # S11 ------------------------------------------------------------------------
+def append_metric_rows(metrics: DataFrame, path: str) -> None:
+    """Append (metric, value) rows of a frame, stamped with the time, without a detour."""
+    metrics.withColumn("run_ts", F.current_timestamp()).write.mode("append").parquet(path)
+
+
 def append_run_metrics(spark: SparkSession, metrics: Mapping[str, float], path: str) -> DataFrame:
     """Append one timestamped (run_ts, metric, value) row per metric; returns the rows."""
     rows = [(k, float(v) if v is not None else None) for k, v in metrics.items()]
@@ -198,6 +243,3 @@ def append_run_metrics(spark: SparkSession, metrics: Mapping[str, float], path:
     df.write.mode("append").parquet(path)
     return df
 
-
-def metrics_json(metrics: Mapping[str, float]) -> str:
-    return json.dumps(dict(metrics), default=str)

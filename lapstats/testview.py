@@ -19,7 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def laps(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .operators.ordering import row_index
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    # row number per user; distributed (range partitions) when events are large
     e = row_index(e, ["user_id"], ["ts", "event_id"], "_rn0").withColumn("rn", F.col("_rn0") + 1).drop("_rn0")
     sidx = F.expr("(rn - 1) div 12")
     long_run = (F.col("user_id") % 50) == 7
@@ -54,8 +53,8 @@ def states(laps_df: DataFrame) -> DataFrame:
     """One race state per lap with a valid compound (FIXTURES.md §2.2)."""
     from .dims import COMPOUNDS
     total = laps_df.groupBy("year", "circuit").agg(F.max("lap_number").alias("total_laps"))
-    # one row per session: AQE broadcasts it at run time when it is small
-    s = laps_df.where(F.col("compound").isin(COMPOUNDS)).join(total, ["year", "circuit"])
+    from .operators.ordering import split_join
+    s = split_join(laps_df.where(F.col("compound").isin(COMPOUNDS)), total, ["year", "circuit"], "inner")
     return s.select(
         F.col("lap_id").alias("state_id"), "year", "circuit", "driver",
         F.col("lap_number").alias("current_lap"), F.col("total_laps").cast("int").alias("total_laps"),

@@ -1,4 +1,4 @@
-"""Invariants and window-vs-distributed agreement on random small panels (hypothesis)."""
+"""Invariants and agreement with plain loops on random small panels (hypothesis)."""
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
@@ -30,38 +30,27 @@ def _rows(df, cols):
 
 @settings(**SETTINGS)
 @given(lap_rows)
-def test_pit_detection_forms_agree(spark, rows):
+def test_sequence_operators_match_a_plain_loop(spark, rows):
     df = _frame(spark, rows)
-    cols = ["year", "circuit", "driver", "pit_lap", "tire_compound_out", "tire_compound_in"]
-    assert _rows(panel.detect_pit_stops(df, force="window"), cols) == \
-        _rows(panel.detect_pit_stops(df, force="distributed"), cols)
-
-
-@settings(**SETTINGS)
-@given(lap_rows)
-def test_rolling_and_asof_forms_agree(spark, rows):
-    df = _frame(spark, rows)
-    pits = panel.detect_pit_stops(df, force="window")
-    for inc in (True, False):
-        a = panel.rolling_mean(df, 3, out="r", include_current=inc, force="window")
-        b = panel.rolling_mean(df, 3, out="r", include_current=inc, force="distributed")
-        assert _rows(a, ["lap_id", "r"]) == _rows(b, ["lap_id", "r"])
-    a = panel.laps_since_pit(df, pits, force="window")
-    b = panel.laps_since_pit(df, pits, force="distributed")
-    assert _rows(a, ["lap_id", "laps_since_pit"]) == _rows(b, ["lap_id", "laps_since_pit"])
-
-
-@settings(**SETTINGS)
-@given(lap_rows)
-def test_row_index_dense_and_forms_agree(spark, rows):
-    df = _frame(spark, rows)
-    a = row_index(df, ["driver"], ["lap_number", "lap_id"], force="window")
-    b = row_index(df, ["driver"], ["lap_number", "lap_id"], force="distributed")
-    assert _rows(a, ["lap_id", "_rn"]) == _rows(b, ["lap_id", "_rn"])
-    per = {}
-    for r in a.collect():
-        per.setdefault(r.driver, []).append(r._rn)
-    assert all(sorted(v) == list(range(len(v))) for v in per.values())
+    by = {}
+    for i, (d, lap, c, life, t) in enumerate(rows):
+        by.setdefault(d, []).append((lap, i, c, life, t))
+    pits, means, index, since = [], [], [], []
+    for d, seq in by.items():
+        seq.sort()
+        stops = [b[0] for a, b in zip(seq, seq[1:]) if a[2] != b[2] or (a[3] is not None and b[3] is not None and b[3] < a[3])]
+        pits += [(d, s) for s in stops]
+        for k, (lap, i, *_, t) in enumerate(seq):
+            vals = [x[4] for x in seq[max(0, k - 2):k + 1] if x[4] is not None]
+            means.append((i, round(sum(vals) / len(vals), 6) if vals else None))
+            index.append((i, k))
+            since.append((i, lap - max([s for s in stops if s <= lap], default=lap)))
+    found = panel.detect_pit_stops(df)
+    assert _rows(found, ["driver", "pit_lap"]) == sorted(pits)
+    got = {r.lap_id: r.r for r in panel.rolling_mean(df, 3, out="r").collect()}
+    assert {k: v if v is None else round(v, 6) for k, v in got.items()} == dict(means)
+    assert _rows(row_index(df, ["driver"], ["lap_number", "lap_id"]), ["lap_id", "_rn"]) == sorted(index)
+    assert _rows(panel.laps_since_pit(df, found), ["lap_id", "laps_since_pit"]) == sorted(since)
 
 
 def test_rolling_one_is_the_value(spark):

@@ -1,9 +1,9 @@
 """Measure task skew of the sequence features on a lap table with one hot key.
 
 One (year, circuit, driver) key is given a third of all laps (the rest keep their own
-keys). ``engineer_features`` runs once with ordinary windows and once with the
-distributed forms; Spark's event log (written to a fresh scratch folder) gives, per
-run, the largest share of shuffle-read records that any single task handled.
+keys). The sequence features and the hot-key joins run on it; Spark's event log (written
+to a fresh scratch folder) gives, per operator, the largest share of shuffle-read records
+that any single task handled.
 
 Usage: python tools/skew_probe.py [sf_dir]
 """
@@ -24,7 +24,9 @@ def main(sf_dir: str) -> None:
     from pyspark.sql import SparkSession, functions as F
     from lapstats import testview
     from lapstats.operators import clean, panel
-    from lapstats.session import ensure_checkpoint_dir
+    from lapstats.operators.model import linear_degradation, linear_predict
+    from lapstats.plans.state import assess_incidents
+    from lapstats.session import local_scratch
 
     logdir = tempfile.mkdtemp(prefix="lapstats-eventlog-")
     spark = (SparkSession.builder.master("local[8]").appName("skew-probe")
@@ -38,7 +40,7 @@ def main(sf_dir: str) -> None:
              .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    local_scratch(spark)
     laps = testview.laps(spark, sf_dir)
     hot = (F.col("lap_id") % 3) == 0
     skewed = laps.select(
@@ -48,11 +50,22 @@ def main(sf_dir: str) -> None:
         F.when(hot, F.col("lap_id").cast("int")).otherwise(F.col("lap_number")).alias("lap_number"),
         "lap_time", "compound", "stint", "tyre_life", "track_status", "position", "gap_to_leader")
     base = clean.normalise_columns(clean.remove_invalid_laps(skewed)).checkpoint()
+    plans = skewed.select("year", "circuit", "lap_id", F.array("lap_number").alias("pit_laps"))
     results = {}
-    for mode in ("window", "distributed"):
+    pits = panel.detect_pit_stops(skewed)
+    jobs = {
+        "engineer_features": lambda: panel.engineer_features(base, None),
+        "relative_performance": lambda: panel.relative_performance(skewed),
+        "states": lambda: testview.states(skewed),
+        "incident_join": lambda: assess_incidents(plans, testview.incidents(skewed)),
+        "linear_predict": lambda: linear_predict(skewed, linear_degradation(skewed)),
+        "iqr_by_circuit": lambda: clean.iqr_filter(skewed, by=["circuit"]),
+        "laps_since_pit": lambda: panel.laps_since_pit(skewed, pits),
+    }
+    for mode, make in jobs.items():
         spark.sparkContext.setJobGroup(mode, mode)
         t = time.perf_counter()
-        panel.engineer_features(base, None, force=mode).write.format("noop").mode("overwrite").save()
+        make().write.format("noop").mode("overwrite").save()
         results[mode] = {"sec": round(time.perf_counter() - t, 2)}
     spark.stop()
 
