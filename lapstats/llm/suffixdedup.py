@@ -263,62 +263,59 @@ def sorted_groups(contexts: DataFrame, length: int) -> DataFrame:
 
 # --- hot anchors ---------------------------------------------------------------------------
 def hot_windows(contexts: DataFrame, length: int) -> DataFrame:
-    """The same for anchors with very many contexts, by counting hashes only."""
+    """The same for anchors with very many contexts, by counting hashes only.
+
+    Windows are taken by their distance from the anchor, in cells of ever fewer distances,
+    down to one. A cell whose whole string comes twice repeats; one whose common string (the
+    bytes that all windows of the cell share) is unique does not; the others go on."""
+    settled, todo = None, contexts
+    for grid in (max(1, length // 12), max(1, length // 66), 1):
+        cells = materialise(cells_of(todo, length, grid), "cells")
+        hulls = cells.groupBy("core", "hull").agg(F.count("*").alias("same"))
+        marked = cells.join(hulls, ["core", "hull"])
+        found = marked.where("same > 1 and alone").select("t1", "t2", "lo", "hi")
+        settled = found if settled is None else settled.unionByName(found)
+        if grid == 1:
+            break
+        mixed = (hulls.groupBy("core").agg(F.count("*").alias("kinds"), F.min("same").alias("least"))
+                 .where("kinds > 1 and least = 1").select("core"))
+        # cells that repeat stay as partners of the others
+        wanted = (marked.join(mixed, "core", "left_semi")
+                  .select("t1", "t2", "a", F.col("lo").alias("first"), F.col("hi").alias("last"),
+                          F.expr("alone and same = 1").alias("open")))
+        todo = materialise(
+            todo.join(wanted, ["t1", "t2", "a"]).where(f"first >= lo and last <= lo + length(context) - {length}")
+            .select("t1", "t2", "a", F.col("first").alias("lo"), F.col("open").alias("alone"),
+                    F.expr(f"substring(context, first - lo + 1, last - first + {length})").alias("context")), "mixed-cells")
+    return settled
+
+
+def cells_of(contexts: DataFrame, length: int, grid: int) -> DataFrame:
+    """(t1, t2, a, lo, hi, alone, core, hull): the cells of ``grid`` distances of each context."""
 
-    grid = max(1, length // 12)      # offsets in a range
-
-    def ranges(batches):
+    def run(batches):
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64())
         for batch in batches:
-            out = [[] for _ in range(7)]
+            out = [[] for _ in kinds]
             for t1, t2, a, lo, alone, c in zip(*(batch.column(x).to_pylist() for x in ("t1", "t2", "a", "lo", "alone", "context"))):
                 raw = np.frombuffer(c, np.uint8)
                 prefix, left, windows = prefix_hash(raw), a - lo, len(raw) - length + 1
-                far = np.arange(left - windows + 1, left + 1)       # distances of the windows from the anchor
-                cells = np.unique(far // grid)
-                small, large = np.maximum(cells * grid, far[0]), np.minimum(cells * grid + grid - 1, far[-1])
+                far = (left - windows + 1, left)                    # distances of the windows from the anchor
+                cells = np.arange(far[0] // grid, far[1] // grid + 1)
+                small, large = np.maximum(cells * grid, far[0]), np.minimum(cells * grid + grid - 1, far[1])
                 # common to all windows of the cell, whether served here or not
-                core = span_hash(prefix, left - cells * grid, np.minimum(left - (cells + 1) * grid + 1 + length, len(raw)))
+                core = span_hash(prefix, left - cells * grid, left - (cells + 1) * grid + 1 + length)
                 hull = span_hash(prefix, left - large, left - small + length)
-                core = mix(core ^ mix(cells.astype(np.uint64)))
-                hull = mix(hull ^ mix((small * 4096 + large).astype(np.uint64)))
-                for i in range(len(cells)):
-                    for col, v in zip(out, (t1, t2, left - int(large[i]) + lo, left - int(small[i]) + lo, alone,
-                                            int(core[i].astype(np.int64)), int(hull[i].astype(np.int64)))):
-                        col.append(v)
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64())
+                core = mix(core ^ mix(cells.astype(np.uint64))).astype(np.int64)
+                hull = mix(hull ^ mix((small * 65536 + large).astype(np.uint64))).astype(np.int64)
+                n = len(cells)
+                for col, v in zip(out, ([t1] * n, [t2] * n, [a] * n, (a - large).tolist(), (a - small).tolist(), [alone] * n,
+                                        core.tolist(), hull.tolist())):
+                    col.extend(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)],
-                                             names=["t1", "t2", "lo", "hi", "alone", "core", "hull"])
-
-    cells = materialise(map_arrow(contexts, ranges, SPAN + ", alone boolean, core long, hull long"), "cells")
-    hulls = cells.groupBy("core", "hull").agg(F.count("*").alias("same"), F.min("lo").alias("_l"))
-    cores = (hulls.groupBy("core").agg(F.count("*").alias("kinds"), F.min("same").alias("least")))
-    marked = cells.join(hulls.select("core", "hull", "same"), ["core", "hull"])
-    settled = marked.where("same > 1 and alone").select("t1", "t2", "lo", "hi")
-    # cells that share their core with another string: compare single windows
-    mixed = cores.where("kinds > 1 and least = 1").select("core")
-    wanted = materialise(marked.join(mixed, "core", "left_semi")
-                         .select("t1", "t2", "lo", "hi", F.expr("alone and same = 1").alias("alone")), "mixed-cells")
-    keyed = contexts.select("t1", "t2", F.col("lo").alias("from"), "context", F.expr(f"lo + length(context) - {length}").alias("to"))
-    pieces = keyed.join(wanted, ["t1", "t2"]).where("lo >= `from` and hi <= to").select(
-        "t1", "t2", "lo", "hi", "alone",
-        F.expr(f"substring(context, lo - `from` + 1, hi - lo + {length})").alias("context"))
-
-    def single(batches):
-        for batch in batches:
-            for t1, t2, lo, alone, c in zip(*(batch.column(x).to_pylist() for x in ("t1", "t2", "lo", "alone", "context"))):
-                raw = np.frombuffer(c, np.uint8)
-                at = np.arange(len(raw) - length + 1)
-                one, two = (span_hash(prefix_hash(raw, v), at, at + length).astype(np.int64) for v in (BYTE_VALUE, SECOND))
-                n = len(at)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(n, t1)), pa.array(np.full(n, t2)), pa.array((lo + at).astype(np.int32)),
-                    pa.array(np.full(n, alone)), pa.array(one), pa.array(two)],
-                    names=["t1", "t2", "lo", "alone", "one", "two"])
-
-    windows = map_arrow(pieces, single, "t1 long, t2 long, lo int, alone boolean, one long, two long")
-    twice = windows.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    found = windows.where("alone").join(twice, ["one", "two"], "left_semi").select("t1", "t2", "lo", F.col("lo").alias("hi"))
-    return settled.unionByName(found)
+                                             names=["t1", "t2", "a", "lo", "hi", "alone", "core", "hull"])
+
+    return map_arrow(contexts, run, "t1 long, t2 long, a int, lo int, hi int, alone boolean, core long, hull long")
 
 
 # --- whole operator ------------------------------------------------------------------------
