@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 CHUNK_BYTES = 4 << 20   # texts handled at once inside a task
-M64 = (1 << 64) - 1
+LINKS_PER_TASK = 200_000
 
 
 # --- shared folder ------------------------------------------------------------------
@@ -193,30 +193,29 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     Alternating large-star / small-star contraction: each round links every vertex to the
     smallest vertex of its neighbourhood; rounds grow with the logarithm of the longest
     chain. Only grouped minima are shuffled, so a vertex with very many links is reduced
-    before the shuffle. Each round is checkpointed in the shared folder. Vertices without
-    an edge do not appear.
+    before the shuffle. Each round is written to the shared folder. Vertices without an edge
+    do not appear.
     """
-    shared_dir(edges.sparkSession)
-    links = (edges.where("a <> b")
-             .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-             .distinct().checkpoint())
-    if links.isEmpty():
-        return links.select(F.col("a").alias("id"), F.col("b").alias("component"))
+    spark = edges.sparkSession
+    links = materialise(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+                        .distinct(), name)
     seen = None
     while True:
+        state = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if state == seen or not state[0]:
+            return links.select(F.col("a").alias("id"), F.col("b").alias("component"))
+        seen = state
+        # few links need few tasks: about LINKS_PER_TASK each
+        tasks = min(-(-state[0] // LINKS_PER_TASK), int(spark.conf.get("spark.sql.shuffle.partitions")))
         # large star: every neighbour above a vertex moves to the vertex's smallest neighbour
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("m", "a"))
-        large = (both.where("b > a").join(low, "a")
-                 .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+        large = (both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+                 .coalesce(tasks).distinct())
         # small star: a vertex and its smaller neighbours move to the smallest of them
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .where("a <> b").unionByName(low.select("a", F.col("m").alias("b")))
-                 .distinct())
-        links = small.checkpoint()
-        state = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == seen:
-            break
-        seen = state
-    return links.select(F.col("a").alias("id"), F.col("b").alias("component"))
+        small = (large.join(low, "a", "left").select("a", "b", "m").coalesce(tasks)
+                 .select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
+                                           F.struct("a", F.col("m").alias("b")))).alias("l"))
+                 .select("l.a", "l.b").where("a <> b").distinct().coalesce(tasks))
+        links = materialise(small, name)

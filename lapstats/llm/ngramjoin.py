@@ -6,20 +6,22 @@ shingle set are one point. The join works on regions:
 1. *Regions.* A pair within the radius differs in at most D shingles, D from the sizes. Each
    set is cut by hash range into more than D parts, so that a linked pair has an equal
    non-empty part (parts empty in both are allowed for; see ``Parts``). Points with an equal
-   part share a region, so every link lies inside some region.
-2. *Pivots.* Every region names a pivot, and the distance of each member to it is computed
-   exactly from the texts. A point thereby knows the distances to the pivots of its regions,
-   and belongs to the Voronoi cell of the nearest; members within the radius are linked.
-3. *Windows.* Two members can only be linked when their distances to a common pivot differ by
-   no more than the radius (triangle inequality). Members of one component need no further
-   test. So a region is finished when what remains of it, without its pivots, is one
-   component; in the others, the pairs of different components inside the window remain.
-4. *Recursion.* Unfinished regions get another pivot, from their smallest component, as long
-   as the pairs that remain outnumber the rows of the regions; then the remaining pairs are
-   tested. Nothing is capped: the union of the tests covers every pair that can be linked.
-
-Copies never multiply rows (a region holds points, not documents), regions are grouped by
-aggregation, and joins on hot regions are left to Spark's skew handling.
+   part share a region, so every link lies inside some region. Of regions with the same
+   members one is kept.
+2. *Pivots.* Inside a region points are compared by sketches (a byte for each of twice as
+   many parts): a linked pair differs in no more parts than shingles, which rules out nearly
+   all other pairs exactly. Each point with a possible partner takes the most similar one as
+   a pivot; that distance is counted on the texts. The nearest pivot counted gives the
+   point's Voronoi cell, and pivots within the radius are links.
+3. *Windows and recursion.* Links join points into components. Regions whose members are one
+   component are finished. The others are joined again: pairs of different components that
+   the sketches allow and whose distances to a common pivot differ by no more than the radius
+   (triangle inequality). Those are counted too, and close the components. Nothing is capped:
+   every pair that can be linked is counted or lies in one component.
+
+Copies never multiply rows: a region holds points, not documents. A region with more than
+``BLOCK`` members is cut into blocks, and each pair of blocks is a task's own group, so no
+group in a task grows with the data.
 
 Shingles, sets and parts are compared by 64-bit hashes; distances are counted on the sets of
 both texts. Defined cases: texts without words (or null) have the empty set and no links;
@@ -35,13 +37,15 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import (LOWER, chunks, components, map_arrow, materialise, mix, prefix_hash, span_hash,
                      text_buffer, words)
 
 STEP = np.uint64(0x9E3779B97F4A7C15)
+BLOCK = 1024        # members of a region that one task compares with one another
+CLASS_BITS = 6      # low bits of a region's key: the size class
 
 
 # --- sets -----------------------------------------------------------------------------
@@ -96,6 +100,7 @@ class Parts:
 
     def __init__(self, percent: int):
         self.percent = percent
+        self.cuts: dict[int, np.ndarray] = {}
         self.edges = [1]
         grow = (100 / percent) ** 2
         while self.edges[-1] < 1 << 40:
@@ -106,75 +111,211 @@ class Parts:
         """(parts, slack, lower ends of the hash ranges, keys of the parts) of class j."""
         low, high = self.edges[j], self.edges[j + 1] - 1
         differ = 2 * high * (100 - self.percent) // (100 + self.percent)
-        empty = (differ + 1) * math.exp(-low * self.percent / 100 / (differ + 1))
-        slack = math.ceil(empty + 2 * math.sqrt(empty)) if differ else 0
+        empty = (differ + 1) * math.exp(-low * self.percent / 100 / (differ + 1))     # expected in the smallest sets
+        slack = math.ceil(empty + 4 * math.sqrt(empty) + 1) if differ else 0
         k = differ + 1 + slack
         cuts = np.array([p * (1 << 64) // k for p in range(k)], np.uint64)
         seeds = mix(np.arange(k, dtype=np.uint64) + np.array([j], np.uint64) * STEP)
         return k, slack, cuts, seeds
 
-    def keys(self, s: np.ndarray) -> np.ndarray:
-        """Region keys of a sorted set."""
-        n, out = len(s), []
-        j = bisect_right(self.edges, n) - 1
-        classes = [j]
-        while 100 * n >= self.percent * self.edges[classes[-1] + 1]:
-            classes.append(classes[-1] + 1)
-        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(s + STEP), dtype=np.uint64)))
-        for j in classes:
-            k, slack, cuts, seeds = self.shape(j)
-            if k == 1:      # sets that small are linked only when equal
-                continue
-            ends = np.append(np.searchsorted(s, cuts), n)
-            sums = total[ends[1:]] - total[ends[:-1]]
-            full = ends[1:] > ends[:-1]
-            if k - int(full.sum()) > slack:
-                full[:] = True
-            out.append(mix(sums[full] ^ seeds[full]))
-        return np.concatenate(out) if out else np.zeros(0, np.uint64)
+    def classes(self, n: int) -> list[int]:
+        """The classes in which a set of n shingles meets others, smallest first."""
+        found = [bisect_right(self.edges, n) - 1]
+        while 100 * n >= self.percent * self.edges[found[-1] + 1]:
+            found.append(found[-1] + 1)
+        return [j for j in found if self.shape(j)[0] > 1]     # smaller sets are linked only when equal
+
+    def differ(self, a, b):
+        """The most shingles in which linked sets of sizes a and b differ."""
+        return (a + b) * (100 - self.percent) // (100 + self.percent)
+
+    def keys(self, s: np.ndarray, j: int, total: np.ndarray) -> np.ndarray:
+        """Region keys of a sorted set in class j; ``total`` are its running sums."""
+        k, slack, cuts, seeds = self.shape(j)
+        ends = np.append(np.searchsorted(s, cuts), len(s))
+        sums = total[ends[1:]] - total[ends[:-1]]
+        full = ends[1:] > ends[:-1]
+        if k - int(full.sum()) > slack:
+            full[:] = True
+        low = np.uint64((1 << CLASS_BITS) - 1)
+        return mix(sums[full] ^ seeds[full]) & ~low | np.uint64(j) & low
+
+    def sketch(self, s: np.ndarray, j: int, total: np.ndarray) -> bytes:
+        """A byte for each of 2 * k parts; sets differ in no more parts than shingles."""
+        n = 2 * self.shape(j)[0]
+        cuts = np.array([p * (1 << 64) // n for p in range(n)], np.uint64) if n not in self.cuts else self.cuts[n]
+        self.cuts[n] = cuts
+        ends = np.append(np.searchsorted(s, cuts), len(s))
+        return (mix(total[ends[1:]] - total[ends[:-1]]) >> np.uint64(56)).astype(np.uint8).tobytes()
+
+
+def running(s: np.ndarray) -> np.ndarray:
+    """Running sums of a sorted set's mixed hashes."""
+    return np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(s + STEP), dtype=np.uint64)))
 
 
 # --- the join --------------------------------------------------------------------------
-def points(docs: DataFrame, n: int, id_col: str, text: str) -> DataFrame:
-    """(id, n_shingles, node): the point of each document; null for the empty set."""
+def points(docs: DataFrame, n: int, percent: int, id_col: str, text: str) -> DataFrame:
+    """(id, n_shingles, node, sketches): the point of each document; null for the empty set."""
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
+    kind = pa.list_(pa.struct([("j", pa.int32()), ("s", pa.binary())]))
 
     def run(batches):
+        parts = Parts(percent)
         for batch in batches:
             for a, sets in column_sets(batch.column("text"), n):
+                sums = [running(s) for s in sets]
                 yield pa.RecordBatch.from_arrays([
                     batch.column("id").slice(a, len(sets)), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([point(s) if len(s) else None for s in sets], pa.int64())],
-                    names=["id", "n_shingles", "node"])
+                    pa.array([point(s) if len(s) else None for s in sets], pa.int64()),
+                    pa.array([[{"j": j, "s": parts.sketch(s, j, t)} for j in parts.classes(len(s))] if len(s) else []
+                              for s, t in zip(sets, sums)], kind)], names=["id", "n_shingles", "node", "sketches"])
 
-    return map_arrow(src, run, "id long, n_shingles long, node long")
+    return map_arrow(src, run, "id long, n_shingles long, node long, sketches array<struct<j:int,s:binary>>")
 
 
 def regions(docs: DataFrame, n: int, percent: int, text: str) -> DataFrame:
-    """(key, node): the regions of every point."""
+    """(key, node, members): regions of at least two points, one for each set of members."""
 
     def run(batches):
         parts = Parts(percent)
         for batch in batches:
             for _, sets in column_sets(batch.column(0), n):
                 found = {point(s): s for s in sets if len(s)}
-                keys = [parts.keys(s) for s in found.values()]
+                keys, nodes = [], []
+                for node, s in found.items():
+                    total = running(s)
+                    for j in parts.classes(len(s)):
+                        keys.append(parts.keys(s, j, total))
+                        nodes.append(np.full(len(keys[-1]), node, np.int64))
                 if not keys:
                     continue
-                key = np.concatenate(keys).astype(np.int64)
-                node = np.repeat(np.array(list(found), np.int64), [len(k) for k in keys])
+                key, node = np.concatenate(keys).astype(np.int64), np.concatenate(nodes)
                 for i in range(0, len(key), 200_000):
                     yield pa.RecordBatch.from_arrays([pa.array(key[i:i + 200_000]), pa.array(node[i:i + 200_000])],
                                                      names=["key", "node"])
 
-    return map_arrow(docs.select(F.col(text)), run, "key long, node long")
+    # one shuffle: a point has rows in very many regions, so no region outweighs a task
+    rows = map_arrow(docs.select(F.col(text)), run, "key long, node long").repartition("key").dropDuplicates()
+    whole = Window.partitionBy("key")
+    rows = (rows.withColumn("lo", F.min("node").over(whole)).withColumn("hi", F.max("node").over(whole))
+            .withColumn("members", F.count("*").over(whole))
+            .withColumn("mark", F.expr("bit_xor(xxhash64(node))").over(whole)).where("lo < hi"))
+    rows = materialise(rows, "region-rows")
+    once = (rows.groupBy(F.expr(f"key & {(1 << CLASS_BITS) - 1}").alias("j"), "members", "lo", "hi", "mark")
+            .agg(F.min("key").alias("key")).select("key"))
+    return materialise(rows.join(once, "key", "left_semi").select("key", "node", "members"), "regions")
+
+
+def grouped(rows: DataFrame, sketches: DataFrame, compare, schema: str) -> DataFrame:
+    """``compare`` over each region, or each pair of blocks of a larger one.
+
+    It gets (class, side of each member, columns of the members) and yields Arrow batches."""
+    extra = [c for c in rows.columns if c not in ("key", "node", "members")]
+    rows = rows.withColumn("j", F.expr(f"cast(key & {(1 << CLASS_BITS) - 1} as int)"))
+    rows = rows.join(sketches, ["node", "j"])
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    rows = (rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+            .withColumn("b1", F.least("mine", "other")).withColumn("b2", F.greatest("mine", "other"))
+            .select("key", "b1", "b2", "j", "mine", "node", "n", "s", *extra)
+            .repartition("key", "b1", "b2").sortWithinPartitions("key", "b1", "b2"))
+
+    def run(batches):
+        held, size, last = [], 0, None
+
+        def groups():
+            table = pa.Table.from_batches(held)
+            ids = np.stack([table.column(c).to_numpy() for c in ("key", "b1", "b2")])
+            cuts = np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), table.num_rows]):
+                part = table.slice(a, b - a)
+                if b - a > 1:
+                    yield from compare(part.column("j")[0].as_py(), part.column("mine").to_numpy(), part)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            # whole groups only: what follows the last change of group waits
+            ids = np.stack([batch.column(c).to_numpy() for c in ("key", "b1", "b2")])
+            change = np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0))
+            first = tuple(ids[:, 0])
+            if held and first != last:
+                yield from groups()
+                held = []
+            if len(change):
+                held.append(batch.slice(0, int(change[-1]) + 1))
+                yield from groups()
+                held = [batch.slice(int(change[-1]) + 1)]
+            else:
+                held.append(batch)
+            last = tuple(ids[:, -1])
+        if held:
+            yield from groups()
+
+    return map_arrow(rows, run, schema)
+
+
+def allowed(parts: Parts, j: int, side: np.ndarray, sketch: np.ndarray, sizes: np.ndarray, i: int) -> tuple:
+    """(members after i that may be linked with i, their numbers of equal parts)."""
+    equal = (sketch[i + 1:] == sketch[i]).sum(axis=1)
+    ok = sketch.shape[1] - equal <= parts.differ(sizes[i + 1:], sizes[i])
+    if side[0] != side[-1] or (side != side[0]).any():      # two blocks: only pairs across
+        ok &= side[i + 1:] != side[i]
+    found = np.flatnonzero(ok)
+    return found + i + 1, equal[found]
+
+
+def pivots(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """(x, p): for each member of a region the partner with the most equal parts."""
+
+    def compare(j, side, table):
+        parts = Parts(percent)
+        node, sizes = table.column("node").to_numpy(), table.column("n").to_numpy()
+        sketch = np.frombuffer(b"".join(table.column("s").to_pylist()), np.uint8).reshape(len(node), -1)
+        best, who = np.zeros(len(node), np.int64), np.full(len(node), -1)
+        for i in range(len(node) - 1):
+            found, equal = allowed(parts, j, side, sketch, sizes, i)
+            if len(found):
+                k = int(equal.argmax())
+                if equal[k] > best[i]:
+                    best[i], who[i] = equal[k], found[k]
+                better = found[equal > best[found]]
+                best[better], who[better] = equal[equal > best[found]], i
+        has = np.flatnonzero(who >= 0)
+        if len(has):
+            x, p = node[has], node[who[has]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, p)), pa.array(np.maximum(x, p))], names=["x", "p"])
+
+    return materialise(grouped(rows, sketches, compare, "x long, p long").distinct(), "pivot-pairs")
+
+
+def crossing(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """(x, p): pairs of different components that sketches and windows allow."""
+    radius = 1 - percent / 100 + 1e-9
+
+    def compare(j, side, table):
+        parts = Parts(percent)
+        node, sizes, comp, cell = (table.column(c).to_numpy() for c in ("node", "n", "comp", "cell"))
+        far = table.column("far").to_numpy()
+        sketch = np.frombuffer(b"".join(table.column("s").to_pylist()), np.uint8).reshape(len(node), -1)
+        for i in range(len(node) - 1):
+            if (comp[i + 1:] == comp[i]).all():
+                continue
+            found, _ = allowed(parts, j, side, sketch, sizes, i)
+            found = found[(comp[found] != comp[i]) & (cell[found] != node[i]) & (cell[i] != node[found])
+                          & ((cell[found] != cell[i]) | (np.abs(far[found] - far[i]) <= radius))]
+            if len(found):
+                x = np.full(len(found), node[i])
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, node[found])), pa.array(np.maximum(x, node[found]))],
+                                                 names=["x", "p"])
 
+    return materialise(grouped(rows, sketches, compare, "x long, p long").distinct(), "window-pairs")
 
-def measured(pairs: DataFrame, where: DataFrame, docs: DataFrame, n: int, percent: int, id_col: str, text: str) -> DataFrame:
-    """(x, p, distance, linked) of pairs of points, counted on the sets of their texts.
 
-    ``where`` has an id for each point; texts of the points in ``pairs`` alone are moved."""
-    asked = pairs.select(F.col("x").alias("node")).union(pairs.select("p")).distinct().join(where, "node")
+def point_texts(nodes: DataFrame, where: DataFrame, docs: DataFrame, n: int, id_col: str, text: str) -> DataFrame:
+    """(node, text) of some points; no other text is kept."""
+    asked = nodes.join(where, "node")
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
     texts = src.join(asked, src["id"].eqNullSafe(asked["id"])).select("node", "text")
 
@@ -185,7 +326,11 @@ def measured(pairs: DataFrame, where: DataFrame, docs: DataFrame, n: int, percen
                 nodes = part.column("node").to_pylist()
                 yield part.filter(pa.array([len(s) > 0 and point(s) == k for s, k in zip(sets, nodes)], pa.bool_()))
 
-    texts = materialise(map_arrow(texts, right, texts.schema).dropDuplicates(["node"]), "region-texts")
+    return materialise(map_arrow(texts, right, texts.schema).dropDuplicates(["node"]), "region-texts")
+
+
+def measured(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """(x, p, distance, linked) of pairs of points, counted on the sets of their texts."""
     rows = (pairs.join(texts.select(F.col("node").alias("x"), F.col("text").alias("xt")), "x")
             .join(texts.select(F.col("node").alias("p"), F.col("text").alias("pt")), "p")
             .select("x", "p", "xt", "pt"))
@@ -211,51 +356,42 @@ def measured(pairs: DataFrame, where: DataFrame, docs: DataFrame, n: int, percen
     return materialise(map_arrow(rows, run, "x long, p long, distance double, linked boolean"), "distances")
 
 
-def links(docs: DataFrame, where: DataFrame, n: int, percent: int, id_col: str, text: str) -> DataFrame:
+def links(docs: DataFrame, found: DataFrame, where: DataFrame, n: int, percent: int, id_col: str, text: str) -> DataFrame:
     """(id, component) of the points that have a link: components of the link graph."""
-    radius = 1 - percent / 100 + 1e-9
-    every = regions(docs, n, percent, text)
-    shared = every.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("_last")) \
-        .where("pivot < _last").drop("_last")
-    left = materialise(every.join(shared, "key").select("key", "node", "pivot").distinct(), "regions")
-    tested, edges = None, None
-    while True:
-        pairs = left.where("node <> pivot").select(F.col("node").alias("x"), F.col("pivot").alias("p")).distinct()
-        got = measured(pairs, where, docs, n, percent, id_col, text)
-        found = got.where("linked").select(F.col("x").alias("a"), F.col("p").alias("b"))
-        edges = found if edges is None else edges.unionByName(found)
-        comp = components(edges)
-        # what remains of the regions without their pivots, with components and distances
-        left = (left.where("node <> pivot")
-                .join(got.select(F.col("x").alias("node"), F.col("p").alias("pivot"), "distance"), ["node", "pivot"])
-                .join(comp.withColumnRenamed("id", "node"), "node", "left")
-                .select("key", "node", F.coalesce("component", "node").alias("comp"), "distance"))
-        mixed = (left.groupBy("key").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"))
-                 .where("_lo < _hi").select("key"))
-        left = materialise(left.join(mixed, "key", "left_semi"), "unfinished")
-        sizes = left.groupBy("key", "comp").agg(F.count("*").alias("_c"), F.min("node").alias("_n"))
-        open_pairs, rows = (sizes.groupBy("key").agg(F.sum("_c").alias("s"), F.sum(F.col("_c") * F.col("_c")).alias("q"))
-                            .agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2), F.sum("s")).first())
-        if not rows:
-            return comp
-        if open_pairs <= 4 * rows:
-            break
-        smallest = sizes.groupBy("key").agg(F.min(F.struct("_c", "_n")).alias("_m")) \
-            .select("key", F.col("_m._n").alias("pivot"))
-        left = left.select("key", "node").join(smallest, "key")
-    a = left.select("key", F.col("node").alias("x"), F.col("comp").alias("xc"), F.col("distance").alias("xd"))
-    b = left.select("key", F.col("node").alias("p"), F.col("comp").alias("pc"), F.col("distance").alias("pd"))
-    rest = (a.join(b, "key").where(f"x < p AND xc <> pc AND abs(xd - pd) <= {radius}").select("x", "p").distinct())
-    got = measured(materialise(rest, "window-pairs"), where, docs, n, percent, id_col, text)
-    return components(edges.unionByName(got.where("linked").select(F.col("x").alias("a"), F.col("p").alias("b"))))
+    rows = regions(docs, n, percent, text)
+    # one document for each point, so that copies do not meet in one task
+    one = where.join(rows.select("node").distinct(), "node", "left_semi").withColumnsRenamed({"node": "_node", "id": "_id"})
+    sketches = materialise(
+        found.join(one, (F.col("node") == F.col("_node")) & F.col("id").eqNullSafe(F.col("_id"))).dropDuplicates(["node"])
+        .select("node", F.col("n_shingles").alias("n"), F.explode("sketches").alias("_s")).select("node", "n", "_s.j", "_s.s"),
+        "sketches")
+    pairs = pivots(rows, sketches, percent)
+    ends = pairs.select(F.col("x").alias("node")).union(pairs.select("p")).distinct()
+    texts = point_texts(ends, where, docs, n, id_col, text)
+    got = measured(pairs, texts, n, percent)
+    edges = got.where("linked").select(F.col("x").alias("a"), F.col("p").alias("b"))
+    comp = components(edges)
+    near = got.select(F.col("x").alias("node"), F.struct("distance", F.col("p").alias("cell")).alias("_d")).union(
+        got.select("p", F.struct("distance", F.col("x").alias("cell")))).groupBy("node").agg(F.min("_d").alias("_d"))
+    # points without any possible partner have no cell and are done
+    left = (rows.join(near.select("node", "_d.cell", F.col("_d.distance").alias("far")), "node")
+            .join(comp.withColumnRenamed("id", "node"), "node", "left")
+            .withColumn("comp", F.coalesce("component", "node")).drop("component"))
+    mixed = (left.groupBy("key").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"))
+             .where("_lo < _hi").select("key"))
+    rest = crossing(left.join(mixed, "key", "left_semi"), sketches, percent)
+    if rest.isEmpty():
+        return comp
+    more = measured(rest, texts, n, percent)
+    return components(edges.unionByName(more.where("linked").select(F.col("x").alias("a"), F.col("p").alias("b"))))
 
 
 def join(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id_col, n_shingles, component_id) per document: component_id is the smallest id that
     is reachable over links of at least ``percent`` percent similarity, its own included."""
-    found = materialise(points(docs, n, id_col, text), "points")
+    found = materialise(points(docs, n, percent, id_col, text), "points")
     where = found.where("node is not null").groupBy("node").agg(F.min("id").alias("id"))
-    comp = links(docs, where, n, percent, id_col, text)
+    comp = links(docs, found, where, n, percent, id_col, text)
     named = (where.join(comp.withColumnRenamed("id", "node"), "node", "left")
              .select("node", "id", F.coalesce("component", "node").alias("comp")))
     least = named.groupBy("comp").agg(F.min("id").alias("component_id"))
