@@ -215,7 +215,8 @@ def pack(rows: DataFrame, capacity: int = 2048, length: str = "length") -> DataF
     key, base, first, offset = slots(runs, capacity)
     earlier = Window.partitionBy(length).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
-    inside = Window.partitionBy("_part", length).orderBy(F.monotonically_increasing_id())
+    # ordered by the whole row, so that a task run again gives the same ranks
+    inside = Window.partitionBy("_part", length).orderBy(*[c for c in kept.columns if c not in ("_part", length)])
     ranked = (kept.withColumn("_rank", F.row_number().over(inside) - 1)
               .join(counts, ["_part", length])
               .withColumn("_rank", F.col("_rank") + F.col("_before")).drop("_before", "_part"))

@@ -11,7 +11,8 @@ candidates that lead after the essential terms. Block results (k rows a query) a
 a ranking per query.
 
 Candidates are packed into blocks by the tasks that read them, queries likewise; every query
-block meets every candidate block, which is the work that the exact search asks for. No
+block meets every candidate block, which is the work that the exact search asks for: the
+join's key is a salt that a candidate block has once and a query block in every value. No
 block is collected or broadcast by hand. Scores are integers: products are summed in float64
 while that is exact, otherwise as Python integers.
 
@@ -124,7 +125,11 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 5, scale: int = 25
         F.col("dim"), F.col("block").alias("cands")), "candidate-blocks")
     asked = materialise(pack(queries, id_col, vector, scale, QUERY_BLOCK).select(
         F.col("dim").alias("qdim"), F.col("block").alias("asked")), "query-blocks")
-    pairs = blocks.crossJoin(asked).where("dim = qdim").select("cands", "asked")
+    # each candidate block has one salt, each query block all: tasks share the candidates out
+    salts = int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = blocks.withColumn("salt", F.pmod(F.xxhash64("cands"), F.lit(salts)).cast("int"))
+    right = asked.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).withColumnRenamed("qdim", "dim")
+    pairs = left.join(right, ["dim", "salt"]).select("cands", "asked")
 
     def run(batches):
         last, ready = None, None
