@@ -464,7 +464,7 @@ def q_optimal_pit_lap_model(spark, sf):
     from .plans import lapmodel as LM
     l = laps(spark, sf)
     st = tv.states(l)
-    cum = LM.cumulative_lap_table(LM.linear_lap_times(linear_degradation(l), LM.age_bound(st)))
+    cum = LM.cumulative_lap_table(LM.linear_lap_times(linear_degradation(l)))
     return _round(LM.optimal_pit_lap_with(st, cum), ["estimated_total_time"])
 
 

@@ -308,7 +308,7 @@ def q_optimal_pit_lap_forest(spark, sf):
     from .plans import lapmodel as LM
     m, split = fitted(spark, sf)
     st = tv.states(laps(spark, sf))
-    cum = LM.cumulative_lap_table(M.forest_lap_times(m, split, LM.age_bound(st)))
+    cum = LM.cumulative_lap_table(M.forest_lap_times(m, split))
     return _round(LM.optimal_pit_lap_with(st, cum), ["estimated_total_time"])
 
 
@@ -319,7 +319,7 @@ def q_recommend_plans_forest(spark, sf):
     from .plans import state as PS
     m, split = fitted(spark, sf)
     st = tv.states(laps(spark, sf))
-    cum = LM.cumulative_lap_table(M.forest_lap_times(m, split, LM.age_bound(st)))
+    cum = LM.cumulative_lap_table(M.forest_lap_times(m, split))
     r = PS.recommend_plans(st, cum_table=cum)
     return _round(r.select("state_id", "rank", "plan_kind", F.array_join(F.transform("pit_laps", lambda x: x.cast(
         "string")), ",").alias("pit_laps"), "total_time", "confidence_score", "risk_level"),

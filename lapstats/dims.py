@@ -61,8 +61,6 @@ DRIVER_NAMES = {
 }
 # name-ending abbreviations restored to upper case by clean_driver_name, in check order
 NAME_ABBREVIATIONS = ["Ver", "Ham", "Rus", "Lec", "Sai", "Nor", "Pia", "Alo", "Str", "Per"]
-TEAMS = ["Red Bull Racing", "Mercedes", "Ferrari", "McLaren", "Aston Martin", "Alpine",
-         "Williams", "RB", "Kick Sauber", "Haas"]
 DEFAULT_RATE_UNKNOWN = 0.25   # tire advantage: unknown compound rate
 DEFAULT_RATE_PLAN = 0.02      # plan costing: unknown compound rate
 # ---------------------------------------------------------------------------
@@ -95,10 +93,6 @@ def driver_dim(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(sorted(DRIVER_NAMES.items()), "code string, full_name string")
 
 
-def years_dim(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(y,) for y in ANALYSIS_YEARS], "year int")
-
-
 def rate_expr(col, default=None):
     """Degradation rate of a compound column as a literal map lookup (no join)."""
     m = F.create_map(*[x for c in COMPOUNDS for x in (F.lit(c), F.lit(DEGRADATION_RATES[c]))])

@@ -211,6 +211,7 @@ def incident_benefit(pit_laps, sc_lap) -> Column:
 
 
 # F19 ------------------------------------------------------------------------
+# The advice texts are output values.
 RECOMMENDATIONS = {
     "none": "Consider pitting during safety car period",
     "near": "Strategy well-positioned for safety car",

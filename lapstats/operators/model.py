@@ -10,6 +10,8 @@ library. ``linear_degradation`` (M8) is the SQL-checkable baseline scorer.
 from __future__ import annotations
 
 import json
+import math
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -134,11 +136,15 @@ def _grid_features(g: DataFrame) -> DataFrame:
         F.lit(0.0).alias("position_change"), F.lit(1.0).alias("relative_performance"))
 
 
-def forest_lap_times(model: DegradationModel, features_df: DataFrame, max_age: DataFrame) -> DataFrame:
-    """Lap-time table (circuit, compound, tire_age, lap_time) for ages 0..max_age: the
-    forest scored once on the (circuit, compound, age) grid, for the planners."""
-    g = _condition_groups(features_df).crossJoin(F.broadcast(max_age))
-    g = g.select("*", F.explode(F.sequence(F.lit(0), F.col("max_age").cast("int"))).alias("tire_age"))
+def forest_lap_times(model: DegradationModel, features_df: DataFrame) -> DataFrame:
+    """(circuit, compound, tire_age, lap_time): the segments on which the forest's prediction is
+    constant as the tyre ages (see ``plans.lapmodel``). They start just above the split points
+    of the features that follow the age; a forest has a bounded number of them."""
+    aged = {i for i, c in enumerate(model.features) if c in ("tire_age", "lap_number", "stint_length", "laps_since_pit")}
+    splits = re.findall(r"feature (\d+) <= (-?[\d.]+(?:E-?\d+)?)", model.pipeline.stages[-1].toDebugString)
+    starts = sorted({0} | {math.floor(float(v)) + 1 for i, v in splits if int(i) in aged and float(v) >= 0})
+    g = _condition_groups(features_df)
+    g = g.select("*", F.explode(F.array(*[F.lit(a) for a in starts])).alias("tire_age"))
     scored = score_laps(model, _grid_features(g))
     return scored.select("circuit", F.col("tire_compound").alias("compound"), "tire_age",
                          F.col("prediction").alias("lap_time"))

@@ -165,18 +165,25 @@ def optimize_plans(races: DataFrame, history: DataFrame | None = None, conventio
 
 
 # G4 -------------------------------------------------------------------------
+LAP_CHUNK = 1000
+
+
 def expand_plan_laps(plans: DataFrame, base_col: str | None = "base_lap_time",
                      default_base: float = 90.0, keys=(*RACE, "plan_key")) -> DataFrame:
     """One row per lap 1..T (C4): stint, compound, tyre age from 1, lap time, and the
-    key event text on each stop lap."""
+    key event text on each stop lap. A stint is expanded in chunks of ``LAP_CHUNK`` laps, so
+    no array grows with the length of a race."""
     t = F.col("total_laps").cast("int")
     base = F.lit(default_base) if base_col is None or base_col not in plans.columns else \
         F.coalesce(F.col(base_col), F.lit(default_base))
     st = plans.select(*keys, base.alias("_base"), F.explode(_stints(F.col("pit_laps"), F.col("compounds"), t))
                       .alias("s"))
-    laps = st.select(*keys, "_base", F.col("s.i").alias("stint_idx"), "s.start", "s.compound", "s.rate", "s.is_pit",
-                     "s.end", F.explode(F.sequence(F.col("s.start"), F.col("s.end"))).alias("lap_number")) \
-             .where(F.col("start") <= F.col("end"))
+    st = st.select(*keys, "_base", F.col("s.i").alias("stint_idx"), "s.start", "s.compound", "s.rate", "s.is_pit", "s.end") \
+           .where(F.col("start") <= F.col("end"))
+    chunk = F.explode(F.sequence(F.lit(0), ((F.col("end") - F.col("start")) / LAP_CHUNK).cast("int")))
+    first = F.col("start") + F.col("_chunk") * LAP_CHUNK
+    laps = st.withColumn("_chunk", chunk).withColumn(
+        "lap_number", F.explode(F.sequence(first, F.least(first + (LAP_CHUNK - 1), F.col("end"))))).drop("_chunk")
     age = F.col("lap_number") - F.col("start") + 1
     return laps.select(
         *keys, "lap_number", (F.col("stint_idx") + 1).alias("stint_number"), "compound", age.alias("tire_age"),

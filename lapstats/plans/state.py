@@ -179,11 +179,6 @@ def plan_cost_from_state(states: DataFrame, pits: Column, comps_in: Column) -> D
 
 
 # G9 / T5 --------------------------------------------------------------------
-def _stop_plan(idx: int, pits: Column, comps: Column, kind: str) -> Column:
-    return F.struct(F.lit(idx).alias("option_idx"), pits.alias("pit_laps"), comps.alias("compounds_in"),
-                    F.lit(kind).alias("plan_kind"))
-
-
 def recommend_plans(states: DataFrame, n: int = 5, cum_table: DataFrame | None = None) -> DataFrame:
     """Up to five plans per state (best window; MEDIUM at mid-distance; SOFT 15 from the
     end if still ahead; two-stop MEDIUM then SOFT when > 25 laps remain; no stop when

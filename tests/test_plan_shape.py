@@ -23,16 +23,16 @@ def test_stays_in_the_jvm(spark, name):
 
 
 @pytest.mark.parametrize("name", CHECK)
-def test_no_window_over_one_partition(spark, name):
-    """Only aggregates and one-row tables may meet in a single partition: no window does."""
+def test_no_window_of_facts_over_one_partition(spark, name):
+    """A window in a single partition stands only on the block summary: one row per block."""
     lines = _plan(E.queries()[name](spark, SF)).splitlines()
-    depth = lambda s: len(re.match(r"[\s:+\-|*()0-9]*", s).group(0))
     for i, line in enumerate(lines):
         if re.search(r"\bWindow \[", line):
-            for below in lines[i + 1:]:
-                if "Exchange" in below:
-                    assert "SinglePartition" not in below, line[:200]
-                    break
+            below = lines[i + 1:]
+            k = next(n for n, x in enumerate(below) if "Exchange" in x)
+            if "SinglePartition" in below[k]:
+                under = next(x for x in below[k + 1:] if re.search(r"Aggregate|Scan|Join|Window", x))
+                assert "Aggregate" in under and "_block" in under, under[:300]
 
 
 def test_scan_prunes_columns(spark):
