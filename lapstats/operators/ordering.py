@@ -21,21 +21,30 @@ from math import ceil, isqrt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLE_PER_BLOCK = 64       # sampled keys for each block boundary
+SAMPLE_PER_BLOCK = 32       # sampled keys for each block boundary
 _CUTS: dict = {}            # boundaries by plan; they steer balance, never results
 GROUP, BLOCK = "_group", "_block"
 
 
+def partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def block_count(df: DataFrame) -> int:
+    """Blocks of an order: as many as shuffle partitions. A block has about that share of all
+    rows, so a (group, block) has no more, however large the group."""
+    return max(2, partitions(df))
+
+
 def fan_out(df: DataFrame) -> int:
-    """Into how many tasks a hot key is split: a quarter of the shuffle partitions, so that a
-    key with a third of all rows gives none of them more than twice the mean."""
-    return max(2, ceil(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) / 4))
+    """Salts of a hot key in a join: half the shuffle partitions."""
+    return max(2, ceil(partitions(df) / 2))
 
 
 def order_block(df: DataFrame, order_cols: Sequence[str]) -> Column:
     """The block of a row: how many boundaries are not above its order key."""
     key = F.struct(*order_cols)
-    n = fan_out(df)
+    n = block_count(df)
     keys = df.select(key.alias("k"))
     plan = (keys.semanticHash(), n)
     if plan not in _CUTS:

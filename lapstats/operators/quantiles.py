@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import fan_out, grouped_prefix, split_join
+from .ordering import block_count, grouped_prefix, split_join
 
 
 def null_join(a: DataFrame, b: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -62,7 +62,7 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], names: Sequ
                                   for i in range(k)])
     inside = F.array(*[F.when(F.col("_x").between(F.col(f"_lo{i}"), F.col(f"_hi{i}")), F.lit(i))
                        for i in range(k)])
-    n = fan_out(df)
+    n = block_count(df)
     ends = F.array(*[F.struct(F.col(f"_lo{i}").alias("lo"), F.col(f"_hi{i}").alias("hi")) for i in range(k)])
     vc = (xj.select(*by, "_x", ends.alias("_ends"), F.explode(F.array_compact(inside)).alias("qi"))
             .select(*by, "qi", "_x", F.get("_ends", F.col("qi")).alias("_b"))

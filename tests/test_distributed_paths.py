@@ -104,7 +104,7 @@ def test_quantiles_with_null_groups(laps, con):
 def test_a_hot_group_is_cut_into_blocks(spark, laps):
     x = ordering.blocked(laps, ["driver"], ["lap_number", "lap_id"])
     per = {r[ordering.BLOCK]: r["count"] for r in x.where("driver = 'HOT'").groupBy(ordering.BLOCK).count().collect()}
-    assert len(per) == ordering.fan_out(laps) and max(per.values()) < 0.8 * sum(per.values())
+    assert len(per) == ordering.block_count(laps) and max(per.values()) < 0.8 * sum(per.values())
 
 
 def test_building_a_query_runs_only_the_samples(spark):
