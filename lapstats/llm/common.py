@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-CHUNK_BYTES = 4 << 20   # texts handled at once inside a task
+CHUNK_BYTES = 1 << 20   # texts handled at once inside a task
 LINKS_PER_TASK = 200_000
 
 

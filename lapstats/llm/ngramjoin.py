@@ -8,8 +8,8 @@ shingle set are one point. The join works on regions:
    non-empty part (parts empty in both are allowed for; see ``Parts``). Points with an equal
    part share a region, so every link lies inside some region. Of regions with the same
    members one is kept.
-2. *Pivots.* Inside a region points are compared by sketches (a byte for each of twice as
-   many parts): a linked pair differs in no more parts than shingles, which rules out nearly
+2. *Pivots.* Inside a region points are compared by sketches (a byte for each of half as
+   many parts again): a linked pair differs in no more parts than shingles, which rules out nearly
    all other pairs exactly. Each point with a possible partner takes the most similar one as
    a pivot; that distance is counted on the texts. The nearest pivot counted gives the
    point's Voronoi cell, and pivots within the radius are links.
@@ -141,8 +141,8 @@ class Parts:
         return mix(sums[full] ^ seeds[full]) & ~low | np.uint64(j) & low
 
     def sketch(self, s: np.ndarray, j: int, total: np.ndarray) -> bytes:
-        """A byte for each of 2 * k parts; sets differ in no more parts than shingles."""
-        n = 2 * self.shape(j)[0]
+        """A byte for each of 3 * k / 2 parts; sets differ in no more parts than shingles."""
+        n = 3 * self.shape(j)[0] // 2
         cuts = np.array([p * (1 << 64) // n for p in range(n)], np.uint64) if n not in self.cuts else self.cuts[n]
         self.cuts[n] = cuts
         ends = np.append(np.searchsorted(s, cuts), len(s))

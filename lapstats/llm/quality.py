@@ -109,7 +109,10 @@ def op4_quality_rules(spark, sf_dir) -> DataFrame:
 
 def clean(spark, docs: DataFrame, sf_dir) -> DataFrame:
     """Pipeline stage: rejected documents go, failing lines go from the others."""
-    kept = measure(docs.select("*")).where("kept")
+    # a filter on ``kept`` would be pushed below the measures and repeat them all; an
+    # empty array drops the row where it stands
+    keep = F.explode(F.when(F.col("kept"), F.array(F.lit(1))).otherwise(F.array().cast("array<int>")))
+    kept = measure(docs).withColumn(P + "keep", keep)
     return kept.withColumns({"text": F.col("cleaned"), "n_chars": F.length("cleaned").cast("long")}).select(*docs.columns)
 
 

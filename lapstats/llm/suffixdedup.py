@@ -39,7 +39,7 @@ from .common import (BYTE_VALUE, chunks, map_arrow, materialise, mix, prefix_has
 
 LENGTH = 400
 HOT = 512
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 SECOND = mix(BYTE_VALUE + np.uint64(0xA0761D6478BD642F))      # byte values of a second hash
 TEXT = ["t1", "t2"]      # two hashes that stand for a text
 SEED = 7                  # makes the second independent of the first
@@ -185,7 +185,7 @@ class Suffixes:
 
     def verified(self, i: np.ndarray, j: np.ndarray, n: np.ndarray) -> np.ndarray:
         """The extensions, shortened to what the bytes really share."""
-        n, step = n.copy(), 1 << 15
+        n, step = n.copy(), 1 << 11
         for a in range(0, len(i), step):
             m = n[a:a + step]
             place = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)

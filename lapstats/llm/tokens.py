@@ -16,7 +16,7 @@ import numpy as np
 from .common import chunks, mix, prefix_hash, span_hash, text_buffer
 
 SPECIAL = "<|endoftext|>"
-TABLE_LIMIT = 1_000_000     # pieces remembered per worker, then forgotten
+TABLE_LIMIT = 200_000       # pieces remembered per worker, then forgotten
 _CUT = re.compile(r"(?<=[^\s\x1c-\x1f]) (?=[^\s\x1c-\x1f])")
 NEWLINE = "\n"
 
@@ -73,7 +73,7 @@ def cut(text: str) -> tuple[int, str, list[str]]:
 class WordIndex:
     """Open-addressing numpy table: 64-bit hash of a word -> its ids in a pool."""
 
-    BITS = 22
+    BITS = 21
 
     def __init__(self):
         self.reset(0)
@@ -281,7 +281,7 @@ def encoder(path: str, kind: type = Encoder) -> PieceTable:
     return _ENCODERS[path, kind]
 
 
-def encode_batches(column, path: str, kind: type = Encoder, limit: int = 4 << 20):
+def encode_batches(column, path: str, kind: type = Encoder, limit: int = 1 << 20):
     """(first row, list of id bytes) over an Arrow string column, near ``limit`` bytes at a time."""
     raw, offsets = text_buffer(column)
     enc = encoder(path, kind)
