@@ -45,7 +45,6 @@ from .common import (LOWER, chunks, components, map_arrow, materialise, mix, pre
 
 STEP = np.uint64(0x9E3779B97F4A7C15)
 BLOCK = 1024        # members of a region that one task compares with one another
-CLASS_BITS = 6      # low bits of a region's key: the size class
 
 
 # --- sets -----------------------------------------------------------------------------
@@ -105,6 +104,8 @@ class Parts:
         grow = (100 / percent) ** 2
         while self.edges[-1] < 1 << 40:
             self.edges.append(max(self.edges[-1] + 1, int(self.edges[-1] * grow)))
+        # the low bits of a region's key hold the class: as many as the last class needs
+        self.low = (1 << len(self.edges).bit_length()) - 1
 
     @lru_cache(maxsize=None)
     def shape(self, j: int) -> tuple[int, int, np.ndarray, np.ndarray]:
@@ -137,8 +138,8 @@ class Parts:
         full = ends[1:] > ends[:-1]
         if k - int(full.sum()) > slack:
             full[:] = True
-        low = np.uint64((1 << CLASS_BITS) - 1)
-        return mix(sums[full] ^ seeds[full]) & ~low | np.uint64(j) & low
+        low = np.uint64(self.low)
+        return mix(sums[full] ^ seeds[full]) & ~low | np.uint64(j)
 
     def sketch(self, s: np.ndarray, j: int, total: np.ndarray) -> bytes:
         """A byte for each of 3 * k / 2 parts; sets differ in no more parts than shingles."""
@@ -202,17 +203,17 @@ def regions(docs: DataFrame, n: int, percent: int, text: str) -> DataFrame:
             .withColumn("members", F.count("*").over(whole))
             .withColumn("mark", F.expr("bit_xor(xxhash64(node))").over(whole)).where("lo < hi"))
     rows = materialise(rows, "region-rows")
-    once = (rows.groupBy(F.expr(f"key & {(1 << CLASS_BITS) - 1}").alias("j"), "members", "lo", "hi", "mark")
+    once = (rows.groupBy(F.expr(f"key & {Parts(percent).low}").alias("j"), "members", "lo", "hi", "mark")
             .agg(F.min("key").alias("key")).select("key"))
     return materialise(rows.join(once, "key", "left_semi").select("key", "node", "members"), "regions")
 
 
-def grouped(rows: DataFrame, sketches: DataFrame, compare, schema: str) -> DataFrame:
+def grouped(rows: DataFrame, sketches: DataFrame, percent: int, compare, schema: str) -> DataFrame:
     """``compare`` over each region, or each pair of blocks of a larger one.
 
     It gets (class, side of each member, columns of the members) and yields Arrow batches."""
     extra = [c for c in rows.columns if c not in ("key", "node", "members")]
-    rows = rows.withColumn("j", F.expr(f"cast(key & {(1 << CLASS_BITS) - 1} as int)"))
+    rows = rows.withColumn("j", F.expr(f"cast(key & {Parts(percent).low} as int)"))
     rows = rows.join(sketches, ["node", "j"])
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("node"), blocks).cast("int")
@@ -287,7 +288,7 @@ def pivots(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
             x, p = node[has], node[who[has]]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, p)), pa.array(np.maximum(x, p))], names=["x", "p"])
 
-    return materialise(grouped(rows, sketches, compare, "x long, p long").distinct(), "pivot-pairs")
+    return materialise(grouped(rows, sketches, percent, compare, "x long, p long").distinct(), "pivot-pairs")
 
 
 def crossing(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -310,7 +311,7 @@ def crossing(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, node[found])), pa.array(np.maximum(x, node[found]))],
                                                  names=["x", "p"])
 
-    return materialise(grouped(rows, sketches, compare, "x long, p long").distinct(), "window-pairs")
+    return materialise(grouped(rows, sketches, percent, compare, "x long, p long").distinct(), "window-pairs")
 
 
 def point_texts(nodes: DataFrame, where: DataFrame, docs: DataFrame, n: int, id_col: str, text: str) -> DataFrame:

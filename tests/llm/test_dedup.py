@@ -120,6 +120,29 @@ def test_ngram_join_with_chains_of_edits(spark, monkeypatch, n, percent, block):
     assert got == brute_groups(docs, n, percent)
 
 
+def test_ngram_join_links_texts_of_high_size_classes(spark):
+    rg = random.Random(97)
+    docs = {}
+    for _ in range(4):
+        base = [f"w{rg.randrange(10**9)}" for _ in range(302)]      # 300 shingles
+        for _ in range(3):
+            docs[len(docs) + 1] = " ".join(base)
+            base[rg.randrange(len(base))] = f"w{rg.randrange(10**9)}"
+    assert min(ngramjoin.Parts(97).classes(300)) >= 64
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngramjoin.join(df, 3, 97).collect()}
+    assert got == brute_groups(docs, 3, 97) and {c for _, c in got.values()} == {1, 4, 7, 10}
+
+
+def test_region_keys_hold_every_size_class():
+    s = np.sort(np.random.default_rng(5).integers(0, 2**64, 200, dtype=np.uint64))
+    for percent in (50, 80, 90, 97, 99):
+        parts = ngramjoin.Parts(percent)
+        assert len(parts.edges) - 2 <= parts.low
+        for j in parts.classes(len(s)):
+            assert set((parts.keys(s, j, ngramjoin.running(s)) & np.uint64(parts.low)).tolist()) == {j}
+
+
 def test_parts_always_meet():
     rg = np.random.default_rng(4)
     for percent in (50, 80, 90):
