@@ -1,18 +1,19 @@
 """Substring deduplication by line or paragraph hashing (operator 2).
 
 A unit is a line (or a paragraph: text between blank lines). It is normalised (lower case,
-white space runs as one space, ends stripped) and digested to 128 bits. Units of at least
-``MIN_WORDS`` words are grouped over the whole corpus by digest; the occurrence with the
-smallest (document id, unit number) stays and every other one is removed. The original
-character offsets of all removed units are kept.
+white space runs as one space, ends stripped) and digested to 128 bits. Units are grouped
+over the whole corpus by digest; the occurrence with the smallest (document id, unit number)
+stays and every other one is removed. The original character offsets of all removed units
+are kept. ``op2_line_dedup`` takes every unit that has a word; callers of ``dedup`` can set a
+floor in words (``MIN_WORDS`` unless they say otherwise), under which units stay.
 
 Digests are reduced before they are shuffled, and only digests that come more than once meet
 the units again, in a join whose hot keys Spark can split; per document only its own units
 are ever collected.
 
 Defined cases: null text stays null and has no units; null ids rank last; rows that share an
-id share ranks, so equal units at equal places in them all stay when first; blank and short
-units are never removed. Extra columns are kept.
+id share ranks, so equal units at equal places in them all stay when first; blank units
+and those under the floor are never removed. Extra columns are kept.
 """
 
 from __future__ import annotations
@@ -103,4 +104,4 @@ def cut(text: str, unit: str, gone: set[int]) -> str:
 
 def op2_line_dedup(spark, sf_dir) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return dedup(docs)
+    return dedup(docs, min_words=1)

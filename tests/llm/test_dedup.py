@@ -212,3 +212,10 @@ def test_line_dedup_awkward(awkward, nothing):
     assert [r.n_units_removed for r in rows if r.doc_id == 6] == [0]
     assert [r.n_units_removed for r in rows if r.doc_id == 7] == [1, 1]
     assert linededup.dedup(nothing).count() == 0
+
+
+def test_op2_takes_short_lines_and_scripts_without_spaces(spark, tmp_path):
+    texts = [(1, "Share\n \n我们的产品非常好用请联系客服\nown"), (2, "share \n \n我们的产品非常好用请联系客服\nother"), (3, "Share")]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.text, r.n_units_removed) for r in linededup.op2_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {1: (texts[0][1], 0), 2: (" \nother", 2), 3: ("", 1)}
