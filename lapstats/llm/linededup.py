@@ -11,8 +11,10 @@ Digests are reduced before they are shuffled, and only digests that come more th
 the units again, in a join whose hot keys Spark can split; per document only its own units
 are ever collected.
 
-Defined cases: null text stays null and has no units; null ids rank last; rows that share an
-id share ranks, so equal units at equal places in them all stay when first; blank units
+Defined cases: null text stays null and has no units; null ids rank last, and each row with
+one is a document of its own; rows that share an id are one document only if their texts are
+equal too (then all of them lose the same units), else they rank by unit number, then by a
+hash pair of the text; blank units
 and those under the floor are never removed. Extra columns are kept.
 """
 
@@ -28,8 +30,10 @@ from pyspark.sql import functions as F
 from .common import extend, map_arrow, materialise
 
 MIN_WORDS = 5
+SEED = 7       # makes the second hash of a text independent of the first
 SEPARATOR = {"line": re.compile(r"\n"), "paragraph": re.compile(r"\n[ \t\r]*\n\s*")}
-UNITS = "_doc long, _unit int, _start int, _end int, _d1 long, _d2 long"
+DOC = ["_doc", "_t1", "_t2", "_copy"]      # what names a document: id, hash pair of its text, row if the id is null
+UNITS = "_doc long, _t1 long, _t2 long, _copy long, _unit int, _start int, _end int, _d1 long, _d2 long"
 
 
 def spans(text: str, unit: str):
@@ -41,43 +45,53 @@ def spans(text: str, unit: str):
     yield at, len(text)
 
 
-def units(df: DataFrame, unit: str, min_words: int, id_col: str, text: str) -> DataFrame:
+def named(df: DataFrame, id_col: str, text: str, names: list[str]) -> DataFrame:
+    """``df`` with the columns of ``DOC`` under ``names``; rows with a null id are written to
+    the shared folder, so that their row numbers stay the same."""
+    doc, t1, t2, copy = names
+    null = F.col(id_col).cast("long").isNull()
+    lone = materialise(df.where(null).withColumn(copy, F.monotonically_increasing_id()), "rows-without-id")
+    rows = df.where(~null).withColumn(copy, F.lit(-1).cast("long")).unionByName(lone)
+    return (rows.withColumn(doc, F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)))
+            .withColumn(t1, F.xxhash64(text)).withColumn(t2, F.xxhash64(F.lit(SEED), text)))
+
+
+def units(rows: DataFrame, unit: str, min_words: int, names: list[str], text: str) -> DataFrame:
     def run(batches):
+        kinds = [pa.int64()] * 4 + [pa.int32()] * 3 + [pa.int64()] * 2
         for batch in batches:
-            cols = ([], [], [], [], [], [])
-            for doc, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            cols = [[] for _ in kinds]
+            for *doc, t in zip(*(c.to_pylist() for c in batch.columns)):
                 for k, (a, b) in enumerate(spans(t, unit) if t else ()):
                     words = t[a:b].lower().split()
                     if len(words) >= min_words:
                         d = hashlib.blake2b(" ".join(words).encode(), digest_size=16).digest()
-                        row = (doc, k, a, b, int.from_bytes(d[:8], "little", signed=True),
+                        row = (*doc, k, a, b, int.from_bytes(d[:8], "little", signed=True),
                                int.from_bytes(d[8:], "little", signed=True))
                         for c, v in zip(cols, row):
                             c.append(v)
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                             names=["_doc", "_unit", "_start", "_end", "_d1", "_d2"])
+                                             names=[*DOC, "_unit", "_start", "_end", "_d1", "_d2"])
 
-    src = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)), F.col(text))
-    return map_arrow(src, run, UNITS)
+    return map_arrow(rows.select(*names, text), run, UNITS)
 
 
 def dedup(df: DataFrame, unit: str = "line", min_words: int = MIN_WORDS, id_col: str = "doc_id",
           text: str = "text") -> DataFrame:
     """``df`` with its text without repeated units, n_units_removed and removed: the original
     (unit, start, end) of each removed unit, in order."""
-    found = materialise(units(df, unit, min_words, id_col, text), "units")
-    rank = F.struct("_doc", "_unit")
+    src = df.drop("removed", "n_units_removed")
+    keys = [f"_line_dedup_2{c}" for c in DOC]
+    rows = named(src, id_col, text, keys)
+    found = materialise(units(rows, unit, min_words, keys, text), "units")
+    rank = F.struct("_doc", "_unit", "_t1", "_t2", "_copy")
     first = (found.groupBy("_d1", "_d2").agg(F.min(rank).alias("_first"), F.max(rank).alias("_last"))
              .where("_first <> _last").drop("_last"))
-    gone = (found.join(first, ["_d1", "_d2"]).where(F.struct("_doc", "_unit") != F.col("_first"))
-            .groupBy("_doc").agg(F.array_sort(F.collect_set(F.struct(
+    gone = (found.join(first, ["_d1", "_d2"]).where(rank != F.col("_first"))
+            .groupBy(*DOC).agg(F.array_sort(F.collect_set(F.struct(
                 F.col("_unit").alias("unit"), F.col("_start").alias("start"), F.col("_end").alias("end")))).alias("removed")))
-    key = "_line_dedup_2_doc"
-    keyed = df.drop("removed", "n_units_removed").withColumn(key, F.coalesce(F.col(id_col).cast("long"), F.lit(2**63 - 1)))
-    joined = keyed.join(gone.withColumnRenamed("_doc", key), key, "left").drop(key)
-    schema = extend(df.drop("removed", "n_units_removed").schema,
-                    "n_units_removed int, removed array<struct<unit:int,start:int,end:int>>")
+    joined = rows.join(gone.withColumnsRenamed(dict(zip(DOC, keys))), keys, "left").drop(*keys)
+    schema = extend(src.schema, "n_units_removed int, removed array<struct<unit:int,start:int,end:int>>")
     names = schema.names
 
     def run(batches):

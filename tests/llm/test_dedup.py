@@ -219,3 +219,20 @@ def test_op2_takes_short_lines_and_scripts_without_spaces(spark, tmp_path):
     spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: (r.text, r.n_units_removed) for r in linededup.op2_line_dedup(spark, str(tmp_path)).collect()}
     assert got == {1: (texts[0][1], 0), 2: (" \nother", 2), 3: ("", 1)}
+
+
+def test_line_dedup_rows_without_id_or_with_a_shared_one(spark):
+    a, b, c, d = (f"line {x} of five words" for x in "abcd")
+    texts = [(1, f"{a}\n{b}"), (None, f"{c}\n{b}"), (None, f"{d}\nits own line stays here"), (None, f"{d}\nand this one stays too"),
+             (5, "one text of this id"), (5, "another text of this id"), (6, "x y z u v"), (6, "X y z u v")]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    got = linededup.dedup(df).collect()
+    assert {r.text for r in got if r.doc_id == 5} == {"one text of this id", "another text of this id"}
+    assert sorted(r.n_units_removed for r in got if r.doc_id == 6) == [0, 1]
+    lone = {r.text for r in got if r.doc_id is None}
+    assert f"{c}\n" in lone and len(lone) == 3
+    assert lone - {f"{c}\n"} in ({f"{d}\nits own line stays here", "and this one stays too"},
+                                {"its own line stays here", f"{d}\nand this one stays too"})
+    # equal texts without an id are different documents
+    same = linededup.dedup(spark.createDataFrame([(None, a), (None, a)], df.schema)).collect()
+    assert sorted(r.text for r in same) == ["", a]
