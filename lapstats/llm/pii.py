@@ -8,6 +8,11 @@ check; equal values have equal pseudonyms in every document, whatever their sepa
 the holder of the key can invert them. Mail names and credentials are permuted character
 class by character class.
 
+A telephone number with a country code or an area code in parentheses counts whatever its
+leading digits: one that breaks the North American plan is permuted among those that break
+it. Other numbers with + keep their country code; their other digits are permuted. Ten bare
+digits that break the plan are left alone.
+
 A map over rows: no shuffle, no state. Defined cases: null and empty texts stay as they are;
 values that fail their check are left alone; repeated rows change alike; other columns stay.
 """
@@ -28,6 +33,8 @@ ROUNDS = 8
 FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 DAYS = datetime.date(2100, 1, 1).toordinal() - FIRST_DAY
 QUICK = re.compile(r"[0-9@]")
+TWO_DIGITS = set("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 "
+                 "81 82 84 86 90 91 92 93 94 95 98".split())      # country codes; 1 and 7 have one digit, others three
 
 PATTERN = re.compile(r"""
   (?P<email>(?<![\w.+-])[A-Za-z0-9][\w.+-]{0,63}@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,24}(?![\w-]))
@@ -38,6 +45,7 @@ PATTERN = re.compile(r"""
 | (?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))
 | (?P<ip>(?<![\w.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\w|\.\d))
 | (?P<phone>(?<![\w+])(?:\+?1[ .-]?)?(?:\(\d{3}\)[ ]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w))
+| (?P<intl>(?<![\w+])\+(?![2-689]\.)[1-9](?:[ ./-]?\(?\d\)?){7,14}(?!\w))
 | (?P<card>(?<![\w-])(?:\d{13,19}|\d{4}(?P<sep>[ -])\d{4}(?P=sep)\d{4}(?P=sep)\d{1,7}|\d{4}(?P<sep2>[ -])\d{6}(?P=sep2)\d{5})(?!\w))
 """, re.X)
 
@@ -136,9 +144,14 @@ def pseudonym(cipher: Cipher, kind: str, value: str, back: bool = False) -> str
         return refill(value, digits[0] + body + luhn_digit(digits[0] + body))
     if kind == "phone":
         number = digits[-10:]
-        if not phone_number(number):
+        if phone_number(number):
+            return refill(value, digits[:-10] + walk(cipher, kind, number, phone_number, back))
+        if len(digits) == 10 and "(" not in value:
             return None
-        return refill(value, digits[:-10] + walk(cipher, kind, number, phone_number, back))
+        return refill(value, digits[:-10] + walk(cipher, kind, number, lambda d: not phone_number(d), back))
+    if kind == "intl":
+        n = 1 if digits[0] in "17" else 2 if digits[:2] in TWO_DIGITS else 3
+        return refill(value, digits[:n] + walk(cipher, kind + digits[:n], digits[n:], lambda d: True, back))
     if kind == "ssn":
         return refill(value, walk(cipher, kind, digits, ssn_number, back)) if ssn_number(digits) else None
     if kind == "ip":
@@ -187,7 +200,7 @@ def replace(text: str, cipher: Cipher, back: bool = False) -> tuple[str, list[di
             a, b = m.span(group)
             out += [text[at:a], new]
             at = b
-            found.append({"kind": kind, "start": a, "end": b})
+            found.append({"kind": "phone" if kind == "intl" else kind, "start": a, "end": b})
     return ("".join(out) + text[at:], found) if found else (text, found)
 
 

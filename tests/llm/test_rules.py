@@ -202,3 +202,17 @@ def test_pipeline_runs_and_handles_nothing(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() == 0
+
+
+@pytest.mark.parametrize("value", ["+1 (017) 555-7713", "(132) 155-1352", "1-974-155-0000", "+12125550123", "+44 20 7946 0958",
+                                   "+44 (0)20 7946 0958", "+49 30/1234567", "+353.12345678", "+919876543210"])
+def test_telephone_numbers_of_any_plan_are_replaced(value):
+    test_pseudonyms_keep_the_format_and_invert(value)
+    new, found = pii.replace(value, pii.Cipher(b"k"))
+    assert found == [{"kind": "phone", "start": 0, "end": len(value)}]
+    assert [c for c in new if not c.isdigit()] == [c for c in value if not c.isdigit()]
+
+
+def test_numbers_that_are_no_telephone_stay():
+    for t in ("017-555-7713", "+3.14159265", "+1234", "a+4412345678"):
+        assert pii.replace(t, pii.Cipher(b"k")) == (t, [])
