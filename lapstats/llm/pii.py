@@ -31,6 +31,7 @@ from .common import extend, map_arrow
 
 ROUNDS = 8
 FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
+BLOCK = 64      # characters of a credential permuted as one number: a half fits the 192 bits of a round
 DAYS = datetime.date(2100, 1, 1).toordinal() - FIRST_DAY
 QUICK = re.compile(r"[0-9@]")
 TWO_DIGITS = set("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 "
@@ -39,7 +40,7 @@ TWO_DIGITS = set("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53
 PATTERN = re.compile(r"""
   (?P<email>(?<![\w.+-])[A-Za-z0-9][\w.+-]{0,63}@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,24}(?![\w-]))
 | (?P<aws>(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9]))
-| (?P<secret>(?i:(?<![A-Za-z])(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)["']?\s{0,3}[:=]\s{0,3}["']?)(?P<value>[A-Za-z0-9_\-/+]{12,128}))
+| (?P<secret>(?i:(?<![A-Za-z])(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)["']?\s{0,3}[:=]\s{0,3}["']?)(?P<value>[A-Za-z0-9_\-/+]{12,}))
 | (?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))
 | (?P<date>(?<![\d.,/-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d/-]|[.,]\d))
 | (?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))
@@ -186,7 +187,10 @@ def pseudonym(cipher: Cipher, kind: str, value: str, back: bool = False) -> str
         return by_class(cipher, kind, name, back) + "@" + domain
     if kind == "aws":
         return value[:4] + by_class(cipher, kind, value[4:], back)
-    return by_class(cipher, kind, value, back)
+    n = -(-len(value) // BLOCK)
+    cuts = [len(value) * i // n for i in range(n + 1)]
+    return "".join(by_class(cipher, f"{kind}/{i}" if i else kind, value[a:b], back)
+                   for i, (a, b) in enumerate(zip(cuts, cuts[1:])))
 
 
 def replace(text: str, cipher: Cipher, back: bool = False) -> tuple[str, list[dict]]:

@@ -216,3 +216,12 @@ def test_telephone_numbers_of_any_plan_are_replaced(value):
 def test_numbers_that_are_no_telephone_stay():
     for t in ("017-555-7713", "+3.14159265", "+1234", "a+4412345678"):
         assert pii.replace(t, pii.Cipher(b"k")) == (t, [])
+
+
+@pytest.mark.parametrize("size", [40, 64, 65, 100, 128, 129, 3000])
+def test_credentials_of_any_length_are_replaced_whole(size):
+    value = ("aB3dE5" * size)[:size]
+    new, found = pii.replace(f"token={value} end", pii.Cipher(b"k"))
+    assert found == [{"kind": "secret", "start": 6, "end": 6 + size}] and len(new) == 10 + size
+    assert not any(value[i:i + 12] == new[6 + i:18 + i] for i in range(size - 11))
+    assert pii.replace(new, pii.Cipher(b"k"), back=True)[0] == f"token={value} end"
