@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from . import testview as tv
 from .operators import clean, panel, stats
+from .staging import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -212,7 +213,8 @@ def q_label_encode_extended(spark, sf):
 
 @query
 def q_chronological_split(spark, sf):
-    return panel.chronological_split(valid(spark, sf)).select("lap_id", "split_rank", "is_test")
+    """The valid laps are staged: the split reads them several times."""
+    return panel.chronological_split(stage(valid(spark, sf), "valid")).select("lap_id", "split_rank", "is_test")
 
 
 @query
@@ -249,8 +251,8 @@ def q_common_tyre_changes(spark, sf):
 
 @query
 def q_top_tyre_changes(spark, sf):
-    """The first three rows of the A5 report (ties broken by the compound pair)."""
-    return stats.common_tyre_changes(pits(spark, sf), n=3)
+    """The first ten rows of the A5 report (ties broken by the compound pair)."""
+    return stats.common_tyre_changes(pits(spark, sf), n=10)
 
 
 @query

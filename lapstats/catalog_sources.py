@@ -236,19 +236,15 @@ _MODELS: dict = {}      # folders of the last fitted model and its split, by app
 
 
 def fitted(spark, sf):
-    """A forest fitted on the engineered laps, and the split: both written to the shared folder
-    once and read back by the queries of the model, so nothing stays cached."""
+    """A forest fitted on the engineered laps, and the split, which is read from the shared folder:
+    made once for the queries of the model, with nothing cached."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _MODELS:
-        folder = S.scratch_path(spark, "fitted")
-        panel.chronological_split(features(spark, sf)).repartition(
-            int(spark.conf.get("spark.sql.shuffle.partitions"))).write.parquet(folder + "/split")
-        split = spark.read.parquet(folder + "/split")
+        split = M.training_split(features(spark, sf))
         m = M.fit_degradation_model(split.where(~F.col("is_test")))
         _MODELS.clear()
-        _MODELS[key] = (m, folder)
-    m, folder = _MODELS[key]
-    return m, spark.read.parquet(folder + "/split")
+        _MODELS[key] = (m, split)
+    return _MODELS[key]
 
 
 @query

@@ -196,10 +196,12 @@ def validation_counts(df: DataFrame) -> DataFrame:
 def process_laps(df: DataFrame, pits: DataFrame | None = None) -> DataFrame:
     """P1 (raises, on an empty input too) -> P7 -> W9 -> W7; one frame with an ``is_test`` flag.
 
-    ``train = out.where(~is_test)``, ``test = out.where(is_test)``.
+    ``train = out.where(~is_test)``, ``test = out.where(is_test)``. The clean and the engineered
+    laps are each written to the shared folder once, as the steps after them read them more
+    than once.
     """
+    from ..staging import stage
     from .panel import chronological_split, engineer_features
     require_columns(df, PROCESSED_REQUIRED)
-    clean = remove_invalid_laps(df)
-    feats = engineer_features(normalise_columns(clean), pits)
-    return chronological_split(feats)
+    clean = normalise_columns(stage(remove_invalid_laps(df), "clean"))
+    return chronological_split(stage(engineer_features(clean, pits), "features"))

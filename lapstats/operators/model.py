@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import dims
-from .ordering import split_join
+from ..staging import stage
+from .ordering import partitions, split_join
 from .panel import FEATURES, TARGET
 from .stats import regression_metrics
 
@@ -171,8 +172,8 @@ def linear_degradation(laps: DataFrame, by: Sequence[str] = ("circuit", "compoun
 def linear_predict(laps: DataFrame, fit: DataFrame, by: Sequence[str] = ("circuit", "compound"),
                    x: str = "tyre_life") -> DataFrame:
     """Baseline predictions ``intercept + slope·x``; the fit has one row per group and meets
-    the laps over salted keys."""
-    return split_join(laps, fit.select(*by, "slope", "intercept"), list(by)) \
+    the laps with the most frequent groups apart."""
+    return split_join(laps, fit.select(*by, "slope", "intercept", "n"), list(by), rows="n") \
                .withColumn("prediction", F.col("intercept") + F.col("slope") * F.col(x))
 
 
@@ -182,26 +183,24 @@ def train_pipeline(laps: DataFrame, pits: DataFrame | None = None, num_trees: in
     """Validate with the full chain (P16), engineer, split, fit, evaluate, save (``path``).
 
     The rolling means of the reported metrics stop before the current lap, so the features do
-    not hold the target (D11). The engineered split is computed once and cached
-    while the fit and the evaluation read it."""
+    not hold the target (D11). The valid and the engineered laps are written to
+    the shared folder once and read from there."""
     from .clean import validate_laps
-    from .panel import chronological_split, engineer_features
-    split = training_split(chronological_split(engineer_features(validate_laps(laps), pits, include_current=False)))
-    try:
-        train, test = split.where(~F.col("is_test")), split.where(F.col("is_test"))
-        model = fit_degradation_model(train, num_trees=num_trees, max_depth=max_depth)
-        metrics = evaluate_model(model, test)
-        if path:
-            save_model(model, path)
-        # one row, held by the driver so that the cache can go
-        return model, metrics.sparkSession.createDataFrame(metrics.collect(), metrics.schema)
-    finally:
-        split.unpersist()
-
-
-def training_split(split: DataFrame) -> DataFrame:
-    """The engineered split dealt over all cores and cached; the caller releases it."""
-    return split.repartition(int(split.sparkSession.conf.get("spark.sql.shuffle.partitions"))).persist()
+    from .panel import engineer_features
+    clean = stage(validate_laps(laps), "valid")
+    split = training_split(engineer_features(clean, pits, include_current=False))
+    model = fit_degradation_model(split.where(~F.col("is_test")), num_trees=num_trees, max_depth=max_depth)
+    metrics = evaluate_model(model, split.where(F.col("is_test")))
+    if path:
+        save_model(model, path)
+    return model, metrics
+
+
+def training_split(features: DataFrame) -> DataFrame:
+    """Engineered laps with ``is_test``: staged in the shared folder, dealt over all cores, so
+    that the split's selection, the fit and the evaluation read them and compute nothing."""
+    from .panel import chronological_split
+    return chronological_split(stage(features.repartition(partitions(features)), "features"), rank=False)
 
 
 # S12 ------------------------------------------------------------------------

@@ -1,10 +1,11 @@
 """Panel (session x entity x sequence) operators: W1-W9, J1, P10-P13.
 
-One plan at every size. Sequence operators work on (group, block) partitions
-(``ordering``): a hot panel group is cut into blocks along its order, ordinary windows run
-inside a block, and what a window would see before the block is carried in from a small
-summary table. Anything keyed by a session, a circuit or a compound is an aggregate joined
-back over salted keys (``ordering.split_join``). Keys match null-safely throughout.
+Sequence operators work on (group, block) partitions (``ordering.Ordered``): a panel group
+with more than a partition's share of the rows is cut into blocks along its order, ordinary
+windows run inside a block, and what a window would see before the block is carried in from a
+small summary table. Anything keyed by a session, a circuit or a compound is an aggregate
+joined back, its most frequent keys apart (``ordering.with_heavy``). Keys match null-safely
+throughout.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import dims
-from .ordering import BLOCK, GROUP, blocked, carried, global_prefix, grouped_prefix, in_block, order_block, split_join
+from ..staging import stage
+from .ordering import Ordered, global_prefix, key_at, row_index, split_join
 from .quantiles import exact_quantiles
 
 PANEL = ("year", "circuit", "driver")
@@ -33,32 +35,6 @@ def _order(df: DataFrame, seq: str, tie: str | None) -> list[str]:
     return [seq] + ([tie] if tie and tie in df.columns else [])
 
 
-def sequence(df: DataFrame, keys: Sequence[str], order: Sequence[str], tail: Sequence[str], rows: int = 1) -> DataFrame:
-    """``df`` in blocks with the last ``rows`` rows' ``tail`` columns from before each block."""
-    return carried(blocked(df, keys, order), order, tail=list(dict.fromkeys(tail)), tail_rows=rows)
-
-
-def done(df: DataFrame) -> DataFrame:
-    return df.drop(GROUP, BLOCK, "_tail")
-
-
-def previous(cols: Sequence[str], order: Sequence[str]) -> Column:
-    """The previous row of the group as a struct (null on the first), on a ``sequence``."""
-    return F.coalesce(F.lag(F.struct(*cols)).over(in_block(order)),
-                      F.get(F.transform("_tail", lambda r: F.struct(*[r[c].alias(c) for c in cols])), F.size("_tail") - 1))
-
-
-def mean_of_last(col: str, n: int, order: Sequence[str], include_current: bool = True) -> Column:
-    """Mean of the last ``n`` rows of the group (shorter at the start), on a ``sequence`` that
-    carries at least ``n`` rows."""
-    w = in_block(order)
-    frame = w.rowsBetween(-(n - 1), 0) if include_current else w.rowsBetween(-n, -1)
-    own = F.transform(F.collect_list(F.struct(col)).over(frame), lambda r: r[col])
-    back = F.slice(F.reverse(F.transform("_tail", lambda r: r[col])), 1, F.greatest(F.lit(n) - F.size(own), F.lit(0)))
-    values = F.array_compact(F.concat(back, own))
-    return F.aggregate(values, F.lit(0.0), lambda s, x: s + x) / F.nullif(F.size(values), F.lit(0))
-
-
 # W1 -------------------------------------------------------------------------
 def detect_pit_stops(laps: DataFrame, keys: Sequence[str] = PANEL, seq: str = "lap_number",
                      compound: str = "compound", life: str = "tyre_life",
@@ -68,9 +44,9 @@ def detect_pit_stops(laps: DataFrame, keys: Sequence[str] = PANEL, seq: str = "l
     Output: keys, pit_lap, pit_time (25.0), tire_compound_out, tire_compound_in."""
     order, cols = _order(laps, seq, tie), [compound, life, seq]
     need = list(dict.fromkeys([*keys, *cols, *order]))
-    src = sequence(laps.select(*need), keys, order, cols)
-    x = src.select(*keys, F.col(seq).alias("pit_lap"), F.col(compound).alias("tire_compound_in"),
-                   F.col(life).alias("_t"), previous(cols, order).alias("_p"))
+    src = Ordered(laps.select(*need), keys, order).carry(tail=cols)
+    x = src.rows.select(*keys, F.col(seq).alias("pit_lap"), F.col(compound).alias("tire_compound_in"),
+                        F.col(life).alias("_t"), src.previous(*cols).alias("_p"))
     x = x.withColumn("tire_compound_out", F.col("_p")[compound])
     stop = F.col("_p")[seq].isNotNull() & (
         ~F.col("tire_compound_in").eqNullSafe(F.col("tire_compound_out"))
@@ -98,13 +74,13 @@ def default_position_gap(df: DataFrame) -> DataFrame:
 def position_change(df: DataFrame, keys: Sequence[str] = PANEL, seq: str = "lap_number",
                     tie: str | None = "lap_id") -> DataFrame:
     """position - previous position within the entity's session; first lap -> 0."""
-    order = _order(df, seq, tie)
-    return done(_position_change(sequence(df, keys, order, ["position"]), order))
+    x = Ordered(df, keys, _order(df, seq, tie)).carry(tail=["position"])
+    x.rows = x.rows.withColumn("position_change", _position_change(x))
+    return x.done()
 
 
-def _position_change(x: DataFrame, order: Sequence[str]) -> DataFrame:
-    return x.withColumn("position_change", F.coalesce(
-        F.col("position") - previous(["position"], order)["position"], F.lit(0.0)))
+def _position_change(x: Ordered) -> Column:
+    return F.coalesce(F.col("position") - x.previous("position")["position"], F.lit(0.0))
 
 
 # W3 -------------------------------------------------------------------------
@@ -113,24 +89,28 @@ def rolling_mean(df: DataFrame, n: int, col: str = "lap_time", out: str | None =
                  include_current: bool = True) -> DataFrame:
     """Mean of the last ``n`` rows (shorter at the start). ``include_current=False``
     uses the ``n`` rows before the current one (no target leakage, D11)."""
-    order = _order(df, seq, tie)
-    x = sequence(df, keys, order, [col], n)
-    return done(x.withColumn(out or f"rolling_avg_{col}_{n}", mean_of_last(col, n, order, include_current)))
+    x = Ordered(df, keys, _order(df, seq, tie)).carry(tail=[col], tail_rows=n)
+    x.rows = x.rows.withColumn(out or f"rolling_avg_{col}_{n}", x.mean_of_last(col, n, include_current))
+    return x.done()
 
 
 # W4 -------------------------------------------------------------------------
+def stint_ages(df: DataFrame, keys: Sequence[str] = PANEL, compound: str = "tire_compound",
+               age: str = "tire_age") -> DataFrame:
+    """Per (entity, session, compound): maximum tyre age and number of laps (``_laps``)."""
+    return df.groupBy(*keys, compound).agg(F.max(age).alias("stint_length"), F.count(F.lit(1)).alias("_laps"))
+
+
 def stint_length(df: DataFrame, keys: Sequence[str] = PANEL, compound: str = "tire_compound",
-                 age: str = "tire_age", ages: DataFrame | None = None) -> DataFrame:
-    """Max tyre age per (entity, session, compound): two stints on one compound merge.
-    ``ages`` may give the same rows from an earlier step."""
-    on = [*keys, compound]
-    return split_join(df, (df if ages is None else ages).groupBy(*on).agg(F.max(age).alias("stint_length")), on)
+                 age: str = "tire_age") -> DataFrame:
+    """Max tyre age per (entity, session, compound): two stints on one compound merge."""
+    return split_join(df, stint_ages(df, keys, compound, age), [*keys, compound], rows="_laps")
 
 
 # W5 -------------------------------------------------------------------------
 def session_lap_means(df: DataFrame, by: Sequence[str] = (*SESSION, "lap_number"),
                       col: str = "lap_time") -> DataFrame:
-    return df.groupBy(*by).agg(F.avg(col).alias("_session_avg"))
+    return df.groupBy(*by).agg(F.avg(col).alias("_session_avg"), F.count(F.lit(1)).alias("_laps"))
 
 
 def relative_performance(df: DataFrame, by: Sequence[str] = (*SESSION, "lap_number"),
@@ -139,32 +119,41 @@ def relative_performance(df: DataFrame, by: Sequence[str] = (*SESSION, "lap_numb
     joined back (one row per session lap) rather than a window over the session.
     ``means`` may be computed earlier from the same rows (``session_lap_means``)."""
     m = means if means is not None else session_lap_means(df, by, col)
-    return (split_join(df, m, list(by))
+    return (split_join(df, m, list(by), rows="_laps")
               .withColumn("relative_performance", F.col(col) / F.col("_session_avg"))
               .drop("_session_avg"))
 
 
 # J1 -------------------------------------------------------------------------
+def with_pits(laps: DataFrame, pits: DataFrame, keys: Sequence[str], seq: str, pit_seq: str) -> DataFrame:
+    """Laps (``_kind`` 1) and stops (``_kind`` 0, their lap in ``_pit``) in one frame."""
+    l = laps.withColumn("_kind", F.lit(1)).withColumn("_pit", F.lit(None).cast("int"))
+    p = pits.select(*keys, F.col(pit_seq).cast(laps.schema[seq].dataType).alias(seq),
+                    F.lit(0).alias("_kind"), F.col(pit_seq).cast("int").alias("_pit"))
+    return l.unionByName(p, allowMissingColumns=True)
+
+
+def _since_pit(x: Ordered, seq: str) -> Column:
+    last = x.running_max("_pit", "_last_pit")
+    return F.coalesce(F.col(seq) - last, F.lit(0)).cast("int")
+
+
 def laps_since_pit(laps: DataFrame, pits: DataFrame | None, keys: Sequence[str] = PANEL,
                    seq: str = "lap_number", pit_seq: str = "pit_lap",
-                   tie: str | None = "lap_id", like: DataFrame | None = None) -> DataFrame:
+                   tie: str | None = "lap_id") -> DataFrame:
     """As-of join: ``seq - max(pit_seq <= seq)`` within the entity's session, 0 if none.
 
     Pits and laps are unioned and a running maximum carries the last pit lap forward (pits
     sort before laps on the same lap), so there is no range join (D2: largest earlier pit
-    wins, not table order)."""
+    wins, not table order). The laps alone tell where heavy groups are cut; ties of a lap
+    number are cut by ``tie``."""
     if pits is None:
         return laps.withColumn("laps_since_pit", F.lit(0))
-    tie_cols = [tie] if tie and tie in laps.columns else []
-    l = laps.withColumn("_kind", F.lit(1)).withColumn("_pit", F.lit(None).cast("int"))
-    p = pits.select(*keys, F.col(pit_seq).cast(laps.schema[seq].dataType).alias(seq),
-                    F.lit(0).alias("_kind"), F.col(pit_seq).cast("int").alias("_pit"))
-    u = l.unionByName(p, allowMissingColumns=True)
-    # block boundaries on the lap alone, from ``like`` where an earlier step has the same laps
-    block = order_block((laps if like is None else like).select(seq), [seq])
-    u = grouped_prefix(u, keys, [seq, "_kind", *tie_cols], F.col("_pit"), "max", True, "_last", block=block)
-    u = u.withColumn("laps_since_pit", F.coalesce(F.col(seq) - F.col("_last"), F.lit(0)).cast("int")).drop("_last")
-    return u.where(F.col("_kind") == 1).drop("_kind", "_pit")
+    order = [seq, "_kind", *_order(laps, seq, tie)[1:]]
+    x = Ordered(with_pits(laps, pits, keys, seq, pit_seq), keys, order, like=laps.withColumn("_kind", F.lit(1)))
+    x.carry(maxima={"_last_pit": F.col("_pit")})
+    x.rows = x.rows.withColumn("laps_since_pit", _since_pit(x, seq)).where(F.col("_kind") == 1)
+    return x.done("_kind", "_pit", "_last_pit")
 
 
 # P11 ------------------------------------------------------------------------
@@ -196,10 +185,11 @@ def fit_label_mappings(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     All columns share one distributed global running count over their distinct
     values (ordered by column, then value), so a high-cardinality column never lands
     in one task; each column's codes start at its own first position."""
-    # one pass over the input: every (column, value) pair, then distinct
+    # one pass over the input: every (column, value) pair, then distinct, kept in the shared
+    # folder: the order of the values is sampled and summed over their table, not the input
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
                                 for c in cols])).alias("_p")
-    d = df.select(pairs).select("_p.*").where(F.col("value").isNotNull()).distinct()
+    d = stage(df.select(pairs).select("_p.*").where(F.col("value").isNotNull()).distinct(), "values")
     r = global_prefix(d, ["column_name", "value"], out="_pos")
     first = r.groupBy("column_name").agg(F.min("_pos").alias("_first"))
     return r.join(F.broadcast(first), "column_name").select(
@@ -223,7 +213,7 @@ def extend_label_mapping(mapping: DataFrame, df: DataFrame, col: str) -> DataFra
 
 
 def apply_label_mapping(df: DataFrame, mapping: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    """Join the codes on, over salted keys (a hot value is spread over several tasks)."""
+    """Join the codes on; the most frequent values are apart (``ordering.with_heavy``)."""
     m = mapping.select(F.col("value").alias("_lk"), F.col("code").alias(out or f"{col}_encoded"))
     return split_join(df.withColumn("_lk", F.col(col).cast("string")), m, ["_lk"]).drop("_lk")
 
@@ -255,52 +245,59 @@ def engineer_features(laps: DataFrame, pits: DataFrame | None = None,
 
     ``mappings`` (column -> fitted label mapping) reuses codes fitted elsewhere;
     otherwise codes are fitted on this input. Input needs tire_compound/tire_age
-    (``normalise_columns``). W2 and both W3 means share one exchange."""
-    enc = (("circuit", "circuit_encoded"), ("driver", "driver_encoded"),
-           ("tire_compound", "tire_compound_encoded"))
-    mappings = mappings or {}
-    fitted = None
-    if any(c not in mappings for c, _ in enc):
-        # fitted on the input: feature steps below keep every input row
-        fitted = fit_label_mappings(laps, [c for c, _ in enc if c not in mappings])
-    # session-lap means come from the input rows (the feature steps keep every row), so
-    # the aggregate does not re-run the window chain
-    means = session_lap_means(laps)
-    order = _order(laps, seq, tie)
-    df = default_position_gap(laps)
-    # block boundaries from the input: its order columns are those of the frame
-    x = carried(blocked(df, keys, order, order_block(laps, order)), order,
-                tail=["lap_time", "position"], tail_rows=5)
-    x = _position_change(x, order)
-    x = x.withColumn("rolling_avg_lap_time_3", mean_of_last("lap_time", 3, order, include_current))
-    x = x.withColumn("rolling_avg_lap_time_5", mean_of_last("lap_time", 5, order, include_current))
-    df = stint_length(predicted_degradation(done(x)), keys, ages=laps)
-    df = relative_performance(df, means=means)
-    df = laps_since_pit(df, pits, keys, seq, tie=tie, like=laps)
-    df = circuit_features(df)
-    for col, out in enc:
-        if col in mappings:
-            m = extend_label_mapping(mappings[col], laps, col)
-        else:
-            m = fitted.where(F.col("column_name") == col).select("value", "code")
-        df = apply_label_mapping(df, m, col, out)
-    df = one_hot_compound(df)
-    return df.dropna(subset=[*FEATURES, TARGET])
+    (``normalise_columns``).
+
+    W2, both W3 means and J1 run on one ordered frame (stops are rows of kind 0 in it). W4 and
+    W6 share one table: the codes are joined to the (entity, session, compound) rows of W4,
+    which are as few as stints, and come to the laps with the stint length."""
+    mappings, enc = mappings or {}, {"circuit": "circuit_encoded", "driver": "driver_encoded",
+                                     "tire_compound": "tire_compound_encoded"}
+    # aggregates come from the input rows (the feature steps keep every row), so they do not
+    # run the window chain again
+    ages = stint_ages(laps, keys)
+    codes = stage(fit_label_mappings(laps, [c for c in enc if c not in mappings]), "codes") \
+        if len(mappings) < len(enc) else None
+    for col, out in enc.items():
+        m = extend_label_mapping(mappings[col], laps, col) if col in mappings else \
+            codes.where(F.col("column_name") == col)
+        m = m.select(F.col("value").alias("_lk"), F.col("code").alias(out))
+        ages = ages.join(m, F.col(col).cast("string") == F.col("_lk"), "left").drop("_lk")
+    df, order, tail = default_position_gap(laps), _order(laps, seq, tie), ["lap_time", "position"]
+    if pits is None:
+        x = Ordered(df, keys, order, like=laps).carry(tail=tail, tail_rows=5)
+    else:
+        x = Ordered(with_pits(df, pits, keys, seq, "pit_lap"), keys, [seq, "_kind", *order[1:]],
+                    like=laps.withColumn("_kind", F.lit(1)), kind="_kind")
+        x.carry(tail=tail, tail_rows=5, maxima={"_last_pit": F.col("_pit")})
+    x.rows = x.rows.withColumns({
+        "position_change": _position_change(x),
+        "rolling_avg_lap_time_3": x.mean_of_last("lap_time", 3, include_current),
+        "rolling_avg_lap_time_5": x.mean_of_last("lap_time", 5, include_current),
+        "laps_since_pit": F.lit(0) if pits is None else _since_pit(x, seq)})
+    df = (x.rows if pits is None else x.rows.where(F.col("_kind") == 1))
+    df = x.done() if pits is None else df.select(*x.done("_kind", "_pit", "_last_pit").columns)
+    df = split_join(predicted_degradation(df), ages, [*keys, "tire_compound"], rows="_laps")
+    df = relative_performance(df, means=session_lap_means(laps))
+    return one_hot_compound(circuit_features(df)).dropna(subset=[*FEATURES, TARGET])
 
 
 # W7 -------------------------------------------------------------------------
 def chronological_split(df: DataFrame, order: Sequence[str] = (*SESSION, "lap_number"),
-                        tie: Sequence[str] = ("driver", "lap_id"), test_fraction: float = 0.2) -> DataFrame:
+                        tie: Sequence[str] = ("driver", "lap_id"), test_fraction: float = 0.2,
+                        rank: bool = True) -> DataFrame:
     """Flag the last ``int(fraction·n)`` rows (at least 1) of the global order as test.
 
-    ``split_rank`` is the row's position in the global order: rows are cut into blocks along
-    it, and block counts give the ranks and the total, so no window spans the fact table in
-    one task and a hot session or lap does not concentrate."""
-    tie = [c for c in tie if c in df.columns]
-    keys = [*order, *tie]
-    x = carried(blocked(df, [], keys), keys, sums={"_sofar": F.lit(1).cast("bigint")}, totals={"_n": F.lit(1).cast("bigint")})
-    rank = F.coalesce(F.col("_sofar"), F.lit(0)) + F.row_number().over(in_block(keys)) - 1
-    x = x.withColumn("split_rank", rank.cast("bigint")).drop(GROUP, BLOCK, "_sofar")
-    test = F.when((F.floor(F.col("_n") * test_fraction) == 0) & (F.col("_n") > 0), F.lit(1)) \
-            .otherwise(F.floor(F.col("_n") * test_fraction)).cast("bigint")
-    return x.withColumn("is_test", F.col("split_rank") >= F.col("_n") - test).drop("_n")
+    The first test row's key is found by selection (``ordering.key_at``), so the flag is a
+    filter on the key and the facts are not exchanged for it. Rows equal in the whole key stay
+    on one side, the test side. The selection reads ``df`` a few times: a frame that is costly
+    to compute is better staged (``staging.stage``) first. ``rank`` adds ``split_rank``, the
+    row's position in the global order, which does need an exchange (blocks along the order,
+    so no window spans the table and a hot session or lap does not concentrate)."""
+    keys = [*order, *[c for c in tie if c in df.columns]]
+    wanted = lambda n: None if not n else n - max(1, int(n * test_fraction))
+    first = key_at(df, keys, wanted)
+    out = row_index(df, [], keys, "split_rank") if rank else df
+    if first is None:
+        return out.withColumn("is_test", F.lit(False))
+    key = F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(keys, first)])
+    return out.withColumn("is_test", F.struct(*keys) >= key)

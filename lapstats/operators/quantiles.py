@@ -8,11 +8,11 @@ order statistics are found with one lazy plan and no driver round trip:
    ``p - d`` and ``p + d`` (``d = 3/accuracy``). The sketch's rank error is at most
    ``n/accuracy``, so for ``n > accuracy`` the exact rank ``(n-1)·p`` lies between
    the two values; smaller groups use their whole range.
-2. ``count_if(x < lo)`` per group gives the rank offset of the bracket.
-3. Rows inside the bracket (about ``6n/accuracy`` per group) are collapsed with
-   ``groupBy(value).count()`` (a hot value becomes one row) and a running count in
-   value order (``ordering.grouped_prefix``, its blocks cut evenly between the ends of
-   the bracket) picks the exact elements at ranks ``floor`` and ``ceil`` of ``(n-1)·p``.
+2. Rows inside the bracket (about ``6n/accuracy`` per group) are collapsed with
+   ``groupBy(value).count()`` (a hot value becomes one row); in the same pass all rows below
+   it become one row, which gives its rank offset. The bracket is cut into even
+   cells, as many as shuffle partitions; running counts of cells tell which one or two hold
+   the ranks ``floor`` and ``ceil`` of ``(n-1)·p``, and only their values are put in order.
 
 The same plan runs at every size.
 
@@ -23,10 +23,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordering import block_count, grouped_prefix, split_join
+from .ordering import block_count, split_join
 
 
 def null_join(a: DataFrame, b: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -55,36 +55,40 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], names: Sequ
         c for i in range(k) for c in (
             F.when(small, F.lit(float("-inf"))).otherwise(F.col("_ap")[i]).alias(f"_lo{i}"),
             F.when(small, F.lit(float("inf"))).otherwise(F.col("_ap")[k + i]).alias(f"_hi{i}"))])
-    xj = x.crossJoin(F.broadcast(ap)) if not by else split_join(x, ap, by, "inner")
+    xj = x.crossJoin(F.broadcast(ap)) if not by else split_join(x, ap, by, "inner", rows="_n")
 
-    # rank offset of each bracket, and the distinct values inside the brackets
-    below = xj.groupBy(*by).agg(*[F.count_if(F.col("_x") < F.col(f"_lo{i}")).alias(f"_c{i}")
-                                  for i in range(k)])
-    inside = F.array(*[F.when(F.col("_x").between(F.col(f"_lo{i}"), F.col(f"_hi{i}")), F.lit(i))
-                       for i in range(k)])
+    # per bracket: its distinct values with their counts, and one row for all that is below
     n = block_count(df)
-    ends = F.array(*[F.struct(F.col(f"_lo{i}").alias("lo"), F.col(f"_hi{i}").alias("hi")) for i in range(k)])
-    vc = (xj.select(*by, "_x", ends.alias("_ends"), F.explode(F.array_compact(inside)).alias("qi"))
-            .select(*by, "qi", "_x", F.get("_ends", F.col("qi")).alias("_b"))
-            .groupBy(*by, "qi", "_x").agg(F.count(F.lit(1)).alias("_vc"), F.max("_b.lo").alias("_blo"), F.max("_b.hi").alias("_bhi")))
-    # a group without finite ends has at most ``accuracy`` values: one block
-    width = F.col("_bhi") - F.col("_blo")
-    cell = F.when((F.col("_bhi") < F.lit(float("inf"))) & (width > 0),
-                  F.least(F.floor((F.col("_x") - F.col("_blo")) / width * n), F.lit(n - 1))).otherwise(F.lit(0))
-    vc = grouped_prefix(vc, [*by, "qi"], ["_x"], F.col("_vc"), "sum", False, "_vs", block=cell)
-    vc = vc.withColumn("_ve", F.col("_vs") + F.col("_vc")).drop("_blo", "_bhi")
-
-    meta = null_join(ap.select(*by, "_n"), below, by) if by else ap.select("_n").crossJoin(below)
-    pr = F.array(*[F.struct(F.lit(i).alias("qi"), F.lit(float(p)).alias("p"), F.col(f"_c{i}").alias("_off"))
-                   for i, p in enumerate(probs)])
-    meta = meta.select(*by, "_n", F.explode(pr).alias("_m")).select(*by, "_n", "_m.*")
-    pos = (F.col("_n") - 1) * F.col("p")
-    meta = meta.withColumn("_klo", F.floor(pos)).withColumn("_khi", F.ceil(pos)) \
-               .withColumn("_frac", pos - F.floor(pos))
-    j = null_join(vc, meta, [*by, "qi"])
-    at = lambda r: (F.col(r) >= F.col("_off") + F.col("_vs")) & (F.col(r) < F.col("_off") + F.col("_ve"))
-    per_q = j.groupBy(*by, "qi").agg(F.max(F.when(at("_klo"), F.col("_x"))).alias("lo"),
-                                     F.max(F.when(at("_khi"), F.col("_x"))).alias("hi"),
+    ends = [F.struct(F.lit(i).alias("qi"), F.col(f"_lo{i}").alias("lo"), F.col(f"_hi{i}").alias("hi")) for i in range(k)]
+    near = F.filter(F.array(*ends), lambda e: F.col("_x") <= e["hi"])
+    at = F.when(F.col("_x") >= F.col("_e.lo"), F.col("_x"))
+    # a group without finite ends has at most ``accuracy`` values: one cell
+    width = F.col("_e.hi") - F.col("_e.lo")
+    cell = F.when(at.isNull(), F.lit(-1)).when(
+        (F.col("_e.hi") < F.lit(float("inf"))) & (width > 0),
+        F.least(F.floor((F.col("_x") - F.col("_e.lo")) / width * n), F.lit(n - 1))).otherwise(F.lit(0))
+    vc = (xj.select(*by, "_x", F.explode(near).alias("_e"))
+            .select(*by, F.col("_e.qi").alias("qi"), cell.cast("int").alias("_cell"), at.alias("_x"))
+            .groupBy(*by, "qi", "_cell", "_x").agg(F.count(F.lit(1)).alias("_vc")))
+
+    pr = F.array(*[F.struct(F.lit(i).alias("qi"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
+    pos = (F.col("_n") - 1) * F.col("_m.p")
+    meta = ap.select(*by, "_n", F.explode(pr).alias("_m")).select(
+        *by, F.col("_m.qi").alias("qi"), F.floor(pos).alias("_klo"), F.ceil(pos).alias("_khi"),
+        (pos - F.floor(pos)).alias("_frac"))
+    inside = lambda r: (F.col(r) >= F.col("_from")) & (F.col(r) < F.col("_to"))
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+
+    cells = vc.groupBy(*by, "qi", "_cell").agg(F.sum("_vc").alias("_cc"))
+    earlier = F.sum("_cc").over(before(Window.partitionBy(*by, "qi").orderBy("_cell")))
+    cells = null_join(cells.withColumn("_from", F.coalesce(earlier, F.lit(0))), meta, [*by, "qi"])
+    cells = (cells.withColumn("_to", F.col("_from") + F.col("_cc")).where(inside("_klo") | inside("_khi"))
+                  .select(*by, "qi", "_cell", "_from", "_klo", "_khi", "_frac"))
+    earlier = F.sum("_vc").over(before(Window.partitionBy(*by, "qi", "_cell").orderBy("_x")))
+    j = null_join(vc, cells, [*by, "qi", "_cell"]).withColumn("_from", F.col("_from") + F.coalesce(earlier, F.lit(0)))
+    j = j.withColumn("_to", F.col("_from") + F.col("_vc"))
+    per_q = j.groupBy(*by, "qi").agg(F.max(F.when(inside("_klo"), F.col("_x"))).alias("lo"),
+                                     F.max(F.when(inside("_khi"), F.col("_x"))).alias("hi"),
                                      F.first("_frac").alias("_frac"))
     per_q = per_q.withColumn("q", F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("_frac"))
     cols = [F.max(F.when(F.col("qi") == i, F.col("q"))).alias(n) for i, n in enumerate(names)]

@@ -52,9 +52,10 @@ def laps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def states(laps_df: DataFrame) -> DataFrame:
     """One race state per lap with a valid compound (FIXTURES.md §2.2)."""
     from .dims import COMPOUNDS
-    total = laps_df.groupBy("year", "circuit").agg(F.max("lap_number").alias("total_laps"))
+    total = laps_df.groupBy("year", "circuit").agg(
+        F.max("lap_number").alias("total_laps"), F.count_if(F.col("compound").isin(COMPOUNDS)).alias("_laps"))
     from .operators.ordering import split_join
-    s = split_join(laps_df.where(F.col("compound").isin(COMPOUNDS)), total, ["year", "circuit"], "inner")
+    s = split_join(laps_df.where(F.col("compound").isin(COMPOUNDS)), total, ["year", "circuit"], "inner", rows="_laps")
     return s.select(
         F.col("lap_id").alias("state_id"), "year", "circuit", "driver",
         F.col("lap_number").alias("current_lap"), F.col("total_laps").cast("int").alias("total_laps"),

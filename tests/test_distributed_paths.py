@@ -102,9 +102,40 @@ def test_quantiles_with_null_groups(laps, con):
 
 
 def test_a_hot_group_is_cut_into_blocks(spark, laps):
-    x = ordering.blocked(laps, ["driver"], ["lap_number", "lap_id"])
+    x = ordering.Ordered(laps, ["driver"], ["lap_number", "lap_id"]).rows
     per = {r[ordering.BLOCK]: r["count"] for r in x.where("driver = 'HOT'").groupBy(ordering.BLOCK).count().collect()}
-    assert len(per) == ordering.block_count(laps) and max(per.values()) < 0.8 * sum(per.values())
+    share = laps.count() / ordering.block_count(laps)
+    assert len(per) >= 2 and max(per.values()) < 1.6 * share
+    light = x.where("driver <> 'HOT'").groupBy("driver").agg(F.max(ordering.BLOCK).alias("b")).collect()
+    assert light and all(r.b == 0 for r in light)
+
+
+def test_repeated_laps_are_cut_by_the_tie(spark):
+    """One entity, 60 distinct lap numbers: its rows spread over all blocks."""
+    laps = spark.range(20000).selectExpr("2024 as year", "'spa' as circuit", "'X' as driver", "cast(id % 60 as int) as lap_number",
+                                         "id as lap_id")
+    x = ordering.Ordered(laps, panel.PANEL, ["lap_number", "lap_id"]).rows
+    per = [r["count"] for r in x.groupBy(ordering.BLOCK).count().collect()]
+    assert len(per) == ordering.block_count(laps) and max(per) < 2 * min(per)
+
+
+def test_joins_copy_no_key(spark, laps):
+    """The table beside the facts goes in once, plus its most frequent keys, one per partition."""
+    small = laps.groupBy("driver").agg(F.max("lap_number").alias("m"), F.count(F.lit(1)).alias("n"))
+    plan = ordering.split_join(laps, small, ["driver"], rows="n")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan
+    same_rows = ordering.split_join(laps, small, ["driver"], rows="n").count()
+    assert same_rows == laps.count()
+
+
+@pytest.mark.parametrize("mod", [1, 2, 7, 100000])
+def test_selection_finds_the_key(spark, mod):
+    """Against a plain sort, with and without repeated keys, on more rows than one sample."""
+    df = spark.range(30000).selectExpr(f"(id * 7919) % {mod} as k", "if(id % 5 = 0, null, id % 3) as j")
+    rows = sorted(((r.k, r.j) for r in df.collect()), key=lambda r: [(v is not None, v or 0) for v in r])
+    for at in (0, 1, 14999, 23999, 29999):
+        assert ordering.key_at(df, ["k", "j"], lambda n: at) == rows[at]
+    assert ordering.key_at(df, ["k"], lambda n: None) is None
 
 
 def test_building_a_query_runs_only_the_samples(spark):
@@ -113,7 +144,7 @@ def test_building_a_query_runs_only_the_samples(spark):
     E.queries()["engineer_features"](spark, SF)
     jobs = sc.statusTracker().getJobIdsForGroup("build")
     sc.setJobGroup("other", "other")
-    # the sample of a derived frame has a few stages of its own, nothing is written
-    assert len(jobs) < 60
+    # bounded samples of key columns, nothing is written
+    assert len(jobs) <= 16
     plan = E.queries()["engineer_features"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "RDDScan" not in plan and "Scan ExistingRDD" not in plan
