@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, linededup, ngramjoin, packing, pii, quality, search, suffixdedup, tokenfile, warc
+from . import binslack, bpe, linededup, ngramjoin, packing, pii, quality, search, suffixdedup, tokenfile, warc
 
 QUERIES = {
     "op1_suffix_dedup": suffixdedup.op1_suffix_dedup,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_warc": warc.op8_warc,
     "op9_bpe": bpe.op9_bpe,
     "op10_token_files": tokenfile.op10_token_files,
+    "op12_min_bin_slack": binslack.op12_min_bin_slack,
 }
 SQL: dict[str, str] = {
     "op4_quality_rules": quality.SQL,
