@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import binslack, bpe, linededup, ngramjoin, packing, pii, quality, search, suffixdedup, tokenfile, warc
+from . import binslack, bpe, linededup, ngramjoin, nsbounds, packing, pii, quality, search, suffixdedup, tokenfile, warc
 
 QUERIES = {
     "op1_suffix_dedup": suffixdedup.op1_suffix_dedup,
@@ -16,9 +16,11 @@ QUERIES = {
     "op9_bpe": bpe.op9_bpe,
     "op10_token_files": tokenfile.op10_token_files,
     "op12_min_bin_slack": binslack.op12_min_bin_slack,
+    "op13_ns_bounds": nsbounds.op13_ns_bounds,
 }
 SQL: dict[str, str] = {
     "op4_quality_rules": quality.SQL,
     "op7_maxscore_search": search.SQL,
     "op8_warc": warc.SQL,
+    "op13_ns_bounds": nsbounds.SQL,
 }
