@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import binslack, bpe, linededup, ngramjoin, nsbounds, packing, pii, quality, search, suffixdedup, tokenfile, warc
+from . import binslack, bpe, dualtree, linededup, ngramjoin, nsbounds, packing, pii, quality, search, suffixdedup, tokenfile, warc
 
 QUERIES = {
     "op1_suffix_dedup": suffixdedup.op1_suffix_dedup,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_warc": warc.op8_warc,
     "op9_bpe": bpe.op9_bpe,
     "op10_token_files": tokenfile.op10_token_files,
+    "op11_dual_tree": dualtree.op11_dual_tree,
     "op12_min_bin_slack": binslack.op12_min_bin_slack,
     "op13_ns_bounds": nsbounds.op13_ns_bounds,
 }
@@ -22,5 +23,6 @@ SQL: dict[str, str] = {
     "op4_quality_rules": quality.SQL,
     "op7_maxscore_search": search.SQL,
     "op8_warc": warc.SQL,
+    "op11_dual_tree": dualtree.SQL,
     "op13_ns_bounds": nsbounds.SQL,
 }

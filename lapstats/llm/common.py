@@ -161,6 +161,31 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((prefix[end] - prefix[start]) * inv[start])
 
 
+# --- short strings as numbers ---------------------------------------------------------
+PACKED = 32             # bytes of a string that four 64-bit numbers hold
+
+
+def packed(raw: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The first PACKED bytes of each string as a row of four 64-bit numbers, zero beyond its end:
+    strings up to that length are equal if and only if their lengths and rows are."""
+    padded = np.concatenate((raw, np.zeros(PACKED + 8, np.uint8)))
+    window = np.ndarray((len(raw) + PACKED + 1,), "<u8", padded, strides=(1,))
+    out = np.empty((len(start), PACKED // 8), np.uint64)
+    for i in range(PACKED // 8):
+        have = np.clip(length - 8 * i, 0, 8)
+        # a shift by 64 is undefined, so it is done in two steps
+        keep = ~((np.uint64(0xFFFFFFFFFFFFFFFF) << (have * 4).astype(np.uint64)) << (have * 4).astype(np.uint64))
+        out[:, i] = window[np.minimum(start + 8 * i, len(raw))] & keep
+    return out
+
+
+def packed_hash(key: np.ndarray, length: np.ndarray) -> np.ndarray:
+    h = mix(length.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    for i in range(key.shape[1]):
+        h = mix(h ^ key[:, i])
+    return h
+
+
 # --- words ------------------------------------------------------------------------------
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, 9, 10, 11, 12, 13]] = True
@@ -168,13 +193,14 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def words(raw: np.ndarray, offsets: np.ndarray):
-    """Start, end and row of each maximal run of non-space bytes; none crosses a text's end."""
+def words(raw: np.ndarray, offsets: np.ndarray, space: np.ndarray = IS_SPACE):
+    """Start, end and row of each maximal run of non-space bytes; none crosses a text's end.
+    ``space`` may name other bytes (a table of 256) as those between words."""
     n = len(raw)
     if n == 0:
         z = np.zeros(0, np.int64)
         return z, z, z
-    solid = ~IS_SPACE[raw]
+    solid = ~space[raw]
     first = np.zeros(n + 1, bool)
     first[offsets[offsets <= n]] = True
     starts = np.flatnonzero(solid & (first[:n] | np.concatenate(([True], ~solid[:-1]))))
