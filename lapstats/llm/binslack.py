@@ -244,8 +244,9 @@ def pack(df: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 0, i
                  pa.array(sequence), pa.array(offset)], names=names)
 
     placed = materialise(map_arrow(ranked, place, schema), "slack-places")
-    ids = kept.select("_part", "_no", "ids")
-    cut = placed.where("ids_crc32 IS NULL").join(ids, ["_part", "_no"]).select(*names, "ids")
+    # a table of its own, so that Spark knows its size when it chooses how to join the ids
+    cut = materialise(placed.where("ids_crc32 IS NULL"), "slack-cut")
+    cut = cut.join(kept.select("_part", "_no", "ids"), ["_part", "_no"]).select(*names, "ids")
 
     def sums(batches):
         for batch in batches:
