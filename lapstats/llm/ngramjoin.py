@@ -16,8 +16,11 @@ shingle set are one point. The join works on regions:
 3. *Windows and recursion.* Links join points into components. Regions whose members are one
    component are finished. The others are joined again: pairs of different components that
    the sketches allow and whose distances to a common pivot differ by no more than the radius
-   (triangle inequality). Those are counted too, and close the components. Nothing is capped:
-   every pair that can be linked is counted or lies in one component.
+   (triangle inequality). In each round every component proposes its best such pairs in each
+   region; those are counted, links join components, and regions that have become one
+   component are done. A round proposes ``QUOTA_GROWTH`` times as many as the one before, until
+   none had more to propose. Nothing is capped: every pair that can be linked is counted or
+   lies in one component; but a large group of near copies needs links, not all its pairs.
 
 Copies never multiply rows: a region holds points, not documents. A region with more than
 ``BLOCK`` members is cut into blocks, and each pair of blocks is a task's own group, so no
@@ -44,6 +47,7 @@ from .common import (LOWER, chunks, components, map_arrow, materialise, mix, pre
                      text_buffer, words)
 
 STEP = np.uint64(0x9E3779B97F4A7C15)
+QUOTA_GROWTH = 8    # pairs that a component proposes in a region: 1, 8, 64, ...
 BLOCK = 1024        # members of a region that one task compares with one another
 
 
@@ -157,8 +161,9 @@ def running(s: np.ndarray) -> np.ndarray:
 
 # --- the join --------------------------------------------------------------------------
 def points(docs: DataFrame, n: int, percent: int, id_col: str, text: str) -> DataFrame:
-    """(id, n_shingles, node, sketches): the point of each document; null for the empty set."""
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
+    """(id, h, n_shingles, node, sketches): the point of each document, null for the empty set, and
+    a hash of its text."""
+    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
     kind = pa.list_(pa.struct([("j", pa.int32()), ("s", pa.binary())]))
 
     def run(batches):
@@ -167,12 +172,13 @@ def points(docs: DataFrame, n: int, percent: int, id_col: str, text: str) -> Dat
             for a, sets in column_sets(batch.column("text"), n):
                 sums = [running(s) for s in sets]
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("id").slice(a, len(sets)), pa.array([len(s) for s in sets], pa.int64()),
+                    batch.column("id").slice(a, len(sets)), batch.column("h").slice(a, len(sets)),
+                    pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([point(s) if len(s) else None for s in sets], pa.int64()),
                     pa.array([[{"j": j, "s": parts.sketch(s, j, t)} for j in parts.classes(len(s))] if len(s) else []
-                              for s, t in zip(sets, sums)], kind)], names=["id", "n_shingles", "node", "sketches"])
+                              for s, t in zip(sets, sums)], kind)], names=["id", "h", "n_shingles", "node", "sketches"])
 
-    return map_arrow(src, run, "id long, n_shingles long, node long, sketches array<struct<j:int,s:binary>>")
+    return map_arrow(src, run, "id long, h long, n_shingles long, node long, sketches array<struct<j:int,s:binary>>")
 
 
 def regions(docs: DataFrame, n: int, percent: int, text: str) -> DataFrame:
@@ -291,8 +297,10 @@ def pivots(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     return materialise(grouped(rows, sketches, percent, compare, "x long, p long").distinct(), "pivot-pairs")
 
 
-def crossing(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """(x, p): pairs of different components that sketches and windows allow."""
+def crossing(rows: DataFrame, sketches: DataFrame, percent: int, quota: int) -> DataFrame:
+    """(x, p, more): pairs of different components that sketches and windows allow. In each
+    region every component proposes the ``quota`` pairs with the most equal parts; ``more``
+    tells whether it had others."""
     radius = 1 - percent / 100 + 1e-9
 
     def compare(j, side, table):
@@ -300,18 +308,34 @@ def crossing(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
         node, sizes, comp, cell = (table.column(c).to_numpy() for c in ("node", "n", "comp", "cell"))
         far = table.column("far").to_numpy()
         sketch = np.frombuffer(b"".join(table.column("s").to_pylist()), np.uint8).reshape(len(node), -1)
+        first, second, same = [], [], []
         for i in range(len(node) - 1):
             if (comp[i + 1:] == comp[i]).all():
                 continue
-            found, _ = allowed(parts, j, side, sketch, sizes, i)
-            found = found[(comp[found] != comp[i]) & (cell[found] != node[i]) & (cell[i] != node[found])
-                          & ((cell[found] != cell[i]) | (np.abs(far[found] - far[i]) <= radius))]
-            if len(found):
-                x = np.full(len(found), node[i])
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, node[found])), pa.array(np.maximum(x, node[found]))],
-                                                 names=["x", "p"])
-
-    return materialise(grouped(rows, sketches, percent, compare, "x long, p long").distinct(), "window-pairs")
+            found, equal = allowed(parts, j, side, sketch, sizes, i)
+            ok = ((comp[found] != comp[i]) & (cell[found] != node[i]) & (cell[i] != node[found])
+                  & ((cell[found] != cell[i]) | (np.abs(far[found] - far[i]) <= radius)))
+            if ok.any():
+                first.append(np.full(int(ok.sum()), i))
+                second.append(found[ok])
+                same.append(equal[ok])
+        if not first:
+            return
+        a, b, same = np.concatenate(first), np.concatenate(second), np.concatenate(same)
+        # both components of a pair have it; a component's first ``quota`` pairs are proposed
+        owner = np.concatenate((comp[a], comp[b]))
+        pair = np.tile(np.arange(len(a)), 2)
+        order = np.lexsort((pair, -same[pair], owner))
+        owner, pair = owner[order], pair[order]
+        start = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
+        place = np.arange(len(owner)) - np.repeat(start, np.diff(np.append(start, len(owner))))
+        chosen = np.unique(pair[place < quota])
+        x, p = node[a[chosen]], node[b[chosen]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.minimum(x, p)), pa.array(np.maximum(x, p)), pa.array(np.full(len(x), len(chosen) < len(a)))],
+            names=["x", "p", "more"])
+
+    return materialise(grouped(rows, sketches, percent, compare, "x long, p long, more boolean"), "window-pairs")
 
 
 def point_texts(nodes: DataFrame, where: DataFrame, docs: DataFrame, n: int, id_col: str, text: str) -> DataFrame:
@@ -375,29 +399,43 @@ def links(docs: DataFrame, found: DataFrame, where: DataFrame, n: int, percent:
     near = got.select(F.col("x").alias("node"), F.struct("distance", F.col("p").alias("cell")).alias("_d")).union(
         got.select("p", F.struct("distance", F.col("x").alias("cell")))).groupBy("node").agg(F.min("_d").alias("_d"))
     # points without any possible partner have no cell and are done
-    left = (rows.join(near.select("node", "_d.cell", F.col("_d.distance").alias("far")), "node")
-            .join(comp.withColumnRenamed("id", "node"), "node", "left")
-            .withColumn("comp", F.coalesce("component", "node")).drop("component"))
-    mixed = (left.groupBy("key").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"))
-             .where("_lo < _hi").select("key"))
-    rest = crossing(left.join(mixed, "key", "left_semi"), sketches, percent)
-    if rest.isEmpty():
-        return comp
-    more = measured(rest, texts, n, percent)
-    return components(edges.unionByName(more.where("linked").select(F.col("x").alias("a"), F.col("p").alias("b"))))
+    rows = materialise(rows.join(near.select("node", "_d.cell", F.col("_d.distance").alias("far")), "node"), "cells")
+    tested, quota = got.select("x", "p"), 1
+    while True:
+        left = (rows.join(comp.withColumnRenamed("id", "node"), "node", "left")
+                .withColumn("comp", F.coalesce("component", "node")).drop("component"))
+        mixed = (left.groupBy("key").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"))
+                 .where("_lo < _hi").select("key"))
+        asked = crossing(left.join(mixed, "key", "left_semi"), sketches, percent, quota)
+        state = asked.agg(F.count("*").alias("n"), F.max("more").alias("more")).first()
+        if not state["n"]:
+            return comp
+        new = measured(asked.select("x", "p").distinct().join(tested, ["x", "p"], "left_anti"), texts, n, percent)
+        linked = new.where("linked").select(F.col("x").alias("a"), F.col("p").alias("b"))
+        comp = components(comp.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(linked))
+        if not state["more"]:
+            return comp
+        tested, quota = tested.unionByName(new.select("x", "p")), quota * QUOTA_GROWTH
+
+
+def named(docs: DataFrame, found: DataFrame, n: int, percent: int, id_col: str, text: str) -> DataFrame:
+    """(node, comp) of every point."""
+    where = found.where("node is not null").groupBy("node").agg(F.min("id").alias("id"))
+    comp = links(docs, found, where, n, percent, id_col, text)
+    return (where.select("node").join(comp.withColumnRenamed("id", "node"), "node", "left")
+            .select("node", F.coalesce("component", "node").alias("comp")))
 
 
 def join(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id_col, n_shingles, component_id) per document: component_id is the smallest id that
     is reachable over links of at least ``percent`` percent similarity, its own included."""
     found = materialise(points(docs, n, percent, id_col, text), "points")
-    where = found.where("node is not null").groupBy("node").agg(F.min("id").alias("id"))
-    comp = links(docs, found, where, n, percent, id_col, text)
-    named = (where.join(comp.withColumnRenamed("id", "node"), "node", "left")
-             .select("node", "id", F.coalesce("component", "node").alias("comp")))
-    least = named.groupBy("comp").agg(F.min("id").alias("component_id"))
-    named = named.join(least, "comp").select("node", "component_id")
-    return (found.join(named, "node", "left")
+    names = named(docs, found, n, percent, id_col, text)
+    # the smallest id of a point first, so that copies of one text never meet in a component's task
+    ids = found.where("node is not null").groupBy("node").agg(F.min("id").alias("id"))
+    least = names.join(ids, "node").groupBy("comp").agg(F.min("id").alias("component_id"))
+    names = names.join(least, "comp").select("node", "component_id")
+    return (found.join(names, "node", "left")
             .select(F.col("id").alias(id_col), "n_shingles", F.coalesce("component_id", "id").alias("component_id")))
 
 
@@ -406,14 +444,25 @@ def op6_ngram_join(spark, sf_dir) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir) -> DataFrame:
-    """Pipeline stage: of each group of near duplicates (five words, similarity 0.8) the
-    document with the smallest id stays. Rows that share an id are one document."""
-    found = join(docs)
-    gone = materialise(found.where("not (doc_id <=> component_id)").select("doc_id").distinct(), "near-copies")
-    kept = docs.join(gone, "doc_id", "left_anti")
-    repeated = materialise(found.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null")
-                           .select("doc_id"), "repeated-ids")
-    if repeated.isEmpty():
+    """Pipeline stage: of each group of near duplicates (five words, similarity 0.8) one row
+    stays: that with the smallest id (null ids last) and, of rows that share it, that with the
+    smallest text hash. Each row is decided by its own text: rows that share an id keep every
+    text that has no near duplicate, and rows with a null id are deduplicated like others. Rows
+    without words stay; of rows equal in id and text one stays."""
+    n, percent = 5, 80
+    found = materialise(points(docs, n, percent, "doc_id", "text"), "points")
+    names = named(docs, found, n, percent, "doc_id", "text")
+    order = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("h").alias("h"))
+    first = found.where("node is not null").groupBy("node").agg(F.min(order).alias("first"))
+    least = names.join(first, "node").groupBy("comp").agg(F.min("first").alias("least"))
+    names = names.join(least, "comp").select("node", "least")
+    gone = materialise(found.join(names, "node").where(order != F.col("least"))
+                       .select(F.struct("id", "h").alias("_row")).distinct(), "near-copies")
+    again = materialise(found.groupBy(F.struct("id", "h").alias("_row")).agg(F.count("*").alias("n")).where("n > 1")
+                        .select("_row"), "repeated-rows")
+    row = F.struct(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("h"))
+    kept = docs.withColumn("_row", row).join(gone, "_row", "left_anti")
+    if again.isEmpty():
         return kept.select(*docs.columns)
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(once).select(*docs.columns)
+    once = kept.join(again, "_row", "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(again, "_row", "left_anti").unionByName(once).select(*docs.columns)

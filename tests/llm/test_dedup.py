@@ -171,6 +171,45 @@ def test_ngram_join_awkward(awkward, nothing, spark):
     assert sorted(r.doc_id for r in staged.collect() if r.doc_id) == [1, 2, 3, 4, 5, 6, 7, 9, 10, 11, 12, 13]
 
 
+def near_copies(count, words, edits, seed=5):
+    rg = random.Random(seed)
+    base = [f"w{rg.randrange(10**6)}" for _ in range(words)]
+    out = []
+    for _ in range(count):
+        copy = list(base)
+        for _ in range(rg.randint(0, edits)):
+            copy[rg.randrange(words)] = f"v{rg.randrange(10**6)}"
+        out.append(" ".join(copy))
+    return out
+
+
+@pytest.mark.parametrize("edits", [1, 4])
+def test_a_large_group_needs_links_not_pairs(spark, monkeypatch, edits):
+    """Rows of proposed pairs follow the members of a group, not their pairs; no link is lost
+    where most pairs of the group are too far apart."""
+    made = []
+    plain = ngramjoin.crossing
+    monkeypatch.setattr(ngramjoin, "crossing", lambda *a: (lambda df: (made.append(df.count()), df)[1])(plain(*a)))
+    counts = []
+    for size in (100, 300):
+        made.clear()
+        docs = dict(enumerate(near_copies(size, 120, edits)))
+        df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngramjoin.join(df, 3, 90).collect()}
+        assert got == brute_groups(docs, 3, 90)
+        counts.append(made[0] if made else 0)
+    assert counts[1] <= 6 * max(counts[0], 30)
+
+
+def test_join_stage_decides_each_row(spark):
+    a, b, c = near_copies(1, 60, 0, 1)[0], near_copies(1, 60, 0, 2)[0], near_copies(1, 60, 0, 3)[0]
+    rows = [(1, a), (1, b), (2, a + " end"), (3, c), (3, c), (None, c), (None, b + " x"), (None, "lonely text of its own"),
+            (None, None), (None, None), (4, None), (5, "")]
+    df = spark.createDataFrame([(i, t, "de", None, 5) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r.doc_id, r.text) for r in ngramjoin.stage(spark, df, None).collect()), key=repr)
+    assert got == sorted([(1, a), (1, b), (3, c), (None, "lonely text of its own"), (None, None), (4, None), (5, "")], key=repr)
+
+
 def test_components(spark):
     rg = random.Random(3)
     edges = [(i, i + 1) for i in range(0, 60)] + [(rg.randint(100, 300), rg.randint(100, 300)) for _ in range(150)] + [(500, 500)]
