@@ -163,26 +163,34 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
 
 # --- short strings as numbers ---------------------------------------------------------
 PACKED = 32             # bytes of a string that four 64-bit numbers hold
+KEEP = np.array([(1 << (8 * i)) - 1 for i in range(9)], np.uint64)      # the first i bytes of a number
 
 
 def packed(raw: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """The first PACKED bytes of each string as a row of four 64-bit numbers, zero beyond its end:
-    strings up to that length are equal if and only if their lengths and rows are."""
-    padded = np.concatenate((raw, np.zeros(PACKED + 8, np.uint8)))
-    window = np.ndarray((len(raw) + PACKED + 1,), "<u8", padded, strides=(1,))
-    out = np.empty((len(start), PACKED // 8), np.uint64)
-    for i in range(PACKED // 8):
-        have = np.clip(length - 8 * i, 0, 8)
-        # a shift by 64 is undefined, so it is done in two steps
-        keep = ~((np.uint64(0xFFFFFFFFFFFFFFFF) << (have * 4).astype(np.uint64)) << (have * 4).astype(np.uint64))
-        out[:, i] = window[np.minimum(start + 8 * i, len(raw))] & keep
+    """The first PACKED bytes of each string as a column of four 64-bit numbers, zero beyond its
+    end: strings up to that length are equal if and only if their lengths and columns are."""
+    padded = np.concatenate((raw, np.zeros(8, np.uint8)))
+    window = np.ndarray((len(raw) + 1,), "<u8", padded, strides=(1,))
+    out = np.zeros((PACKED // 8, len(start)), np.uint64)
+    out[0] = window[start] & KEEP[np.minimum(length, 8)]
+    rows = np.flatnonzero(length > 8)
+    for i in range(1, PACKED // 8):
+        if not len(rows):
+            break
+        out[i, rows] = window[start[rows] + 8 * i] & KEEP[np.minimum(length[rows] - 8 * i, 8)]
+        rows = rows[length[rows] > 8 * i + 8]
     return out
 
 
-def packed_hash(key: np.ndarray, length: np.ndarray) -> np.ndarray:
-    h = mix(length.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
-    for i in range(key.shape[1]):
-        h = mix(h ^ key[:, i])
+def packed_hash(key: np.ndarray, length: np.ndarray, tag: np.ndarray | None = None) -> np.ndarray:
+    """A hash of each string by its numbers, its length and a tag of its own."""
+    h = mix(key[0] + (length if tag is None else tag).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    rows = np.flatnonzero(length > 8)
+    for i in range(1, len(key)):
+        if not len(rows):
+            break
+        h[rows] = mix(h[rows] ^ key[i, rows] + np.uint64(i))
+        rows = rows[length[rows] > 8 * i + 8]
     return h
 
 

@@ -71,7 +71,7 @@ class Vocabulary:
         key = packed(raw, np.cumsum(length) - length, length)
         h = packed_hash(key, length)
         order = np.argsort(h, kind="stable")
-        self.hash, self.key, self.length = h[order], key[order], length[order]
+        self.hash, self.key, self.length = h[order], key[:, order], length[order]
         self.index = np.array([i for _, i in short], np.int64)[order]
         # terms that share a hash stand side by side; all of them are compared
         self.most = int(np.unique(self.hash, return_counts=True)[1].max()) if len(short) else 0
@@ -87,7 +87,7 @@ class Vocabulary:
             for step in range(self.most):
                 c = np.minimum(first + step, len(self.hash) - 1)
                 same = np.flatnonzero((self.hash[c] == h) & (self.length[c] == length[at]))
-                same = same[(self.key[c[same]] == key[same]).all(axis=1)]
+                same = same[(self.key[:, c[same]] == key[:, same]).all(axis=0)]
                 out[at[same]] = self.index[c[same]]
         if self.long:
             for i in np.flatnonzero(np.isin(length, [len(t) for t in self.long])).tolist():

@@ -37,13 +37,14 @@ from __future__ import annotations
 import math
 from bisect import bisect_right
 from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import (LOWER, chunks, components, map_arrow, materialise, mix, prefix_hash, span_hash,
+from .common import (LOWER, PACKED, chunks, components, map_arrow, materialise, mix, packed, packed_hash,
                      text_buffer, words)
 
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -52,6 +53,16 @@ BLOCK = 1024        # members of a region that one task compares with one anothe
 
 
 # --- sets -----------------------------------------------------------------------------
+def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word: mixed from its bytes, by blake2b where it has more than
+    PACKED of them, so that no two kinds of words collide by their form."""
+    size = ends - starts
+    h = packed_hash(packed(raw, starts, size), size)
+    for i in np.flatnonzero(size > PACKED).tolist():
+        h[i] = int.from_bytes(blake2b(raw[starts[i]:ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return h
+
+
 def shingle_sets(raw: np.ndarray, offsets: np.ndarray, n: int) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text (bytes ``raw`` cut at ``offsets``)."""
     raw = LOWER[raw]
@@ -59,7 +70,7 @@ def shingle_sets(raw: np.ndarray, offsets: np.ndarray, n: int) -> list[np.ndarra
     sets = [np.zeros(0, np.uint64)] * (len(offsets) - 1)
     if not len(starts):
         return sets
-    w = span_hash(prefix_hash(raw), starts, ends)
+    w = word_hashes(raw, starts, ends)
     have = np.bincount(rows, minlength=len(offsets) - 1)
     first = np.cumsum(have) - have
     fold = w[:max(0, len(w) - n + 1)].copy()

@@ -4,7 +4,8 @@ Byte-level BPE never merges across a pre-token, and a single space between two
 non-space characters always starts one. A text is therefore cut at such spaces, and the
 ids of each piece are looked up in a bounded per-worker table. Pieces not seen before are
 joined and go to the library together; their ids are told apart by the tokens that begin
-with a space. Words are looked up by a 64-bit hash. The result equals ``Tokenizer.encode(text, add_special_tokens=False).ids``.
+with a space. Words are looked up by a hash and compared whole: up to 32 bytes as numbers, longer
+ones as strings. The result equals ``Tokenizer.encode(text, add_special_tokens=False).ids``.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import re
 
 import numpy as np
 
-from .common import chunks, mix, prefix_hash, span_hash, text_buffer
+from .common import PACKED, chunks, packed, packed_hash, text_buffer
 
 SPECIAL = "<|endoftext|>"
 TABLE_LIMIT = 200_000       # pieces remembered per worker, then forgotten
@@ -71,7 +72,8 @@ def cut(text: str) -> tuple[int, str, list[str]]:
 
 
 class WordIndex:
-    """Open-addressing numpy table: 64-bit hash of a word -> its ids in a pool."""
+    """Open-addressing numpy table: a word of at most PACKED bytes -> its ids in a pool. Slots
+    are found by a hash; the words themselves are kept and compared."""
 
     BITS = 21
 
@@ -81,10 +83,10 @@ class WordIndex:
     def reset(self, words: int) -> None:
         """Empty the table; it is made larger for more words than a quarter of its slots."""
         self.bits = max(self.BITS, (4 * words).bit_length())
-        n = 1 << self.bits
-        self.keys = np.zeros(n, np.uint64)
-        self.where = np.zeros(n, np.int64)
-        self.length = np.zeros(n, np.int32)
+        self.keys = np.zeros(1 << self.bits, np.uint64)
+        self.entry = np.zeros(1 << self.bits, np.int32)
+        self.word = np.zeros((PACKED // 8, 1 << 12), np.uint64)
+        self.tag, self.where, self.length = (np.zeros(1 << 12, np.int64) for _ in range(3))
         self.pool = np.zeros(1 << 20, np.uint32)
         self.used = self.held = 0
 
@@ -102,14 +104,29 @@ class WordIndex:
         """Whether so many more words would fill more than half of the slots."""
         return self.held + words > 1 << (self.bits - 1)
 
-    def add(self, h: np.ndarray, ids: list[bytes]) -> None:
-        """Distinct new hashes with their ids."""
+    def find(self, h: np.ndarray, word: np.ndarray, tag: np.ndarray) -> np.ndarray:
+        """The entry of each word, or -1: compared whole, not by hash."""
+        at = self.slots(h)
+        e = self.entry[at]
+        same = (self.keys[at] == h) & (self.tag[e] == tag) & (self.word[0][e] == word[0])
+        more = np.flatnonzero(tag > 17)         # longer than eight bytes
+        if len(more):
+            same[more] &= (self.word[1:, e[more]] == word[1:, more]).all(axis=0)
+        return np.where(same, e, -1)
+
+    def add(self, h: np.ndarray, word: np.ndarray, tag: np.ndarray, ids: list[bytes]) -> None:
+        """Words with distinct new hashes and their ids."""
         flat = np.frombuffer(b"".join(ids), "<u4")
         while self.used + len(flat) > len(self.pool):
             self.pool = np.concatenate((self.pool, np.zeros(len(self.pool), np.uint32)))
+        while self.held + len(h) > len(self.tag):
+            self.word, self.tag, self.where, self.length = (
+                np.concatenate((x, np.zeros_like(x)), axis=-1) for x in (self.word, self.tag, self.where, self.length))
         self.pool[self.used:self.used + len(flat)] = flat
         n = np.array([len(i) // 4 for i in ids], np.int64)
-        start = self.used + np.cumsum(n) - n
+        new = self.held + np.arange(len(h))
+        self.word[:, new], self.tag[new], self.length[new] = word, tag, n
+        self.where[new] = self.used + np.cumsum(n) - n
         self.used += len(flat)
         self.held += len(h)
         todo = np.arange(len(h))
@@ -117,7 +134,7 @@ class WordIndex:
             at = self.slots(h[todo])
             _, first = np.unique(at, return_index=True)
             mine = todo[first]
-            self.keys[at[first]], self.where[at[first]], self.length[at[first]] = h[mine], start[mine], n[mine]
+            self.keys[at[first]], self.entry[at[first]] = h[mine], new[mine]
             todo = np.delete(todo, first)
 
 
@@ -157,28 +174,43 @@ class PieceTable:
             end = np.append(start[1:], size)[keep]
             start, row, head = start[keep], row[keep], head[keep]
             space = (raw[start] == 32) & ~head
-            h = span_hash(prefix_hash(raw), np.where(head, start, start + 1), end)
-            h = mix(h + np.where(space, np.uint64(1), np.uint64(2)))
+            begin = np.where(head, start, start + 1)
+            size = end - begin
+            tag = size * 2 + space
+            word = packed(raw, begin, size)
+            h = packed_hash(word, size, tag)
             h[h == 0] = 1
-            ix = self.index
-            at = ix.slots(h)
-            new = np.flatnonzero(ix.keys[at] == 0)
+            ix, text = self.index, None
+            long = size > PACKED
+            short = np.flatnonzero(~long)
+            known = lambda: np.where(long, -1, ix.find(h, word, tag))
+            entry = known()
+            named = lambda at: [("" if s else NEWLINE) + text[a:b].decode() for s, a, b in zip(
+                space[at].tolist(), begin[at].tolist(), end[at].tolist())]
+            new = np.flatnonzero((entry < 0) & ~long)
+            new = new[ix.keys[ix.slots(h[new])] == 0]
             if len(new) and ix.full(len(np.unique(h[new]))):    # forget, then learn all of these
-                ix.reset(len(np.unique(h)))
-                new = np.arange(len(h))
+                ix.reset(len(np.unique(h[short])))
+                new = short
             if len(new):
-                fresh, first = np.unique(h[new], return_index=True)
+                _, first = np.unique(h[new], return_index=True)
                 first = new[first]
                 text = raw.tobytes()
-                names = [("" if s else NEWLINE) + text[a:b].decode() for s, a, b in zip(
-                    space[first].tolist(), np.where(head, start, start + 1)[first].tolist(), end[first].tolist())]
+                names = named(first)
                 found = self.learn(set(names))
-                ix.add(fresh, [found[p] for p in names])
-                at = ix.slots(h)
-            where = ix.where[at] + head
-            length = ix.length[at].astype(np.int64) - head
+                ix.add(h[first], word[:, first], tag[first], [found[p] for p in names])
+                entry = known()
+            where, length, pool = ix.where[entry], ix.length[entry].astype(np.int64), ix.pool
+            rare = np.flatnonzero(entry < 0)        # long words, and any whose hash another word has
+            if len(rare):
+                text = text or raw.tobytes()
+                coded = self.pieces(named(rare))
+                many = np.array([len(c) // 4 for c in coded], np.int64)
+                where[rare], length[rare] = ix.used + np.cumsum(many) - many, many
+                pool = np.concatenate((pool[:ix.used], np.frombuffer(b"".join(coded), "<u4")))
+            where, length = where + head, length - head
             total = np.cumsum(length)
-            ids = ix.pool[np.repeat(where - total + length, length) + np.arange(total[-1] if len(total) else 0)]
+            ids = pool[np.repeat(where - total + length, length) + np.arange(total[-1] if len(total) else 0)]
             bounds[1:] = np.cumsum(np.bincount(row, weights=length, minlength=n).astype(np.int64))
         coded = ids.astype("<u4").tobytes()
         out = [coded[a:b] for a, b in zip((bounds[:-1] * 4).tolist(), (bounds[1:] * 4).tolist())]
@@ -189,6 +221,18 @@ class PieceTable:
                 out[r] = c
         return out
 
+    def pieces(self, names: list[str]) -> list[bytes]:
+        """Ids of pieces by the table of strings."""
+        ids = list(map(self.table.get, names))
+        unseen = {p for p, x in zip(names, ids) if x is None}
+        if unseen:
+            new = self.learn(unseen)
+            if len(self.table) + len(new) > TABLE_LIMIT:
+                self.table.clear()
+            self.table.update(new)
+            ids = [new[p] if x is None else x for p, x in zip(names, ids)]
+        return ids
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each whole text as little-endian unsigned 32-bit integers; null is empty."""
         table = self.table

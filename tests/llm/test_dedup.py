@@ -201,6 +201,15 @@ def test_a_large_group_needs_links_not_pairs(spark, monkeypatch, edits):
     assert counts[1] <= 6 * max(counts[0], 30)
 
 
+def test_words_of_like_form_are_different_shingles():
+    flip, w = {"a": "b", "b": "a"}, "a"
+    while len(w) < 1024:
+        w += "".join(flip[c] for c in w)
+    pair = [w.encode(), "".join(flip[c] for c in w).encode()]
+    sets = ngramjoin.shingle_sets(np.frombuffer(b"".join(pair), np.uint8), np.array([0, 1024, 2048]), 3)
+    assert sets[0].tolist() != sets[1].tolist()
+
+
 def test_join_stage_decides_each_row(spark):
     a, b, c = near_copies(1, 60, 0, 1)[0], near_copies(1, 60, 0, 2)[0], near_copies(1, 60, 0, 3)[0]
     rows = [(1, a), (1, b), (2, a + " end"), (3, c), (3, c), (None, c), (None, b + " x"), (None, "lonely text of its own"),

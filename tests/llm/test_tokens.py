@@ -41,6 +41,27 @@ def test_encoding_equals_the_library_on_odd_texts(library, kind):
                 assert c == raw(ids(library, t)), repr(t)
 
 
+def colliding():
+    """Two words whose polynomial hashes modulo 2**64 are equal for every base."""
+    flip, w = {"a": "b", "b": "a"}, "a"
+    while len(w) < 1024:
+        w += "".join(flip[c] for c in w)
+    return w, "".join(flip[c] for c in w)
+
+
+@pytest.mark.parametrize("kind", [tokens.Encoder, bpe.BpeEncoder])
+def test_words_are_compared_not_hashed(library, monkeypatch, kind):
+    w, other = colliding()
+    texts = [w, other, f"x {w} {other} y", f"{other}\n{w}", "a b c d", "e f g h a"]
+    for weak in (False, True):      # also where every word has one hash
+        if weak:
+            monkeypatch.setattr(tokens, "packed_hash", lambda key, size, tag: np.full(len(size), 7, np.uint64))
+        enc = kind(PATH)
+        raw = np.frombuffer("".join(texts).encode(), np.uint8)
+        got = enc.encode_buffer(raw, np.cumsum([0] + [len(t) for t in texts]))
+        assert got == [globals()["raw"](ids(library, t)) for t in texts]
+
+
 def test_word_index_forgets_and_grows(library):
     enc = tokens.Encoder(PATH)
     enc.index.BITS = 4
