@@ -39,6 +39,9 @@ LANDING_SCHEMA = T.StructType(RAW_SCHEMA.fields + [T.StructField("year", T.Integ
                                                    T.StructField("circuit", T.StringType())])
 
 
+EMPTY_BYTES = 1 << 20       # a Parquet file without rows is smaller
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder (never a machine-local temp)."""
     return os.path.join(ensure_checkpoint_dir(spark), "lapstats-tables", f"{name}-{uuid.uuid4().hex[:12]}")
@@ -112,27 +115,54 @@ def read_landing(spark: SparkSession, path: str, fmt: str = "parquet", schema=No
     return r.format(fmt).load(path).withColumn("_file", F.col("_metadata.file_path"))
 
 
+def footer_rows(spark: SparkSession, path: str, raw: DataFrame) -> DataFrame:
+    """(year, circuit, footer_rows): rows that the Parquet footers under ``path`` name, no data
+    page read: the count is pushed to the scan, in a session of its own whose settings allow
+    it. One row per unit comes to the driver. Text formats have no footers: no rows."""
+    units = []
+    if "_corrupt_record" not in raw.columns:
+        own = spark.newSession()
+        for key, value in (("spark.sql.sources.useV1SourceList", ""), ("spark.sql.parquet.aggregatePushdown", "true"),
+                           ("spark.sql.files.ignoreCorruptFiles", "true")):
+            own.conf.set(key, value)
+        data = T.StructType([f for f in raw.schema.fields if f.name != "_file"])
+        units = [tuple(r) for r in own.read.schema(data).parquet(path).groupBy("year", "circuit").count().collect()]
+    return spark.createDataFrame(units, "year int, circuit string, footer_rows long")
+
+
 def landing_report(spark: SparkSession, path: str, raw: DataFrame, race: DataFrame, years: Sequence[int],
                    circuits: Sequence[str]) -> DataFrame:
-    """Per expected (year, circuit) unit: valid rows, files, bad_files (files that gave no row
-    at all), bad_records (malformed text records) and ``ok``: rows, and nothing bad; plus
-    the ok/total counts."""
+    """Per expected (year, circuit) unit: valid rows, files, bad_files (files that gave no row and
+    are not whole, empty Parquet files), bad_records (malformed text records), lost_rows (rows
+    that the Parquet footers name and the read did not give: a file that breaks half way) and
+    ``ok``: rows, and nothing bad or lost; plus the ok/total counts."""
     on = ["year", "circuit"]
     unit = lambda c: (F.regexp_extract(c, r"[/]year=([^/]+)/", 1).cast("int").alias("year"),
                       F.regexp_extract(c, r"[/]circuit=([^/]+)/", 1).alias("circuit"))
-    # names only: the content column is not asked for
     listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-              .select(F.regexp_replace("path", "^file:/+", "/").alias("f"))
+              .withColumn("f", F.regexp_replace("path", "^file:/+", "/"))
               .where(~F.element_at(F.split("f", "/"), -1).rlike("^[_.]")))
+    # the content is read of small files alone (the length is checked before): an empty Parquet
+    # file has its mark at both ends
+    mark = F.lit("PAR1").cast("binary")
+    whole = listed.where(F.col("length") < EMPTY_BYTES).where(
+        (F.substring("content", 1, 4) == mark) & (F.expr("substring(content, -4)") == mark)).select("f", F.lit(True).alias("whole"))
+    listed = listed.select("f")         # names only
     bad = F.count_if(F.col("_corrupt_record").isNotNull()) if "_corrupt_record" in raw.columns else F.lit(0)
     read = raw.groupBy(F.regexp_replace("_file", "^file:/+", "/").alias("f")).agg(bad.cast("bigint").alias("bad"))
-    files = (listed.join(read, "f", "left").select(*unit(F.col("f")), "bad").groupBy(*on).agg(
-        F.count(F.lit(1)).alias("files"), F.count_if(F.col("bad").isNull()).alias("bad_files"),
+    files = (listed.join(read, "f", "left").join(whole, "f", "left").select(*unit(F.col("f")), "bad", "whole").groupBy(*on).agg(
+        F.count(F.lit(1)).alias("files"), F.count_if(F.col("bad").isNull() & F.col("whole").isNull()).alias("bad_files"),
         F.coalesce(F.sum("bad"), F.lit(0)).alias("bad_records")))
+    # the hash makes the count read every column: a count alone would not touch a broken page
+    cells = F.max(F.xxhash64(*[F.col(c) for c in raw.columns if c != "_file"]))
+    got = raw.groupBy(*on).agg(F.count(F.lit(1)).alias("_got"), cells.alias("_cells")).where(F.col("_cells").isNotNull())
+    lost = footer_rows(spark, path, raw).join(got, on, "left") \
+        .select(*on, F.greatest(F.col("footer_rows") - F.coalesce("_got", F.lit(0)), F.lit(0)).alias("lost_rows"))
     grid = spark.createDataFrame([(y, c) for y in years for c in circuits], "year int, circuit string")
     rows = race.groupBy(*on).agg(F.count(F.lit(1)).alias("rows"))
-    r = grid.join(rows, on, "left").join(files, on, "left").na.fill(0, ["rows", "files", "bad_files", "bad_records"])
-    r = r.withColumn("ok", (F.col("rows") > 0) & (F.col("bad_files") == 0) & (F.col("bad_records") == 0))
+    counts = ["rows", "files", "bad_files", "bad_records", "lost_rows"]
+    r = grid.join(rows, on, "left").join(files, on, "left").join(lost, on, "left").na.fill(0, counts)
+    r = r.withColumn("ok", (F.col("rows") > 0) & (F.col("bad_files") == 0) & (F.col("bad_records") == 0) & (F.col("lost_rows") == 0))
     tot = r.agg(F.count_if("ok").alias("ok_units"), F.count(F.lit(1)).alias("total_units"))
     return r.crossJoin(F.broadcast(tot))
 
@@ -189,20 +219,21 @@ def available_sessions(laps: DataFrame) -> DataFrame:
 
 # S8 / S9 --------------------------------------------------------------------
 def adhoc_sql(spark: SparkSession, query: str, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Run user SQL over the given tables, as common table expressions in front of it: views
-    of the caller keep their meaning outside the query. Errors raise (D9)."""
-    names = {name: f"_adhoc_{uuid.uuid4().hex}" for name in tables}
-    for name, df in tables.items():
-        df.createOrReplaceTempView(names[name])
+    """Run user SQL over the given tables, whose names are views while Spark analyses the text:
+    it goes to Spark as it is, with comments, quoted names, ``WITH RECURSIVE`` and all. A view
+    of the caller under one of the names is put back. Errors raise (D9)."""
+    quoted = {name: "`" + name.replace("`", "``") + "`" for name in tables}
+    before = {name: spark.table(q) for name, q in quoted.items()
+              if spark.catalog.tableExists(q) and spark.catalog.getTable(q).isTemporary}
     try:
-        ctes = ", ".join(f"`{name}` as (select * from `{view}`)" for name, view in names.items())
-        text = query.strip()
-        if text[:4].lower() == "with":
-            return spark.sql(f"with {ctes}, {text[4:]}" if ctes else text)
-        return spark.sql(f"with {ctes} {text}" if ctes else text)
+        for name, df in tables.items():
+            df.createOrReplaceTempView(quoted[name])
+        return spark.sql(query)
     finally:
-        for view in names.values():
-            spark.catalog.dropTempView(view)
+        for name, q in quoted.items():
+            spark.catalog.dropTempView(name)
+            if name in before:
+                before[name].createOrReplaceTempView(q)
 
 
 def table_inventory(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -55,6 +55,59 @@ def test_adhoc_sql_raises(spark):
         S.adhoc_sql(spark, "select no_such_column from t", {"t": spark.range(3)}).collect()
 
 
+def test_adhoc_sql_takes_any_shape(spark):
+    """Leading comments, WITH, WITH RECURSIVE, quoted names; the caller's view comes back."""
+    spark.range(7).createOrReplaceTempView("t")
+    t = {"t": spark.range(3), "my laps": spark.range(5)}
+    count = lambda q: S.adhoc_sql(spark, q, t).first()[0]
+    assert count("-- a remark with select\n/* and another */ select count(*) from t") == 3
+    assert count("with u as (select id + 1 as id from t) select sum(id) from u") == 6
+    assert count("WITH RECURSIVE r(n) AS (SELECT 1 UNION ALL SELECT n + 1 FROM r WHERE n < 4) SELECT sum(n) + (SELECT count(*) FROM t) FROM r") == 13
+    assert count("select count(*) from `my laps` where 'from t' <> ''") == 5
+    assert spark.table("t").count() == 7 and not spark.catalog.tableExists("`my laps`")
+    spark.catalog.dropTempView("t")
+
+
+def test_half_broken_file_is_reported(spark):
+    """A file whose second row group is damaged gives its first rows; the footer tells the rest."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    root = S.scratch_path(spark, "t-half")
+    spark.range(1).write.parquet(root)      # makes the folder
+    base = root.removeprefix("file:")
+    row = {"Driver": "HAM", "LapNumber": 1, "LapTime": 90_000_000, "Compound": "SOFT", "TyreLife": 3, "Stint": 1,
+           "TrackStatus": "1", "Position": 2.0, "IsPersonalBest": False}
+    schema = S.LANDING_SCHEMA
+    kinds = {"string": pa.string(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "bigint": pa.int64(),
+             "interval day to second": pa.int64()}
+    fields = [(f.name, kinds[f.dataType.simpleString()]) for f in schema if f.name not in ("year", "circuit")]
+    full = pa.table({n: pa.array([row.get(n)] * 40_000, t) for n, t in fields})
+    for circuit in ("monza", "spa", "monaco"):
+        os.makedirs(f"{base}/landing/year=2023/circuit={circuit}")
+        pq.write_table(full, f"{base}/landing/year=2023/circuit={circuit}/a.parquet", row_group_size=20_000, compression="none",
+                       use_dictionary=False)
+    pq.write_table(full.slice(0, 0), f"{base}/landing/year=2023/circuit=spa/empty.parquet")
+    name = f"{base}/landing/year=2023/circuit=monza/a.parquet"
+    start = pq.read_metadata(name).row_group(1).column(0).data_page_offset
+    with open(name, "r+b") as f:
+        f.seek(start)
+        f.write(b"\xff" * 4096)
+    with open(f"{base}/landing/year=2023/circuit=monaco/junk.parquet", "wb") as f:
+        f.write(b"junk" * 20)
+    _, report = S.ingest_all(spark, f"{base}/landing", years=[2023], circuits=["monza", "spa", "monaco"])
+    got = {r.circuit: (r.lost_rows, r.bad_files, r.ok) for r in report.collect()}
+    assert got == {"monza": (20_000, 0, False), "spa": (0, 0, True), "monaco": (0, 1, False)}
+
+
+def test_duplicates_are_compared_in_full(spark):
+    from lapstats.operators import stats
+    rows = [(1, None, "a"), (None, 1, "a"), (1, None, "a"), (2, 2, None), (2, 2, None), (2, 2, None), (None, None, None)]
+    df = spark.createDataFrame(rows, "x int, y int, z string")
+    assert sorted(((r.x, r.y, r.z, r.extra_copies) for r in stats.duplicate_rows(df).collect()), key=repr) == \
+        sorted([(1, None, "a", 1), (2, 2, None, 2)], key=repr)
+    assert stats.data_quality(df).first().duplicate_rows == 3
+
+
 def test_plans_json_roundtrip(spark):
     df = spark.createDataFrame([([20], ["SOFT", "MEDIUM"], "single_stop")],
                                "pit_laps array<int>, compounds array<string>, plan_type string")
