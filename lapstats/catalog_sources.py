@@ -14,9 +14,10 @@ from . import testview as tv
 from .catalog import _round, features, laps, query, valid
 from .catalog_plans import GRID26
 from .oracle_sql import L, SQL, VALID, w
-from .operators import clean, model as M, panel, stats
+from .operators import clean, forest as FT, model as M, panel, stats
 from .plans import race as R
 from .sources import lapfiles as S
+from .staging import stage
 
 
 def raw_laps(spark, sf, with_optional=True):
@@ -71,7 +72,7 @@ u as (select g.year, g.circuit, cast(coalesce(n.rows, 0) as bigint) as rows, coa
  cast(coalesce(m.bad, 0) as bigint) as bad_files from g left join
  (select year, circuit, count(*) as rows from r group by 1, 2) n on g.year = n.year and g.circuit = n.circuit left join
  (select year, circuit, count(*) as files, sum(broken) as bad from k group by 1, 2) m on g.year = m.year and g.circuit = m.circuit)
-select year, circuit, rows, files, bad_files, cast(0 as bigint) as bad_records, rows > 0 and bad_files = 0 as ok,
+select year, circuit, rows, files, bad_files, cast(0 as bigint) as bad_records, cast(0 as bigint) as lost_rows, rows > 0 and bad_files = 0 as ok,
  (select count(*) filter (where rows > 0 and bad_files = 0) from u) as ok_units, (select count(*) from u) as total_units from u"""
 
 
@@ -240,8 +241,12 @@ def fitted(spark, sf):
     made once for the queries of the model, with nothing cached."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _MODELS:
-        split = M.training_split(features(spark, sf))
+        l = laps(spark, sf)
+        good = clean.normalise_columns(stage(clean.remove_invalid_laps(l), "clean"))
+        learned = M.FeatureStage.fit(good)
+        split = M.training_split(learned.transform(good, panel.detect_pit_stops(l)))
         m = M.fit_degradation_model(split.where(~F.col("is_test")))
+        m.stage = learned
         _MODELS.clear()
         _MODELS[key] = (m, split)
     return _MODELS[key]
@@ -384,6 +389,64 @@ SQL["save_load_model"] = FEAT_SPLIT + """ select lap_id, true as same_prediction
 SQL["load_model"] = FEAT_SPLIT + " select lap_id, true as same_prediction, true as same_meta from labelled where is_test"
 
 
+@query
+def q_score_raw_laps(spark, sf):
+    """A loaded model's own codes and median turn raw laps into features and give every
+    lap the prediction that the fitted one gives its engineered row."""
+    m, split = fitted(spark, sf)
+    path = S.scratch_path(spark, "model")
+    M.save_model(m, path)
+    l = laps(spark, sf)
+    raw = M.score_raw_laps(M.load_model(path), clean.remove_invalid_laps(l), panel.detect_pit_stops(l))
+    a = raw.select("lap_id", F.col("prediction").alias("p1"))
+    b = M.score_laps(m, split).select("lap_id", F.col("prediction").alias("p2"))
+    return a.join(b, "lap_id", "full").select("lap_id", F.coalesce(F.abs(F.col("p1") - F.col("p2")) < 1e-9, F.lit(False)).alias("same_prediction"))
+
+
+SQL["score_raw_laps"] = FEAT_SPLIT + " select lap_id, true as same_prediction from labelled"
+
+
+@query
+def q_forest_table_scores(spark, sf):
+    """M2, M3: the node table's prediction of every test lap is the model's."""
+    m, split = fitted(spark, sf)
+    both = FT.score_with_nodes(M.score_laps(m, split.where("is_test")).withColumnRenamed("prediction", "p1"),
+                               FT.forest_nodes(m, spark), m.features)
+    return both.select("lap_id", (F.abs(F.col("p1") - F.col("prediction")) < 1e-9).alias("same_prediction"))
+
+
+SQL["forest_table_scores"] = FEAT_SPLIT + " select lap_id, true as same_prediction from labelled where is_test"
+
+
+@query
+def q_forest_table_importance(spark, sf):
+    """The importances computed from the node table are the model's, feature by feature."""
+    m, _ = fitted(spark, sf)
+    own = M.feature_importance(m, spark).withColumnRenamed("importance", "p1")
+    j = own.join(FT.importance_from_nodes(FT.forest_nodes(m, spark)), "feature", "left")
+    return j.select("feature", (F.abs(F.col("p1") - F.coalesce("importance", F.lit(0.0))) < 1e-9).alias("same_importance"))
+
+
+SQL["forest_table_importance"] = "select feature, n > 0 as same_importance from (values " + ", ".join(
+    f"('{c}')" for c in panel.FEATURES) + ") t(feature), (select count(*) as n from events) e"
+
+
+@query
+def q_forest_table_metrics(spark, sf):
+    """Test metrics of the node table's predictions next to the model's own."""
+    m, split = fitted(spark, sf)
+    test = split.where("is_test")
+    a = M.evaluate_model(m, test)
+    b = stats.regression_metrics(FT.score_with_nodes(test, FT.forest_nodes(m, spark), m.features), "lap_time", "prediction")
+    names = ["r2", "mae", "rmse"]
+    j = a.select(*[F.col(c).alias(f"a_{c}") for c in names], "n").crossJoin(F.broadcast(b.select(*names)))     # one row each
+    return j.select("n", *[(F.abs(F.col(f"a_{c}") - F.col(c)) < 1e-6).alias(f"same_{c}") for c in names])
+
+
+SQL["forest_table_metrics"] = FEAT_SPLIT + """ select count(*) as n, true as same_r2, true as same_mae, true as same_rmse
+ from labelled where is_test"""
+
+
 @query
 def q_feature_importance_shape(spark, sf):
     """The fourteen features by name, none negative, sum 1, the top ten the largest."""

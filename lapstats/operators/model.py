@@ -18,25 +18,52 @@ from dataclasses import dataclass, field
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import dims
 from ..staging import stage
+from .clean import normalise_columns
 from .ordering import partitions, split_join
-from .panel import FEATURES, TARGET
+from .panel import FEATURES, TARGET, engineer_features, fit_label_mappings
+from .quantiles import exact_quantiles
 from .stats import regression_metrics
 
 R2_GATE = 0.75
 MAE_GATE = 0.5
 
 
+ENCODED = ("circuit", "driver", "tire_compound")
+
+
+@dataclass
+class FeatureStage:
+    """What feature engineering learns from its input, to be used again on other laps: the label
+    codes (column_name, value, code; a staged table) and the median gap."""
+    codes: DataFrame
+    gap_median: float | None
+
+    @staticmethod
+    def fit(laps: DataFrame) -> FeatureStage:
+        median = None
+        if "gap_to_leader" in laps.columns:
+            median = exact_quantiles(laps, "gap_to_leader", [0.5], ["m"]).first()["m"]
+        return FeatureStage(stage(fit_label_mappings(laps, ENCODED), "codes"), median)
+
+    def transform(self, laps: DataFrame, pits: DataFrame | None = None, include_current: bool = True) -> DataFrame:
+        """Engineered laps; values that the fit has not seen get the codes after its own (D3)."""
+        mappings = {c: self.codes.where(F.col("column_name") == c).select("value", "code") for c in ENCODED}
+        return engineer_features(laps, pits, include_current=include_current, mappings=mappings, gap_median=self.gap_median)
+
+
 @dataclass
 class DegradationModel:
     pipeline: PipelineModel
     features: list[str]
     target: str = TARGET
     metrics: dict = field(default_factory=dict)
+    stage: FeatureStage | None = None
 
     @property
     def is_fitted(self) -> bool:
@@ -76,6 +103,14 @@ def score_laps(model: DegradationModel | None, df: DataFrame) -> DataFrame:
     return out.select(*df.columns, "prediction")
 
 
+def score_raw_laps(model: DegradationModel, laps: DataFrame, pits: DataFrame | None = None) -> DataFrame:
+    """Predictions for raw laps of any session: features by the codes and the median that the
+    model was fitted with, so the same lap gets the same numbers wherever it is scored."""
+    if model is None or model.stage is None:
+        raise ValueError("The model has no fitted feature stage")
+    return score_laps(model, model.stage.transform(normalise_columns(laps), pits))
+
+
 # M3 / A14 -------------------------------------------------------------------
 def evaluate_model(model: DegradationModel, test: DataFrame) -> DataFrame:
     """Test metrics (R², MAE, RMSE, target mean/std); also stored as ``test_*``."""
@@ -186,10 +221,11 @@ def train_pipeline(laps: DataFrame, pits: DataFrame | None = None, num_trees: in
     not hold the target (D11). The valid and the engineered laps are written to
     the shared folder once and read from there."""
     from .clean import validate_laps
-    from .panel import engineer_features
     clean = stage(validate_laps(laps), "valid")
-    split = training_split(engineer_features(clean, pits, include_current=False))
+    learned = FeatureStage.fit(clean)
+    split = training_split(learned.transform(clean, pits, include_current=False))
     model = fit_degradation_model(split.where(~F.col("is_test")), num_trees=num_trees, max_depth=max_depth)
+    model.stage = learned
     metrics = evaluate_model(model, split.where(F.col("is_test")))
     if path:
         save_model(model, path)
@@ -207,16 +243,25 @@ def training_split(features: DataFrame) -> DataFrame:
 def save_model(model: DegradationModel, path: str) -> None:
     spark = SparkSession.getActiveSession()
     model.pipeline.write().overwrite().save(f"{path}/pipeline")
-    meta = json.dumps({"features": model.features, "target": model.target, "metrics": model.metrics})
+    kept = None
+    if model.stage is not None:
+        model.stage.codes.coalesce(1).write.mode("overwrite").parquet(f"{path}/codes")
+        kept = {"gap_median": model.stage.gap_median}
+    meta = json.dumps({"features": model.features, "target": model.target, "metrics": model.metrics, "stage": kept})
     spark.createDataFrame([(meta,)], "meta string").coalesce(1).write.mode("overwrite").text(f"{path}/meta")
 
 
 def load_model(path: str) -> DegradationModel | None:
-    """The saved model, or None when nothing loadable is at ``path``."""
+    """The saved model with its feature stage, or None when there is nothing at ``path``. What is
+    there but cannot be read raises."""
     spark = SparkSession.getActiveSession()
     try:
-        pipe = PipelineModel.load(f"{path}/pipeline")
-        meta = json.loads(spark.read.text(f"{path}/meta").first()["value"])
-    except Exception:
-        return None
-    return DegradationModel(pipe, meta["features"], meta["target"], meta.get("metrics", {}))
+        text = spark.read.text(f"{path}/meta")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    meta = json.loads(text.first()["value"])
+    kept = meta.get("stage")
+    learned = kept and FeatureStage(spark.read.parquet(f"{path}/codes"), kept["gap_median"])
+    return DegradationModel(PipelineModel.load(f"{path}/pipeline"), meta["features"], meta["target"], meta.get("metrics", {}), learned)

@@ -57,14 +57,17 @@ def detect_pit_stops(laps: DataFrame, keys: Sequence[str] = PANEL, seq: str = "l
 
 
 # P10 + W2 -------------------------------------------------------------------
-def default_position_gap(df: DataFrame) -> DataFrame:
+def default_position_gap(df: DataFrame, median: float | None = None) -> DataFrame:
     """position: absent -> 10, null -> 20. gap_to_leader: absent -> position*0.5,
-    null -> exact median of the column over the whole input (one-row broadcast)."""
+    null -> exact median of the column over the whole input (one-row broadcast), or
+    ``median`` where one was fitted elsewhere."""
     if "position" not in df.columns:
         df = df.withColumn("position", F.lit(10.0))
     df = df.withColumn("position", F.coalesce(F.col("position").cast("double"), F.lit(20.0)))
     if "gap_to_leader" not in df.columns:
         return df.withColumn("gap_to_leader", F.col("position") * 0.5)
+    if median is not None:
+        return df.withColumn("gap_to_leader", F.coalesce(F.col("gap_to_leader"), F.lit(median)))
     med = exact_quantiles(df, "gap_to_leader", [0.5], ["_gap_median"])
     return (df.crossJoin(F.broadcast(med))
               .withColumn("gap_to_leader", F.coalesce(F.col("gap_to_leader"), F.col("_gap_median")))
@@ -240,11 +243,11 @@ def select_features(df: DataFrame, features: Sequence[str] = FEATURES, target: s
 def engineer_features(laps: DataFrame, pits: DataFrame | None = None,
                       keys: Sequence[str] = PANEL, seq: str = "lap_number",
                       tie: str | None = "lap_id", include_current: bool = True,
-                      mappings: dict[str, DataFrame] | None = None) -> DataFrame:
+                      mappings: dict[str, DataFrame] | None = None, gap_median: float | None = None) -> DataFrame:
     """P11+W4 -> P10+W2 -> W3+W5 -> J1 -> J2 -> W6+P13 -> drop rows with null features.
 
-    ``mappings`` (column -> fitted label mapping) reuses codes fitted elsewhere;
-    otherwise codes are fitted on this input. Input needs tire_compound/tire_age
+    ``mappings`` (column -> fitted label mapping) and ``gap_median`` reuse what was fitted
+    elsewhere (``model.FeatureStage``); otherwise codes are fitted on this input. Input needs tire_compound/tire_age
     (``normalise_columns``).
 
     W2, both W3 means and J1 run on one ordered frame (stops are rows of kind 0 in it). W4 and
@@ -262,7 +265,7 @@ def engineer_features(laps: DataFrame, pits: DataFrame | None = None,
             codes.where(F.col("column_name") == col)
         m = m.select(F.col("value").alias("_lk"), F.col("code").alias(out))
         ages = ages.join(m, F.col(col).cast("string") == F.col("_lk"), "left").drop("_lk")
-    df, order, tail = default_position_gap(laps), _order(laps, seq, tie), ["lap_time", "position"]
+    df, order, tail = default_position_gap(laps, gap_median), _order(laps, seq, tie), ["lap_time", "position"]
     if pits is None:
         x = Ordered(df, keys, order, like=laps).carry(tail=tail, tail_rows=5)
     else:
