@@ -199,7 +199,7 @@ class PieceTable:
                 names = named(first)
                 found = self.learn(set(names))
                 ix.add(h[first], word[:, first], tag[first], [found[p] for p in names])
-                entry = known()
+                entry[new] = ix.find(h[new], word[:, new], tag[new])
             where, length, pool = ix.where[entry], ix.length[entry].astype(np.int64), ix.pool
             rare = np.flatnonzero(entry < 0)        # long words, and any whose hash another word has
             if len(rare):
