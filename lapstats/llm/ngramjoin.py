@@ -15,7 +15,7 @@ shingle set are one point. The join works on regions:
    point's Voronoi cell, and pivots within the radius are links.
 3. *Windows and recursion.* Links join points into components. Regions whose members are one
    component are finished. The others are joined again: pairs of different components that
-   the sketches allow and whose distances to a common pivot differ by no more than the radius
+   finer sketches allow and whose distances to a common pivot differ by no more than the radius
    (triangle inequality). In each round every component proposes its best such pairs in each
    region; those are counted, links join components, and regions that have become one
    component are done. A round proposes ``QUOTA_GROWTH`` times as many as the one before, until
@@ -48,6 +48,7 @@ from .common import (LOWER, PACKED, chunks, components, map_arrow, materialise,
                      text_buffer, words)
 
 STEP = np.uint64(0x9E3779B97F4A7C15)
+FINE = 16           # half parts of a fine sketch for each part of a region key
 QUOTA_GROWTH = 8    # pairs that a component proposes in a region: 1, 8, 64, ...
 BLOCK = 1024        # members of a region that one task compares with one another
 
@@ -156,9 +157,9 @@ class Parts:
         low = np.uint64(self.low)
         return mix(sums[full] ^ seeds[full]) & ~low | np.uint64(j)
 
-    def sketch(self, s: np.ndarray, j: int, total: np.ndarray) -> bytes:
-        """A byte for each of 3 * k / 2 parts; sets differ in no more parts than shingles."""
-        n = 3 * self.shape(j)[0] // 2
+    def sketch(self, s: np.ndarray, j: int, total: np.ndarray, halves: int = 3) -> bytes:
+        """A byte for each of ``halves`` * k / 2 parts; sets differ in no more parts than shingles."""
+        n = halves * self.shape(j)[0] // 2
         cuts = np.array([p * (1 << 64) // n for p in range(n)], np.uint64) if n not in self.cuts else self.cuts[n]
         self.cuts[n] = cuts
         ends = np.append(np.searchsorted(s, cuts), len(s))
@@ -365,6 +366,24 @@ def point_texts(nodes: DataFrame, where: DataFrame, docs: DataFrame, n: int, id_
     return materialise(map_arrow(texts, right, texts.schema).dropDuplicates(["node"]), "region-texts")
 
 
+def fine_sketches(texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """(node, n, j, s): sketches of so many parts that nearly every shingle in which two sets
+    differ shows, so few pairs beyond the radius are left to be counted."""
+
+    def run(batches):
+        parts = Parts(percent)
+        for batch in batches:
+            nodes = batch.column("node").to_pylist()
+            for a, sets in column_sets(batch.column("text"), n):
+                rows = [(nodes[a + i], len(s), j, parts.sketch(s, j, t, FINE)) for i, s in enumerate(sets)
+                        for t in (running(s),) for j in parts.classes(len(s))]
+                cols = list(zip(*rows)) if rows else [[]] * 4
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                    cols, (pa.int64(), pa.int64(), pa.int32(), pa.binary()))], names=["node", "n", "j", "s"])
+
+    return materialise(map_arrow(texts, run, "node long, n long, j int, s binary"), "fine-sketches")
+
+
 def measured(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """(x, p, distance, linked) of pairs of points, counted on the sets of their texts."""
     rows = (pairs.join(texts.select(F.col("node").alias("x"), F.col("text").alias("xt")), "x")
@@ -411,13 +430,13 @@ def links(docs: DataFrame, found: DataFrame, where: DataFrame, n: int, percent:
         got.select("p", F.struct("distance", F.col("x").alias("cell")))).groupBy("node").agg(F.min("_d").alias("_d"))
     # points without any possible partner have no cell and are done
     rows = materialise(rows.join(near.select("node", "_d.cell", F.col("_d.distance").alias("far")), "node"), "cells")
-    tested, quota = got.select("x", "p"), 1
+    tested, quota, fine = got.select("x", "p"), 1, fine_sketches(texts, n, percent)
     while True:
         left = (rows.join(comp.withColumnRenamed("id", "node"), "node", "left")
                 .withColumn("comp", F.coalesce("component", "node")).drop("component"))
         mixed = (left.groupBy("key").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"))
                  .where("_lo < _hi").select("key"))
-        asked = crossing(left.join(mixed, "key", "left_semi"), sketches, percent, quota)
+        asked = crossing(left.join(mixed, "key", "left_semi"), fine, percent, quota)
         state = asked.agg(F.count("*").alias("n"), F.max("more").alias("more")).first()
         if not state["n"]:
             return comp
