@@ -15,6 +15,7 @@ from .catalog import _round, features, laps, query, valid
 from .catalog_plans import GRID26
 from .oracle_sql import L, SQL, VALID, w
 from .operators import clean, forest as FT, model as M, panel, stats
+from .operators.ledger import Ledger
 from .plans import race as R
 from .sources import lapfiles as S
 from .staging import stage
@@ -542,3 +543,84 @@ def q_quality_gate_linear(spark, sf):
 
 SQL["quality_gate_linear"] = "select *, coalesce(r2 < 0.75, true) as retrain, coalesce(r2 < 0.75, true) as warn_r2, " \
     "coalesce(mae > 0.5, true) as warn_mae from (" + SQL["regression_metrics"] + ")"
+
+
+# A9-A13, A15 from the ledger: recorded without one session, which is added then; the table is
+# not read again by the reports
+LEDGER_COLS = ["year", "circuit", "driver", "lap_number", "lap_time", "compound", "stint", "tyre_life", "track_status"]
+_LEDGERS: dict = {}
+
+
+def ledger(spark, sf) -> Ledger:
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _LEDGERS:
+        l = laps(spark, sf).select(*LEDGER_COLS)
+        path, late = S.scratch_path(spark, "ledger-laps"), F.col("year").eqNullSafe(2022) & F.col("circuit").eqNullSafe("monza")
+        book = Ledger(l, S.scratch_path(spark, "ledger"))
+        S.append_table(l.where(~late), path)
+        book.record(spark.read.schema(l.schema).parquet(path))
+        S.append_table(l.where(late), path)
+        book.record(spark.read.schema(l.schema).parquet(path), units=[(2022, "monza")])
+        _LEDGERS[key] = book
+    return _LEDGERS[key]
+
+
+@query
+def q_ledger_summary(spark, sf):
+    return ledger(spark, sf).summary()
+
+
+@query
+def q_ledger_completeness(spark, sf):
+    return ledger(spark, sf).completeness()
+
+
+@query
+def q_ledger_quality(spark, sf):
+    return ledger(spark, sf).quality()
+
+
+@query
+def q_ledger_metrics(spark, sf):
+    return ledger(spark, sf).metrics(["stint", "tyre_life", "lap_number"])
+
+
+@query
+def q_ledger_valid(spark, sf):
+    return ledger(spark, sf).valid()
+
+
+@query
+def q_ledger_ingest_report(spark, sf):
+    return ledger(spark, sf).ingest_report()
+
+
+@query
+def q_ledger_numbers(spark, sf):
+    return ledger(spark, sf).numbers_report().drop("quantiles")
+
+
+_LC = f"lc as (select {', '.join(LEDGER_COLS)} from laps)"
+_GAPS = " + ".join(f"count(*) - count({c})" for c in LEDGER_COLS)
+SQL["ledger_summary"] = L + f""", {_LC} select count(*) as rows, {len(LEDGER_COLS)} as columns, min(lap_time) as min_lap_time,
+ max(lap_time) as max_lap_time, min(year) as first_year, max(year) as last_year, count(distinct circuit) as circuits from lc"""
+SQL["ledger_completeness"] = L + f""", {_LC}, i as (select count(*) as r, {_GAPS} as m from lc), u as (""" + " union all ".join(
+    f"select '{c}' as column_name, count(*) - count({c}) as n from lc" for c in LEDGER_COLS) + f""")
+select column_name, cast(n as bigint) as missing_count, round(n * 100.0 / r, 6) as missing_percentage,
+ round(1 - m / (r * {len(LEDGER_COLS)}), 6) as completeness_score, false as is_valid from u, i where n > 0
+union all select null, m, round(m * 100.0 / (r * {len(LEDGER_COLS)}), 6), round(1 - m / (r * {len(LEDGER_COLS)}), 6), m = 0 and r > 0 from i"""
+SQL["ledger_quality"] = L + f""", {_LC}, i as (select count(*) as r, {_GAPS} as m from lc),
+d as (select cast(coalesce(sum(c - 1), 0) as bigint) as d from (select count(*) as c from lc group by {', '.join(LEDGER_COLS)}))
+select r as total_rows, cast(m as bigint) as missing_values, d as duplicate_rows, {len(LEDGER_COLS)} as total_columns,
+ 'year:int,circuit:string,driver:string,lap_number:int,lap_time:double,compound:string,stint:int,tyre_life:int,track_status:string'
+ as column_types, round(greatest(0.0, 1 - 0.5 * m / (r * {len(LEDGER_COLS)}) - 0.3 * d / r), 6) as quality_score from i, d"""
+SQL["ledger_metrics"] = L + """ select count(*) as total_rows, 3 as total_features, cast(count(*) filter (where stint is null)
+ + count(*) filter (where tyre_life is null) + count(*) filter (where lap_number is null)
+ + count(*) filter (where lap_time is null) as bigint) as missing_values, count(distinct driver) as unique_drivers,
+ count(distinct circuit) as unique_circuits, cast(min(year) as varchar) || '-' || cast(max(year) as varchar) as year_range,
+ printf('%.2f-%.2f', min(lap_time), max(lap_time)) as lap_time_range,
+ array_to_string(list_sort(list_distinct(list(compound))), ',') as tire_compounds, count(*) < 1000 as low_volume from laps"""
+SQL["ledger_valid"] = L + f""" select count(*) > 0 and {O._BAD.format(life='tyre_life')} = 0 as is_valid, count(*) as rows from laps"""
+SQL["ledger_ingest_report"] = SQL["ingest_report"]
+SQL["ledger_numbers"] = L + " union all ".join(f""" select '{c}' as column_name, count({c}) as n,
+ cast(min({c}) as double) as lo, cast(max({c}) as double) as hi, round(avg({c}), 6) as mean from laps""" for c in ("lap_time", "year"))
