@@ -236,19 +236,26 @@ def st_sql(circ, comp, n, a):
 
 
 ST = w(tv.LAPS_CTE, tv.STATES_CTE)
-CAND = """sc as (select s.*, c.compound, c.compound_idx from states s,
+
+
+def cand_sql(st, hi="least(total_laps - 5, current_lap + 16) - 1", key="cost"):
+    """Candidate pit laps, the best per (state, compound) and the ranked windows; ``st`` prices a stint."""
+    return """sc as (select s.*, c.compound, c.compound_idx from states s,
  (values (0, 'SOFT'), (1, 'MEDIUM'), (2, 'HARD')) c(compound_idx, compound) where c.compound <> s.current_tire_compound),
-cand as (select sc.*, cast(g.p as int) as candidate, """ + st_sql("circuit", "current_tire_compound", "g.p - current_lap", "current_tire_age") + \
-    " + 25.0 + " + st_sql("circuit", "compound", "total_laps - g.p", "1") + """ as cost
- from sc, generate_series(current_lap + 1, least(total_laps - 5, current_lap + 16) - 1) g(p)),
+cand as (select sc.*, cast(g.p as int) as candidate, """ + st("circuit", "current_tire_compound", "g.p - current_lap", "current_tire_age") + \
+    " + 25.0 + " + st("circuit", "compound", "total_laps - g.p", "1") + """ as cost
+ from sc, generate_series(current_lap + 1, """ + hi + """) g(p)),
 best as (select state_id, compound, candidate, cost, cnt from (select *, row_number() over
- (partition by state_id, compound order by cost, candidate) as rn, count(*) over (partition by state_id, compound) as cnt
+ (partition by state_id, compound order by """ + key + """, candidate) as rn, count(*) over (partition by state_id, compound) as cnt
  from cand) where rn = 1),
 win as (select sc.*, cast(coalesce(b.candidate, sc.current_lap + 1) as int) as optimal_lap, b.cost as estimated_total_time,
  coalesce(b.cnt, 0) as candidates from sc left join best b on sc.state_id = b.state_id and sc.compound = b.compound),
 wr as (select *, row_number() over (partition by state_id order by estimated_total_time nulls last, compound_idx) as rank from win)"""
 
 
+CAND = cand_sql(st_sql)
+
+
 @query
 def q_optimal_pit_lap(spark, sf):
     return _round(S.optimal_pit_lap(STATES(spark, sf)), ["estimated_total_time"])
@@ -323,43 +330,48 @@ def _adj(lap):
             f"then -0.1::double else 0.0::double end")
 
 
-REC = CAND + """, rs as (select s.*, w.optimal_lap as bl, w.compound as bc from states s left join wr w
+def rec_sql(st, cand):
+    """The candidate plans of each state by ``st``, ranked."""
+    return cand + """, rs as (select s.*, w.optimal_lap as bl, w.compound as bc from states s left join wr w
  on s.state_id = w.state_id and w.rank = 1),
 o as (
  select rs.*, 0 as option_idx, 'best_window' as plan_kind, cast(bl as varchar) as pit_laps, bc as compounds_in, 1 as n,
-  case when bl <= total_laps then (0.0::double + """ + st_sql("circuit", "current_tire_compound", "bl - current_lap", "current_tire_age") + \
-    " + " + st_sql("circuit", "bc", "total_laps + 1 - bl", "0") + ") + 1 * 25.0 else (0.0::double + " + \
-    st_sql("circuit", "current_tire_compound", "total_laps + 1 - current_lap", "current_tire_age") + """) + 0 * 25.0 end as total_time,
+  case when bl <= total_laps then (0.0::double + """ + st("circuit", "current_tire_compound", "bl - current_lap", "current_tire_age") + \
+    " + " + st("circuit", "bc", "total_laps + 1 - bl", "0") + ") + 1 * 25.0 else (0.0::double + " + \
+    st("circuit", "current_tire_compound", "total_laps + 1 - current_lap", "current_tire_age") + """) + 0 * 25.0 end as total_time,
   0.7::double + 0.2::double + (0.0::double + """ + _adj("bl") + """) as conf_raw,
   (case when bc = 'SOFT' and total_laps - bl > 20 then 1 else 0 end) + (case when total_laps - bl < 5 then 1 else 0 end) as risk_k
  from rs where bl is not null
  union all select rs.*, 1, 'conservative', cast(current_lap + cast(floor((total_laps - current_lap) / 2) as int) as varchar), 'MEDIUM', 1,
-  (0.0::double + """ + st_sql("circuit", "current_tire_compound", "(current_lap + cast(floor((total_laps - current_lap) / 2) as int)) - current_lap", "current_tire_age") + " + " + \
-    st_sql("circuit", "'MEDIUM'", "total_laps + 1 - (current_lap + cast(floor((total_laps - current_lap) / 2) as int))", "0") + """) + 1 * 25.0,
+  (0.0::double + """ + st("circuit", "current_tire_compound", "(current_lap + cast(floor((total_laps - current_lap) / 2) as int)) - current_lap", "current_tire_age") + " + " + \
+    st("circuit", "'MEDIUM'", "total_laps + 1 - (current_lap + cast(floor((total_laps - current_lap) / 2) as int))", "0") + """) + 1 * 25.0,
   0.7::double + 0.2::double + (0.0::double + """ + _adj("(current_lap + cast(floor((total_laps - current_lap) / 2) as int))") + """),
   case when total_laps - (current_lap + cast(floor((total_laps - current_lap) / 2) as int)) < 5 then 1 else 0 end
  from rs
  union all select rs.*, 2, 'aggressive', cast(total_laps - 15 as varchar), 'SOFT', 1,
-  (0.0::double + """ + st_sql("circuit", "current_tire_compound", "total_laps - 15 - current_lap", "current_tire_age") + " + " + \
-    st_sql("circuit", "'SOFT'", "16", "0") + """) + 1 * 25.0,
+  (0.0::double + """ + st("circuit", "current_tire_compound", "total_laps - 15 - current_lap", "current_tire_age") + " + " + \
+    st("circuit", "'SOFT'", "16", "0") + """) + 1 * 25.0,
   0.7::double + 0.2::double + (0.0::double + """ + _adj("(total_laps - 15)") + """),
   (case when total_laps - (total_laps - 15) > 20 then 1 else 0 end)
  from rs where total_laps - 15 > current_lap
  union all select rs.*, 3, 'two_stop', cast(current_lap + 10 as varchar) || ',' || cast(total_laps - 15 as varchar),
   'MEDIUM,SOFT', 2,
-  (0.0::double + """ + st_sql("circuit", "current_tire_compound", "10", "current_tire_age") + " + " + \
-    st_sql("circuit", "'MEDIUM'", "total_laps - 15 - (current_lap + 10)", "0") + " + " + \
-    st_sql("circuit", "'SOFT'", "16", "0") + """) + 2 * 25.0,
+  (0.0::double + """ + st("circuit", "current_tire_compound", "10", "current_tire_age") + " + " + \
+    st("circuit", "'MEDIUM'", "total_laps - 15 - (current_lap + 10)", "0") + " + " + \
+    st("circuit", "'SOFT'", "16", "0") + """) + 2 * 25.0,
   0.7::double + 0.0::double + (0.0::double + """ + _adj("(current_lap + 10)") + " + " + _adj("(total_laps - 15)") + """),
   0
  from rs where total_laps - current_lap > 25
  union all select rs.*, 4, 'no_stop', '', '', 0,
-  (0.0::double + """ + st_sql("circuit", "current_tire_compound", "total_laps + 1 - current_lap", "current_tire_age") + """) + 0 * 25.0,
+  (0.0::double + """ + st("circuit", "current_tire_compound", "total_laps + 1 - current_lap", "current_tire_age") + """) + 0 * 25.0,
   0.5::double, 0
  from rs where current_tire_age + (total_laps - current_lap) <= 50),
-rec as (select *, cast(row_number() over (partition by state_id order by total_time, option_idx) as int) as rank,
+rec as (select *, cast(row_number() over (partition by state_id order by total_time nulls last, option_idx) as int) as rank,
  case when n = 0 then 0.5::double else greatest(0.0::double, least(1.0::double, conf_raw)) end as confidence_score,
  case when risk_k = 0 then 'LOW' when risk_k <= 2 then 'MEDIUM' else 'HIGH' end as risk_level from o)"""
+
+
+REC = rec_sql(st_sql, CAND)
 REC_COLS = """state_id, year, circuit, total_laps, rank, plan_kind, pit_laps, compounds_in, round(total_time, 6) as total_time,
  round(confidence_score, 6) as confidence_score, risk_level"""
 SQL["recommend_plans"] = ST + ", " + REC + " select " + REC_COLS + " from rec"
@@ -489,3 +501,50 @@ best as (select * from (select *, row_number() over (partition by state_id, comp
 select sc.state_id, sc.current_lap, sc.total_laps, sc.compound_idx, sc.compound,
  cast(coalesce(b.candidate, sc.current_lap + 1) as int) as optimal_lap, round(b.cost, 6) as estimated_total_time
 from sc left join best b on sc.state_id = b.state_id and sc.compound = b.compound"""
+
+
+# --- G6 and G9 with lines per band of ages, over the whole rest of the race ---
+def _bands(spark, sf):
+    from .plans import lapmodel as LM
+    l = laps(spark, sf)
+    return tv.states(l), LM.cumulative_lap_table(LM.banded_lap_times(l))
+
+
+@query
+def q_optimal_pit_lap_bands(spark, sf):
+    """G6 with a fitted model of many segments and no limit on how far away the stop may be."""
+    from .plans import lapmodel as LM
+    return _round(LM.optimal_pit_lap_with(*_bands(spark, sf), reach=None), ["estimated_total_time"])
+
+
+@query
+def q_recommend_plans_bands(spark, sf):
+    """G9 with the same model."""
+    states, cum = _bands(spark, sf)
+    r = S.recommend_plans(states, cum_table=cum, reach=None)
+    return _round(r.select("state_id", "rank", "plan_kind", _keystr("pit_laps").alias("pit_laps"), F.array_join(
+        "compounds_in", ",").alias("compounds_in"), "total_time", "confidence_score", "risk_level"),
+        ["total_time", "confidence_score"])
+
+
+def band_sql(circ, comp, n, a):
+    return f"(cums[{comp}][{a} + greatest({n}, 0) + 1] - cums[{comp}][{a} + 1])"
+
+
+# every age is priced one by one and summed up, every candidate lap is tried
+BANDS = ST.replace("states as (", "plain as (") + """, fit as (select circuit, compound, tyre_life // 10 * 10 as lo,
+ regr_slope(lap_time, tyre_life) as s, regr_intercept(lap_time, tyre_life) as i, avg(lap_time) as m
+ from laps where lap_time is not null and tyre_life >= 0 group by 1, 2, 3),
+age as (select unnest(generate_series(0, (select max(current_tire_age) + max(total_laps) + 1 from plain))) as age),
+lt as (select circuit, compound, age, arg_max(coalesce(i + s * age, m), lo) filter (lo <= age) as t,
+ arg_min(coalesce(i + s * age, m), lo) as t0 from fit, age group by 1, 2, 3),
+cm as (select circuit, compound, age, coalesce(sum(coalesce(t, t0)) over (partition by circuit, compound order by age
+ rows between unbounded preceding and 1 preceding), 0.0) as c from lt),
+per as (select circuit, compound, list(c order by age) as cum from cm group by 1, 2),
+known as (select circuit, map(list(compound), list(cum)) as cums from per group by 1),
+states as (select plain.*, cums from plain left join known using (circuit))"""
+BAND_CAND = cand_sql(band_sql, "total_laps - 6", "round(cost, 9) nulls last")
+SQL["optimal_pit_lap_bands"] = BANDS + ", " + BAND_CAND + """ select state_id, current_lap, total_laps, compound_idx, compound,
+ optimal_lap, round(estimated_total_time, 6) as estimated_total_time from win"""
+SQL["recommend_plans_bands"] = BANDS + ", " + rec_sql(band_sql, BAND_CAND) + """ select state_id, rank, plan_kind, pit_laps,
+ compounds_in, round(total_time, 6) as total_time, round(confidence_score, 6) as confidence_score, risk_level from rec"""

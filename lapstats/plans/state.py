@@ -179,7 +179,8 @@ def plan_cost_from_state(states: DataFrame, pits: Column, comps_in: Column) -> D
 
 
 # G9 / T5 --------------------------------------------------------------------
-def recommend_plans(states: DataFrame, n: int = 5, cum_table: DataFrame | None = None) -> DataFrame:
+def recommend_plans(states: DataFrame, n: int = 5, cum_table: DataFrame | None = None,
+                    reach: int | None = 16) -> DataFrame:
     """Up to five plans per state (best window; MEDIUM at mid-distance; SOFT 15 from the
     end if still ahead; two-stop MEDIUM then SOFT when > 25 laps remain; no stop when
     the tyre lasts), each with C2 time, confidence (F16) and risk (F17); ranked by
@@ -187,8 +188,9 @@ def recommend_plans(states: DataFrame, n: int = 5, cum_table: DataFrame | None =
 
     Each option's C2 time is a closed form over its (at most three) stints, computed
     in plain projections; the ranking sorts a five-element array inside the row.
-    With ``cum_table`` (``lapmodel.cumulative_lap_table``) lap times come from that
-    fitted lap model instead of F23."""
+    With ``cum_table`` (``lapmodel.cumulative_lap_table``) lap times come from that fitted
+    lap model instead of F23, and the best window is looked for within ``reach`` laps; plans
+    with tyres that the model does not know have a null time and come last."""
     from . import lapmodel as LM
     cur, t, age = F.col("current_lap"), F.col("total_laps"), F.col("current_tire_age")
     if cum_table is None:
@@ -200,7 +202,7 @@ def recommend_plans(states: DataFrame, n: int = 5, cum_table: DataFrame | None =
             c = F.lit(comp) if isinstance(comp, str) else comp
             return _stint(F.col("_B") + _mod(c), _rate2(c), m, F.lit(0))
     else:
-        s = LM.with_lap_table(states, cum_table).withColumn("_best", F.get(LM.sorted_windows_expr(), 0))
+        s = LM.with_lap_table(states, cum_table).withColumn("_best", F.get(LM.sorted_windows_expr(reach), 0))
         cc = F.try_element_at(F.col("cums"), F.col("current_tire_compound"))
         st_cur = lambda m: LM.stint_from_table(cc, m, age)
 
@@ -222,7 +224,7 @@ def recommend_plans(states: DataFrame, n: int = 5, cum_table: DataFrame | None =
         "_t4": no_stop})
 
     def opt(i, pits, comps, kind):
-        return F.struct(F.col(f"_t{i}").alias("total_time"), F.lit(i).alias("option_idx"), pits.alias("pit_laps"),
+        return F.struct(F.col(f"_t{i}").isNull().alias("unknown"), F.col(f"_t{i}").alias("total_time"), F.lit(i).alias("option_idx"), pits.alias("pit_laps"),
                         comps.alias("compounds_in"), F.lit(kind).alias("plan_kind"))
     opts = F.array(
         F.when(F.col("_bl").isNotNull(), opt(0, F.array(F.col("_bl")), F.array(F.col("_bc")), "best_window")),
@@ -231,7 +233,7 @@ def recommend_plans(states: DataFrame, n: int = 5, cum_table: DataFrame | None =
         F.when(t - cur > 25, opt(3, F.array(cur + 10, t - 15), F.array(F.lit("MEDIUM"), F.lit("SOFT")), "two_stop")),
         F.when(age + (t - cur) <= dims.MAX_STINT_LENGTH,
                opt(4, F.array().cast("array<int>"), F.array().cast("array<string>"), "no_stop")))
-    # struct order (total_time, option_idx, ...) makes sort_array rank by time, then option order
+    # struct order (unknown, total_time, option_idx, ...) makes sort_array rank by time, then option order
     ranked = F.slice(F.sort_array(F.array_compact(opts)), 1, n)
     x = s.select(*states.columns, F.posexplode(ranked).alias("_r", "p"))
     return x.select(
