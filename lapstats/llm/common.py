@@ -81,9 +81,16 @@ def extend(schema: StructType, ddl: str) -> StructType:
     return StructType(schema.fields + StructType.fromDDL(ddl).fields)
 
 
+def arrow_uri(path: str) -> str:
+    """The path with the scheme that pyarrow knows for Hadoop's names of S3."""
+    scheme, sep, rest = path.partition("://")
+    return f"s3://{rest}" if sep and scheme in ("s3a", "s3n") else path
+
+
 def open_fs(path: str):
     """(pyarrow file system, path in it) of a URI or plain path; used inside tasks."""
     from pyarrow import fs
+    path = arrow_uri(path)
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
 

@@ -2,17 +2,20 @@
 
 ``spark.read.format("warc")`` plans partitions from the archive files and their sizes (a
 large file is dealt in byte ranges; a record belongs to the range its first byte is in),
-takes predicates on the record type and other header columns, parses a record's headers
+takes predicates on the record type and other header columns (tests of ``read_archives``, or
+``where`` on a frame loaded with ``pushWhere``), parses a record's headers
 first and inflates its payload only where the record passes and a payload is asked for
 (a schema without ``payload`` never decodes one). Records are gzip members whose ``sl``
-extra field holds the member's length, so an unwanted record is stepped over; archives
-without that field, and plain ones, are read as well.
+extra field holds the member's length, so an unwanted record is stepped over. Archives
+without that field, members that hold many records (a whole file in one member, too) and plain
+archives are read as well; one that ends within a record raises an error.
 
 ``df.write.format("warc").mode("append").save(folder)`` writes one file per task under a
 name of its own attempt; the commit lists the files of the tasks that succeeded in a
 manifest, and only those are read, so lost executors leave at most unused files.
 
-Folders are opened with pyarrow's file systems, so they can be in any store it reads.
+Folders are opened with pyarrow's file systems, so they can be in any store it reads; s3a:// is
+read as s3://.
 
 Defined cases: null html is an empty payload; null page_id or url gives a record without
 that header; equal payloads of at least ``MIN_DUPLICATE`` bytes are stored once, under the
@@ -102,18 +105,8 @@ class Range(InputPartition):
 
 
 class WarcReader(DataSourceReader):
-    def __init__(self, folder: str, schema, split: int):
-        self.folder, self.names, self.split, self.tests = folder, schema.names, split, []
-
-    def pushFilters(self, filters):
-        """Take equality, membership, prefix and not-null tests on header columns."""
-        for f in filters:
-            name = f.attribute[0] if len(getattr(f, "attribute", ())) == 1 else None
-            kind = {EqualTo: "eq", In: "in", StringStartsWith: "starts", IsNotNull: "some"}.get(type(f))
-            if kind and name in COLUMN.values():
-                self.tests.append((name, kind, getattr(f, "value", None)))
-            else:
-                yield f
+    def __init__(self, folder: str, schema, split: int, tests: list):
+        self.folder, self.names, self.split, self.tests = folder, schema.names, split, tests
 
     def partitions(self):
         fs, base = open_fs(self.folder)
@@ -155,29 +148,114 @@ class WarcReader(DataSourceReader):
                 yield tuple(head.get(n) for n in self.names)
 
 
+class FilteringReader(WarcReader):
+    """The reader that also takes the filters of ``where`` from Spark. Spark keeps them with the
+    loaded frame: used again without a filter, or with two filters in one plan, that frame gives the
+    wrong records. So it is only taken on request, for a frame that is loaded for one use."""
+
+    def pushFilters(self, filters):
+        """Take equality, membership, prefix and not-null tests on header columns."""
+        for f in filters:
+            name = f.attribute[0] if len(getattr(f, "attribute", ())) == 1 else None
+            kind = {EqualTo: "eq", In: "in", StringStartsWith: "starts", IsNotNull: "some"}.get(type(f))
+            if kind and name in COLUMN.values():
+                self.tests.append((name, kind, getattr(f, "value", None)))
+            else:
+                yield f
+
+
 def members(f, start: int, end: int):
-    """(headers, function that returns the block) of the gzip records that start in a range."""
+    """(headers, function that returns the block) of the records in the gzip members that start
+    in a range. A member that says its length and holds one record is stepped over where it is
+    not wanted; any other is inflated in passing, record after record."""
     size = f.size()
     at = next_start(f, start, size, lambda raw: inflate(raw, 16).startswith(b"WARC/"), b"\x1f\x8b\x08") if start else 0
     while at < min(end, size):
         raw = f.read_at(min(HEAD_BYTES, size - at), at)
-        skip = member_length(raw)
-        have = inflate(raw, 1 << 16)
-        grow = HEAD_BYTES
-        while b"\r\n\r\n" not in have and at + len(raw) < size and grow < 1 << 26:
+        packed, unpacked = member_lengths(raw)
+        if at + packed > size:
+            raise cut_off(at)
+        have, grow = inflate(raw, 1 << 16) if packed else b"", HEAD_BYTES
+        while packed and b"\r\n\r\n" not in have and grow < min(packed, 1 << 26):
             grow *= 4
-            raw = f.read_at(min(grow, size - at), at)
-            have = inflate(raw, grow * 8)
-        head = parse_head(have.partition(b"\r\n\r\n")[0])
-        if skip is None:        # no length field: inflate to find the end
-            skip = whole_length(f, at, size)
-
-        def block(at=at, skip=skip, n=head.get("_length", 0)):
-            data = inflate(f.read_at(skip, at), None)
-            return data.partition(b"\r\n\r\n")[2][:n]
+            have = inflate(f.read_at(min(grow, packed), at), grow * 8)
+        lines, found, _ = have.partition(b"\r\n\r\n")
+        head = parse_head(lines)
+        n = head.get("_length", 0)
+        if not found or unpacked > len(lines) + 4 + n + 4:
+            stream = Member(f, at, size)
+            yield from stream.records()
+            at = stream.end()
+            continue
+
+        def block(at=at, packed=packed, skip=len(lines) + 4, n=n):
+            z = zlib.decompressobj(31)
+            data = z.decompress(f.read_at(packed, at))
+            if not z.eof or len(data) < skip + n:
+                raise cut_off(at)
+            return data[skip:skip + n]
 
         yield head, block
-        at += skip
+        at += packed
+
+
+class Member:
+    """The records of one gzip member in turn; only what is asked for is kept."""
+
+    def __init__(self, f, at: int, size: int):
+        self.f, self.start, self.at, self.size = f, at, at, size
+        self.z, self.have = zlib.decompressobj(31), b""
+
+    def more(self) -> bool:
+        """Inflate a little further; False at the member's end."""
+        if self.z.eof:
+            return False
+        raw = self.z.unconsumed_tail
+        if not raw:
+            raw = self.f.read_at(min(1 << 16, self.size - self.at), self.at)
+            self.at += len(raw)
+            if not raw:
+                raise cut_off(self.start)
+        self.have += self.z.decompress(raw, 1 << 20)
+        return True
+
+    def take(self, n: int, keep: bool) -> bytes:
+        got = []
+        while n > len(self.have):
+            n -= len(self.have)
+            if keep:
+                got.append(self.have)
+            self.have = b""
+            if not self.more():
+                raise cut_off(self.start)
+        got.append(self.have[:n])
+        self.have = self.have[n:]
+        return b"".join(got) if keep else b""
+
+    def records(self):
+        while True:
+            self.have = self.have.lstrip(b"\r\n")
+            if not self.have:
+                if self.more():
+                    continue
+                return
+            while b"\r\n\r\n" not in self.have:
+                if not self.more():
+                    raise cut_off(self.start)
+            lines, _, self.have = self.have.partition(b"\r\n\r\n")
+            head, left = parse_head(lines), []
+            left.append(head.get("_length", 0))
+            yield head, lambda: self.take(left.pop(), True)
+            if left:
+                self.take(left.pop(), False)
+
+    def end(self) -> int:
+        """Where the next member starts."""
+        return self.at - len(self.z.unused_data)
+
+
+def cut_off(at: int) -> ValueError:
+    return ValueError(f"the archive is cut off in the record at byte {at}")
 
 
 def plain(f, start: int, end: int):
@@ -189,9 +267,13 @@ def plain(f, start: int, end: int):
         while b"\r\n\r\n" not in have and len(have) < size - at:
             have = f.read_at(min(grow, size - at), at)
             grow *= 4
-        raw = have.partition(b"\r\n\r\n")[0]
+        raw, found, _ = have.partition(b"\r\n\r\n")
+        if not have.strip():
+            return
         head = parse_head(raw)
         body, n = at + len(raw) + 4, head.get("_length", 0)
+        if not found or body + n > size:
+            raise cut_off(at)
         yield head, lambda body=body, n=n: f.read_at(n, body)
         at = body + n + 4
 
@@ -209,34 +291,25 @@ def next_start(f, at: int, size: int, is_record, magic: bytes) -> int:
     return size
 
 
-def inflate(raw: bytes, limit: int | None) -> bytes:
-    d = zlib.decompressobj(31)
+def inflate(raw: bytes, limit: int) -> bytes:
+    """What the first bytes of a member inflate to; nothing where they are none."""
     try:
-        return d.decompress(raw, limit) if limit else d.decompress(raw)
+        return zlib.decompressobj(31).decompress(raw, limit)
     except zlib.error:
         return b""
 
 
-def member_length(raw: bytes) -> int | None:
-    """The member's length from its ``sl`` field, if it has one."""
+def member_lengths(raw: bytes) -> tuple[int, int]:
+    """The member's length and its data's from its ``sl`` field; zeros if it has none."""
     if len(raw) < 24 or not raw[3] & 4:
-        return None
+        return 0, 0
     at, end = 12, 12 + struct.unpack_from("<H", raw, 10)[0]
     while at + 4 <= min(end, len(raw)):
         name, n = struct.unpack_from("<2sH", raw, at)
         if name == b"sl" and n == 8:
-            return struct.unpack_from("<I", raw, at + 4)[0]
+            return struct.unpack_from("<II", raw, at + 4)
         at += 4 + n
-    return None
-
-
-def whole_length(f, at: int, size: int) -> int:
-    d, n = zlib.decompressobj(31), 0
-    while not d.eof and at + n < size:
-        raw = f.read_at(min(1 << 16, size - at - n), at + n)
-        d.decompress(raw)
-        n += len(raw) - len(d.unused_data)
-    return max(n, 1)
+    return 0, 0
 
 
 # --- writing -------------------------------------------------------------------------------
@@ -276,8 +349,17 @@ class WarcWriter(DataSourceArrowWriter):
                 fs.delete_file(f"{base}/{m.file}")
 
 
+def check_tests(tests) -> list:
+    for name, kind, value in tests:
+        if name not in COLUMN.values() or kind not in ("eq", "in", "starts", "some"):
+            raise ValueError(f"no test of a header: {name} {kind} {value}")
+    return list(tests)
+
+
 class WarcSource(DataSource):
-    """Options: path; splitBytes (bytes of an archive that one task reads)."""
+    """Options: path; splitBytes (bytes of an archive that one task reads); tests (a JSON list of
+    [header column, eq | in | starts | some, value] that records have to pass); pushWhere (true:
+    filters of ``where`` reach the reader, see ``FilteringReader``)."""
 
     @classmethod
     def name(cls):
@@ -287,14 +369,16 @@ class WarcSource(DataSource):
         return FIELDS + PAYLOAD
 
     def reader(self, schema):
-        return WarcReader(self.options["path"], schema, int(self.options.get("splitbytes", SPLIT_BYTES)))
+        kind = FilteringReader if self.options.get("pushwhere", "false").lower() == "true" else WarcReader
+        return kind(self.options["path"], schema, int(self.options.get("splitbytes", SPLIT_BYTES)),
+                    check_tests(json.loads(self.options.get("tests", "[]"))))
 
     def writer(self, schema, overwrite):
         return WarcWriter(self.options["path"])
 
 
 def register(spark) -> None:
-    """Make the format known to a session, with filter pushdown on."""
+    """Make the format known to a session, with filter pushdown on for ``pushWhere``."""
     ship(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcSource)
@@ -330,9 +414,13 @@ def write_archives(pages: DataFrame, folder: str) -> None:
     archive_rows(pages).write.format("warc").mode("append").save(folder)
 
 
-def read_archives(spark, folder: str, payload: bool = True) -> DataFrame:
+def read_archives(spark, folder: str, payload: bool = True, tests=()) -> DataFrame:
+    """The records whose headers pass all ``tests``, such as ``("record_type", "eq", "response")``,
+    ``("page_id", "in", [4, 5])``, ``("target_uri", "starts", "https://a.org/")`` or
+    ``("refers_to", "some", None)``; the payloads of others are never inflated."""
     register(spark)
-    return spark.read.format("warc").schema(FIELDS + (PAYLOAD if payload else "")).load(folder)
+    read = spark.read.format("warc").schema(FIELDS + (PAYLOAD if payload else ""))
+    return read.option("tests", json.dumps(check_tests(tests))).load(folder)
 
 
 def op8_warc(spark, sf_dir) -> DataFrame:

@@ -225,3 +225,88 @@ def test_credentials_of_any_length_are_replaced_whole(size):
     assert found == [{"kind": "secret", "start": 6, "end": 6 + size}] and len(new) == 10 + size
     assert not any(value[i:i + 12] == new[6 + i:18 + i] for i in range(size - 11))
     assert pii.replace(new, pii.Cipher(b"k"), back=True)[0] == f"token={value} end"
+
+
+def foreign_archive(n=6):
+    """Records of no writer of ours: some payloads of 0 to 300,000 bytes that do not compress."""
+    import random
+    rng = random.Random(5)
+    sizes = [0, 10, 300_000, 1, 70_000, 5][:n]
+    rows = [{"record_type": "response", "record_id": f"<urn:{i}>", "warc_date": "d", "target_uri": "u", "page_id": i,
+             "refers_to": None, "payload_digest": "sha1:x", "payload_bytes": size, "payload": rng.randbytes(size)}
+            for i, size in enumerate(sizes)]
+    return rows, [warc.record(r) for r in rows]
+
+
+def test_warc_members_of_many_records(spark, tmp_path):
+    import gzip
+    rows, raw = foreign_archive()
+    want = sorted((r["page_id"], r["payload"]) for r in rows)
+    forms = {"whole": gzip.compress(b"".join(raw)), "pairs": b"".join(gzip.compress(b"".join(raw[i:i + 2])) for i in (0, 2, 4)),
+             "own": b"".join(warc.member(r) for r in raw), "own_pairs": b"".join(warc.member(b"".join(raw[i:i + 2])) for i in (0, 2, 4))}
+    warc.register(spark)
+    for name, data in forms.items():
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "a.warc.gz").write_bytes(data)
+        for split in (50_000, 1 << 30):
+            read = spark.read.format("warc").option("splitBytes", split)
+            assert sorted((r.page_id, bytes(r.payload)) for r in read.load(str(folder)).collect()) == want, (name, split)
+            heads = read.schema(warc.FIELDS).load(str(folder))
+            assert heads.where("page_id = 4").count() == 1 and heads.count() == len(raw), (name, split)
+
+
+@pytest.mark.parametrize("form", ["plain", "members", "own", "whole"])
+def test_warc_cut_off_archives_raise(spark, tmp_path, form):
+    import gzip
+    _, raw = foreign_archive(3)
+    data = {"plain": lambda: b"".join(raw), "members": lambda: b"".join(map(gzip.compress, raw)),
+            "own": lambda: b"".join(map(warc.member, raw)), "whole": lambda: gzip.compress(b"".join(raw))}[form]()
+    (tmp_path / ("a.warc" if form == "plain" else "a.warc.gz")).write_bytes(data[:-1000])
+    warc.register(spark)
+    with pytest.raises(Exception, match="cut off"):
+        spark.read.format("warc").load(str(tmp_path)).collect()
+
+
+def test_warc_header_tests(spark):
+    folder = scratch_path(spark, "warc-tests")
+    warc.write_archives(pages(spark), folder)
+    ids = lambda *tests: sorted(r.page_id or 0 for r in warc.read_archives(spark, folder, tests=tests).collect())
+    assert ids(("record_type", "eq", "revisit")) == [0, 1, 2] and ids(("page_id", "in", [4, 5])) == [4, 5]
+    assert ids(("refers_to", "some", None), ("target_uri", "starts", "u2")) == [2] and len(ids()) == 11
+    with pytest.raises(ValueError):
+        warc.read_archives(spark, folder, tests=[("payload", "eq", "x")])
+    heads = warc.read_archives(spark, folder, payload=False)        # one frame used with and without filters
+    both = heads.where("page_id = 4").unionByName(heads.where("page_id = 5"))
+    assert sorted(r.page_id for r in both.collect()) == [4, 5] and heads.count() == 11
+
+
+def test_warc_where_reaches_the_reader(spark):
+    folder = scratch_path(spark, "warc-where")
+    warc.write_archives(pages(spark), folder)
+    read = spark.read.format("warc").option("pushWhere", "true").load(folder)
+    got = read.where("record_type = 'revisit' and target_uri like 'u%' and refers_to = 3")
+    assert sorted(r.page_id for r in got.collect()) == [1, 2]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "record_type" not in "".join(line for line in plan.splitlines() if "Filter (" in line), plan
+
+
+def test_hadoop_names_of_s3_are_known():
+    from lapstats.llm.common import arrow_uri
+    assert [arrow_uri(p) for p in ("s3a://b/x", "s3n://b", "s3://b", "hdfs://h/x", "file:/x", "/x")] == \
+        ["s3://b/x", "s3://b", "s3://b", "hdfs://h/x", "file:/x", "/x"]
+
+
+def test_the_key_of_the_session_decides(spark, awkward):
+    docs = awkward.limit(0).unionByName(awkward.selectExpr("*").where("doc_id = 5").selectExpr(
+        "doc_id", "'write to jo.doe@mail.org' as text", "lang", "source", "n_chars", "`key`", "_doc"))
+    texts = []
+    try:
+        for key in ("first", "second"):
+            spark.conf.set(pii.KEY_CONF, key)
+            texts.append(pii.stage(spark, docs, None).first().text)
+            assert pii.pseudonymise(spark.createDataFrame([(1, texts[-1])], "doc_id long, text string"),
+                                    key.encode(), back=True).first().text == "write to jo.doe@mail.org"
+    finally:
+        spark.conf.unset(pii.KEY_CONF)
+    assert len({*texts, pii.stage(spark, docs, None).first().text}) == 3
