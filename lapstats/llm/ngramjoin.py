@@ -50,6 +50,7 @@ from .common import (LOWER, PACKED, chunks, components, map_arrow, materialise,
 STEP = np.uint64(0x9E3779B97F4A7C15)
 FINE = 16           # half parts of a fine sketch for each part of a region key
 QUOTA_GROWTH = 8    # pairs that a component proposes in a region: 1, 8, 64, ...
+HELD = 1 << 17      # pairs that a task holds before it drops those beyond the quota
 BLOCK = 1024        # members of a region that one task compares with one another
 
 
@@ -286,7 +287,8 @@ def allowed(parts: Parts, j: int, side: np.ndarray, sketch: np.ndarray, sizes: n
 
 
 def pivots(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """(x, p): for each member of a region the partner with the most equal parts."""
+    """(key, x, p): for each member of a region that may be linked with another of its members,
+    the one with the most equal parts."""
 
     def compare(j, side, table):
         parts = Parts(percent)
@@ -304,13 +306,25 @@ def pivots(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
         has = np.flatnonzero(who >= 0)
         if len(has):
             x, p = node[has], node[who[has]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, p)), pa.array(np.maximum(x, p))], names=["x", "p"])
+            yield pa.RecordBatch.from_arrays([table.column("key").combine_chunks().slice(0, 1).take([0] * len(has)),
+                                              pa.array(np.minimum(x, p)), pa.array(np.maximum(x, p))], names=["key", "x", "p"])
 
-    return materialise(grouped(rows, sketches, percent, compare, "x long, p long").distinct(), "pivot-pairs")
+    return materialise(grouped(rows, sketches, percent, compare, "key long, x long, p long"), "pivot-pairs")
+
+
+def best_pairs(a: np.ndarray, b: np.ndarray, same: np.ndarray, comp: np.ndarray, quota: int) -> np.ndarray:
+    """Places of the pairs that are among the ``quota`` with the most equal parts of a component."""
+    owner = np.concatenate((comp[a], comp[b]))          # both components of a pair have it
+    pair = np.tile(np.arange(len(a)), 2)
+    order = np.lexsort((pair, -same[pair], owner))
+    owner, pair = owner[order], pair[order]
+    start = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
+    place = np.arange(len(owner)) - np.repeat(start, np.diff(np.append(start, len(owner))))
+    return np.unique(pair[place < quota])
 
 
 def crossing(rows: DataFrame, sketches: DataFrame, percent: int, quota: int) -> DataFrame:
-    """(x, p, more): pairs of different components that sketches and windows allow. In each
+    """(key, x, p, more): pairs of different components that sketches and windows allow. In each
     region every component proposes the ``quota`` pairs with the most equal parts; ``more``
     tells whether it had others."""
     radius = 1 - percent / 100 + 1e-9
@@ -320,7 +334,13 @@ def crossing(rows: DataFrame, sketches: DataFrame, percent: int, quota: int) ->
         node, sizes, comp, cell = (table.column(c).to_numpy() for c in ("node", "n", "comp", "cell"))
         far = table.column("far").to_numpy()
         sketch = np.frombuffer(b"".join(table.column("s").to_pylist()), np.uint8).reshape(len(node), -1)
-        first, second, same = [], [], []
+        held, size, more = [], 0, False
+
+        def settle():       # a pair beyond the quota of what is held is beyond it of all
+            a, b, same = (np.concatenate(c) for c in zip(*held))
+            chosen = best_pairs(a, b, same, comp, quota)
+            return [(a[chosen], b[chosen], same[chosen])], len(chosen), len(chosen) < len(a)
+
         for i in range(len(node) - 1):
             if (comp[i + 1:] == comp[i]).all():
                 continue
@@ -328,26 +348,20 @@ def crossing(rows: DataFrame, sketches: DataFrame, percent: int, quota: int) ->
             ok = ((comp[found] != comp[i]) & (cell[found] != node[i]) & (cell[i] != node[found])
                   & ((cell[found] != cell[i]) | (np.abs(far[found] - far[i]) <= radius)))
             if ok.any():
-                first.append(np.full(int(ok.sum()), i))
-                second.append(found[ok])
-                same.append(equal[ok])
-        if not first:
+                held.append((np.full(int(ok.sum()), i), found[ok], equal[ok]))
+                size += len(held[-1][0])
+                if size > HELD:
+                    held, size, dropped = settle()
+                    more |= dropped
+        if not held:
             return
-        a, b, same = np.concatenate(first), np.concatenate(second), np.concatenate(same)
-        # both components of a pair have it; a component's first ``quota`` pairs are proposed
-        owner = np.concatenate((comp[a], comp[b]))
-        pair = np.tile(np.arange(len(a)), 2)
-        order = np.lexsort((pair, -same[pair], owner))
-        owner, pair = owner[order], pair[order]
-        start = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
-        place = np.arange(len(owner)) - np.repeat(start, np.diff(np.append(start, len(owner))))
-        chosen = np.unique(pair[place < quota])
-        x, p = node[a[chosen]], node[b[chosen]]
+        held, size, dropped = settle()
+        x, p = node[held[0][0]], node[held[0][1]]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.minimum(x, p)), pa.array(np.maximum(x, p)), pa.array(np.full(len(x), len(chosen) < len(a)))],
-            names=["x", "p", "more"])
+            [table.column("key").combine_chunks().slice(0, 1).take([0] * size), pa.array(np.minimum(x, p)),
+             pa.array(np.maximum(x, p)), pa.array(np.full(size, more or dropped))], names=["key", "x", "p", "more"])
 
-    return materialise(grouped(rows, sketches, percent, compare, "x long, p long, more boolean"), "window-pairs")
+    return materialise(grouped(rows, sketches, percent, compare, "key long, x long, p long, more boolean"), "window-pairs")
 
 
 def point_texts(nodes: DataFrame, where: DataFrame, docs: DataFrame, n: int, id_col: str, text: str) -> DataFrame:
@@ -420,7 +434,8 @@ def links(docs: DataFrame, found: DataFrame, where: DataFrame, n: int, percent:
         found.join(one, (F.col("node") == F.col("_node")) & F.col("id").eqNullSafe(F.col("_id"))).dropDuplicates(["node"])
         .select("node", F.col("n_shingles").alias("n"), F.explode("sketches").alias("_s")).select("node", "n", "_s.j", "_s.s"),
         "sketches")
-    pairs = pivots(rows, sketches, percent)
+    chosen = pivots(rows, sketches, percent)
+    pairs = materialise(chosen.select("x", "p").distinct(), "pairs")
     ends = pairs.select(F.col("x").alias("node")).union(pairs.select("p")).distinct()
     texts = point_texts(ends, where, docs, n, id_col, text)
     got = measured(pairs, texts, n, percent)
@@ -428,8 +443,11 @@ def links(docs: DataFrame, found: DataFrame, where: DataFrame, n: int, percent:
     comp = components(edges)
     near = got.select(F.col("x").alias("node"), F.struct("distance", F.col("p").alias("cell")).alias("_d")).union(
         got.select("p", F.struct("distance", F.col("x").alias("cell")))).groupBy("node").agg(F.min("_d").alias("_d"))
-    # points without any possible partner have no cell and are done
-    rows = materialise(rows.join(near.select("node", "_d.cell", F.col("_d.distance").alias("far")), "node"), "cells")
+    # a point without any possible partner in a region is done with that region
+    rows = chosen.select("key", F.col("x").alias("node")).union(chosen.select("key", "p")).distinct()
+    members = rows.groupBy("key").agg(F.count("*").alias("members"))
+    rows = materialise(rows.join(members, "key").join(
+        near.select("node", "_d.cell", F.col("_d.distance").alias("far")), "node"), "cells")
     tested, quota, fine = got.select("x", "p"), 1, fine_sketches(texts, n, percent)
     while True:
         left = (rows.join(comp.withColumnRenamed("id", "node"), "node", "left")
@@ -445,6 +463,8 @@ def links(docs: DataFrame, found: DataFrame, where: DataFrame, n: int, percent:
         comp = components(comp.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(linked))
         if not state["more"]:
             return comp
+        # regions that have proposed all they had are done
+        rows = rows.join(asked.where("more").select("key").distinct(), "key", "left_semi")
         tested, quota = tested.unionByName(new.select("x", "p")), quota * QUOTA_GROWTH
 
 
