@@ -3,7 +3,9 @@
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
+from lapstats.operators import forest as FT
 from lapstats.operators import model as M
+from lapstats.plans import lapmodel as LM
 
 NAMES = ["tire_age", "lap_number"]
 
@@ -21,3 +23,33 @@ def test_the_fit_has_as_many_tasks_as_cores_however_many_files(spark, monkeypatc
     M.fit_degradation_model(_laps(spark, files=cores + 24), NAMES, num_trees=2, max_depth=2)
     assert seen == [cores]
     assert M.fit_tasks(12, 5_000_000) == 12 and M.fit_tasks(12, 10 * 12 * M.FIT_ROWS) == 120
+
+
+def test_scored_laps_carry_no_trees(spark):
+    laps = _laps(spark, 500, 4).withColumn("tire_age", F.expr("if(lap_id % 9 = 0, null, tire_age)"))
+    model = M.fit_degradation_model(laps, NAMES, num_trees=3, max_depth=4)
+    got = FT.score_with_nodes(laps, FT.forest_nodes(model, spark), NAMES, depth=4)
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    want = {r.lap_id: r.prediction for r in M.score_laps(model, laps).collect()}
+    have = {r.lap_id: r.prediction for r in got.collect()}
+    assert have.keys() == want.keys() and all(abs(have[k] - want[k]) < 1e-9 for k in have)
+    assert got.columns == [*laps.columns, "prediction"]
+
+
+def test_planned_states_carry_no_segments(spark):
+    model = spark.createDataFrame([(c, k, a, 90.0 + a / 8, None if k == "HARD" else 0.25) for c in ("spa", None)
+                                   for k in ("SOFT", "MEDIUM", "HARD") for a in (0, 8)],
+                                  "circuit string, compound string, tire_age int, lap_time double, slope double")
+    states = spark.createDataFrame(
+        [(1, "spa", 10, 60, "SOFT", 4), (2, None, 10, 60, "SOFT", 4), (3, "spa", 10, None, "SOFT", 4),
+         (4, "spa", 10, 60, "SOFT", None), (4, "spa", 10, 60, "SOFT", None), (5, "spa", 58, 60, "MEDIUM", 4)],
+        "state_id long, circuit string, current_lap int, total_laps int, current_tire_compound string, current_tire_age int")
+    got = LM.optimal_pit_lap_with(states, LM.cumulative_lap_table(model))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "cums" not in plan
+    rows = sorted((r.state_id, r.compound, r.optimal_lap, r.estimated_total_time is None) for r in got.collect())
+    lap = {r[:2]: r[2:] for r in rows}
+    assert len(rows) == 12
+    assert lap[1, "MEDIUM"] == lap[2, "MEDIUM"] and not lap[1, "MEDIUM"][1]         # a null circuit is a circuit
+    assert lap[1, "HARD"] == (11, True)                                             # a fit without a slope has no price
+    assert all(lap[i, "MEDIUM"] == (11, True) for i in (3, 4)) and lap[5, "SOFT"] == (59, True)
