@@ -3,8 +3,8 @@
 ``forest_nodes`` reads the table that MLlib's writer leaves: one row per node, with its split
 (feature at most threshold goes left), its children, its mean and the rows it has seen. Its size
 follows from the forest's parameters (trees x 2 ** (depth + 1)), never from the laps. Scoring
-walks all trees inside the row: the table becomes one row of arrays, which every task gets,
-and each lap follows its path with ``aggregate`` -- no exchange, no row per lap and tree, and no
+sends the table to every task once and walks the trees over batches of laps as arrays -- no
+exchange, no row per lap and tree, no copy of the trees in a row, and no
 model object, so other engines can score with the same table (the tests do, in SQL).
 """
 
@@ -13,7 +13,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -35,32 +37,41 @@ def forest_nodes(model: DegradationModel, spark) -> DataFrame:
         n["gain"].alias("gain"), F.get(n["impurityStats"], 0).alias("weight"))
 
 
-def _trees(nodes: DataFrame) -> DataFrame:
-    """One row: the trees as structs of arrays by node number."""
-    cols = ("feature_index", "threshold", "left_child", "right_child", "prediction")
-    rows = F.sort_array(F.collect_list(F.struct("node", *cols)))
-    per = nodes.groupBy("tree").agg(rows.alias("r"))
-    tree = F.struct(F.col("tree"), *[F.col("r")[c].alias(c) for c in cols])
-    return per.agg(F.sort_array(F.collect_list(tree)).alias("_trees"))
+def _walker(nodes: DataFrame, depth: int):
+    """A function from arrays of feature values to the forest's predictions: all laps of a batch go
+    down a tree together, one level at a time. Nested, so that it travels to the tasks by value."""
+    cols = ["tree", "node", "feature_index", "threshold", "left_child", "right_child", "prediction"]
+    t = nodes.select(*cols).orderBy("tree", "node").toArrow()
+    tree, node, feature, threshold, left, right, value = (t[c].to_numpy() for c in cols)
+    roots = np.flatnonzero(np.diff(tree, prepend=-1))           # a tree's nodes are numbered from 0
+    feature, threshold = feature.astype(np.int64), np.where(feature >= 0, threshold, 0.0)
+    own = np.arange(len(tree))
+    base = np.repeat(roots, np.diff(roots, append=len(tree)))
+    down = np.stack((np.where(feature >= 0, base + left, own), np.where(feature >= 0, base + right, own)))
+    feature = np.maximum(feature, 0)                            # leaves lead to themselves
 
-
-def _leaf(tree: Column, x: Column, depth: int) -> Column:
-    def step(node, _):
-        at = F.get(tree["feature_index"], node)
-        return F.when(at < 0, node).when(F.get(x, at) <= F.get(tree["threshold"], node), F.get(tree["left_child"], node)) \
-            .otherwise(F.get(tree["right_child"], node))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), step)
+    def walk(x):
+        rows, total = np.arange(x.shape[0]), np.zeros(x.shape[0])
+        for root in roots:
+            at = np.full(len(rows), root)
+            for _ in range(depth):
+                at = down[(x[rows, feature[at]] > threshold[at]).astype(np.int8), at]
+            total += value[at]
+        return total / len(roots)
+    return walk
 
 
 def score_with_nodes(laps: DataFrame, nodes: DataFrame, features: Sequence[str], depth: int = 10,
                      out: str = "prediction") -> DataFrame:
     """``laps`` with the mean over the trees of their leaves' means. Rows with a null feature are
     left out, as the model leaves them out. ``depth`` is the forest's largest depth."""
-    trees = _trees(nodes)
-    x = F.array(*[F.col(f).cast("double") for f in features])
-    j = laps.dropna(subset=list(features)).crossJoin(F.broadcast(trees))     # one row, bounded by the parameters
-    total = F.aggregate("_trees", F.lit(0.0), lambda s, t: s + F.get(t["prediction"], _leaf(t, F.col("_x"), depth)))
-    return (j.withColumn("_x", x).withColumn(out, total / F.size("_trees")).select(*laps.columns, out))
+    walk = _walker(nodes, depth)
+
+    @F.arrow_udf("double")
+    def predict(*x: pa.Array) -> pa.Array:
+        return pa.array(walk(np.stack([c.to_numpy(zero_copy_only=False) for c in x], axis=1)))
+    x = [F.col(f).cast("double") for f in features]
+    return laps.dropna(subset=list(features)).withColumn(out, predict(*x)).select(*laps.columns, out)
 
 
 def importance_from_nodes(nodes: DataFrame) -> DataFrame:
