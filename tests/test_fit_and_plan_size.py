@@ -53,3 +53,16 @@ def test_planned_states_carry_no_segments(spark):
     assert lap[1, "MEDIUM"] == lap[2, "MEDIUM"] and not lap[1, "MEDIUM"][1]         # a null circuit is a circuit
     assert lap[1, "HARD"] == (11, True)                                             # a fit without a slope has no price
     assert all(lap[i, "MEDIUM"] == (11, True) for i in (3, 4)) and lap[5, "SOFT"] == (59, True)
+
+
+def test_the_fit_keeps_no_node_ids_and_grows_the_same_forest(spark, monkeypatch):
+    """A cache of node ids is a number per lap and tree, several times over; the splits need none."""
+    seen, fit = [], Pipeline.fit
+    monkeypatch.setattr(Pipeline, "fit", lambda self, df, *a: seen.append((self, df)) or fit(self, df, *a))
+    model = M.fit_degradation_model(_laps(spark), NAMES, num_trees=3, max_depth=5)
+    pipe, data = seen[0]
+    forest = pipe.getStages()[-1]
+    assert not forest.getCacheNodeIds()
+    cached = fit(Pipeline(stages=[pipe.getStages()[0], forest.copy({forest.cacheNodeIds: True})]), data)
+    trees = [m.stages[-1].toDebugString.split("\n", 1)[1] for m in (model.pipeline, cached)]
+    assert trees[0] == trees[1] and "feature" in trees[0]
