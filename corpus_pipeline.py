@@ -3,13 +3,14 @@
 Each stage takes ``(spark, docs, sf_dir)`` and works on all documents that its predecessor
 kept; all but the last return the columns of ``documents``. Between stages the documents are
 written as Parquet in the shared folder and read again, which cuts lineage, so a lost
-executor costs at most one stage.
+executor costs at most one stage. Then the scratch tables of the stage and the documents it
+read, which nothing reads any more, are deleted.
 """
 
 from __future__ import annotations
 
 from lapstats.llm import ngramjoin, packing, pii, quality, suffixdedup
-from lapstats.llm.common import materialise
+from lapstats.llm.common import discard, staged
 
 STAGES = [
     ("quality_rules", quality.clean),
@@ -24,7 +25,10 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        docs = staged(spark, name, lambda: stage(spark, docs, sf_dir))
+        if before is not None:
+            discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)

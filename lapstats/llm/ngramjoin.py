@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import (LOWER, PACKED, chunks, components, map_arrow, materialise, mix, packed, packed_hash,
+from .common import (LOWER, PACKED, chunks, components, discard, map_arrow, materialise, mix, packed, packed_hash,
                      text_buffer, words)
 
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -224,7 +224,9 @@ def regions(docs: DataFrame, n: int, percent: int, text: str) -> DataFrame:
     rows = materialise(rows, "region-rows")
     once = (rows.groupBy(F.expr(f"key & {Parts(percent).low}").alias("j"), "members", "lo", "hi", "mark")
             .agg(F.min("key").alias("key")).select("key"))
-    return materialise(rows.join(once, "key", "left_semi").select("key", "node", "members"), "regions")
+    found = materialise(rows.join(once, "key", "left_semi").select("key", "node", "members"), "regions")
+    discard(rows)
+    return found
 
 
 def grouped(rows: DataFrame, sketches: DataFrame, percent: int, compare, schema: str) -> DataFrame:

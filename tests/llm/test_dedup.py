@@ -2,13 +2,15 @@
 
 import collections
 import hashlib
+import os
 import random
 import re
 
 import numpy as np
 import pytest
 
-from lapstats.llm import linededup, ngramjoin, suffixdedup
+import corpus_pipeline
+from lapstats.llm import common, linededup, ngramjoin, suffixdedup
 from lapstats.llm.common import components
 
 
@@ -284,3 +286,33 @@ def test_line_dedup_rows_without_id_or_with_a_shared_one(spark):
     # equal texts without an id are different documents
     same = linededup.dedup(spark.createDataFrame([(None, a), (None, a)], df.schema)).collect()
     assert sorted(r.text for r in same) == ["", a]
+
+
+def test_scratch_tables_go_with_their_stage(spark, monkeypatch, tmp_path):
+    """What a stage wrote on the way is deleted once its documents are written, and so are the
+    documents that it read; the result stays whole."""
+    docs = spark.createDataFrame([(i, f"{'abcdefg ' * 40}{i}", "en", "s", 1) for i in range(6)] + [(9, "own text", "en", "s", 1)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    want = sorted(suffixdedup.stage(spark, docs, None).collect(), key=str)
+    made, path = [], common.scratch_path
+    monkeypatch.setattr(common, "scratch_path", lambda s, name: made.append((name, path(s, name))) or made[-1][1])
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("plain", lambda s, d, f: d), ("cut", suffixdedup.stage), ("last", lambda s, d, f: d)])
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    left = {name for name, p in made if os.path.exists(p.removeprefix("file:"))}
+    assert left == {"cut"} and {"plain", "anchors", "contexts"} <= {name for name, _ in made}
+    assert sorted(got.collect(), key=str) == want
+
+
+def test_a_stage_that_fails_leaves_no_scratch_tables(spark, monkeypatch):
+    made, path = [], common.scratch_path
+    monkeypatch.setattr(common, "scratch_path", lambda s, name: made.append(path(s, name)) or made[-1])
+
+    def broken():
+        common.materialise(spark.range(3), "half")
+        raise RuntimeError("stage")
+    with pytest.raises(RuntimeError, match="stage"):
+        common.staged(spark, "whole", broken)
+    assert len(made) == 1 and not os.path.exists(made[0].removeprefix("file:"))
+    kept = common.materialise(spark.range(3), "kept")
+    assert kept.count() == 3 and common._MADE.get() is None
