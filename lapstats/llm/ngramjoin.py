@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import (LOWER, PACKED, chunks, components, discard, map_arrow, materialise, mix, packed, packed_hash,
-                     text_buffer, words)
+                     staged, text_buffer, words)
 
 STEP = np.uint64(0x9E3779B97F4A7C15)
 FINE = 16           # half parts of a fine sketch for each part of a region key
@@ -437,10 +437,13 @@ def links(docs: DataFrame, found: DataFrame, where: DataFrame, n: int, percent:
         .select("node", F.col("n_shingles").alias("n"), F.explode("sketches").alias("_s")).select("node", "n", "_s.j", "_s.s"),
         "sketches")
     chosen = pivots(rows, sketches, percent)
+    discard(rows)
+    discard(sketches)
     pairs = materialise(chosen.select("x", "p").distinct(), "pairs")
     ends = pairs.select(F.col("x").alias("node")).union(pairs.select("p")).distinct()
     texts = point_texts(ends, where, docs, n, id_col, text)
     got = measured(pairs, texts, n, percent)
+    discard(pairs)
     edges = got.where("linked").select(F.col("x").alias("a"), F.col("p").alias("b"))
     comp = components(edges)
     near = got.select(F.col("x").alias("node"), F.struct("distance", F.col("p").alias("cell")).alias("_d")).union(
@@ -450,6 +453,7 @@ def links(docs: DataFrame, found: DataFrame, where: DataFrame, n: int, percent:
     members = rows.groupBy("key").agg(F.count("*").alias("members"))
     rows = materialise(rows.join(members, "key").join(
         near.select("node", "_d.cell", F.col("_d.distance").alias("far")), "node"), "cells")
+    discard(chosen)
     tested, quota, fine = got.select("x", "p"), 1, fine_sketches(texts, n, percent)
     while True:
         left = (rows.join(comp.withColumnRenamed("id", "node"), "node", "left")
@@ -495,24 +499,29 @@ def op6_ngram_join(spark, sf_dir) -> DataFrame:
     return join(spark.read.parquet(f"{sf_dir}/documents.parquet"), n=3, percent=90)
 
 
-def stage(spark, docs: DataFrame, sf_dir) -> DataFrame:
-    """Pipeline stage: of each group of near duplicates (five words, similarity 0.8) one row
-    stays: that with the smallest id (null ids last) and, of rows that share it, that with the
-    smallest text hash. Each row is decided by its own text: rows that share an id keep every
-    text that has no near duplicate, and rows with a null id are deduplicated like others. Rows
-    without words stay; of rows equal in id and text one stays."""
-    n, percent = 5, 80
+def near_copies(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """(_row): id and text hash of the rows that are not the first of their group of near duplicates."""
     found = materialise(points(docs, n, percent, "doc_id", "text"), "points")
     names = named(docs, found, n, percent, "doc_id", "text")
     order = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("h").alias("h"))
     first = found.where("node is not null").groupBy("node").agg(F.min(order).alias("first"))
     least = names.join(first, "node").groupBy("comp").agg(F.min("first").alias("least"))
     names = names.join(least, "comp").select("node", "least")
-    gone = materialise(found.join(names, "node").where(order != F.col("least"))
-                       .select(F.struct("id", "h").alias("_row")).distinct(), "near-copies")
-    again = materialise(found.groupBy(F.struct("id", "h").alias("_row")).agg(F.count("*").alias("n")).where("n > 1")
-                        .select("_row"), "repeated-rows")
+    return (found.join(names, "node").where(order != F.col("least"))
+            .select(F.struct("id", "h").alias("_row")).distinct())
+
+
+def stage(spark, docs: DataFrame, sf_dir) -> DataFrame:
+    """Pipeline stage: of each group of near duplicates (five words, similarity 0.8) one row
+    stays: that with the smallest id (null ids last) and, of rows that share it, that with the
+    smallest text hash. Each row is decided by its own text: rows that share an id keep every
+    text that has no near duplicate, and rows with a null id are deduplicated like others. Rows
+    without words stay; of rows equal in id and text one stays. The tables of the join are
+    deleted before the rows are read again."""
     row = F.struct(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("h"))
+    gone = staged(spark, "near-copies", lambda: near_copies(docs, 5, 80))
+    again = materialise(docs.select(row.alias("_row")).groupBy("_row").agg(F.count("*").alias("n")).where("n > 1")
+                        .select("_row"), "repeated-rows")
     kept = docs.withColumn("_row", row).join(gone, "_row", "left_anti")
     if again.isEmpty():
         return kept.select(*docs.columns)

@@ -304,6 +304,25 @@ def test_scratch_tables_go_with_their_stage(spark, monkeypatch, tmp_path):
     assert sorted(got.collect(), key=str) == want
 
 
+@pytest.mark.parametrize("stage, left", [(suffixdedup.stage, {"repeated-windows"}),
+                                         (ngramjoin.stage, {"near-copies", "repeated-rows"})])
+def test_a_stage_keeps_only_what_its_rows_need(spark, monkeypatch, stage, left):
+    """Tables made on the way are gone when the stage returns, before its rows are written; null texts,
+    other columns and repeated rows come through."""
+    long = "abcdefg " * 40
+    rows = [(i, f"{long}{i} é", "en", float(i)) for i in range(4)] + [(4, None, None, None), (5, "own text", "en", 0.5), (5, "own text", "en", 0.5)]
+    docs = spark.createDataFrame([*rows, (6, long, "en", 1.0), (7, long, "en", 1.0)], "doc_id long, text string, lang string, score double")
+    made, path = [], common.scratch_path
+    monkeypatch.setattr(common, "scratch_path", lambda s, name: made.append((name, path(s, name))) or made[-1][1])
+    got = stage(spark, docs, None)
+    assert {name for name, p in made if os.path.exists(p.removeprefix("file:"))} == left
+    assert got.columns == docs.columns and len(made) > 3
+    found = {r.doc_id: r for r in got.collect()}
+    assert found[4] == (4, None, None, None) and found[5].text == "own text"
+    if stage is suffixdedup.stage:
+        assert [found[i].text for i in (0, 1, 6, 7)] == ["0 é", "1 é", "", ""] and got.count() == len(rows) + 2
+
+
 def test_a_stage_that_fails_leaves_no_scratch_tables(spark, monkeypatch):
     made, path = [], common.scratch_path
     monkeypatch.setattr(common, "scratch_path", lambda s, name: made.append(path(s, name)) or made[-1])
