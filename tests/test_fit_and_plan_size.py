@@ -66,3 +66,17 @@ def test_the_fit_keeps_no_node_ids_and_grows_the_same_forest(spark, monkeypatch)
     cached = fit(Pipeline(stages=[pipe.getStages()[0], forest.copy({forest.cacheNodeIds: True})]), data)
     trees = [m.stages[-1].toDebugString.split("\n", 1)[1] for m in (model.pipeline, cached)]
     assert trees[0] == trees[1] and "feature" in trees[0]
+
+
+def test_a_pass_of_the_fit_holds_few_nodes_and_grows_the_same_forest(spark, monkeypatch):
+    """Statistics of all trees at once lie far from the core; fewer in a pass give the same splits."""
+    seen, fit = [], Pipeline.fit
+    monkeypatch.setattr(Pipeline, "fit", lambda self, df, *a: seen.append((self, df)) or fit(self, df, *a))
+    model = M.fit_degradation_model(_laps(spark), NAMES, num_trees=3, max_depth=5)
+    pipe, data = seen[0]
+    forest = pipe.getStages()[-1]
+    assert forest.getMaxMemoryInMB() <= 16
+    trees = lambda m: m.stages[-1].toDebugString.split("\n", 1)[1]
+    for mb in (0, 256):     # 0: one node a pass
+        other = fit(Pipeline(stages=[pipe.getStages()[0], forest.copy({forest.maxMemoryInMB: mb})]), data)
+        assert trees(other) == trees(model.pipeline) and "feature" in trees(other)
