@@ -19,7 +19,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(catalog.SQL))
 def test_queries_equal_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = catalog.QUERIES[name](spark, SF)
     cols = ", ".join(sorted(df.columns))
