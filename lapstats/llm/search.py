@@ -11,10 +11,12 @@ candidates that lead after the essential terms. Block results (k rows a query) a
 a ranking per query.
 
 Candidates are packed into blocks by the tasks that read them, queries likewise; every query
-block meets every candidate block, which is the work that the exact search asks for: the
-join's key is a salt that a candidate block has once and a query block in every value. No
-block is collected or broadcast by hand. Scores are integers: products are summed in float64
-while that is exact, otherwise as Python integers.
+block meets every candidate block, which is the work that the exact search asks for. Candidate
+blocks are dealt over the tasks once; the query blocks are files of the shared folder, which a
+task reads one by one for each of its candidate blocks. So nothing is joined, copied for a join,
+collected or broadcast (the driver has the file names), and a task holds one block of each
+kind. Scores are integers: products are summed in float64 while that is exact, otherwise as
+Python integers.
 
 Defined cases: vectors that are null, empty, or hold null or non-finite components take no
 part; vectors of different lengths are not compared; a query with fewer candidates returns
@@ -28,10 +30,11 @@ import pickle
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_arrow, materialise
+from .common import map_arrow, materialise, open_fs
 
 CANDIDATE_BLOCK = 8192
 QUERY_BLOCK = 256
@@ -53,7 +56,7 @@ def pack(df: DataFrame, id_col: str, vector: str, scale: int, rows: int) -> Data
 
         def block(dim):
             ids, vecs = held.pop(dim)
-            return pa.RecordBatch.from_pylist([{"dim": dim, "n": len(ids), "block": pickle.dumps((ids, exact(vecs)), 5)}],
+            return pa.RecordBatch.from_pylist([{"dim": dim, "n": len(ids), "block": pickle.dumps((ids, small(exact(vecs))), 5)}],
                                               schema=pa.schema([("dim", pa.int32()), ("n", pa.int32()), ("block", pa.binary())]))
 
         for batch in batches:
@@ -79,6 +82,28 @@ def exact(vectors: list[list[int]]) -> np.ndarray:
     return np.array(vectors, np.float64 if top < 1 << 20 else object)
 
 
+def small(vectors: np.ndarray) -> np.ndarray:
+    """The numbers of ``exact`` in the fewest bytes, as a block is written."""
+    if vectors.dtype == object:
+        return vectors
+    return vectors.astype(np.int16 if np.abs(vectors).max(initial=0) < 1 << 15 else np.int32)
+
+
+def unpacked(block: bytes) -> tuple[list[int], np.ndarray]:
+    """Ids and ``exact`` numbers of a block."""
+    ids, vectors = pickle.loads(block)
+    return ids, vectors if vectors.dtype == object else vectors.astype(np.float64)
+
+
+def query_blocks(files: list[str]):
+    """The rows (dim, block) of Parquet files in the shared folder, a few at a time; used inside tasks."""
+    for file in files:
+        store, path = open_fs(file)
+        with store.open_input_file(path) as f:
+            for batch in pq.ParquetFile(f).iter_batches(16, columns=["dim", "block"]):
+                yield from zip(batch.column(0).to_pylist(), batch.column(1))
+
+
 def maxscore(query: np.ndarray, ids: np.ndarray, vectors: np.ndarray, low: np.ndarray, high: np.ndarray,
              own, k: int) -> list[tuple[int, int]]:
     """(score, id) of the k best rows of a block, ties to smaller ids; rows with id ``own`` are
@@ -93,15 +118,18 @@ def maxscore(query: np.ndarray, ids: np.ndarray, vectors: np.ndarray, low: np.nd
         return []
     # a first threshold: rows that lead on the strongest terms, scored in full
     lead = min(len(order), STEP)
-    score = vectors[:, order[:lead]] @ query[order[:lead]]
-    first = alive[np.argsort(-score[alive].astype(np.float64), kind="stable")[:4 * k]]
+    terms = vectors.T                                             # a term's postings lie together
+    score = query[order[:lead]] @ terms[order[:lead]]
+    first = alive
+    if len(alive) > 4 * k:
+        first = alive[np.argpartition(-score[alive].astype(np.float64), 4 * k)[:4 * k]]
     floor = np.sort(vectors[first][:, order] @ query[order])[-k] if len(order) else 0
     # essential terms: without them a row reaches less than the threshold
     split = lead
     while split < len(order) and rest[split] >= floor:
         split += 1
     if split > lead:
-        score = score + vectors[:, order[lead:split]] @ query[order[lead:split]]
+        score = score + query[order[lead:split]] @ terms[order[lead:split]]
     at = split
     alive = alive[score[alive] + rest[at] >= floor]
     score = score[alive]
@@ -121,34 +149,31 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 5, scale: int = 25
           id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: for each row of ``queries`` its k best rows of
     ``candidates`` other than those with its own id."""
-    blocks = materialise(pack(candidates, id_col, vector, scale, CANDIDATE_BLOCK).select(
-        F.col("dim"), F.col("block").alias("cands")), "candidate-blocks")
-    asked = materialise(pack(queries, id_col, vector, scale, QUERY_BLOCK).select(
-        F.col("dim").alias("qdim"), F.col("block").alias("asked")), "query-blocks")
-    # each candidate block has one salt, each query block all: tasks share the candidates out
-    salts = int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left = blocks.withColumn("salt", F.pmod(F.xxhash64("cands"), F.lit(salts)).cast("int"))
-    right = asked.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).withColumnRenamed("qdim", "dim")
-    pairs = left.join(right, ["dim", "salt"]).select("cands", "asked")
+    asked = materialise(pack(queries, id_col, vector, scale, QUERY_BLOCK), "query-blocks")
+    files = asked.inputFiles()
+    # by number, so that small blocks with much work are not put together again
+    tasks = int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = pack(candidates, id_col, vector, scale, CANDIDATE_BLOCK).select("dim", "block").repartition(
+        tasks, F.xxhash64("block"))
 
     def run(batches):
-        last, ready = None, None
         for batch in batches:
-            for c, q in zip(batch.column(0), batch.column(1)):
-                raw = c.as_py()
-                if raw != last:
-                    ids, vectors = pickle.loads(raw)
-                    last, ready = raw, (np.array(ids), vectors, vectors.min(axis=0), vectors.max(axis=0))
-                out = ([], [], [])
-                qids, qvecs = pickle.loads(q.as_py())
-                for qid, query in zip(qids, qvecs):
-                    for score, i in maxscore(query, *ready, qid, k):
-                        for col, v in zip(out, (qid, i, score)):
-                            col.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out],
-                                                 names=["query_id", "vec_id", "score"])
-
-    found = map_arrow(pairs, run, "query_id long, vec_id long, score long")
+            for dim, block in zip(batch.column(0).to_pylist(), batch.column(1)):
+                ids, vectors = unpacked(block.as_py())
+                vectors = np.asfortranarray(vectors)
+                ready = np.array(ids), vectors, vectors.min(axis=0), vectors.max(axis=0)
+                for qdim, asked in query_blocks(files):
+                    if qdim != dim:
+                        continue
+                    out = ([], [], [])
+                    for qid, query in zip(*unpacked(asked.as_py())):
+                        for score, i in maxscore(query, *ready, qid, k):
+                            for col, v in zip(out, (qid, i, score)):
+                                col.append(v)
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out],
+                                                     names=["query_id", "vec_id", "score"])
+
+    found = map_arrow(blocks, run, "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
