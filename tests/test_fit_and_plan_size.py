@@ -80,3 +80,16 @@ def test_a_pass_of_the_fit_holds_few_nodes_and_grows_the_same_forest(spark, monk
     for mb in (0, 256):     # 0: one node a pass
         other = fit(Pipeline(stages=[pipe.getStages()[0], forest.copy({forest.maxMemoryInMB: mb})]), data)
         assert trees(other) == trees(model.pipeline) and "feature" in trees(other)
+
+
+def test_staged_laps_lie_in_target_order_and_none_is_lost(spark):
+    """Laps that follow each other add to the same nodes, which then stay near the core."""
+    laps = _laps(spark, 3000, 5).selectExpr("*", "2021 as year", "'spa' as circuit", "concat('D', lap_id % 7) as driver")
+    laps = laps.withColumn("lap_time", F.expr("if(lap_id % 10 < 3, 88.0, lap_time)"))
+    split = M.training_split(laps)
+    rows = split.select(F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("i"), "lap_time", "tire_age", "lap_number", "lap_id").collect()
+    files = {}
+    for r in sorted(rows, key=lambda r: r.i):
+        files.setdefault(r.f, []).append((r.lap_time, r.tire_age, r.lap_number))
+    assert len(files) > 1 and all(v == sorted(v) for v in files.values())
+    assert sorted(r.lap_id for r in rows) == list(range(3000)) and split.where("is_test").count() == 600
