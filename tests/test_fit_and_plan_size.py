@@ -93,3 +93,22 @@ def test_staged_laps_lie_in_target_order_and_none_is_lost(spark):
         files.setdefault(r.f, []).append((r.lap_time, r.tire_age, r.lap_number))
     assert len(files) > 1 and all(v == sorted(v) for v in files.values())
     assert sorted(r.lap_id for r in rows) == list(range(3000)) and split.where("is_test").count() == 600
+
+
+def test_raw_laps_are_computed_once_however_often_the_features_read_them(spark):
+    laps = _laps(spark, 400, 3).selectExpr(
+        "lap_id", "2021 as year", "if(lap_id % 5 = 0, null, 'spa') as circuit", "concat('D', lap_id % 7) as driver",
+        "cast(lap_id div 7 as int) as lap_number", "if(lap_id % 31 = 0, null, lap_time) as lap_time", "'SOFT' as compound",
+        "tire_age as tyre_life", "cast(lap_id % 20 as double) as position", "if(lap_id % 11 = 0, null, 0.5) as gap_to_leader")
+    from lapstats.operators.clean import normalise_columns
+    clean = normalise_columns(laps)
+    learned = M.FeatureStage.fit(clean)
+    rows = learned.transform(clean)
+    model = M.fit_degradation_model(rows, num_trees=2, max_depth=3)
+    model.stage = learned
+    raw = M.score_raw_laps(model, laps)
+    assert "Range (" in laps._jdf.queryExecution().optimizedPlan().toString()
+    assert "Range (" not in raw._jdf.queryExecution().optimizedPlan().toString()
+    want = {r.lap_id: r.prediction for r in M.score_laps(model, rows).collect()}
+    got = {r.lap_id: r.prediction for r in raw.collect()}
+    assert want and got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
